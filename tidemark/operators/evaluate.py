@@ -1,4 +1,7 @@
-"""Confusion matrix and the four evaluation scores, from one pass."""
+"""Confusion matrix and the four evaluation scores, from one pass.
+
+Both start from :func:`confusion_counts`, which has one row per pair of classes.
+"""
 
 from __future__ import annotations
 
@@ -10,14 +13,13 @@ def confusion_counts(scored: DataFrame) -> DataFrame:
     return scored.groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
 
-def confusion_matrix(scored: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def confusion_matrix(counts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Every (label, prediction) pair of the label set, zeros included.
 
-    ``labels`` has one column ``label`` in matrix order; without it the labels
-    of the scored rows are used. The label set is the model's class list, so
-    it is gathered into one array to number both axes.
+    ``labels`` has one column ``label``; without it the labels that occur are
+    used. The label set is the model's class list, so it is gathered into one
+    array that gives both axes.
     """
-    counts = confusion_counts(scored)
     known = labels if labels is not None else counts.select("label").distinct()
     axes = known.agg(F.sort_array(F.collect_set("label")).alias("axis"))
     grid = axes.select("axis", F.explode("axis").alias("label")).select(
@@ -30,7 +32,7 @@ def confusion_matrix(scored: DataFrame, labels: DataFrame | None = None) -> Data
     )
 
 
-def eval_metrics(scored: DataFrame) -> DataFrame:
+def eval_metrics(counts: DataFrame) -> DataFrame:
     """Accuracy and label-weighted precision, recall and F1 in one row.
 
     A class that is never predicted has precision 0.
@@ -52,8 +54,7 @@ def eval_metrics(scored: DataFrame) -> DataFrame:
         )
     )
     per_class = (
-        confusion_counts(scored)
-        .select(sides)
+        counts.select(sides)
         .groupBy("cls")
         .agg(F.sum("actual").alias("actual"), F.sum("predicted").alias("predicted"), F.sum("hit").alias("hit"))
         .withColumn("p", F.when(F.col("predicted") > 0, F.col("hit") / F.col("predicted")).otherwise(0.0))

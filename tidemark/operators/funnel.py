@@ -19,16 +19,20 @@ def funnel_counts(parsed: DataFrame, table: DataFrame) -> DataFrame:
     """
     fields = [c for c in parsed.columns if c not in ("key", "topic")]
     nothing = reduce(and_, [F.col(c).isNull() for c in fields])
-    marked = parsed.select(
-        "topic", nothing.alias("malformed"), has_text("text").alias("valid")
-    ).join(table, "topic", "left")
-    routed = F.col("valid") & F.col("collection").isNotNull()
-    return marked.rollup("topic").agg(
-        F.count("*").alias("n_raw"),
-        F.count_if("malformed").alias("n_malformed"),
-        F.count_if("valid").alias("n_valid"),
-        F.count_if(routed).alias("n_written"),
+    per_topic = (
+        parsed.select("topic", nothing.alias("malformed"), has_text("text").alias("valid"))
+        .groupBy("topic")
+        .agg(
+            F.count("*").alias("n_raw"),
+            F.count_if("malformed").alias("n_malformed"),
+            F.count_if("valid").alias("n_valid"),
+        )
     )
+    targets = table.groupBy("topic").agg(F.count("*").alias("_targets"))
+    written = F.col("n_valid") * F.coalesce("_targets", F.lit(0))
+    counts = per_topic.join(targets, "topic", "left").withColumn("n_written", written)
+    sums = [F.sum(c).alias(c) for c in ("n_raw", "n_malformed", "n_valid", "n_written")]
+    return counts.rollup("topic").agg(*sums)
 
 
 def topic_report(parsed: DataFrame, table: DataFrame) -> DataFrame:

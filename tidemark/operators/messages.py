@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.schemas import CARRIED, CLEANED, POST, ROUTES
+from tidemark.session import local_table
 
 
 def decode(messages: DataFrame) -> DataFrame:
@@ -63,7 +64,7 @@ def flatten_author(rows: DataFrame) -> DataFrame:
 
 
 def routes(spark: SparkSession, pairs: Iterable[tuple[str, str]] = ROUTES) -> DataFrame:
-    return spark.createDataFrame(list(pairs), "topic string, collection string")
+    return local_table(spark, pairs, ("topic", "collection"))
 
 
 def route(rows: DataFrame, table: DataFrame) -> DataFrame:

@@ -193,19 +193,20 @@ def hash_sample(spark, sf_dir):
     return sides[0].unionByName(sides[1])
 
 
-def _scored_labels(spark, sf_dir):
-    return tables.table(spark, sf_dir, "labels").select(
+def _label_counts(spark, sf_dir):
+    scored = tables.table(spark, sf_dir, "labels").select(
         F.col("quality").cast("double").alias("label"),
         (1 - F.col("toxic")).cast("double").alias("prediction"),
     )
+    return evaluate.confusion_counts(scored)
 
 
 def confusion_matrix(spark, sf_dir):
-    return evaluate.confusion_matrix(_scored_labels(spark, sf_dir))
+    return evaluate.confusion_matrix(_label_counts(spark, sf_dir))
 
 
 def eval_metrics(spark, sf_dir):
-    scores = evaluate.eval_metrics(_scored_labels(spark, sf_dir))
+    scores = evaluate.eval_metrics(_label_counts(spark, sf_dir))
     return scores.select(*[F.round(c, 6).alias(c) for c in scores.columns])
 
 

@@ -33,11 +33,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions.text import clean_sql
 from tidemark.operators.chi2 import chi2_select, chi2_stats, label_totals
-from tidemark.operators.evaluate import confusion_matrix, eval_metrics
+from tidemark.operators.evaluate import confusion_counts, confusion_matrix, eval_metrics
 from tidemark.operators.labels import split_usable
 from tidemark.operators.terms import known_terms, weighted_vocabulary, with_words
 from tidemark.schemas import CLEANED, WORDS
-from tidemark.session import land
+from tidemark.session import land, local_table
+
+ROWS_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
@@ -119,13 +121,12 @@ def describe_stages(spark, stages) -> DataFrame:
         )
         for i, stage in enumerate(stages)
     ]
-    return spark.createDataFrame(rows, "position int, stage string, inputs string, output string")
+    return local_table(spark, rows, ("position", "stage", "inputs", "output"))
 
 
-def selected_features(train: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, list[str]]:
-    """The selected vocabulary as a landed table, and the labels in index order."""
-    usable, _ = split_usable(train, spec.text, spec.target)
-    rows = usable.select(F.col(spec.text), F.col(spec.target).cast("string").alias("label"))
+def selected_features(train: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame, dict[str, int]]:
+    """The selected vocabulary as a landed table, and the rows per label in order."""
+    rows = train.select(F.col(spec.text), F.col(spec.target).cast("string").alias("label"))
     words = with_words(rows, spec.text).select("label", WORDS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         totals = label_totals(words)
@@ -137,7 +138,7 @@ def selected_features(train: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame,
         varying = vocab.filter("idf <> 0").select("n", "term", "feature")
         found = known_terms(words, varying, spec.max_n, ("label",))
         chosen = chi2_select(chi2_stats(found, totals), vocab, spec.top_features)
-        return land(chosen, "features"), list(totals)
+        return land(chosen, "features"), totals
     finally:
         words.unpersist()
 
@@ -156,10 +157,12 @@ def feature_stages(chosen: DataFrame, labels: list[str], spec: Spec = Spec()) ->
     for n, known in terms.items():
         if not known:
             continue
+        # 1-grams are the words: reading those leaves the copy to be pruned.
+        source = WORDS if n == 1 else f"{n}_grams"
         stages += [
             NGram(n=n, inputCol=WORDS, outputCol=f"{n}_grams"),
             CountVectorizerModel.from_vocabulary(
-                [term for term, _ in known], inputCol=f"{n}_grams", outputCol=f"{n}_tf"
+                [term for term, _ in known], inputCol=source, outputCol=f"{n}_tf"
             ),
             ElementwiseProduct(
                 scalingVec=Vectors.dense([weight for _, weight in known]),
@@ -175,17 +178,29 @@ def feature_stages(chosen: DataFrame, labels: list[str], spec: Spec = Spec()) ->
     return stages
 
 
+def _solver_input(vectors: DataFrame, n_rows: int) -> DataFrame:
+    """Fewer, larger partitions for a training set too small to fill the cores.
+
+    Every solver step is a job over all partitions, so on small data its time
+    is the number of tasks. Larger training sets keep their partitioning.
+    """
+    tasks = n_rows // ROWS_PER_TASK + 1
+    if tasks < vectors.sparkSession.sparkContext.defaultParallelism:
+        return vectors.repartition(tasks)
+    return vectors
+
+
 def fit(train: DataFrame, spec: Spec = Spec()) -> PipelineModel:
     """Learn the model; rows without text or label are left out."""
-    chosen, labels = selected_features(train, spec)
-    stages = feature_stages(chosen, labels, spec)
     usable, _ = split_usable(train, spec.text, spec.target)
-    data = usable.select(spec.text, spec.target)
-    vectors = PipelineModel(stages).transform(data).select("label", "features")
-    return PipelineModel(stages + [solver(spec).fit(vectors)])
+    chosen, totals = selected_features(usable, spec)
+    stages = feature_stages(chosen, list(totals), spec)
+    vectors = PipelineModel(stages).transform(usable.select(spec.text, spec.target))
+    data = _solver_input(vectors.select("label", "features"), sum(totals.values()))
+    return PipelineModel(stages + [solver(spec).fit(data)])
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Scores and confusion matrix over one persisted pass of predictions."""
-    scored = model.transform(test).select("label", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
-    return eval_metrics(scored), confusion_matrix(scored)
+    """Scores and confusion matrix, from one pass over the predictions."""
+    counts = land(confusion_counts(model.transform(test).select("label", "prediction")), "confusion")
+    return eval_metrics(counts), confusion_matrix(counts)

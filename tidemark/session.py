@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -75,6 +75,16 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows, names) -> DataFrame:
+    """A small table of configured values, with a size Catalyst knows.
+
+    Literals in the plan, unlike ``createDataFrame`` of a Python list, whose
+    size is unknown to the optimizer, so that a join with it would shuffle.
+    """
+    records = [F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*records)))
+
+
 def plan_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; for a file scan, the sum of the file sizes."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
