@@ -1,0 +1,196 @@
+"""JSON parsing, routing, funnel, repeatable writes and the stream."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators import funnel, messages
+from tidemark.operators.terms import with_words
+from tidemark.plans import scoring
+from tidemark.schemas import CARRIED, MESSAGE
+from tidemark.session import fresh_path
+from tidemark.sources import readers, writers
+from tidemark.streaming import scoring as stream
+
+ROUTES = [("gpt-2", "gpt_out"), ("gemini-2", "gemini_out"), ("none-2", "none_out")]
+
+
+def _post(i, text, **fields):
+    return json.dumps({"id": str(i), "text": text, "author": {"id": "a", "userName": f"u{i}"}, **fields})
+
+
+VALUES = [
+    ("gpt-2", _post(1, "Great THING", likeCount=5, extra=[1, 2])),
+    ("gpt-2", _post(2, "")),
+    ("gpt-2", "{bad"),
+    ("gpt-2", _post(3, "   ")),
+    ("copilot-2", _post(4, "not routed")),
+    ("gemini-2", _post(5, None)),
+    ("gpt-2", _post(6, "café ☕", isReply=True)),
+]
+
+
+def _messages(spark, values=VALUES):
+    rows = [(None, v.encode(), t, 0, i, None) for i, (t, v) in enumerate(values)]
+    return spark.createDataFrame(rows, MESSAGE)
+
+
+def _rule(rows):
+    return with_words(rows, "tweet").withColumn("prediction", F.lit(1.0))
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ('{"id":1,"text":"x"}', ("1", "x", None, None)),
+        ('{"id":"1","likeCount":"7","text":"x"}', ("1", "x", None, None)),
+        ('{"id":"1","likeCount":1.5,"text":"x"}', ("1", "x", None, None)),
+        ('{"id":"1","isReply":"true","likeCount":3}', ("1", None, 3, None)),
+        ("{bad", (None, None, None, None)),
+        ('{"id":"1","text":"x', (None, None, None, None)),
+        ("null", (None, None, None, None)),
+        ("[]", (None, None, None, None)),
+        ('[{"id":"1"}]', (None, None, None, None)),
+        ("", (None, None, None, None)),
+        ('{"text":{"x":1}}', (None, '{"x":1}', None, None)),
+        ('{"ID":"1","Text":"x"}', (None, None, None, None)),
+        ('{"id":"1","isReply":true,"unknown":{"deep":[1]}}', ("1", None, None, True)),
+    ],
+)
+def test_json_edges(spark, value, expected):
+    row = messages.parse_posts(_messages(spark, [("t", value)])).first()
+    assert (row.id, row.text, row.likeCount, row.isReply) == expected
+    assert row.topic == "t"
+
+
+def test_decode_is_utf8(spark):
+    row = messages.decode(_messages(spark, [("t", "é☕")])).first()
+    assert (row.key, row.value_str, row.topic) == (None, "é☕", "t")
+
+
+def test_score_messages(spark):
+    out = scoring.score_messages(_messages(spark), _rule, messages.routes(spark, ROUTES))
+    assert out.columns == ["collection", "tweet_id", "processed_text", "sentiment_prediction", *CARRIED]
+    rows = {r.tweet_id: r for r in out.collect()}
+    assert set(rows) == {"1", "3", "6"}
+    assert rows["1"].processed_text == "great thing" and rows["1"].sentiment_prediction == "1.0"
+    assert rows["1"].author.userName == "u1" and rows["1"].likeCount == 5
+    assert rows["3"].processed_text == "" and rows["6"].processed_text == "caf "
+    assert messages.flatten_author(out).filter("tweet_id = '1'").first().author_username == "u1"
+
+
+def test_routing_does_not_shuffle_posts(spark):
+    out = scoring.score_messages(_messages(spark), _rule, messages.routes(spark, ROUTES))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_write_and_read_back(spark):
+    path = fresh_path(spark, "out")
+    table = messages.routes(spark, ROUTES)
+    for times in (1, 2):
+        scoring.run(_messages(spark), _rule, table, path)
+        counts = {r.collection: r["count"] for r in spark.read.parquet(path).groupBy("collection").count().collect()}
+        assert counts == {"gpt_out": 3 * times}
+
+
+def test_repeated_batch_adds_nothing(spark):
+    path = fresh_path(spark, "batches")
+    scored = scoring.score_messages(_messages(spark), _rule, messages.routes(spark, ROUTES))
+    for _ in range(2):
+        writers.write_batch(scored, path, "2025-03-18")
+    writers.write_batch(scored, path, "2025-03-19")
+    assert spark.read.parquet(path).groupBy("batch").count().count() == 2
+    assert spark.read.parquet(path).count() == 6
+
+
+def test_append_of_unseen_rows_only(spark):
+    scored = scoring.score_messages(_messages(spark), _rule, messages.routes(spark, ROUTES))
+    stored = scored.filter("tweet_id <> '6'")
+    assert [r.tweet_id for r in messages.unseen(scored, stored).collect()] == ["6"]
+
+
+def test_one_write_per_collection(spark):
+    path = fresh_path(spark, "each")
+    scored = scoring.score_messages(_messages(spark), _rule, messages.routes(spark, ROUTES))
+    writers.append_each(scored, ["gpt_out"], lambda w, name: w.format("parquet").save(f"{path}/{name}"))
+    assert spark.read.parquet(f"{path}/gpt_out").count() == 3
+
+
+def test_no_rows_write_nothing(spark):
+    path = fresh_path(spark, "empty")
+    scoring.run(_messages(spark, [("copilot-2", _post(1, "x"))]), _rule, messages.routes(spark, ROUTES), path)
+    assert spark.read.schema("tweet_id string").parquet(path).count() == 0
+    none = spark.createDataFrame([], MESSAGE)
+    assert scoring.score_messages(none, _rule, messages.routes(spark, ROUTES)).count() == 0
+
+
+def test_topic_twice_is_written_twice(spark):
+    table = messages.routes(spark, [("gpt-2", "one"), ("gpt-2", "two")])
+    out = scoring.score_messages(_messages(spark), _rule, table)
+    assert out.groupBy("collection").count().count() == 2 and out.count() == 6
+    total = funnel.funnel_counts(messages.parse_posts(_messages(spark)), table).filter("topic is null").first()
+    assert (total.n_raw, total.n_malformed, total.n_valid, total.n_written) == (7, 1, 4, 6)
+
+
+def test_funnel_and_report(spark):
+    parsed = messages.parse_posts(_messages(spark))
+    table = messages.routes(spark, ROUTES)
+    rows = {r.topic: tuple(r)[1:] for r in funnel.funnel_counts(parsed, table).collect()}
+    assert rows == {
+        "gpt-2": (5, 1, 3, 3),
+        "copilot-2": (1, 0, 1, 0),
+        "gemini-2": (1, 0, 0, 0),
+        None: (7, 1, 4, 3),
+    }
+    report = {r.topic: (r.n_raw, r.n_valid, r.written) for r in funnel.topic_report(parsed, table).collect()}
+    assert report == {"gpt-2": (5, 3, True), "gemini-2": (1, 0, False), "none-2": (0, 0, False)}
+
+
+def test_dedupe_keeps_the_first_copy(spark):
+    copies = spark.range(3000).select(
+        F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("tweet_id"),
+        F.col("id").alias("offset"),
+        F.concat(F.lit("v"), "id").alias("text"),
+    )
+    out = messages.dedupe_posts(copies.repartition(7), ["tweet_id"], ["offset"])
+    assert out.count() == 1001
+    hot = out.filter("tweet_id = 'hot'").first()
+    assert (hot.offset, hot.text) == (0, "v0")
+
+
+def test_message_log_filters_topics_in_the_scan(spark):
+    path = fresh_path(spark, "log")
+    writers.publish_log(_messages(spark), path)
+    log = readers.read_message_log(spark, path, "gpt-2, gemini-2")
+    assert log.count() == 6
+    assert "PartitionFilters: [topic" in log._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kafka_options():
+    assert readers.kafka_options("h:9092", "a, b,c", ending="latest") == {
+        "kafka.bootstrap.servers": "h:9092",
+        "subscribe": "a,b,c",
+        "startingOffsets": "earliest",
+        "endingOffsets": "latest",
+    }
+
+
+def test_stream_equals_batch_and_replay_adds_nothing(spark):
+    log, out, state = (fresh_path(spark, n) for n in ("log", "out", "state"))
+    table = messages.routes(spark, ROUTES)
+    writers.publish_log(_messages(spark), log)
+
+    def drain():
+        stream.start(stream.log_stream(spark, log), _rule, table, out, state).awaitTermination()
+        return sorted((r.tweet_id, r.collection) for r in spark.read.parquet(out).collect())
+
+    batch = scoring.score_messages(_messages(spark), _rule, table)
+    expected = sorted((r.tweet_id, r.collection) for r in batch.collect())
+    assert drain() == expected
+    assert drain() == expected
+    writers.publish_log(_messages(spark, [("gemini-2", _post(9, "late"))]), log)
+    assert drain() == sorted([*expected, ("9", "gemini_out")])
