@@ -197,7 +197,12 @@ def fit(train: DataFrame, spec: Spec = Spec()) -> PipelineModel:
     stages = feature_stages(chosen, list(totals), spec)
     vectors = PipelineModel(stages).transform(usable.select(spec.text, spec.target))
     data = _solver_input(vectors.select("label", "features"), sum(totals.values()))
-    return PipelineModel(stages + [solver(spec).fit(data)])
+    # The solver reads its input twice (scales, then blocks) before it iterates.
+    data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(stages + [solver(spec).fit(data)])
+    finally:
+        data.unpersist()
 
 
 def evaluate(model: PipelineModel, test: DataFrame) -> tuple[DataFrame, DataFrame]:
