@@ -14,6 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.text import clean_text, ngrams, tokenize
 from tidemark.schemas import CLEANED, WORDS
+from tidemark.session import land, plan_bytes
+
+# Above this input size a vocabulary is built in two passes (candidate_stats).
+TWO_PASS_BYTES = 256 * 1024**3
+BUCKETS = 2**22
 
 
 def with_words(posts: DataFrame, text: str = "text") -> DataFrame:
@@ -56,14 +61,62 @@ def term_counts(posts: DataFrame, n: int, keep: Sequence[str] = ("doc_id",)) ->
     return marked.select(*keep, F.inline(runs))
 
 
-def corpus_stats(posts: DataFrame, n: int) -> DataFrame:
-    """Total count and document frequency of every n-gram, in one pass."""
-    return (
-        term_counts(posts, n, keep=())
-        .groupBy("term")
-        .agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
+def corpus_stats(posts: DataFrame, n: int, only: DataFrame | None = None) -> DataFrame:
+    """Total count and document frequency of every n-gram, in one pass.
+
+    ``only`` is a table of hash buckets (``bucket``) to limit the terms to.
+    """
+    counts = term_counts(posts, n, keep=())
+    if only is not None:
+        counts = counts.withColumn("bucket", _bucket("term")).join(only, "bucket", "left_semi")
+    return counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
+
+
+def _bucket(term: str) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS))
+
+
+def _total_at(table: DataFrame, rank: int) -> int:
+    """The ``rank``-th largest total, or 0 if there are fewer rows."""
+    top = table.select("total").orderBy(F.desc("total")).limit(rank)
+    least, rows = top.agg(F.min("total"), F.count("*")).first()
+    return least if rows == rank else 0
+
+
+def candidate_stats(posts: DataFrame, n: int, size: int) -> DataFrame:
+    """:func:`corpus_stats` of a landed set that surely holds the top ``size``.
+
+    Nearly all longer n-grams are rare, hardly combine on the map side and
+    would be shuffled only to lose against the cut. So occurrences are first
+    counted per hash bucket, which bounds what a task can shuffle, and only
+    terms of buckets with at least ``floor`` occurrences are counted by term.
+
+    A bucket's total is no less than that of any of its terms, so every term
+    with a total of ``floor`` or more is counted. If ``size`` terms get there,
+    the top is among them, ties included. If not, the ``size``-th total found is
+    a floor that ``size`` terms do reach, and one more pass with it is enough.
+    """
+    buckets = land(
+        terms(posts, n).groupBy(_bucket("term").alias("bucket")).agg(F.count("*").alias("total")), "buckets"
     )
 
+    def counted(floor: int) -> DataFrame:
+        # Landed, so that the size of the few buckets left decides on the join.
+        kept = land(buckets.filter(F.col("total") >= floor).select("bucket"), "kept-buckets")
+        return land(corpus_stats(posts, n, kept), "candidates")
+
+    floor = _total_at(buckets, 4 * size)
+    found = counted(floor)
+    reached = _total_at(found, size)
+    return found if reached >= floor else counted(reached)
+
+
+def vocabulary_stats(posts: DataFrame, n: int, size: int) -> DataFrame:
+    """Statistics that hold the top ``size`` terms: one pass, or two if large."""
+    if plan_bytes(posts) >= TWO_PASS_BYTES:
+        return candidate_stats(posts, n, size)
+    return corpus_stats(posts, n)
+
 
 def top_terms(stats: DataFrame, size: int) -> DataFrame:
     """The ``size`` most frequent terms with their 0-based index.
@@ -78,7 +131,10 @@ def top_terms(stats: DataFrame, size: int) -> DataFrame:
 
 def vocabulary(posts: DataFrame, n: int, size: int) -> DataFrame:
     """``(term, total, idx)``: top terms by total corpus count."""
-    totals = terms(posts, n).groupBy("term").agg(F.count("*").alias("total"))
+    if plan_bytes(posts) >= TWO_PASS_BYTES:
+        totals = candidate_stats(posts, n, size).select("term", "total")
+    else:
+        totals = terms(posts, n).groupBy("term").agg(F.count("*").alias("total"))
     return top_terms(totals, size)
 
 
@@ -104,7 +160,7 @@ def weighted_vocabulary(
     ``size`` slots each, in vocabulary order.
     """
     parts = [
-        top_terms(corpus_stats(posts, n), size).select(
+        top_terms(vocabulary_stats(posts, n, size), size).select(
             F.lit(n).alias("n"),
             "idx",
             "term",
