@@ -69,6 +69,12 @@ def test_hash_split_is_stable_and_complete(spark):
     assert counts["train"] == results[0][1]
 
 
+def test_split_keeps_rows_without_key(spark):
+    rows = spark.createDataFrame([(None,), ("a",), ("b",)], "id string")
+    train, test = split.hash_split(rows, "id")
+    assert train.count() + test.count() == 3
+
+
 def test_samples(spark):
     ids = spark.range(10_000).withColumnRenamed("id", "doc_id")
     half = split.hash_sample(ids, "doc_id", 0.5, split.TRAIN_SAMPLE_SEED)

@@ -18,9 +18,10 @@ _BUCKETS = 1_000_000
 
 
 def key_bucket(key: str | Column, seed: int) -> Column:
-    """A bucket in 0..999999 from the seed and the key."""
+    """A bucket in 0..999999 from the seed and the key; null counts as empty."""
     key = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    name = F.coalesce(key.cast("string"), F.lit(""))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % _BUCKETS
 
 
