@@ -88,6 +88,13 @@ def test_routing_does_not_shuffle_posts(spark):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
+def test_json_is_parsed_once(spark):
+    out = scoring.score_messages(_messages(spark), _rule, messages.routes(spark, ROUTES))
+    valid = messages.parse_posts(_messages(spark)).filter(messages.has_text("text"))
+    for df in (out, valid):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_write_and_read_back(spark):
     path = fresh_path(spark, "out")
     table = messages.routes(spark, ROUTES)

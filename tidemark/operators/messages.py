@@ -10,12 +10,13 @@ from tidemark.schemas import CARRIED, CLEANED, POST, ROUTES
 from tidemark.session import local_table
 
 
-def decode(messages: DataFrame) -> DataFrame:
+def decode(messages: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Key and value as UTF-8 strings, and the topic."""
     return messages.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value_str"),
         "topic",
+        *keep,
     )
 
 
@@ -24,12 +25,16 @@ def parse_json(rows: DataFrame, column: str, schema, keep: Iterable[str] = ()) -
 
     Permissive: a value that is no JSON object gives nulls, a field of the
     wrong type gives null in that field only, unknown fields are ignored.
+
+    The one-element ``inline`` expands the struct like ``doc.*`` would, but later
+    filters on the fields stay above it; pushed below, they would parse again.
     """
-    return rows.select(*keep, F.from_json(column, schema).alias("_doc")).select(*keep, "_doc.*")
+    return rows.select(*keep, F.inline(F.array(F.from_json(column, schema))))
 
 
-def parse_posts(messages: DataFrame) -> DataFrame:
-    return parse_json(decode(messages), "value_str", POST, keep=("key", "topic"))
+def parse_posts(messages: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    kept = ("key", "topic", *keep)
+    return parse_json(decode(messages, keep), "value_str", POST, kept)
 
 
 def of_topic(posts: DataFrame, topic: str) -> DataFrame:

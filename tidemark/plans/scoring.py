@@ -17,11 +17,12 @@ def score_messages(messages: DataFrame, scorer: PipelineModel | Scorer, table: D
     """Scored rows of all topics with their collection, in one pass.
 
     Works on a batch and on a stream: every step is row-local except the join
-    with the small route table.
+    with the small route table, which comes first, so that messages of topics
+    without a collection are not even parsed.
     """
     transform = scorer.transform if isinstance(scorer, PipelineModel) else scorer
-    posts = route(score_input(parse_posts(messages), keep=("topic",)), table)
-    return score_output(transform(posts), keep=("collection",))
+    posts = parse_posts(route(messages, table), keep=("collection",))
+    return score_output(transform(score_input(posts, keep=("collection",))), keep=("collection",))
 
 
 def run(messages: DataFrame, scorer: PipelineModel | Scorer, table: DataFrame, path: str) -> None:
