@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from tidemark.operators.labels import fitted_labels, split_usable
 from tidemark.plans import training
@@ -123,6 +122,11 @@ def test_unusable_rows_are_set_aside(spark, toy):
     assert training.fit(mixed, TOY).transform(toy).count() == 64
 
 
+def test_nothing_to_train_on_is_an_error(spark, toy):
+    with pytest.raises(ValueError, match="no row"):
+        training.fit(toy.filter("target > 9"), TOY)
+
+
 def test_selected_vectors_equal_selection_of_full_vectors(spark, train):
     """The compact stages give the vectors of all features, cut to the selected."""
     spec = Spec(vocab_size=250, top_features=90)

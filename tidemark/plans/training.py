@@ -130,6 +130,8 @@ def selected_features(train: DataFrame, spec: Spec = Spec()) -> tuple[DataFrame,
     words = with_words(rows, spec.text).select("label", WORDS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         totals = label_totals(words)
+        if not totals:
+            raise ValueError("no row with text and label to train on")
         n_docs = sum(totals.values())
         vocab = land(
             weighted_vocabulary(words, spec.max_n, spec.vocab_size, n_docs, spec.min_doc_freq),
