@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -16,8 +17,8 @@ from tidemark.functions.text import clean_text, ngrams, tokenize
 from tidemark.schemas import CLEANED, WORDS
 from tidemark.session import land, plan_bytes
 
-# Above this input size a vocabulary is built in two passes (candidate_stats).
-TWO_PASS_BYTES = 256 * 1024**3
+# Above this input size vocabularies are built in two passes (candidate_stats).
+TWO_PASS_BYTES = 8 * 1024**3
 BUCKETS = 2**22
 
 
@@ -26,24 +27,35 @@ def with_words(posts: DataFrame, text: str = "text") -> DataFrame:
     return posts.withColumn(CLEANED, clean_text(text)).withColumn(WORDS, tokenize(CLEANED))
 
 
-def terms(posts: DataFrame, n: int, keep: Sequence[str] = ()) -> DataFrame:
+def _grams(sizes: Sequence[int]) -> Column:
+    """The n-grams of all sizes of a post in one array."""
+    parts = [ngrams(WORDS, n) for n in sizes]
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
+def term_size(term: str) -> Column:
+    """The n of an n-gram: words hold no space, so it is one more than its spaces."""
+    return F.length(term) - F.length(F.replace(F.col(term), F.lit(" "), F.lit(""))) + 1
+
+
+def terms(posts: DataFrame, *sizes: int, keep: Sequence[str] = ()) -> DataFrame:
     """One row per n-gram occurrence.
 
     ``explode_outer`` and a filter on its output, because for a plain
     ``explode`` of a column Catalyst infers ``size(words) > 0`` and pushes it to
     the scan, where it runs the whole cleaning expression several times more.
     """
-    grams = posts.select(*keep, F.explode_outer(ngrams(WORDS, n)).alias("term"))
+    grams = posts.select(*keep, F.explode_outer(_grams(sizes)).alias("term"))
     return grams.filter(F.col("term").isNotNull())
 
 
-def term_counts(posts: DataFrame, n: int, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def term_counts(posts: DataFrame, *sizes: int, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One row per post and distinct n-gram with its count ``tf``.
 
     Sorting the n-grams of a row puts equal ones side by side, so each count is
     the distance between two run starts. No shuffle.
     """
-    ordered = posts.select(*keep, F.sort_array(ngrams(WORDS, n)).alias("_s"))
+    ordered = posts.select(*keep, F.sort_array(_grams(sizes)).alias("_s"))
     s = F.col("_s")
     is_start = lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
     marked = ordered.select(
@@ -61,61 +73,72 @@ def term_counts(posts: DataFrame, n: int, keep: Sequence[str] = ("doc_id",)) ->
     return marked.select(*keep, F.inline(runs))
 
 
-def corpus_stats(posts: DataFrame, n: int, only: DataFrame | None = None) -> DataFrame:
-    """Total count and document frequency of every n-gram, in one pass.
-
-    ``only`` is a table of hash buckets (``bucket``) to limit the terms to.
-    """
-    counts = term_counts(posts, n, keep=())
-    if only is not None:
-        counts = counts.withColumn("bucket", _bucket("term")).join(only, "bucket", "left_semi")
+def _per_term(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
 
 
+def corpus_stats(posts: DataFrame, *sizes: int) -> DataFrame:
+    """Total count and document frequency of every n-gram, in one pass."""
+    return _per_term(term_counts(posts, *sizes, keep=()))
+
+
 def _bucket(term: str) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS))
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).alias("bucket")
 
 
-def _total_at(table: DataFrame, rank: int) -> int:
-    """The ``rank``-th largest total, or 0 if there are fewer rows."""
-    top = table.select("total").orderBy(F.desc("total")).limit(rank)
-    least, rows = top.agg(F.min("total"), F.count("*")).first()
-    return least if rows == rank else 0
+def _totals_at(table: DataFrame, sizes: Sequence[int], rank: int) -> dict[int, int]:
+    """Per n, the ``rank``-th largest total, or 0 if there are fewer rows."""
+    parts = [
+        table.filter(F.col("n") == n)
+        .select("total")
+        .orderBy(F.desc("total"))
+        .limit(rank)
+        .agg(F.lit(n).alias("n"), F.min("total").alias("least"), F.count("*").alias("rows"))
+        for n in sizes
+    ]
+    found = reduce(DataFrame.unionByName, parts).collect()
+    return {r.n: r.least if r.rows == rank else 0 for r in found}
 
 
-def candidate_stats(posts: DataFrame, n: int, size: int) -> DataFrame:
-    """:func:`corpus_stats` of a landed set that surely holds the top ``size``.
+def candidate_stats(posts: DataFrame, sizes: Sequence[int], size: int) -> DataFrame:
+    """``(n, term, total, df)``, landed, that surely holds the top ``size`` of each n.
 
     Nearly all longer n-grams are rare, hardly combine on the map side and
-    would be shuffled only to lose against the cut. So occurrences are first
-    counted per hash bucket, which bounds what a task can shuffle, and only
-    terms of buckets with at least ``floor`` occurrences are counted by term.
+    would be shuffled only to lose against the cut. So occurrences of all sizes
+    are first counted per hash bucket, which bounds what a task can shuffle,
+    and only terms of buckets with at least a floor of occurrences are counted
+    by term, in a second pass.
 
     A bucket's total is no less than that of any of its terms, so every term
     with a total of ``floor`` or more is counted. If ``size`` terms get there,
     the top is among them, ties included. If not, the ``size``-th total found is
     a floor that ``size`` terms do reach, and one more pass with it is enough.
     """
-    buckets = land(
-        terms(posts, n).groupBy(_bucket("term").alias("bucket")).agg(F.count("*").alias("total")), "buckets"
-    )
+    per_bucket = terms(posts, *sizes).groupBy(term_size("term").alias("n"), _bucket("term"))
+    buckets = land(per_bucket.agg(F.count("*").alias("total")), "buckets")
 
-    def counted(floor: int) -> DataFrame:
+    def counted(floors: dict[int, int]) -> DataFrame:
+        reach = reduce(or_, [(F.col("n") == n) & (F.col("total") >= low) for n, low in floors.items()])
         # Landed, so that the size of the few buckets left decides on the join.
-        kept = land(buckets.filter(F.col("total") >= floor).select("bucket"), "kept-buckets")
-        return land(corpus_stats(posts, n, kept), "candidates")
+        kept = land(buckets.filter(reach).select("n", "bucket"), "kept-buckets")
+        counts = term_counts(posts, *sizes, keep=()).withColumn("n", term_size("term"))
+        chosen = counts.withColumn("bucket", _bucket("term")).join(kept, ["n", "bucket"], "left_semi")
+        return land(_per_term(chosen).withColumn("n", term_size("term")), "candidates")
 
-    floor = _total_at(buckets, 4 * size)
-    found = counted(floor)
-    reached = _total_at(found, size)
-    return found if reached >= floor else counted(reached)
+    floors = _totals_at(buckets, sizes, 4 * size)
+    found = counted(floors)
+    reached = _totals_at(found, sizes, size)
+    if all(reached[n] >= floors[n] for n in sizes):
+        return found
+    return counted({n: min(reached[n], floors[n]) for n in sizes})
 
 
-def vocabulary_stats(posts: DataFrame, n: int, size: int) -> DataFrame:
-    """Statistics that hold the top ``size`` terms: one pass, or two if large."""
-    if plan_bytes(posts) >= TWO_PASS_BYTES:
-        return candidate_stats(posts, n, size)
-    return corpus_stats(posts, n)
+def vocabulary_stats(posts: DataFrame, sizes: Sequence[int], size: int) -> dict[int, DataFrame]:
+    """Per n, statistics that hold its top ``size`` terms."""
+    if plan_bytes(posts) < TWO_PASS_BYTES:
+        return {n: corpus_stats(posts, n) for n in sizes}
+    found = candidate_stats(posts, sizes, size)
+    return {n: found.filter(F.col("n") == n).drop("n") for n in sizes}
 
 
 def top_terms(stats: DataFrame, size: int) -> DataFrame:
@@ -132,7 +155,7 @@ def top_terms(stats: DataFrame, size: int) -> DataFrame:
 def vocabulary(posts: DataFrame, n: int, size: int) -> DataFrame:
     """``(term, total, idx)``: top terms by total corpus count."""
     if plan_bytes(posts) >= TWO_PASS_BYTES:
-        totals = candidate_stats(posts, n, size).select("term", "total")
+        totals = candidate_stats(posts, [n], size).select("term", "total")
     else:
         totals = terms(posts, n).groupBy("term").agg(F.count("*").alias("total"))
     return top_terms(totals, size)
@@ -159,8 +182,9 @@ def weighted_vocabulary(
     ``feature`` numbers the slots of the assembled vector: n-major blocks of
     ``size`` slots each, in vocabulary order.
     """
+    stats = vocabulary_stats(posts, range(1, max_n + 1), size)
     parts = [
-        top_terms(vocabulary_stats(posts, n, size), size).select(
+        top_terms(stats[n], size).select(
             F.lit(n).alias("n"),
             "idx",
             "term",
@@ -169,7 +193,7 @@ def weighted_vocabulary(
             idf("df", n_docs, min_doc_freq).alias("idf"),
             (F.lit((n - 1) * size) + F.col("idx")).alias("feature"),
         )
-        for n in range(1, max_n + 1)
+        for n in stats
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -177,16 +201,12 @@ def weighted_vocabulary(
 def known_terms(
     posts: DataFrame, vocab: DataFrame, max_n: int, keep: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """Term counts of the posts limited to vocabulary terms.
+    """Term counts of the posts limited to vocabulary terms, in one pass.
 
     ``vocab`` should be a landed table: it has at most ``max_n * size`` rows,
     and Spark broadcasts it only if its files are small enough.
     """
-    parts = []
-    for n in range(1, max_n + 1):
-        of_n = vocab.filter(F.col("n") == n)
-        parts.append(term_counts(posts, n, keep).join(of_n, "term"))
-    return reduce(DataFrame.unionByName, parts)
+    return term_counts(posts, *range(1, max_n + 1), keep=keep).join(vocab, "term")
 
 
 def tfidf(
