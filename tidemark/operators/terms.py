@@ -149,7 +149,7 @@ def top_terms(stats: DataFrame, size: int) -> DataFrame:
     """
     by_rank = [F.desc("total"), F.asc("term")]
     top = stats.orderBy(*by_rank).limit(size)
-    return top.withColumn("idx", F.row_number().over(Window.orderBy(*by_rank)) - 1)
+    return top.withColumn("idx", F.row_number().over(Window.orderBy(*by_rank)).cast("bigint") - 1)
 
 
 def vocabulary(posts: DataFrame, n: int, size: int) -> DataFrame:

@@ -75,13 +75,13 @@ def url_strip(spark, sf_dir):
 
 
 def tokenize(spark, sf_dir):
-    return _words(spark, sf_dir).select("doc_id", F.size(WORDS).alias("n_words"), _joined().alias("words"))
+    return _words(spark, sf_dir).select("doc_id", F.size(WORDS).cast("bigint").alias("n_words"), _joined().alias("words"))
 
 
 def _ngram(n: int) -> Query:
     def query(spark, sf_dir):
         grams = _words(spark, sf_dir).select("doc_id", ngrams(WORDS, n).alias("grams"))
-        return grams.select("doc_id", F.size("grams").alias("n_grams"), _joined("grams").alias("grams"))
+        return grams.select("doc_id", F.size("grams").cast("bigint").alias("n_grams"), _joined("grams").alias("grams"))
 
     return query
 
@@ -277,7 +277,7 @@ def message_scan(spark, sf_dir):
     path = fresh_path(spark, "messages")
     writers.publish_log(rows, path)
     log = readers.read_message_log(spark, path, "en,fr,de")
-    return log.select("topic", "offset", F.octet_length("value").alias("n_bytes"))
+    return log.select("topic", "offset", F.octet_length("value").cast("bigint").alias("n_bytes"))
 
 
 def message_decode(spark, sf_dir):
@@ -411,7 +411,8 @@ def page_explode(spark, sf_dir):
         F.struct(tweets.alias("tweets"), more.alias("has_next_page"), F.col("source").alias("next_cursor"))
     )
     rows = collect.explode_pages(docs.select("doc_id", body.alias("body")), keep=("doc_id",))
-    return rows.select("doc_id", "position", "tweet.text", "has_next_page", "next_cursor")
+    position = F.col("position").cast("bigint").alias("position")
+    return rows.select("doc_id", position, "tweet.text", "has_next_page", "next_cursor")
 
 
 def page_quota(spark, sf_dir):

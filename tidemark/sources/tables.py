@@ -107,7 +107,7 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         events.select(
             F.col("event_type").alias("keyword"),
             F.to_date("ts").alias("since"),
-            (F.hour("ts") + 1).alias("page"),
+            (F.hour("ts") + 1).cast("bigint").alias("page"),
             k.alias("k"),
         )
         .groupBy("keyword", "since", "page")
@@ -125,7 +125,7 @@ def attempt_log(spark: SparkSession, sf_dir: str, least: int = 1) -> DataFrame:
     slots = (
         seen.select("keyword", "since")
         .distinct()
-        .select("keyword", "since", F.explode(F.sequence(F.lit(1), F.lit(24))).alias("page"))
+        .select("keyword", "since", F.explode(F.expr("sequence(1L, 24L)")).alias("page"))
     )
     ok = F.coalesce("n_events", F.lit(0)) >= least
     return slots.join(seen, ["keyword", "since", "page"], "left").select(
