@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.dedup import OP2_SQL, op2_exact_dedup
 from tidemark.llm.mixing import OP9_SQL, op9_mixing
 from tidemark.llm.packing import op6_packing
+from tidemark.llm.pivots import op4_embedding_dedup
 from tidemark.llm.sharding import op1_sharding
 from tidemark.llm.simhash import op8_simhash
 from tidemark.llm.token_files import op10_token_files
@@ -12,6 +13,7 @@ from tidemark.llm.token_files import op10_token_files
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op6_packing": op6_packing,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
