@@ -1,29 +1,76 @@
 """A corpus from raw documents to packed sequences, in five stages.
 
-Each stage works on all its predecessor kept; between stages the documents are
-written as Parquet to the shared folder and read again.
+1. ``quality``      documents whose lines are mostly bad go
+2. ``exact_dedup``  of equal texts the largest doc_id stays
+3. ``near_dedup``   of each SimHash group the smallest doc_id stays
+4. ``mixing``       sources come to their target weights, some documents twice
+5. ``packing``      all that is left, as pieces of sequences of 4096 tokens
+
+Each stage works on all that its predecessor kept. Between stages the documents
+are written as Parquet to the shared folder and read again, so a lost executor
+costs no more than a part of one stage. All stages but the last return the
+columns of the documents; a table with more columns keeps them.
+
+An empty table passes all stages and gives no pieces. Null texts have no line:
+they are kept or rejected by the share of good documents, and if kept count as
+empty. Rows that repeat doc_id and text become one in the second stage.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+from tidemark.llm.common import documents, table
+from tidemark.llm.dedup import distinct_rows
+from tidemark.llm.mixing import mixed
+from tidemark.llm.packing import pack_documents
+from tidemark.llm.quality import accepted
+from tidemark.llm.simhash import one_per_group
+from tidemark.session import fresh_path
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return distinct_rows(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return one_per_group(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+
+# The classifier, the tokenizer and XXH64 are not SQL: tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.session import fresh_path
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage over the documents of ``sf_dir``."""
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
-
-
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run(spark, sf_dir)

@@ -6,6 +6,7 @@ from tidemark.llm.dedup import OP2_SQL, op2_exact_dedup
 from tidemark.llm.mixing import OP9_SQL, op9_mixing
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.pivots import op4_embedding_dedup
+from tidemark.llm.quality import op7_line_quality
 from tidemark.llm.sharding import op1_sharding
 from tidemark.llm.simhash import op8_simhash
 from tidemark.llm.token_files import op10_token_files
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op6_packing": op6_packing,
+    "op7_line_quality": op7_line_quality,
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
