@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.dedup import OP2_SQL, op2_exact_dedup
+from tidemark.llm.language_model import op5_lm_scoring
 from tidemark.llm.mixing import OP9_SQL, op9_mixing
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.pivots import op4_embedding_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_packing": op6_packing,
     "op7_line_quality": op7_line_quality,
     "op8_simhash": op8_simhash,
