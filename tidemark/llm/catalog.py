@@ -11,10 +11,12 @@ from tidemark.llm.quality import op7_line_quality
 from tidemark.llm.sharding import op1_sharding
 from tidemark.llm.simhash import op8_simhash
 from tidemark.llm.token_files import op10_token_files
+from tidemark.llm.url_filter import OP3_SQL, op3_url_filter
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_url_filter": op3_url_filter,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_packing": op6_packing,
@@ -26,5 +28,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_exact_dedup": OP2_SQL,
+    "op3_url_filter": OP3_SQL,
     "op9_mixing": OP9_SQL,
 }
