@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import pytest
+
+# Names that operators use inside, or return: tables may have them too.
+CLASHING = ("size", "digest", "kept", "score", "hash", "row", "bucket", "_digest", "_score", "_hash", "keeper", "print")
+
+
+@pytest.fixture(scope="session")
+def edge_rows():
+    """(doc_id, text, source): nulls, empty, blank, long, equal, repeated and odd texts."""
+    long = " ".join(f"word{i % 977} and {i}" for i in range(20_000))
+    prose = "The quick brown fox jumps over the lazy dog near the river bank. It was a sunny day, and nobody was in a hurry."
+    return [
+        (1, prose, "a"),
+        (2, prose.upper(), "a"),
+        (3, prose + " Indeed.", None),
+        (4, None, "b"),
+        (5, "", "b"),
+        (6, " \t\n\r ", "a"),
+        (7, long, "a"),
+        (8, long, "c"),
+        (9, "one", "c"),
+        (10, "one two", "c"),
+        (11, "one two three", None),
+        (12, "don't <|startoftext|> stop now Été, H̱ İstanbul é! 12x34", "é"),
+        (13, "été naïve 你好 \U0001f600", "b"),
+        (14, "a\x1cb\x85c　d", "b"),
+        (15, "AAA bbb\nAAA bbb\nAAA bbb", "a"),
+        (15, "AAA bbb\nAAA bbb\nAAA bbb", "a"),
+        (16, prose, "a"),
+        (None, "no id at all here", "a"),
+    ]
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark, edge_rows):
+    extra = ", ".join(f"{c} string" for c in CLASHING)
+    rows = [(k, t, "en", s, len(t or ""), *(["x"] * len(CLASHING))) for k, t, s in edge_rows]
+    return spark.createDataFrame(rows, f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}")
+
+
+@pytest.fixture(scope="session")
+def no_docs(edge_docs):
+    return edge_docs.filter("false")
+
+
+@pytest.fixture(scope="session")
+def small_dir():
+    return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def small_docs(spark, small_dir):
+    return spark.read.parquet(f"{small_dir}/documents.parquet")

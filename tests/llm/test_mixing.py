@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import connect, duck_rows, spark_rows
+from tidemark.llm.mixing import OP9_SQL, mix_report, mixed, op9_mixing, source_targets
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def shared(sizes, weights=(5.0, 2.0, 1.0), share=1.5, cap=2):
+    """Share the budget by weight, cut at the caps, and share the excess again."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, open_names, budget = dict.fromkeys(names, 0.0), list(names), share * sum(sizes.values())
+    while open_names and budget > 1e-9:
+        total = sum(weight[s] for s in open_names)
+        for s in open_names:
+            target[s] += budget * weight[s] / total
+        budget = sum(max(0.0, target[s] - cap * sizes[s]) for s in open_names)
+        for s in open_names:
+            target[s] = min(target[s], cap * sizes[s])
+        open_names = [s for s in open_names if target[s] < cap * sizes[s]]
+    return target
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_targets(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{i}": int(10 ** rng.uniform(0, 5)) for i in range(7)} | {None: 50, "empty": 0}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size bigint")
+    got = {r.source: r.target for r in source_targets(rows, (5.0, 2.0, 1.0), 1.5, 2).collect()}
+    assert got == pytest.approx(shared(sizes), rel=1e-6, abs=1e-3)
+
+
+def check(rows, sizes):
+    by_source = {}
+    for r in rows:
+        assert r.taken in (0, r.size, 2 * r.size) and r.taken == r.size * r.copies
+        by_source.setdefault(r.source, []).append(r)
+    wanted = shared(sizes)
+    for source, own in by_source.items():
+        assert {r.source_size for r in own} == {sizes[source]}
+        assert own[0].target == pytest.approx(wanted[source], rel=1e-6, abs=1e-3)
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(r.size for r in own)
+
+
+def test_edge_rows(edge_docs, edge_rows):
+    sizes = {}
+    for _, text, source in edge_rows:
+        sizes[source] = sizes.get(source, 0) + len(WORD.findall(text or ""))
+    rows = mix_report(edge_docs).collect()
+    assert len(rows) == len(edge_rows)
+    check([r for r in rows], sizes)
+    out = mixed(edge_docs)
+    assert out.columns == edge_docs.columns
+    assert out.count() == sum(r.copies for r in rows)
+
+
+def test_empty_table(no_docs):
+    assert mix_report(no_docs).collect() == [] and mixed(no_docs).collect() == []
+
+
+def test_query_equals_sql_and_reruns_agree(spark, small_dir):
+    first = spark_rows(op9_mixing(spark, small_dir))
+    assert first == duck_rows(connect(small_dir), OP9_SQL)
+    assert first == spark_rows(op9_mixing(spark, small_dir))
+
+
+def test_one_source_and_equal_documents(spark):
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), F.lit("three short words").alias("text"), F.lit("s").alias("source"))
+    rows = mix_report(docs).collect()
+    assert sum(r.taken for r in rows) == 450

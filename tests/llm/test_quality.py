@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import itertools
+import zlib
+
+import numpy as np
+import pytest
+
+from tidemark.llm import quality
+from tidemark.llm.quality import accepted, fit, marginals, op7_line_quality, score_documents
+
+GOOD = "The river ran past the old mill. Nobody had seen the keeper that day, and the gate was shut."
+BAD = "BUY!! NOW!! CHEAP!! CHEAP!! DEALS!!"
+
+
+def by_enumeration(potential, transition):
+    """Marginals, transition counts and log-normaliser of one chain over all labellings."""
+    total, good, pairs = 0.0, np.zeros(len(potential)), np.zeros((2, 2))
+    for states in itertools.product((0, 1), repeat=len(potential)):
+        weight = np.exp(sum(p * s for p, s in zip(potential, states)) + sum(transition[a, b] for a, b in zip(states, states[1:])))
+        total += weight
+        good += weight * np.array(states)
+        for a, b in zip(states, states[1:]):
+            pairs[a, b] += weight
+    return good / total, pairs / total, np.log(total)
+
+
+def test_forward_backward():
+    rng = np.random.default_rng(0)
+    counts = np.array([3, 1, 5, 2, 1])
+    potential, transition = rng.normal(size=12) * 3, rng.normal(size=(2, 2))
+    good, pairs, norm = marginals(potential, transition, counts)
+    starts = counts.cumsum() - counts
+    wanted = [by_enumeration(potential[a : a + n], transition) for a, n in zip(starts, counts)]
+    assert good == pytest.approx(np.concatenate([w[0] for w in wanted]))
+    assert pairs == pytest.approx(sum(w[1] for w in wanted))
+    assert norm == pytest.approx(sum(w[2] for w in wanted))
+
+
+def test_neighbours_count():
+    """A lone neutral line takes after its neighbours."""
+    transition = np.array([[1.0, -1.0], [-1.0, 1.0]])
+    good, _, _ = marginals(np.array([4.0, 0.0, 4.0, -4.0, 0.0, -4.0]), transition, np.array([3, 3]))
+    assert good[1] > 0.9 and good[4] < 0.1
+
+
+def test_long_lines_count_more():
+    model = fit([GOOD.encode()] * 20 + [BAD.encode()] * 20, [1] * 20 + [0] * 20)
+    mostly_good, mostly_bad = f"{GOOD * 20}\n{BAD}".encode(), f"{GOOD}\n{BAD * 40}".encode()
+    scores = model.score([mostly_good, mostly_bad, b"", b" \n "])
+    assert scores[0] > 0.7 > 0.3 > scores[1] and scores[2] == scores[3] == 0.5
+
+
+def test_held_out_accuracy(spark):
+    rows = {r.doc_id: r for r in op7_line_quality(spark, "/root/testdata/sf0.01").collect()}
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
+    assert len(rows) == 1000
+    for key, r in rows.items():
+        assert r.held_out == (zlib.crc32(str(key).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+    apart = [(rows[r.doc_id].predicted, r.quality) for r in labels if rows[r.doc_id].held_out]
+    assert np.mean([p == q for p, q in apart]) >= 0.95
+    assert np.mean([p for p, q in apart if q == 1]) >= 0.97
+
+
+def test_edge_rows(spark, edge_docs, edge_rows):
+    rows = [(i, int(i % 2 == 0)) for i in range(1, 17)] + [(None, 1), (3, None), (99, 0)]
+    labels = spark.createDataFrame(rows, "doc_id bigint, quality int")
+    got = score_documents(edge_docs, labels)
+    assert got.count() == len(edge_rows)
+    assert all(0 <= r.score <= 1 for r in got.collect())
+    out = accepted(edge_docs, labels)
+    assert out.columns == edge_docs.columns
+    assert out.count() == got.filter("predicted = 1").count()
+
+
+def test_empty_and_one_sided(spark, no_docs, edge_docs):
+    none = spark.createDataFrame([], "doc_id bigint, quality int")
+    assert score_documents(no_docs, none).collect() == []
+    assert {r.score for r in score_documents(edge_docs, none).collect()} == {0.5}
+    ones = spark.createDataFrame([(i, 1) for i in range(20)], "doc_id bigint, quality int")
+    assert all(r.predicted == 1 for r in score_documents(edge_docs, ones).collect())
+
+
+def test_features_need_text_only():
+    lines = quality.lines_of(b"First line here.\n\n  \nA | b | c 12\n")
+    rows = quality.line_features(lines)
+    assert rows.shape == (2, quality.N_FEATURES) and np.isfinite(rows).all()
