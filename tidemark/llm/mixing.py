@@ -18,7 +18,7 @@ from __future__ import annotations
 import functools
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidemark.llm.common import documents, free_name, land, raw_text
 
@@ -26,7 +26,7 @@ HASH_BITS = 52
 WEIGHTS = (5.0, 2.0, 1.0)
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def word_count(texts: pd.Series) -> pd.Series:
     # bytes.split() cuts at blank and \t..\r, the white space of the definition.
     return texts.map(lambda t: len(t.split())).astype("int64")

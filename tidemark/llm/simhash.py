@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.llm.common import documents, free_name, land, one_of_each, raw_text
 from tidemark.llm.graph import Forest, components, link_rows
@@ -61,7 +61,7 @@ def fingerprint(text: bytes, width: int = 3) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big", signed=True)
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def fingerprints(texts: pd.Series) -> pd.Series:
     return texts.map(fingerprint).astype("int64")
 
@@ -71,7 +71,7 @@ def population(prints: np.ndarray) -> np.ndarray:
     return np.bitwise_count(np.ascontiguousarray(prints).view(np.uint16).reshape(-1, QUARTERS)).astype(np.int32)
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def quarter_counts(prints: pd.Series) -> pd.Series:
     return pd.Series(list(population(prints.to_numpy(np.int64))))
 
