@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import land
 
-__all__ = ["documents", "free_name", "land", "one_of_each", "raw_text", "slices", "table", "text_crc"]
+__all__ = ["documents", "free_name", "land", "long_array", "one_of_each", "raw_text", "remainder", "slices", "sorted_place", "table", "text_crc"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,25 @@ def remainder(key: str, modulus: int) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % modulus
 
 
+def long_array(values) -> Column:
+    """A constant array, folded to a literal before the plan runs."""
+    if not values:
+        return F.array().cast("array<bigint>")
+    return F.split(F.lit(",".join(str(int(v)) for v in values)), ",").cast("array<bigint>")
+
+
+def sorted_place(cuts, value: Column) -> Column:
+    """How many of the sorted cuts lie below the value: a binary search; 0 for null."""
+    bounds = long_array(cuts)
+    steps = long_array([1 << i for i in reversed(range(max(len(cuts), 1).bit_length()))])
+
+    def advance(at: Column, step: Column) -> Column:
+        below = F.get(bounds, (at + step - 1).cast("int")) < value
+        return F.when((at + step <= F.size(bounds)) & below, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0).cast("bigint"), advance)
+
+
 def slices(batch: pa.RecordBatch, column: str, budget: int) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of consecutive values of at most ``budget`` bytes, and where each begins.
 

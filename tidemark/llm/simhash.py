@@ -23,10 +23,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.llm.common import documents, free_name, land, one_of_each, raw_text
+from tidemark.llm.common import documents, free_name, land, one_of_each, raw_text, sorted_place
 from tidemark.llm.graph import Forest, components, link_rows
 
 SEED = 42
@@ -71,69 +70,80 @@ def population(prints: np.ndarray) -> np.ndarray:
     return np.bitwise_count(np.ascontiguousarray(prints).view(np.uint16).reshape(-1, QUARTERS)).astype(np.int32)
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def quarter_counts(prints: pd.Series) -> pd.Series:
-    return pd.Series(list(population(prints.to_numpy(np.int64))))
-
-
 TILES = "tile bigint, low array<int>, high array<int>, prints binary, docs binary"
 
 
 def tiler(size: int):
-    """Tasks: ordered fingerprints to tiles of at most ``size``."""
-
-    def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        held = [np.empty(0, np.int64), np.empty(0, np.int64)]
-        for batch in batches:
-            new = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("print", "doc")]
-            held = [np.concatenate(pair) for pair in zip(held, new)]
-            while len(held[0]) >= size:
-                yield packed(number, *(h[:size] for h in held))
-                number, held = number + 1, [h[size:] for h in held]
-        if len(held[0]):
-            yield packed(number, *held)
-
-    def packed(number: int, prints: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
-        counts = population(prints)
-        row = [number, counts.min(axis=0).tolist(), counts.max(axis=0).tolist(), prints.tobytes(), docs.tobytes()]
+    """One range of the order to tiles of at most ``size``, numbered within it."""
+
+    def tile(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("order", "ascending"), ("print", "ascending")])
+        at = group.column("range")[0].as_py() << 32
+        prints, docs = (group.column(c).to_numpy() for c in ("print", "doc"))
+        rows = []
+        for k, begin in enumerate(range(0, len(prints), size)):
+            part = prints[begin : begin + size]
+            counts = population(part)
+            low, high = counts.min(axis=0).tolist(), counts.max(axis=0).tolist()
+            rows.append((at + k, low, high, part.tobytes(), docs[begin : begin + size].tobytes()))
         kinds = [pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
-        names = ["tile", "low", "high", "prints", "docs"]
-        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
+        return pa.Table.from_arrays(
+            [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["tile", "low", "high", "prints", "docs"]
+        )
 
     return tile
 
 
+def order_key(prints: np.ndarray) -> np.ndarray:
+    """Total population count, then those of the quarters, then leading bits, as one integer."""
+    counts = population(prints).astype(np.int64)
+    key = counts.sum(axis=1)
+    for quarter in range(QUARTERS):
+        key = key << 5 | counts[:, quarter]
+    return key << 36 | (prints.view(np.uint64) >> np.uint64(28)).astype(np.int64)
+
+
+@F.pandas_udf(T.LongType())
+def ordered(prints: pd.Series) -> pd.Series:
+    return pd.Series(order_key(np.ascontiguousarray(prints.to_numpy(np.int64))))
+
+
+def make_tiles(prints: DataFrame, size: int) -> DataFrame:
+    """Tiles of ``print, doc`` rows: the order is cut at quantiles, about ``size`` rows apart.
+
+    A range that the quantiles, which are approximate, leave larger becomes
+    several tiles.
+    """
+    rows = land(prints.withColumn("order", ordered("print")), "ordered-prints")
+    n = max(1, -(-rows.count() // size))
+    marks = [i / n for i in range(1, n)]
+    cuts = rows.agg(F.percentile_approx("order", marks, 20 * n)).first()[0] if marks else []
+    found = sorted_place(sorted(set(cuts or [])), F.col("order"))
+    return land(rows.withColumn("range", found).groupBy("range").applyInArrow(tiler(size), TILES), "tiles")
+
+
 def tile_pairs(tiles: DataFrame, radius: int) -> DataFrame:
     """``one, other`` (one <= other) of the tiles whose population counts come within the radius.
 
-    The pairs meet on the total count, of which there are 65 values; the
-    quarters then rule out most of them.
+    The pairs meet on the lowest total count that both can have, give or take
+    the radius; the quarters then rule out most of them.
     """
-    total = {c: F.aggregate(c, F.lit(0), lambda x, y: x + y) for c in ("low", "high")}
-    spans = tiles.select("tile", "low", "high", F.sequence(total["low"], total["high"]).alias("counts"))
-    one = spans.select(
-        F.col("tile").alias("one"),
-        F.col("low").alias("low1"),
-        F.col("high").alias("high1"),
-        F.explode("counts").alias("count"),
-    )
-    near = F.sequence(F.lit(-radius), F.lit(radius))
-    reach = F.array_distinct(F.flatten(F.transform("counts", lambda c: F.transform(near, lambda d: c + d))))
-    other = spans.select(
-        F.col("tile").alias("other"),
-        F.col("low").alias("low2"),
-        F.col("high").alias("high2"),
-        F.explode(reach).alias("count"),
-    )
+    low, high = (F.aggregate(c, F.lit(0), lambda x, y: x + y) for c in ("low", "high"))
+    spans = tiles.select("tile", "low", "high", low.alias("least"), high.alias("most"))
+
+    def side(name: str, k: int, counts) -> DataFrame:
+        columns = [F.col(c).alias(f"{c}{k}") for c in ("low", "high", "least")]
+        return spans.select(F.col("tile").alias(name), *columns, F.explode(counts).alias("count"))
+
+    one = side("one", 1, F.sequence("least", "most"))
+    other = side("other", 2, F.sequence(F.col("least") - radius, F.col("most") + radius))
     gaps = [
-        F.greatest(
-            F.col("low1")[q] - F.col("high2")[q], F.col("low2")[q] - F.col("high1")[q], F.lit(0)
-        )
+        F.greatest(F.col("low1")[q] - F.col("high2")[q], F.col("low2")[q] - F.col("high1")[q], F.lit(0))
         for q in range(QUARTERS)
     ]
-    met = one.join(other, "count").filter((F.col("one") <= F.col("other")) & (sum(gaps[1:], gaps[0]) <= radius))
-    return met.select("one", "other").distinct()
+    first = F.col("count") == F.greatest(F.col("least1"), F.col("least2") - radius)
+    near = sum(gaps[1:], gaps[0]) <= radius
+    return one.join(other, "count").filter(first & (F.col("one") <= F.col("other")) & near).select("one", "other")
 
 
 def compare(one: np.ndarray, other: np.ndarray, radius: int, same: bool, rows: int = 256) -> Forest:
@@ -168,12 +178,7 @@ def comparer(radius: int):
 def near_groups(prints: DataFrame, radius: int = 2, tile_size: int = 4096) -> DataFrame:
     """``print, component`` of every distinct fingerprint of ``doc, print`` rows."""
     distinct = land(prints.groupBy("print").agg(F.min("doc").alias("doc")), "fingerprints")
-    n = max(1, -(-distinct.count() // tile_size))
-    ordered = distinct.withColumn("counts", quarter_counts("print"))
-    ordered = land(ordered.withColumn("total", F.aggregate("counts", F.lit(0), lambda x, y: x + y)), "fingerprint-counts")
-    order = ["total", "counts", "print"]
-    tiles = ordered.repartitionByRange(n, *order).sortWithinPartitions(*order).select("print", "doc")
-    tiles = land(tiles.mapInArrow(tiler(tile_size), TILES), "tiles")
+    tiles = make_tiles(distinct, tile_size)
     pairs = land(tile_pairs(tiles.select("tile", "low", "high"), radius), "tile-pairs")
     sides = [
         tiles.select(F.col("tile").alias(key), F.col("prints").alias(f"prints{k}"), F.col("docs").alias(f"docs{k}"))
