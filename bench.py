@@ -17,7 +17,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidemark.plans.catalog import QUERIES  # noqa: E402
-from tidemark.session import build_session  # noqa: E402
+from tidemark.session import build_session, cleanup  # noqa: E402
 
 HEADLINE = (
     "text_clean",
@@ -59,6 +59,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
+            "spark.tidemark.inputTasks": cpus,
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": cpus,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
@@ -85,6 +87,7 @@ def main() -> None:
             }
         )
     )
+    cleanup(spark)
     spark.stop()
 
 

@@ -9,7 +9,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tests"))
 
-from tidemark.session import build_session  # noqa: E402
+from tidemark.session import build_session, cleanup  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,10 +19,12 @@ def spark():
         master="local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    cleanup(session)
     session.stop()

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,10 +16,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.special import chi2_tail
 from tidemark.operators import chi2, terms
-from tidemark.plans.training import Spec, selected_features
+from tidemark.plans.training import Spec, select_features
 from tidemark.schemas import WORDS
 from tidemark.session import land
 
+ROOT = Path(__file__).resolve().parent.parent
+
 
 @pytest.fixture(scope="module")
 def rows(spark):
@@ -87,16 +93,41 @@ def test_selection_does_not_depend_on_partitions(spark):
     train = docs.join(labels, "doc_id").select(F.col("text").alias("tweet"), F.col("quality").alias("target"))
     spec = Spec(vocab_size=300, top_features=120)
     results = [
-        sorted(tuple(r) for r in selected_features(train.repartition(parts), spec)[0].collect()) for parts in (1, 5)
+        sorted(tuple(r) for r in select_features(train.repartition(parts), spec).chosen.collect()) for parts in (1, 5)
     ]
     assert results[0] == results[1] and len(results[0]) == 120
 
 
-def test_tail_known_values():
-    x = np.array([3.841458820694124, 18.307038053275146, 0.0, 124.34211340400407, 1e6, 0.5])
-    dof = np.array([1, 10, 3, 100, 4, 2])
-    p = chi2_tail(x, dof)
-    assert p[:2] == pytest.approx([0.05, 0.05], abs=1e-12)
-    assert p[2] == 1.0 and p[3] == pytest.approx(0.05, abs=1e-12) and p[4] == 0.0
-    assert p[5] == pytest.approx(np.exp(-0.25), abs=1e-14)
-    assert chi2_tail(np.array([5.0]), np.array([0]))[0] == 1.0
+def test_tail_known_values(spark):
+    cases = [(3.841458820694124, 1, 0.05), (18.307038053275146, 10, 0.05), (0.0, 3, 1.0), (124.34211340400407, 100, 0.05)]
+    cases += [(1e6, 4, 0.0), (0.5, 2, float(np.exp(-0.25))), (5.0, 0, 1.0), (900.0, 1000, 0.9890), (1e9, 10**6, 0.0)]
+    rows = spark.createDataFrame(cases, "x double, dof bigint, p double").withColumn("tail", chi2_tail("x", "dof"))
+    for r in rows.collect():
+        assert r.tail == pytest.approx(r.p, abs=1e-3 if r.dof == 1000 else 1e-12)
+
+
+def test_many_labels_and_copies_of_tables(spark):
+    """Cells are rows: a thousand labels need no thousand columns; equal tables tie."""
+    rows = [(i, str(i % 1000), ["x", "y"] if i % 3 else ["z"]) for i in range(3000)]
+    posts = spark.createDataFrame(rows, f"doc_id long, label string, {WORDS} array<string>")
+    vocab = land(terms.weighted_vocabulary(posts, 1, 10, 3000, 1), "vocab")
+    stats = chi2.chi2_stats(terms.known_terms(posts, vocab, 1, ("label",)), chi2.label_totals(posts))
+    got = {r.feature: r for r in stats.collect()}
+    table = np.array([[sum(i % 1000 == k and bool(i % 3) == side for i in range(k, 3000, 1000)) for k in range(1000)] for side in (True, False)])
+    expected = table.sum(1, keepdims=True) * table.sum(0) / 3000
+    assert got[0].statistic == got[1].statistic == pytest.approx(((table - expected) ** 2 / expected).sum(), abs=1e-6)
+    assert got[0].dof == 999
+
+
+def test_selection_runs_from_another_folder(tmp_path):
+    """Workers need no path to this repository."""
+    script = (
+        f"import sys; sys.path.insert(0, {str(ROOT)!r});"
+        "from tidemark.session import build_session; from tidemark.plans.catalog import chi2_stats;"
+        "s = build_session(master='local[2]', **{'spark.ui.enabled': 'false', 'spark.sql.shuffle.partitions': '2',"
+        "'spark.sql.adaptive.coalescePartitions.initialPartitionNum': '2'});"
+        "print('rows', chi2_stats(s, '/root/testdata/sf0.001').count())"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in done.stdout, done.stderr[-2000:]

@@ -13,7 +13,8 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from tidemark.operators import evaluate, labels, split
-from tidemark.session import CHECKPOINT_CONF, local_table, ping, shared_dir, spread
+from tidemark.session import CHECKPOINT_CONF, INPUT_TASKS_CONF, local_table, shared_dir
+from tidemark.sources.tables import dealt
 from tidemark.sources.readers import read_labelled_csv
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -83,9 +84,6 @@ def test_samples(spark):
     assert 2_200 < half.join(other, "doc_id").count() < 2_800
     assert split.hash_sample(ids, "doc_id", 0.0, 1).count() == 0
     assert split.hash_sample(ids, "doc_id", 1.0, 1).count() == 10_000
-    train, test = split.random_split(ids)
-    assert train.count() + test.count() == 10_000
-    assert 800 < split.random_sample(ids, 0.1, 43).count() < 1_200
 
 
 def test_metrics_fixture(spark):
@@ -129,21 +127,40 @@ def test_confusion_matrix_is_dense_over_the_label_set(spark):
 
 
 def test_session_helpers(spark):
-    assert [tuple(r) for r in ping(spark).collect()] == [(1,)]
-    small = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    assert spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    huge = spark.range(10**12)
-    assert spread(huge) is huge
+    rows = spark.range(10)
+    assert dealt(rows) is rows
+    spark.conf.set(INPUT_TASKS_CONF, "3")
+    try:
+        assert dealt(rows).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(INPUT_TASKS_CONF)
     assert shared_dir(spark) == shared_dir(spark)
 
 
+def test_local_tables_have_their_size(spark):
+    """Catalyst knows the size, so a long table is not broadcast."""
+    table = local_table(spark, [(i, "x") for i in range(400_000)], ("k", "v"))
+    plan = spark.range(10**7).join(table, F.col("id") == F.col("k"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    few = local_table(spark, [(1, "x")], ("k", "v"))
+    assert "BroadcastHashJoin" in spark.range(10**7).join(few, F.col("id") == F.col("k"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_too_many_classes_are_refused(spark):
+    counts = evaluate.confusion_counts(spark.range(30).selectExpr("double(id) as label", "double(id) as prediction"))
+    with pytest.raises(ValueError, match="most_classes"):
+        evaluate.confusion_matrix(counts, most_classes=20)
+
+
 def test_shared_dir_is_the_configured_one():
     """In a process of its own, because the setting is fixed per context."""
     script = (
-        "from tidemark.session import build_session, fresh_path, land;"
+        "from tidemark.session import build_session, cleanup, fresh_path, land, run_dir;"
         f"s = build_session(master='local[1]', **{{'{CHECKPOINT_CONF}': '/tmp/named-by-the-cluster/'}});"
         "print('at', fresh_path(s, 'x'));"
-        "print('rows', land(s.range(3), 'y').count())"
+        "t = land(s.range(3), 'y'); print('rows', t.count()); cleanup(s);"
+        "import pathlib; print('left', pathlib.Path(run_dir(s)).exists())"
     )
     done = subprocess.run([sys.executable, "-c", script], cwd=ROOT, capture_output=True, text=True, timeout=120)
-    assert "at /tmp/named-by-the-cluster/tidemark/x-" in done.stdout and "rows 3" in done.stdout
+    assert "at /tmp/named-by-the-cluster/tidemark-" in done.stdout
+    assert "rows 3" in done.stdout and "left False" in done.stdout

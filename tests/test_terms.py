@@ -81,38 +81,37 @@ def test_one_term_holding_most_occurrences(spark):
         .otherwise(F.array(F.concat(F.lit("t"), "id")))
         .alias(WORDS),
     )
-    stats = {r.term: (r.total, r.df) for r in terms.corpus_stats(rows, 1).collect()}
-    assert stats["hot"] == (10_000, 200) and len(stats) == 101
+    totals = {r.term: r.total for r in terms.corpus_totals(rows, 1).collect()}
+    counts = {r.term: r.df for r in terms.doc_freq(rows, 1).collect()}
+    assert (totals["hot"], counts["hot"]) == (10_000, 200) and len(totals) == len(counts) == 101
 
 
-@pytest.mark.parametrize("buckets, size", [(8, 5), (256, 40), (2**22, 3000)])
-def test_two_pass_vocabulary_is_exact(spark, monkeypatch, buckets, size):
-    """Same top, ties included, whether the first floor holds or a third pass runs."""
+@pytest.mark.parametrize("size", [1, 5, 40, 3000, 10**6])
+def test_top_terms_equal_a_full_sort(spark, size):
+    """Few ties, many ties at the border, and more places than terms."""
     words = terms.with_words(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).select("doc_id", WORDS)
-    expected = sorted(map(tuple, terms.weighted_vocabulary(words, 2, size, 200, 5).collect()))
-    totals = sorted(map(tuple, terms.vocabulary(words, 2, size).collect()))
-    monkeypatch.setattr(terms, "BUCKETS", buckets)
-    monkeypatch.setattr(terms, "TWO_PASS_BYTES", 0)
-    assert sorted(map(tuple, terms.weighted_vocabulary(words, 2, size, 200, 5).collect())) == expected
-    assert sorted(map(tuple, terms.vocabulary(words, 2, size).collect())) == totals
+    totals = land(terms.corpus_totals(words, 1, 2), "totals")
+    rows = sorted(totals.collect(), key=lambda r: (r.n, -r.total, r.term))
+    expected = []
+    for n in (1, 2):
+        own = [r for r in rows if r.n == n][:size]
+        expected += [(n, r.term, r.total, i) for i, r in enumerate(own)]
+    assert sorted(map(tuple, terms.top_terms(totals, [1, 2], size).collect())) == sorted(expected)
 
 
-def test_third_pass_runs_when_the_floor_is_too_high(spark, monkeypatch):
-    words = terms.with_words(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).select("doc_id", WORDS)
-    passes = []
-    counted = terms._per_term
-    monkeypatch.setattr(terms, "BUCKETS", 256)
-    monkeypatch.setattr(terms, "_per_term", lambda counts: passes.append(1) or counted(counts))
-    terms.candidate_stats(words, [1, 2], 40)
-    assert len(passes) == 2
+def test_ties_are_cut_without_ordering_them_all(spark):
+    totals = land(spark.range(5000).selectExpr("1 as n", "concat('t', lpad(id, 6, '0')) as term", "if(id < 10, 9, 1) as total"), "ties")
+    passing = totals.filter(terms.top_of(totals, 50))
+    assert 50 <= passing.count() <= 100
+    assert [r.term for r in terms.top_terms(totals, [1], 50).orderBy("idx").collect()] == [f"t{i:06d}" for i in range(50)]
 
 
-def test_two_pass_vocabulary_counts_fewer_terms(spark):
-    words = terms.with_words(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).select("doc_id", WORDS)
-    found = terms.candidate_stats(words, [2], 500)
-    assert found.count() < 0.1 * terms.corpus_stats(words, 2).count()
-    ours = sorted(map(tuple, terms.top_terms(found.drop("n"), 500).collect()))
-    assert ours == sorted(map(tuple, terms.top_terms(terms.corpus_stats(words, 2), 500).collect()))
+def test_text_is_cleaned_once(spark):
+    """The vocabulary reads landed words: its plan holds no cleaning."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    words = land(terms.with_words(docs).select("doc_id", WORDS), "words")
+    plan = terms.weighted_vocabulary(words, 3, 100, 200, 5)._jdf.queryExecution().toString()
+    assert "[^a-z" not in plan
 
 
 def test_sizes_of_terms(spark):
@@ -124,20 +123,32 @@ def test_sizes_of_terms(spark):
 
 
 def test_linear_score_equals_dot_product(spark, docs):
+    docs = land(docs, "docs")
     vocab = land(terms.weighted_vocabulary(docs, 2, 100, 4, 1), "vocab")
-    weights = vocab.select("feature", (F.col("feature") * 0.01 - 0.3).alias("coefficient"))
-    rows = terms.tfidf(docs, vocab, 2)
+    weights = land(vocab.select("feature", (F.col("feature") * 0.01 - 0.3).alias("coefficient")), "weights")
     coef = {r.feature: r.coefficient for r in weights.collect()}
     expected = Counter()
-    for r in rows.collect():
+    for r in terms.tfidf(docs, vocab, 2).collect():
         expected[r.doc_id] += r.tfidf * coef[r.feature]
-    for r in terms.linear_score(rows, weights, intercept=0.2).collect():
+    rows = terms.linear_score(docs, vocab, weights, 2, intercept=0.2).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
         margin = expected[r.doc_id] + 0.2
         assert r.margin == pytest.approx(margin)
         assert r.probability == pytest.approx(1 / (1 + math.exp(-margin)))
         assert r.prediction == float(r.probability > 0.5)
 
 
+def test_linear_score_keeps_every_post(spark):
+    """Empty posts, posts of unknown words and two posts of one id all get a row."""
+    rows = [(1, ["a", "b"]), (1, ["a", "b"]), (2, []), (3, ["unknown"]), (None, ["b"])]
+    posts = land(spark.createDataFrame(rows, f"doc_id long, {WORDS} array<string>"), "posts")
+    vocab = spark.createDataFrame([(1, "a", 0, 1.0), (1, "b", 1, 1.0)], "n int, term string, feature long, idf double")
+    weights = spark.createDataFrame([(0, 2.0), (1, -0.5)], "feature long, coefficient double")
+    got = [(r.doc_id, r.margin) for r in terms.linear_score(posts, vocab, weights, 1, intercept=0.1).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1.6), (1, 1.6), (2, 0.1), (3, 0.1), (None, -0.4)], key=str)
+
+
 def test_counting_needs_no_shuffle(docs):
     plan = terms.term_counts(docs, 2)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan

@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import (
+    IDF,
+    ChiSqSelector,
+    CountVectorizer,
+    NGram,
+    StringIndexer,
+    StringIndexerModel,
+    Tokenizer,
+    VectorAssembler,
+)
 from pyspark.ml.functions import vector_to_array
 
-from tidemark.operators.labels import fitted_labels, split_usable
+from tidemark.operators.labels import split_usable
 from tidemark.plans import training
 from tidemark.plans.training import Spec
+from tidemark.schemas import CLEANED
 from tidemark.session import fresh_path
 from tidemark.sources.tables import labelled
 from tidemark.sources.writers import load_model, save_model
@@ -37,32 +50,44 @@ def toy_model(toy):
     return training.fit(toy, TOY)
 
 
-def test_declared_stages(spark):
-    stages = training.declared_pipeline().getStages()
-    names = [type(s).__name__ for s in stages]
-    assert names == (
-        ["SQLTransformer", "Tokenizer"]
-        + ["NGram"] * 3
-        + ["CountVectorizer"] * 3
-        + ["IDF"] * 3
-        + ["VectorAssembler", "StringIndexer", "ChiSqSelector", "LogisticRegression"]
+def plain_pipeline(spec):
+    """The job as plain ML stages, for comparison: the parameters are the fixed ones of Spec."""
+    numbers = (1, 2, 3)
+    return Pipeline(
+        stages=[
+            training.cleaner(spec),
+            Tokenizer(inputCol=CLEANED, outputCol="tokens"),
+            *[NGram(n=n, inputCol="tokens", outputCol=f"grams{n}") for n in numbers],
+            *[CountVectorizer(vocabSize=spec.vocab_size, inputCol=f"grams{n}", outputCol=f"counts{n}") for n in numbers],
+            *[IDF(minDocFreq=spec.min_doc_freq, inputCol=f"counts{n}", outputCol=f"weights{n}") for n in numbers],
+            VectorAssembler(inputCols=[f"weights{n}" for n in numbers], outputCol="everything"),
+            StringIndexer(inputCol=spec.target, outputCol="label", stringOrderType="alphabetAsc"),
+            ChiSqSelector(
+                numTopFeatures=spec.top_features, featuresCol="everything", labelCol="label", outputCol="features"
+            ),
+            training.solver(spec),
+        ]
     )
-    listed = training.describe_stages(spark, stages).orderBy("position").collect()
-    assert [r.stage for r in listed] == names
-    assert (listed[1].inputs, listed[1].output) == ("cleaned_text_for_tokenizer", "words")
-    assert listed[11].inputs == "1_tfidf,2_tfidf,3_tfidf" and listed[11].output == "rawFeatures"
-    assert [s.getN() for s in stages[2:5]] == [1, 2, 3]
-    assert {s.getVocabSize() for s in stages[5:8]} == {16384}
-    assert {s.getMinDocFreq() for s in stages[8:11]} == {5}
-    assert stages[12].getStringOrderType() == "alphabetAsc"
-    assert stages[13].getNumTopFeatures() == 16384
-    solver = stages[14]
+
+
+def test_default_parameters():
+    spec = Spec()
+    assert (spec.max_n, spec.vocab_size, spec.min_doc_freq, spec.top_features) == (3, 16384, 5, 16384)
+    solver = training.solver(spec)
     assert (solver.getRegParam(), solver.getElasticNetParam(), solver.getMaxIter()) == (0.1, 0.0, 1000)
 
 
-def test_fit_equals_declared_pipeline(toy, toy_model):
+def test_stages_tell_what_they_hold(spark, toy, toy_model):
+    listed = training.describe_stages(spark, toy_model.stages).orderBy("position").collect()
+    assert [r.stage for r in listed][:5] == ["SQLTransformer", "Tokenizer", "NGram", "CountVectorizerModel", "ElementwiseProduct"]
+    assert listed[-1].stage == "LogisticRegressionModel"
+    kept = sum(r["size"] for r in listed if r.stage == "CountVectorizerModel")
+    assert listed[-1]["size"] == kept and listed[-2]["size"] == 2
+
+
+def test_fit_equals_plain_pipeline(toy, toy_model):
     """Same probabilities as the plain ML pipeline when no vocabulary is cut."""
-    plain = training.declared_pipeline(TOY).fit(toy)
+    plain = plain_pipeline(TOY).fit(toy)
     p = vector_to_array("probability").getItem(1)
     ours = {r.doc_id: r.p for r in toy_model.transform(toy).select("doc_id", p.alias("p")).collect()}
     theirs = {r.doc_id: r.p for r in plain.transform(toy).select("doc_id", p.alias("p")).collect()}
@@ -99,15 +124,39 @@ def test_save_and_load(spark, toy, toy_model):
     assert before == after
 
 
-def test_label_dictionary_of_a_model(spark, toy_model):
-    rows = [tuple(r) for r in fitted_labels(spark, toy_model).collect()]
-    assert rows == [("0", 0.0, "Negative", "Negative (0)"), ("4", 1.0, "Positive", "Positive (4)")]
-    with pytest.raises(ValueError):
-        fitted_labels(spark, toy_model, "other")
+def test_label_dictionary_of_a_fit(spark, toy, toy_model):
+    labels = training.select_features(toy, TOY).labels
+    rows = [tuple(r) for r in training.describe_fitted_labels(spark, labels).collect()]
+    assert rows == [("0", 0.0, 32, "Negative", "Negative (0)"), ("4", 1.0, 32, "Positive", "Positive (4)")]
     index = [s for s in toy_model.stages if isinstance(s, StringIndexerModel)]
     assert index[0].labels == ["0", "4"]
 
 
+def test_full_output_holds_all_term_vectors(toy, toy_model):
+    """The same predictions, and the vectors of the whole vocabulary next to them."""
+    spec = replace(TOY, top_features=12, full=True)
+    full, compact = training.fit(toy, spec), training.fit(toy, replace(TOY, top_features=12))
+    out = full.transform(toy)
+    row = out.first()
+    assert row.rawFeatures.size == row["1_tfidf"].size + row["2_tfidf"].size + row["3_tfidf"].size > row.features.size == 12
+    ours = sorted((r.doc_id, r.probability.toArray().tolist()) for r in out.collect())
+    theirs = sorted((r.doc_id, r.probability.toArray().tolist()) for r in compact.transform(toy).collect())
+    assert [k for k, _ in ours] == [k for k, _ in theirs]
+    assert np.allclose([p for _, p in ours], [p for _, p in theirs], atol=1e-6)
+
+
+def test_gradient_in_long_form(train):
+    """Near 0 at the solution, and not elsewhere."""
+    spec = Spec(vocab_size=150, top_features=200)
+    selection = training.select_features(train, spec)
+    model = training.fit_selected(train, selection, spec)
+    rows = {r.n: r for r in training.gradient(train, model, selection, spec).collect()}
+    assert sum(r.features for r in rows.values()) == 200
+    assert all(r.largest < 2e-3 for r in rows.values())
+    early = training.fit_selected(train, selection, replace(spec, max_iter=1))
+    assert max(r.largest for r in training.gradient(train, early, selection, spec).collect()) > 2e-3
+
+
 def test_unseen_label_is_an_error(spark, toy_model):
     rows = spark.createDataFrame([(9, "love")], "target int, tweet string")
     with pytest.raises(Exception, match="9"):
@@ -130,12 +179,12 @@ def test_nothing_to_train_on_is_an_error(spark, toy):
 def test_selected_vectors_equal_selection_of_full_vectors(spark, train):
     """The compact stages give the vectors of all features, cut to the selected."""
     spec = Spec(vocab_size=250, top_features=90)
-    everything, labels = training.selected_features(train, Spec(vocab_size=250, top_features=750))
-    chosen, _ = training.selected_features(train, spec)
-    full_stages = training.feature_stages(everything, list(labels), spec)
-    cut_stages = training.feature_stages(chosen, list(labels), spec)
-    order = [r.feature for r in everything.orderBy("feature").collect()]
-    keep = sorted(order.index(r.feature) for r in chosen.collect())
+    everything = training.select_features(train, Spec(vocab_size=250, top_features=750))
+    cut = training.select_features(train, spec)
+    full_stages = training.feature_stages(everything, spec)
+    cut_stages = training.feature_stages(cut, spec)
+    order = [r.feature for r in everything.chosen.orderBy("feature").collect()]
+    keep = sorted(order.index(r.feature) for r in cut.chosen.collect())
     assert len(keep) == 90
 
     def vectors(stages):
@@ -163,9 +212,3 @@ def test_solution_is_optimal(train):
     assert np.abs(gradient).max() < 2e-3
     assert abs(error.mean()) < 1e-3
     assert np.all(w[~used] == 0)
-
-
-def test_small_training_sets_use_few_solver_tasks(spark, toy):
-    vectors = toy.repartition(8).select("target")
-    assert training._solver_input(vectors, 64).rdd.getNumPartitions() == 1
-    assert training._solver_input(vectors, 10**9) is vectors

@@ -1,79 +1,49 @@
-"""Upper tail of the chi-squared distribution, which Spark SQL lacks.
+"""Upper tail of the chi-squared distribution as a column expression.
 
-It is evaluated once per candidate feature, a number bounded by the
-vocabulary size, never per post.
+With a = dof / 2 and x = statistic / 2 the lower tail is the series
+``exp(a ln x - x - lnGamma(a + 1)) * (1 + x / (a + 1) + x^2 / ((a + 1)(a + 2)) + …)``.
+All its terms are positive. Where Chernoff's bound puts the upper tail below
+1e-18, it is 0 without summing; elsewhere x is near enough to a that the number
+of terms below has a bound, and the terms left out sum to less than 1e-18.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql import Column, functions as F
 
-_EPS = 1e-16
-_TINY = 1e-300
 
+def log_gamma_next(dof: Column) -> Column:
+    """``lnGamma(dof / 2 + 1)`` of a whole ``dof`` of at least 1: a sum of logarithms."""
+    odd = dof % 2
+    start = F.when(odd == 1, F.lit(math.log(math.sqrt(math.pi)))).otherwise(F.lit(0.0))
+    steps = F.sequence(F.lit(1).cast("bigint"), ((dof + odd) / 2).cast("bigint"))
+    return F.aggregate(steps, start, lambda total, i: total + F.log(i - odd / 2))
 
-def _lower_series(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Regularised lower incomplete gamma for x < a + 1."""
-    term = np.ones_like(x) / a
-    total = term.copy()
-    denom = a.copy()
-    while True:
-        denom += 1.0
-        term = term * x / denom
-        total += term
-        if not np.any(np.abs(term) > np.abs(total) * _EPS):
-            return total
 
-
-def _upper_fraction(a: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Continued fraction of the upper incomplete gamma for x >= a + 1."""
-    b = x + 1.0 - a
-    c = np.full_like(x, 1.0 / _TINY)
-    d = 1.0 / b
-    h = d.copy()
-    i = 0
-    while True:
-        i += 1
-        an = -i * (i - a)
-        b = b + 2.0
-        d = an * d + b
-        d = 1.0 / np.where(np.abs(d) < _TINY, _TINY, d)
-        c = b + an / c
-        c = np.where(np.abs(c) < _TINY, _TINY, c)
-        step = d * c
-        h = h * step
-        if not np.any(np.abs(step - 1.0) > 4e-16) or i > 100_000:
-            return h
-
-
-def chi2_tail(statistic: np.ndarray, dof: np.ndarray) -> np.ndarray:
+def chi2_tail(statistic: str | Column, dof: str | Column) -> Column:
     """P(X >= statistic); 1 where there is no degree of freedom.
 
-    The result has the absolute resolution of ``1 - cdf``: tails below about
-    1e-16 are 0 and therefore tie.
+    The result has the absolute resolution of ``1 - cdf``: smaller tails are 0
+    and therefore tie.
     """
-    x = np.asarray(statistic, dtype=float) / 2.0
-    a = np.asarray(dof, dtype=float) / 2.0
-    out = np.ones_like(x)
-    live = (a > 0) & (x > 0)
-    with np.errstate(under="ignore"):
-        log_gamma = np.array([math.lgamma(v) if v > 0 else 0.0 for v in a])
-        scale = np.exp(np.where(live, a * np.log(np.where(live, x, 1.0)) - x - log_gamma, 0.0))
-        low = live & (x < a + 1.0)
-        high = live & ~low
-        if low.any():
-            out[low] = 1.0 - scale[low] * _lower_series(a[low], x[low])
-        if high.any():
-            cdf = 1.0 - scale[high] * _upper_fraction(a[high], x[high])
-            out[high] = 1.0 - cdf
-    return np.clip(out, 0.0, 1.0)
-
-
-@F.pandas_udf(DoubleType())
-def chi2_p_value(statistic: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series(chi2_tail(statistic.to_numpy(float), dof.to_numpy(float)))
+    statistic = F.col(statistic) if isinstance(statistic, str) else statistic
+    dof = (F.col(dof) if isinstance(dof, str) else dof).cast("bigint")
+    x, a = statistic / 2, dof / 2
+    bound = a - x + a * F.log(x / a)
+    first = F.exp(a * F.log(x) - x - log_gamma_next(dof))
+    # From twice x on, each term is at most half of the one before.
+    many = F.sequence(F.lit(1).cast("bigint"), (2 * x + 64).cast("bigint"))
+    empty = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def add(state: Column, k: Column) -> Column:
+        term = state["term"] * x / (a + k)
+        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
+
+    series = F.aggregate(many, empty, add, lambda state: state["total"])
+    return (
+        F.when((dof <= 0) | (statistic <= 0), F.lit(1.0))
+        .when((x > a) & (bound < math.log(1e-18)), F.lit(0.0))
+        .otherwise(F.greatest(1 - first * series, F.lit(0.0)))
+    )

@@ -38,11 +38,6 @@ def strip_urls(text: str | Column) -> Column:
     return F.when(linked, F.regexp_replace(text, URL_PATTERN, "")).otherwise(text)
 
 
-def keep_letters(text: str | Column) -> Column:
-    """Delete everything but ASCII letters, newline and space, run by run."""
-    return F.regexp_replace(_col(text), NON_LETTER_PATTERN + "+", "")
-
-
 def clean_text(text: str | Column) -> Column:
     """Trim, lower, delete links, delete non-letters; null stays null."""
     return F.regexp_replace(strip_urls(normalize(text)), NON_LETTER_LOWERED, "")

@@ -13,14 +13,17 @@ def confusion_counts(scored: DataFrame) -> DataFrame:
     return scored.groupBy("label", "prediction").agg(F.count("*").alias("n"))
 
 
-def confusion_matrix(counts: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+def confusion_matrix(counts: DataFrame, labels: DataFrame | None = None, most_classes: int = 1000) -> DataFrame:
     """Every (label, prediction) pair of the label set, zeros included.
 
     ``labels`` has one column ``label``; without it the labels that occur are
-    used. The label set is the model's class list, so it is gathered into one
-    array that gives both axes.
+    used. The matrix has a cell for each pair, so a column with more than
+    ``most_classes`` distinct values is refused: it is no class label.
     """
-    known = labels if labels is not None else counts.select("label").distinct()
+    known = (labels if labels is not None else counts).select("label").distinct()
+    classes = known.count()
+    if classes > most_classes:
+        raise ValueError(f"{classes} distinct labels are more than most_classes = {most_classes}")
     axes = known.agg(F.sort_array(F.collect_set("label")).alias("axis"))
     grid = axes.select("axis", F.explode("axis").alias("label")).select(
         "label", F.explode("axis").alias("prediction")

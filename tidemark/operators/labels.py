@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.labels import NEGATIVE, POSITIVE, display_name, sentiment_name
-from tidemark.session import local_table
 
 
 def distinct_labels(rows: DataFrame, column: str = "label") -> DataFrame:
@@ -42,15 +39,6 @@ def describe_labels(index: DataFrame) -> DataFrame:
     ).orderBy("label_index")
 
 
-def fitted_labels(spark: SparkSession, model: PipelineModel, output: str = "label") -> DataFrame:
-    """The dictionary of the stage of a fitted model that writes ``output``."""
-    for stage in model.stages:
-        if isinstance(stage, StringIndexerModel) and stage.getOutputCol() == output:
-            rows = [(label, float(i)) for i, label in enumerate(stage.labels)]
-            return describe_labels(local_table(spark, rows, ("label", "label_index")))
-    raise ValueError(f"no label index with output column {output!r} in the model")
-
-
 def split_usable(rows: DataFrame, text: str, label: str) -> tuple[DataFrame, DataFrame]:
     """Rows with a text and a label, and the quarantine of all others."""
     usable = F.col(text).isNotNull() & F.col(label).isNotNull()

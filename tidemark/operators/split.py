@@ -47,17 +47,5 @@ def hash_sample(rows: DataFrame, key: str, share: float, seed: int) -> DataFrame
     return rows.filter(in_share(key, share, seed))
 
 
-def random_split(
-    rows: DataFrame, share: float = TRAIN_SHARE, seed: int = SPLIT_SEED
-) -> tuple[DataFrame, DataFrame]:
-    """Spark's own split; depends on the partitioning of ``rows``."""
-    train, test = rows.randomSplit([share, 1 - share], seed=seed)
-    return train, test
-
-
-def random_sample(rows: DataFrame, share: float, seed: int) -> DataFrame:
-    return rows.sample(withReplacement=False, fraction=share, seed=seed)
-
-
 def split_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("split").agg(F.count("*").alias("n"))

@@ -1,8 +1,8 @@
 """Term statistics and TF-IDF in long form.
 
-A post is one row, so its n-grams and its term counts are computed inside the
-row: the only shuffles are the per-term aggregations, which combine on the map
-side and therefore do not suffer from frequent terms.
+Corpus-wide statistics explode the n-grams of all sizes in one pass and combine
+on the map side, so frequent terms cost no more than others. Counts per post
+are computed inside the row, without a shuffle.
 """
 
 from __future__ import annotations
@@ -15,11 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.text import clean_text, ngrams, tokenize
 from tidemark.schemas import CLEANED, WORDS
-from tidemark.session import land, plan_bytes
-
-# Above this input size vocabularies are built in two passes (candidate_stats).
-TWO_PASS_BYTES = 8 * 1024**3
-BUCKETS = 2**22
+from tidemark.session import land
 
 
 def with_words(posts: DataFrame, text: str = "text") -> DataFrame:
@@ -73,97 +69,81 @@ def term_counts(posts: DataFrame, *sizes: int, keep: Sequence[str] = ("doc_id",)
     return marked.select(*keep, F.inline(runs))
 
 
-def _per_term(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
-
+def corpus_totals(posts: DataFrame, *sizes: int) -> DataFrame:
+    """``(n, term, total)``: corpus count of every n-gram, all sizes in one pass."""
+    totals = terms(posts, *sizes).groupBy("term").agg(F.count("*").alias("total"))
+    return totals.select(term_size("term").alias("n"), "term", "total")
 
-def corpus_stats(posts: DataFrame, *sizes: int) -> DataFrame:
-    """Total count and document frequency of every n-gram, in one pass."""
-    return _per_term(term_counts(posts, *sizes, keep=()))
 
+def doc_freq(posts: DataFrame, *sizes: int, known: DataFrame | None = None) -> DataFrame:
+    """``(term, df)``: number of posts that hold each n-gram, or each of the ``known`` ones.
 
-def _bucket(term: str) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).alias("bucket")
+    ``known`` should be landed: Spark broadcasts it if its files are small, and
+    then drops all other n-grams before anything is shuffled.
+    """
+    grams = posts.select(F.explode_outer(F.array_distinct(_grams(sizes))).alias("term"))
+    grams = grams.filter(F.col("term").isNotNull())
+    if known is not None:
+        grams = grams.join(known.select("term"), "term", "left_semi")
+    return grams.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def _totals_at(table: DataFrame, sizes: Sequence[int], rank: int) -> dict[int, int]:
-    """Per n, the ``rank``-th largest total, or 0 if there are fewer rows."""
-    parts = [
-        table.filter(F.col("n") == n)
-        .select("total")
-        .orderBy(F.desc("total"))
-        .limit(rank)
-        .agg(F.lit(n).alias("n"), F.min("total").alias("least"), F.count("*").alias("rows"))
-        for n in sizes
-    ]
-    found = reduce(DataFrame.unionByName, parts).collect()
-    return {r.n: r.least if r.rows == rank else 0 for r in found}
+def _first_over(counts: DataFrame, order: Column, wanted: int) -> tuple | None:
+    """The first ``key`` in order at which a running sum of ``rows`` reaches ``wanted``, and the sum before it.
 
+    ``counts`` is a histogram, with one row per distinct key.
+    """
+    running = F.sum("rows").over(Window.orderBy(order))
+    row = (
+        counts.withColumn("reached", running)
+        .filter(F.col("reached") >= wanted)
+        .orderBy("reached")
+        .select("key", (F.col("reached") - F.col("rows")).alias("before"))
+        .first()
+    )
+    return (row.key, row.before) if row else None
 
-def candidate_stats(posts: DataFrame, sizes: Sequence[int], size: int) -> DataFrame:
-    """``(n, term, total, df)``, landed, that surely holds the top ``size`` of each n.
 
-    Nearly all longer n-grams are rare, hardly combine on the map side and
-    would be shuffled only to lose against the cut. So occurrences of all sizes
-    are first counted per hash bucket, which bounds what a task can shuffle,
-    and only terms of buckets with at least a floor of occurrences are counted
-    by term, in a second pass.
+def top_of(totals: DataFrame, size: int) -> Column:
+    """A filter that passes the ``size`` rows of largest total, lower terms on ties.
 
-    A bucket's total is no less than that of any of its terms, so every term
-    with a total of ``floor`` or more is counted. If ``size`` terms get there,
-    the top is among them, ties included. If not, the ``size``-th total found is
-    a floor that ``size`` terms do reach, and one more pass with it is enough.
+    Nothing is sorted: a histogram of totals gives the total on which the rank
+    falls. The terms with that total are counted by ever longer prefixes, until
+    the prefix on which the rank falls holds at most ``size`` of them. Only
+    those go on to be ordered, so passing rows may be up to ``size`` too many.
     """
-    per_bucket = terms(posts, *sizes).groupBy(term_size("term").alias("n"), _bucket("term"))
-    buckets = land(per_bucket.agg(F.count("*").alias("total")), "buckets")
-
-    def counted(floors: dict[int, int]) -> DataFrame:
-        reach = reduce(or_, [(F.col("n") == n) & (F.col("total") >= low) for n, low in floors.items()])
-        # Landed, so that the size of the few buckets left decides on the join.
-        kept = land(buckets.filter(reach).select("n", "bucket"), "kept-buckets")
-        counts = term_counts(posts, *sizes, keep=()).withColumn("n", term_size("term"))
-        chosen = counts.withColumn("bucket", _bucket("term")).join(kept, ["n", "bucket"], "left_semi")
-        return land(_per_term(chosen).withColumn("n", term_size("term")), "candidates")
-
-    floors = _totals_at(buckets, sizes, 4 * size)
-    found = counted(floors)
-    reached = _totals_at(found, sizes, size)
-    if all(reached[n] >= floors[n] for n in sizes):
-        return found
-    return counted({n: min(reached[n], floors[n]) for n in sizes})
-
-
-def vocabulary_stats(posts: DataFrame, sizes: Sequence[int], size: int) -> dict[int, DataFrame]:
-    """Per n, statistics that hold its top ``size`` terms."""
-    if plan_bytes(posts) < TWO_PASS_BYTES:
-        return {n: corpus_stats(posts, n) for n in sizes}
-    found = candidate_stats(posts, sizes, size)
-    return {n: found.filter(F.col("n") == n).drop("n") for n in sizes}
-
-
-def top_terms(stats: DataFrame, size: int) -> DataFrame:
-    """The ``size`` most frequent terms with their 0-based index.
-
-    Ties break by term, so the result does not depend on partitioning. The top
-    is taken per partition first, so one task sees ``size`` rows from each.
+    found = _first_over(totals.groupBy(F.col("total").alias("key")).agg(F.count("*").alias("rows")), F.desc("key"), size)
+    if not found:
+        return F.lit(True)
+    total, before = found
+    ties, prefix, width = totals.filter(F.col("total") == total), "", 0
+    while ties.count() > size:
+        width += 2
+        heads = ties.groupBy(F.left("term", F.lit(width)).alias("key")).agg(F.count("*").alias("rows"))
+        prefix, skipped = _first_over(heads, F.asc("key"), size - before)
+        before += skipped
+        ties = ties.filter(F.left("term", F.lit(width)) == prefix)
+    head = F.left("term", F.lit(width)) <= prefix
+    return (F.col("total") > total) | ((F.col("total") == total) & head)
+
+
+def top_terms(totals: DataFrame, sizes: Sequence[int], size: int) -> DataFrame:
+    """``(n, term, total, idx)`` of the ``size`` most frequent terms of each n.
+
+    ``totals`` should be landed, it is read several times. ``idx`` counts from
+    0; ties break by term, so the result does not depend on partitioning. The
+    window sees at most twice ``size`` rows of each n.
     """
-    by_rank = [F.desc("total"), F.asc("term")]
-    top = stats.orderBy(*by_rank).limit(size)
-    return top.withColumn("idx", F.row_number().over(Window.orderBy(*by_rank)).cast("bigint") - 1)
+    passes = [(F.col("n") == n) & top_of(totals.filter(F.col("n") == n), size) for n in sizes]
+    by_rank = Window.partitionBy("n").orderBy(F.desc("total"), F.asc("term"))
+    ranked = totals.filter(reduce(or_, passes)).withColumn("idx", F.row_number().over(by_rank).cast("bigint") - 1)
+    return ranked.filter(F.col("idx") < size)
 
 
 def vocabulary(posts: DataFrame, n: int, size: int) -> DataFrame:
     """``(term, total, idx)``: top terms by total corpus count."""
-    if plan_bytes(posts) >= TWO_PASS_BYTES:
-        totals = candidate_stats(posts, [n], size).select("term", "total")
-    else:
-        totals = terms(posts, n).groupBy("term").agg(F.count("*").alias("total"))
-    return top_terms(totals, size)
-
-
-def doc_freq(posts: DataFrame, n: int) -> DataFrame:
-    """Number of posts that hold each n-gram."""
-    return corpus_stats(posts, n).select("term", "df")
+    totals = land(corpus_totals(posts, n), "totals")
+    return top_terms(totals, [n], size).select("term", "total", "idx")
 
 
 def idf(df: str | Column, n_docs: int | Column, min_doc_freq: int) -> Column:
@@ -180,22 +160,20 @@ def weighted_vocabulary(
     """``(n, idx, term, total, df, idf, feature)`` for n = 1..max_n.
 
     ``feature`` numbers the slots of the assembled vector: n-major blocks of
-    ``size`` slots each, in vocabulary order.
+    ``size`` slots each, in vocabulary order. Two passes over the words: one
+    for the totals, and one for the document frequencies of the top terms.
     """
-    stats = vocabulary_stats(posts, range(1, max_n + 1), size)
-    parts = [
-        top_terms(stats[n], size).select(
-            F.lit(n).alias("n"),
-            "idx",
-            "term",
-            "total",
-            "df",
-            idf("df", n_docs, min_doc_freq).alias("idf"),
-            (F.lit((n - 1) * size) + F.col("idx")).alias("feature"),
-        )
-        for n in stats
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    sizes = range(1, max_n + 1)
+    top = land(top_terms(land(corpus_totals(posts, *sizes), "totals"), sizes, size), "top-terms")
+    return top.join(doc_freq(posts, *sizes, known=top), "term").select(
+        "n",
+        "idx",
+        "term",
+        "total",
+        "df",
+        idf("df", n_docs, min_doc_freq).alias("idf"),
+        ((F.col("n") - 1).cast("bigint") * size + F.col("idx")).alias("feature"),
+    )
 
 
 def known_terms(
@@ -218,21 +196,27 @@ def tfidf(
 
 
 def linear_score(
-    features: DataFrame,
+    posts: DataFrame,
+    vocab: DataFrame,
     coefficients: DataFrame,
+    max_n: int,
     intercept: float = 0.0,
     threshold: float = 0.5,
     keep: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """Dot product, sigmoid and threshold from a coefficient table.
+    """``keep`` and margin, probability and prediction of every post.
 
-    ``features`` is the output of :func:`tfidf`; posts with no known feature
-    are not in it. A post's rows come from one row, so the map-side combine
-    leaves one row per post for the shuffle.
+    A post without a known feature has the intercept as its margin. Posts are
+    told apart by their place in ``posts``, which must be a landed table: two
+    posts with one id stay two rows. A post's features come from one row, so
+    the map-side combine leaves one row per post for the shuffle.
     """
-    margin = (F.sum(F.col("tfidf") * F.col("coefficient")) + F.lit(intercept)).alias("margin")
-    dots = features.join(coefficients, "feature").groupBy(*keep).agg(margin)
+    placed = posts.withColumn("_post", F.monotonically_increasing_id())
+    features = tfidf(placed, vocab, max_n, ("_post",)).join(coefficients, "feature")
+    dots = features.groupBy("_post").agg(F.sum(F.col("tfidf") * F.col("coefficient")).alias("_dot"))
+    margin = F.coalesce("_dot", F.lit(0.0)) + F.lit(intercept)
+    scored = placed.select("_post", *keep).join(dots, "_post", "left").select(*keep, margin.alias("margin"))
     probability = 1 / (1 + F.exp(-F.col("margin")))
-    return dots.withColumn("probability", probability).withColumn(
+    return scored.withColumn("probability", probability).withColumn(
         "prediction", F.when(F.col("probability") > threshold, 1.0).otherwise(0.0)
     )

@@ -15,6 +15,7 @@ LABELLED = T.StructType(
     ]
 )
 
+# The author inside a post.
 AUTHOR = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -24,6 +25,7 @@ AUTHOR = T.StructType(
     ]
 )
 
+# Field names and types of a post on the wire.
 POST = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -76,7 +78,8 @@ CARRIED = (
     "url",
 )
 
-CLEANED = "cleaned_text_for_tokenizer"
+# Columns of the text steps; only processed_text is in the stored rows.
+CLEANED = "letters"
 WORDS = "words"
 
 # Default routes (topic, collection) and searches (keyword, topic).

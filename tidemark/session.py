@@ -5,20 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
-# One full input split per core keeps a stage busy; below that, see spread().
-SPLIT_BYTES = 128 * 1024 * 1024
+# Where set, small inputs are read in this many tasks; see tables.table().
+INPUT_TASKS_CONF = "spark.tidemark.inputTasks"
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, skew-join splitting and UTC.
 
-    Shuffle widths are left to adaptive execution: pass
-    ``**{"spark.sql.shuffle.partitions": "20000"}`` as the upper bound for a
-    100 TB job, adaptive coalescing shrinks it per stage.
+    A stage starts with many partitions and adaptive execution merges them, so
+    one setting serves all sizes; it never splits a partition that is too large.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -26,6 +26,7 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         **conf,
@@ -35,11 +36,6 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def ping(spark: SparkSession) -> DataFrame:
-    """Liveness check of a session: one row, one column."""
-    return spark.sql("SELECT 1 AS alive")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -56,9 +52,24 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The one folder of all tables that this application lands."""
+    return f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing has written to yet."""
-    return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A path in the run's folder that nothing has written to yet."""
+    return f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete all tables that this application has landed.
+
+    For the end of a job, when its results are written; DataFrames that still
+    read a landed table are void afterwards.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def land(df: DataFrame, name: str) -> DataFrame:
@@ -67,7 +78,8 @@ def land(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage (a lost executor re-reads files instead of re-running
     the job) and gives later joins the real size of the data: Spark broadcasts
     the table only while its files stay below ``autoBroadcastJoinThreshold``
-    and otherwise runs a sort-merge join with adaptive skew splitting.
+    and otherwise runs a sort-merge join with adaptive skew splitting. The
+    table stays until :func:`cleanup`.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
@@ -76,29 +88,10 @@ def land(df: DataFrame, name: str) -> DataFrame:
 
 
 def local_table(spark: SparkSession, rows, names) -> DataFrame:
-    """A small table of configured values, with a size Catalyst knows.
-
-    Literals in the plan, unlike ``createDataFrame`` of a Python list, whose
-    size is unknown to the optimizer, so that a join with it would shuffle.
-    """
-    records = [F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*records)))
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate; for a file scan, the sum of the file sizes."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of an input too small to fill them.
+    """A small table of configured values, with a size that Catalyst knows.
 
-    A small table often sits in one Parquet row group, which one task reads;
-    the CPU-heavy text work would then run in that task. Inputs with at least
-    one full split per core are returned untouched, so that large tables are
-    never shuffled for this.
+    An Arrow table becomes a local relation, unlike a Python list, whose size
+    is unknown to the optimizer. A long one is not broadcast.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) >= cores * SPLIT_BYTES:
-        return df
-    return df.repartition(cores)
+    columns = list(zip(*rows)) or [()] * len(names)
+    return spark.createDataFrame(pa.table({n: pa.array(c) for n, c in zip(names, columns)}))
