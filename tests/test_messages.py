@@ -11,7 +11,7 @@ from tidemark.operators import funnel, messages
 from tidemark.operators.terms import with_words
 from tidemark.plans import scoring
 from tidemark.schemas import CARRIED, MESSAGE
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, land
 from tidemark.sources import readers, writers
 from tidemark.streaming import scoring as stream
 
@@ -118,6 +118,32 @@ def test_append_of_unseen_rows_only(spark):
     scored = scoring.score_messages(_messages(spark), _rule, messages.routes(spark, ROUTES))
     stored = scored.filter("tweet_id <> '6'")
     assert [r.tweet_id for r in messages.unseen(scored, stored).collect()] == ["6"]
+    nameless = scored.limit(1).withColumn("tweet_id", F.lit(None).cast("string"))
+    assert messages.unseen(nameless, nameless).count() == 1
+
+
+def test_repeated_messages_are_stored_once(spark):
+    path = fresh_path(spark, "deduped")
+    table = messages.routes(spark, ROUTES)
+    twice = _messages(spark).unionByName(_messages(spark))
+    scoring.run(twice, _rule, table, path, dedupe=True)
+    assert spark.read.parquet(path).count() == 3
+    scoring.run(twice, _rule, table, path, dedupe=True, stored=land(spark.read.parquet(path), "stored"))
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_stream_drops_late_copies(spark):
+    log, out, state = (fresh_path(spark, n) for n in ("log", "out", "state"))
+    writers.publish_log(_messages(spark).unionByName(_messages(spark)), log)
+    table = messages.routes(spark, ROUTES)
+    stream.start(stream.log_stream(spark, log), _rule, table, out, state, within="1 hour").awaitTermination()
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_only_wanted_fields_are_parsed(spark):
+    parsed = messages.parse_posts(_messages(spark), fields=("id", "text"))
+    assert parsed.columns == ["key", "topic", "id", "text"]
+    assert "retweetCount" not in parsed._jdf.queryExecution().toString()
 
 
 def test_one_write_per_collection(spark):
@@ -139,32 +165,43 @@ def test_topic_twice_is_written_twice(spark):
     table = messages.routes(spark, [("gpt-2", "one"), ("gpt-2", "two")])
     out = scoring.score_messages(_messages(spark), _rule, table)
     assert out.groupBy("collection").count().count() == 2 and out.count() == 6
-    total = funnel.funnel_counts(messages.parse_posts(_messages(spark)), table).filter("topic is null").first()
+    stored = out.select("collection").join(table, "collection").select("topic")
+    total = funnel.funnel_counts(_messages(spark), stored).filter("is_total").first()
     assert (total.n_raw, total.n_malformed, total.n_valid, total.n_written) == (7, 1, 4, 6)
 
 
 def test_funnel_and_report(spark):
     parsed = messages.parse_posts(_messages(spark))
     table = messages.routes(spark, ROUTES)
-    rows = {r.topic: tuple(r)[1:] for r in funnel.funnel_counts(parsed, table).collect()}
+    stored = scoring.score_messages(_messages(spark), _rule, table).join(table, "collection").select("topic")
+    rows = {(r.topic, r.is_total): tuple(r)[2:] for r in funnel.funnel_counts(_messages(spark), stored).collect()}
     assert rows == {
-        "gpt-2": (5, 1, 3, 3),
-        "copilot-2": (1, 0, 1, 0),
-        "gemini-2": (1, 0, 0, 0),
-        None: (7, 1, 4, 3),
+        ("gpt-2", False): (5, 1, 3, 3),
+        ("copilot-2", False): (1, 0, 1, 0),
+        ("gemini-2", False): (1, 0, 0, 0),
+        (None, True): (7, 1, 4, 3),
     }
     report = {r.topic: (r.n_raw, r.n_valid, r.written) for r in funnel.topic_report(parsed, table).collect()}
     assert report == {"gpt-2": (5, 3, True), "gemini-2": (1, 0, False), "none-2": (0, 0, False)}
 
 
+def test_what_counts_as_malformed(spark):
+    values = ["{}", '{"foo":1}', '{"text":null}', "{bad", '{"text":"a', "null", "[]", "[{}]", "", None]
+    rows = spark.createDataFrame([(None, None if v is None else v.encode(), None) for v in values], "key binary, value binary, topic string")
+    none = spark.createDataFrame([], "topic string")
+    found = {r.is_total: r for r in funnel.funnel_counts(rows, none).collect()}
+    assert found[False].topic is None and found[False].n_raw == found[True].n_raw == 10
+    assert found[True].n_malformed == 7 and found[True].n_valid == 0
+
+
 def test_dedupe_keeps_the_first_copy(spark):
     copies = spark.range(3000).select(
-        F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("tweet_id"),
+        F.when(F.col("id") < 2000, "hot").when(F.col("id") < 2990, F.col("id").cast("string")).alias("tweet_id"),
         F.col("id").alias("offset"),
         F.concat(F.lit("v"), "id").alias("text"),
     )
-    out = messages.dedupe_posts(copies.repartition(7), ["tweet_id"], ["offset"])
-    assert out.count() == 1001
+    out = messages.dedupe_posts(copies.repartition(7), "tweet_id")
+    assert out.columns == copies.columns and out.count() == 991 + 10
     hot = out.filter("tweet_id = 'hot'").first()
     assert (hot.offset, hot.text) == (0, "v0")
 

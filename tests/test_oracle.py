@@ -6,10 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, duck_rows, spark_rows
+from tidemark.plans.catalog import QUERIES
+from tidemark.plans.oracle import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,8 +20,8 @@ def duck():
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"train_score", "model_roundtrip", "fitted_stages"}
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -35,13 +35,3 @@ def test_flagship(spark):
     rows = df.collect()
     assert len(rows) == len({r.doc_id for r in rows}) > 0
     assert all(r.prediction == float(r.p_positive > 0.5) for r in rows)
-
-
-def test_model_roundtrip(spark):
-    rows = QUERIES["model_roundtrip"](spark, SF_DIR).collect()
-    assert len(rows) == 200 and all(r.fitted == r.loaded for r in rows)
-
-
-def test_fitted_stages(spark):
-    rows = QUERIES["fitted_stages"](spark, SF_DIR).collect()
-    assert rows[0].stage == "SQLTransformer" and rows[-1].stage == "LogisticRegressionModel"

@@ -2,9 +2,14 @@
 
 python -m tidemark plan    --out PLAN [--start DAY --end DAY --keyword word:topic …]
 python -m tidemark collect --pages LANDED --out LOG | --kafka SERVERS [--quota 800]
-python -m tidemark train   --csv POSTS --model MODEL
+python -m tidemark train   --csv POSTS --model MODEL [--train-sample 0.5 --test-sample 0.5] [--full]
 python -m tidemark score   --model MODEL --log LOG | --kafka SERVERS --out COLLECTIONS
-                           [--route topic:collection …] [--batch ID | --checkpoint STATE]
+                           [--route topic:collection …] [--batch ID | --checkpoint STATE [--within "1 hour"]]
+                           [--format parquet] [--dedupe] [--each FORMAT --option key=value …]
+
+``--each`` appends to a store that takes one collection per write; the
+collection's name goes into the option ``collection``, and ``--out`` is its
+path or address.
 """
 
 from __future__ import annotations
@@ -15,11 +20,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.operators.collect import configured_plan
-from tidemark.operators.labels import fitted_labels, split_usable
+from tidemark.operators.funnel import funnel_counts
+from tidemark.operators.labels import split_usable
 from tidemark.operators.messages import routes
-from tidemark.operators.split import hash_split
+from tidemark.operators.split import (
+    TEST_SAMPLE_SEED,
+    TRAIN_SAMPLE_SEED,
+    hash_sample,
+    hash_split,
+    split_counts,
+    with_split,
+)
 from tidemark.plans import collection, scoring, training
-from tidemark.session import build_session
+from tidemark.session import build_session, cleanup, land
 from tidemark.sources import readers, writers
 from tidemark.streaming import scoring as stream
 
@@ -60,16 +73,29 @@ def train(spark: SparkSession, args) -> None:
     posts = readers.read_labelled_csv(spark, args.csv)
     usable, unusable = split_usable(posts, "tweet", "target")
     learn, held_out = hash_split(usable, "id")
-    spec = training.Spec(vocab_size=args.vocabulary, top_features=args.features)
-    model = training.fit(learn, spec)
+    learn = hash_sample(learn, "id", args.train_sample, TRAIN_SAMPLE_SEED)
+    held_out = hash_sample(held_out, "id", args.test_sample, TEST_SAMPLE_SEED)
+    used = learn.select("id").unionByName(held_out.select("id"))
+    split_counts(with_split(used, "id")).show()
+    spec = training.Spec(vocab_size=args.vocabulary, top_features=args.features, full=args.full)
+    selection = training.select_features(learn, spec)
+    model = training.fit_selected(learn, selection, spec)
     writers.save_model(model, args.model)
-    fitted_labels(spark, model).show()
+    training.describe_stages(spark, model.stages).orderBy("position").show(truncate=False)
+    training.describe_fitted_labels(spark, selection.labels).show()
     metrics, matrix = training.evaluate(model, held_out)
     metrics.show()
     matrix.show()
     unusable.agg(F.count("*").alias("rows_without_text_or_label")).show()
 
 
+def _key_value(text: str) -> tuple[str, str]:
+    key, _, value = text.partition("=")
+    if not key or not value:
+        raise argparse.ArgumentTypeError(f"expected key=value, got {text!r}")
+    return key, value
+
+
 def score(spark: SparkSession, args) -> None:
     pairs = args.route or schemas.ROUTES
     topics = [topic for topic, _ in pairs]
@@ -77,16 +103,30 @@ def score(spark: SparkSession, args) -> None:
     model = writers.load_model(args.model)
     if args.checkpoint:
         source = stream.kafka_stream(spark, args.kafka, topics) if args.kafka else stream.log_stream(spark, args.log)
-        stream.start(source, model, table, args.out, args.checkpoint).awaitTermination()
+        stream.start(
+            source, model, table, args.out, args.checkpoint, args.format, within=args.within
+        ).awaitTermination()
         return
     if args.kafka:
         messages = readers.read_kafka(spark, args.kafka, topics)
     else:
         messages = readers.read_message_log(spark, args.log, topics)
-    if args.batch:
-        writers.write_batch(scoring.score_messages(messages, model, table), args.out, args.batch)
+    scored = scoring.score_messages(messages, model, table)
+    # Landed: the rows that are written are the rows that are counted.
+    scored = land(scoring.new_rows(scored, None) if args.dedupe else scored, "scored")
+    if args.each:
+        options = dict(args.option or ())
+
+        def save(writer, name: str) -> None:
+            writer.format(args.each).options(**options).option("collection", name).save(args.out.format(collection=name))
+
+        writers.append_each(scored, [name for _, name in pairs], save)
+    elif args.batch:
+        writers.write_batch(scored, args.out, args.batch, args.format)
     else:
-        scoring.run(messages, model, table, args.out)
+        writers.append_collections(scored, args.out, args.format)
+    stored = scored.select("collection").join(table, "collection").select("topic")
+    funnel_counts(messages, stored).orderBy("is_total", "topic").show(truncate=False)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -114,6 +154,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--model", required=True)
     p.add_argument("--vocabulary", type=int, default=training.Spec.vocab_size)
     p.add_argument("--features", type=int, default=training.Spec.top_features)
+    p.add_argument("--train-sample", type=float, default=1.0)
+    p.add_argument("--test-sample", type=float, default=1.0)
+    p.add_argument("--full", action="store_true")
     p.set_defaults(job=train)
 
     p = jobs.add_parser("score")
@@ -126,13 +169,24 @@ def parser() -> argparse.ArgumentParser:
     mode = p.add_mutually_exclusive_group()
     mode.add_argument("--batch")
     mode.add_argument("--checkpoint")
+    mode.add_argument("--each")
+    p.add_argument("--option", type=_key_value, action="append")
+    p.add_argument("--format", default="parquet")
+    p.add_argument("--within")
+    p.add_argument("--dedupe", action="store_true")
     p.set_defaults(job=score)
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.job(build_session(), args)
+    own = SparkSession.getActiveSession() is None
+    spark = build_session()
+    try:
+        args.job(spark, args)
+    finally:
+        if own:
+            cleanup(spark)
 
 
 if __name__ == "__main__":

@@ -2,37 +2,30 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.messages import has_text
+from tidemark.operators.messages import decode, has_text, is_object, parse_json
 
 
-def funnel_counts(parsed: DataFrame, table: DataFrame) -> DataFrame:
-    """Counts per topic and in total (topic null in the total row).
+def funnel_counts(messages: DataFrame, stored: DataFrame) -> DataFrame:
+    """Counts per topic, and in total in the row where ``is_total`` is true.
 
-    ``n_malformed`` counts values that are no JSON object; they carry no text,
-    so they are missing from ``n_valid``. Every valid row of a routed topic is
-    scored and written.
+    ``n_malformed`` counts values that are no JSON object, ``n_valid`` posts
+    with a text; only that field is parsed. ``stored`` has a ``topic`` for each
+    row that was written, so ``n_written`` is what is there, not what should be.
     """
-    fields = [c for c in parsed.columns if c not in ("key", "topic")]
-    nothing = reduce(and_, [F.col(c).isNull() for c in fields])
-    per_topic = (
-        parsed.select("topic", nothing.alias("malformed"), has_text("text").alias("valid"))
-        .groupBy("topic")
-        .agg(
-            F.count("*").alias("n_raw"),
-            F.count_if("malformed").alias("n_malformed"),
-            F.count_if("valid").alias("n_valid"),
-        )
+    read = decode(messages).withColumn("malformed", ~is_object("value_str"))
+    text = parse_json(read, "value_str", "text string", keep=("topic", "malformed"))
+    counts = text.groupBy("topic").agg(
+        F.count("*").alias("n_raw"),
+        F.count_if("malformed").alias("n_malformed"),
+        F.count_if(has_text("text")).alias("n_valid"),
     )
-    targets = table.groupBy("topic").agg(F.count("*").alias("_targets"))
-    written = F.col("n_valid") * F.coalesce("_targets", F.lit(0))
-    counts = per_topic.join(targets, "topic", "left").withColumn("n_written", written)
+    written = stored.groupBy(F.col("topic").alias("_to")).agg(F.count("*").alias("_n"))
+    both = counts.join(written, F.col("topic").eqNullSafe(F.col("_to")), "left")
+    both = both.withColumn("n_written", F.coalesce("_n", F.lit(0)))
     sums = [F.sum(c).alias(c) for c in ("n_raw", "n_malformed", "n_valid", "n_written")]
-    return counts.rollup("topic").agg(*sums)
+    return both.rollup("topic").agg((F.grouping("topic") == 1).alias("is_total"), *sums)
 
 
 def topic_report(parsed: DataFrame, table: DataFrame) -> DataFrame:

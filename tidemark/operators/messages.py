@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.schemas import CARRIED, CLEANED, POST, ROUTES
 from tidemark.session import local_table
@@ -32,9 +33,16 @@ def parse_json(rows: DataFrame, column: str, schema, keep: Iterable[str] = ()) -
     return rows.select(*keep, F.inline(F.array(F.from_json(column, schema))))
 
 
-def parse_posts(messages: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+def parse_posts(messages: DataFrame, keep: Iterable[str] = (), fields: Iterable[str] | None = None) -> DataFrame:
+    """Key, topic and the fields of a post; ``fields`` names the wanted ones, others are not parsed."""
+    wanted = POST if fields is None else StructType([POST[name] for name in fields])
     kept = ("key", "topic", *keep)
-    return parse_json(decode(messages, keep), "value_str", POST, kept)
+    return parse_json(decode(messages, keep), "value_str", wanted, kept)
+
+
+def is_object(json: str | Column) -> Column:
+    """Whether a text is one whole JSON object, of whatever fields."""
+    return F.coalesce(F.json_object_keys(json).isNotNull(), F.lit(False))
 
 
 def of_topic(posts: DataFrame, topic: str) -> DataFrame:
@@ -75,23 +83,27 @@ def routes(spark: SparkSession, pairs: Iterable[tuple[str, str]] = ROUTES) -> Da
 def route(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Add the collection of each topic; topics without one are not stored.
 
-    An equi-join with a small local table whose exact size Spark knows.
+    An equi-join with a local table whose size Spark knows.
     """
     return rows.join(table, "topic")
 
 
-def dedupe_posts(rows: DataFrame, keys: Iterable[str], order: Iterable[str]) -> DataFrame:
-    """One row per key, the first by ``order``.
+def dedupe_posts(rows: DataFrame, key: str = "id") -> DataFrame:
+    """One row per key, the first in the order of its other columns; rows without a key all stay.
 
     An aggregation, not a window: copies of one post combine on the map side,
     so a heavily repeated key never gathers in one task.
     """
-    keys, order = list(keys), list(order)
-    rest = [c for c in rows.columns if c not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return rows.groupBy(*keys).agg(first).select(*keys, "_row.*")
+    rest = [c for c in rows.columns if c != key]
+    one = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
+    return one.select(key, "_row.*").select(*rows.columns).unionByName(rows.filter(F.col(key).isNull()))
 
 
 def unseen(rows: DataFrame, stored: DataFrame, key: str = "tweet_id") -> DataFrame:
-    """Rows whose key is not stored yet, for a repeatable append."""
-    return rows.join(stored.select(key).distinct(), key, "left_anti")
+    """Rows whose key is not stored yet, for a repeatable append; rows without a key pass.
+
+    ``stored`` should be bounded by the caller, for example to the collections
+    and batches that a repeated message can be in. Its copies need no removal:
+    the join only asks whether a key is there.
+    """
+    return rows.join(stored.select(F.col(key).alias("_stored")), F.col(key) == F.col("_stored"), "left_anti")

@@ -11,7 +11,7 @@ from tidemark.functions.text import ngrams, normalize, strip_urls
 from tidemark.operators import chi2, collect, evaluate, funnel, labels, messages, split, terms
 from tidemark.plans import scoring, training
 from tidemark.schemas import CLEANED, LABELLED, POST, WORDS
-from tidemark.session import fresh_path, land, spread
+from tidemark.session import fresh_path, land
 from tidemark.sources import readers, tables, writers
 from tidemark.streaming import scoring as stream
 
@@ -19,16 +19,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 VOCAB = 2**14
 MIN_DF = 5
-TOP_FEATURES = 2**11
+TOP_FEATURES = 2**14
 QUOTA = 50
+# The plan ends before the posts do, and begins after them.
+PLAN_START, PLAN_END = "2025-03-20", "2025-03-29"
 PHRASES = ("orantion", "thing", "th the")
 ROUTES = (("en", "en_posts"), ("fr", "fr_posts"), ("de", "de_posts"))
 SOURCES = (("src1", "c1"), (tables.EMPTY_TEXT, "c3"), (tables.NULL_TEXT, "c5"), ("nowhere", "c0"))
 
-# A smaller model for the queries that fit one, so that they stay quick.
-SMALL = training.Spec(vocab_size=1024, top_features=1024)
-
-
 def _joined(words: str = WORDS):
     """A word list as text; cleaned words never hold a bar."""
     return F.array_join(words, "|")
@@ -38,11 +36,16 @@ def _words(spark, sf_dir) -> DataFrame:
     return terms.with_words(tables.documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def _landed_words(spark, sf_dir) -> DataFrame:
+    """For queries of several passes: the text is cleaned once."""
+    return land(_words(spark, sf_dir).select("doc_id", WORDS), "words")
+
+
 def _labelled_words(spark, sf_dir) -> DataFrame:
     rows = tables.labelled(spark, sf_dir).select(
         "doc_id", "tweet", F.col("target").cast("string").alias("label")
     )
-    return terms.with_words(rows, "tweet").select("doc_id", "label", WORDS)
+    return land(terms.with_words(rows, "tweet").select("doc_id", "label", WORDS), "words")
 
 
 def _vocabulary(words: DataFrame, max_n: int = 3, min_df: int = MIN_DF) -> DataFrame:
@@ -65,7 +68,7 @@ def text_clean(spark, sf_dir):
 
 
 def url_strip(spark, sf_dir):
-    pages = spread(tables.table(spark, sf_dir, "pages"))
+    pages = tables.dealt(tables.table(spark, sf_dir, "pages"))
     quoted = F.concat(F.lit("see "), "url", F.lit(" now"))
     return pages.select(
         "page_id",
@@ -90,7 +93,8 @@ def _ngram(n: int) -> Query:
 
 
 def term_counts(spark, sf_dir):
-    return terms.term_counts(_words(spark, sf_dir), 1)
+    counts = terms.term_counts(_words(spark, sf_dir), 1, 2, 3)
+    return counts.select("doc_id", terms.term_size("term").cast("bigint").alias("n"), "term", "tf")
 
 
 def _vocabulary_query(n: int) -> Query:
@@ -101,32 +105,33 @@ def _vocabulary_query(n: int) -> Query:
 
 
 def doc_freq(spark, sf_dir):
-    return terms.doc_freq(_words(spark, sf_dir), 1)
+    counts = terms.doc_freq(_words(spark, sf_dir), 1, 2, 3)
+    return counts.select(terms.term_size("term").cast("bigint").alias("n"), "term", "df")
 
 
 def idf_weights(spark, sf_dir):
-    words = _words(spark, sf_dir)
+    words = _landed_words(spark, sf_dir)
     weights = terms.weighted_vocabulary(words, 3, VOCAB, words.count(), MIN_DF)
-    return weights.select("n", "idx", "term", "df", F.round("idf", 6).alias("idf"))
+    return weights.select(F.col("n").cast("bigint").alias("n"), "idx", "term", "df", F.round("idf", 6).alias("idf"))
 
 
 def tfidf(spark, sf_dir):
-    words = _words(spark, sf_dir)
-    rows = terms.tfidf(words, _vocabulary(words, max_n=1), 1)
-    return rows.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
+    words = _landed_words(spark, sf_dir)
+    rows = terms.tfidf(words, _vocabulary(words), 3)
+    return rows.select("doc_id", F.col("n").cast("bigint").alias("n"), "term", "tf", F.round("tfidf", 6).alias("tfidf"))
 
 
 def feature_long(spark, sf_dir):
-    words = _words(spark, sf_dir)
+    words = _landed_words(spark, sf_dir)
     rows = terms.tfidf(words, _vocabulary(words), 3)
     return rows.select("doc_id", "feature", F.round("tfidf", 6).alias("value"))
 
 
 def linear_score(spark, sf_dir):
-    words = _words(spark, sf_dir)
+    words = _landed_words(spark, sf_dir)
     vocab = _vocabulary(words)
     weights = vocab.select("feature", ((F.col("feature") % 7 - 3) / 1000.0).alias("coefficient"))
-    rows = terms.linear_score(terms.tfidf(words, vocab, 3), weights, intercept=0.1)
+    rows = terms.linear_score(words, vocab, land(weights, "weights"), 3, intercept=0.1)
     return rows.select(
         "doc_id",
         F.round("margin", 6).alias("margin"),
@@ -215,49 +220,78 @@ def eval_metrics(spark, sf_dir):
 
 def chi2_stats(spark, sf_dir):
     words = _labelled_words(spark, sf_dir)
-    vocab = _vocabulary(words).select("n", "term", "feature")
+    vocab = land(_vocabulary(words).select("n", "term", "feature"), "terms")
     found = terms.known_terms(words, vocab, 3, ("label",))
     stats = chi2.chi2_stats(found, chi2.label_totals(words))
     return stats.select(
         "feature",
         F.round("statistic", 6).alias("statistic"),
         F.col("dof").cast("bigint").alias("dof"),
+        F.round("p_value", 6).alias("p_value"),
     )
 
 
 def chi2_select(spark, sf_dir):
     rows = tables.labelled(spark, sf_dir)
-    chosen, _ = training.selected_features(rows, training.Spec(top_features=TOP_FEATURES))
-    return chosen.select("feature", "n", "term")
+    chosen = training.select_features(rows, training.Spec(top_features=TOP_FEATURES)).chosen
+    return chosen.select("feature", F.col("n").cast("bigint").alias("n"), "term")
 
 
 def _train_test(spark, sf_dir):
     return split.hash_split(tables.labelled(spark, sf_dir), "doc_id")
 
 
-def train_score(spark, sf_dir):
+def scored_test(spark, sf_dir):
+    """The model of the training rows on the held-out rows."""
     train, test = _train_test(spark, sf_dir)
-    scored = training.fit(train, SMALL).transform(test)
+    scored = training.fit(train).transform(test)
     return scored.select(
         "doc_id", "label", "prediction", vector_to_array("probability").getItem(1).alias("p_positive")
     )
 
 
+def train_score(spark, sf_dir):
+    """Held-out rows with their label, and whether the prediction is the likelier label."""
+    scored = scored_test(spark, sf_dir)
+    likelier = F.col("prediction") == (F.col("p_positive") > 0.5).cast("double")
+    return scored.select("doc_id", "label", likelier.alias("consistent"))
+
+
+def fit_gradient(spark, sf_dir):
+    """Per n-gram size the features learned on, and whether the loss is at its minimum there."""
+    train, _ = _train_test(spark, sf_dir)
+    selection = training.select_features(train)
+    model = training.fit_selected(train, selection)
+    found = training.gradient(train, model, selection)
+    return found.select(
+        F.col("n").cast("bigint").alias("n"), "features", (F.col("largest") < 2e-3).alias("at_minimum")
+    )
+
+
 def model_roundtrip(spark, sf_dir):
     """Save and load a model, and score every document with both."""
     train, _ = _train_test(spark, sf_dir)
-    model = training.fit(train, SMALL)
+    model = training.fit(train)
     path = fresh_path(spark, "model")
     writers.save_model(model, path)
     docs = tables.documents(spark, sf_dir).select("doc_id", F.col("text").alias("tweet"))
-    first = model.transform(docs).select("doc_id", "tweet", F.col("prediction").alias("fitted"))
+    first = model.transform(docs).select("doc_id", "tweet", F.col("probability").alias("fitted"))
     both = writers.load_model(path).transform(first)
-    return both.select("doc_id", "fitted", F.col("prediction").alias("loaded"))
+    same = vector_to_array("fitted") == vector_to_array("probability")
+    return both.select("doc_id", same.alias("same"))
 
 
 def fitted_stages(spark, sf_dir):
+    """The stages learned from the training rows, with what each holds."""
+    train, _ = _train_test(spark, sf_dir)
+    stages = training.feature_stages(training.select_features(train))
+    return training.describe_stages(spark, stages)
+
+
+def fitted_labels(spark, sf_dir):
+    """The label dictionary of a fit and the rows behind each label."""
     train, _ = _train_test(spark, sf_dir)
-    return training.describe_stages(spark, training.fit(train, SMALL).stages)
+    return training.describe_fitted_labels(spark, training.select_features(train).labels)
 
 
 # --- messages ------------------------------------------------------------
@@ -306,12 +340,16 @@ def _parsed(spark, sf_dir):
     return messages.parse_posts(tables.messages(spark, sf_dir))
 
 
+def _texts(spark, sf_dir):
+    return messages.parse_posts(tables.messages(spark, sf_dir), fields=("text",))
+
+
 def topic_filter(spark, sf_dir):
-    return messages.of_topic(_parsed(spark, sf_dir), "fr").select("topic", "key", "text")
+    return messages.of_topic(_texts(spark, sf_dir), "fr").select("topic", "key", "text")
 
 
 def valid_text(spark, sf_dir):
-    return _parsed(spark, sf_dir).filter(messages.has_text("text")).select("key", "text")
+    return _texts(spark, sf_dir).filter(messages.has_text("text")).select("key", "text")
 
 
 def _flat(rows: DataFrame) -> DataFrame:
@@ -337,7 +375,7 @@ def score_output(spark, sf_dir):
 
 
 def route_topics(spark, sf_dir):
-    posts = _parsed(spark, sf_dir).select("key", "topic")
+    posts = messages.decode(tables.messages(spark, sf_dir)).select("key", "topic")
     return messages.route(posts, messages.routes(spark, ROUTES))
 
 
@@ -350,14 +388,29 @@ def route_write(spark, sf_dir):
 
 def empty_topic(spark, sf_dir):
     """Routes by source: one without rows, two without any usable text."""
-    by_source = _parsed(spark, sf_dir).select(
+    parsed = messages.parse_posts(tables.messages(spark, sf_dir), fields=("author", "text"))
+    by_source = parsed.select(
         F.coalesce("author.id", F.lit("unknown")).alias("topic"), "text"
     )
     return funnel.topic_report(by_source, messages.routes(spark, SOURCES))
 
 
+def _with_odd_objects(spark, sf_dir) -> DataFrame:
+    """The messages, and for each of two sources one of the same key that is an object without a post."""
+    rows = tables.messages(spark, sf_dir)
+    odd = {tables.EMPTY_TEXT: "{}", "src4": '{"foo": 1}'}
+    author = F.get_json_object(F.col("value").cast("string"), "$.author.id")
+    extra = [rows.filter(author == source).withColumn("value", F.lit(v).cast("binary")) for source, v in odd.items()]
+    return rows.unionByName(extra[0]).unionByName(extra[1])
+
+
 def funnel_counts(spark, sf_dir):
-    return funnel.funnel_counts(_parsed(spark, sf_dir), messages.routes(spark, ROUTES))
+    """Counts per topic around a scoring run, the written rows read back."""
+    path = fresh_path(spark, "collections")
+    rows, table = _with_odd_objects(spark, sf_dir), messages.routes(spark, ROUTES)
+    scoring.run(rows, _rule, table, path)
+    stored = spark.read.parquet(path).select("collection").join(table, "collection").select("topic")
+    return funnel.funnel_counts(rows, stored)
 
 
 def stream_write(spark, sf_dir):
@@ -390,11 +443,12 @@ def search_plan(spark, sf_dir):
 
 
 def phrase_search(spark, sf_dir):
-    plan = collect.configured_plan(spark, [(p, f"t{i}") for i, p in enumerate(PHRASES)])
+    named = [(p, f"t{i}") for i, p in enumerate(PHRASES)]
+    plan = collect.configured_plan(spark, named, PLAN_START, PLAN_END)
     posts = tables.documents(spark, sf_dir).select(
         "doc_id", "text", "lang", tables.created_day().alias("created")
     )
-    found = collect.phrase_search(posts, plan, PHRASES)
+    found = collect.phrase_search(posts, plan)
     return found.select("doc_id", "keyword", "topic", "lang", "since", "until")
 
 
@@ -466,8 +520,10 @@ QUERIES: dict[str, Query] = {
     "chi2_stats": chi2_stats,
     "chi2_select": chi2_select,
     "train_score": train_score,
+    "fit_gradient": fit_gradient,
     "model_roundtrip": model_roundtrip,
     "fitted_stages": fitted_stages,
+    "fitted_labels": fitted_labels,
     "message_scan": message_scan,
     "message_decode": message_decode,
     "json_parse": json_parse,

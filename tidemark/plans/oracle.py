@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.plans.catalog import MIN_DF, PHRASES, QUOTA, ROUTES, SOURCES, TOP_FEATURES, VOCAB
+from tidemark.plans.catalog import MIN_DF, PHRASES, PLAN_END, PLAN_START, QUOTA, ROUTES, SOURCES, TOP_FEATURES, VOCAB
+from tidemark.schemas import POST
 from tidemark.sources.tables import BROKEN_JSON, DAYS, EMPTY_TEXT, FIRST_DAY, NULL_TEXT
 
 URLS = r"'http\S+|www\.\S+'"
@@ -37,12 +38,20 @@ WORDED = (
     f"worded AS (SELECT doc_id, c, {_words('c')} AS w FROM cleaned)",
 )
 
+def _bucket(seed: int) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || doc_id), 1, 8))::BIGINT % 1000000)"
+
+
+TRAINED = f"{_bucket(2000)} < 800000"
+
 LABELLED = (
     f"cleaned AS (SELECT d.doc_id, CAST(4 * l.quality AS VARCHAR) AS label, {_clean('d.text')} AS c "
     "FROM documents d JOIN labels l USING (doc_id))",
     f"worded AS (SELECT doc_id, label, c, {_words('c')} AS w FROM cleaned)",
 )
 
+TRAINING = (LABELLED[0].removesuffix(")") + f" WHERE {TRAINED})", LABELLED[1])
+
 
 def _counts(max_n: int, key: str = "doc_id") -> str:
     parts = [
@@ -106,6 +115,21 @@ P_VALUE = (
     "exp((dof / 2.0 + k) * ln(statistic / 2) - statistic / 2 - lgamma(dof / 2.0 + k + 1))))"
 )
 
+
+
+def _chosen(rows: tuple[str, ...]) -> str:
+    """The selected features; p-values are ranked to twelve places."""
+    return _with(
+        *rows,
+        _counts(3),
+        *VOCABULARY,
+        *CHI2,
+        "chosen AS (SELECT feature, n, term FROM (SELECT v.feature, v.n, v.term, "
+        "CASE WHEN v.idf = 0 OR dof = 0 OR statistic <= 0 THEN 1.0 ELSE greatest(" + P_VALUE + ", 0.0) END AS p "
+        f"FROM vocab v JOIN tested USING (feature)) ORDER BY round(p, 12), feature LIMIT {TOP_FEATURES})",
+    )
+
+
 # --- messages --------------------------------------------------------------
 
 _CREATED = f"(DATE '{FIRST_DAY}' + CAST(n_chars % {DAYS} AS INTEGER))"
@@ -124,10 +148,7 @@ POSTS = (
 _AUTHOR = "author_id, author_username, author_name"
 _KEPT = "createdAt, likeCount, quoteCount, replyCount, retweetCount, viewCount, conversationId, url"
 _VALID = "NOT broken AND text IS NOT NULL AND text <> ''"
-_FIELDS = (
-    "id url text lang createdAt retweetCount replyCount likeCount quoteCount bookmarkCount "
-    "viewCount isReply conversationId"
-).split()
+_FIELDS = tuple(f.name for f in POST.fields if f.name != "author")
 
 
 def _values(pairs, names: str) -> str:
@@ -195,10 +216,6 @@ def _names(task: str, rows: str) -> str:
     )
 
 
-def _bucket(seed: int) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || doc_id), 1, 8))::BIGINT % 1000000)"
-
-
 SCORES = (
     "pairs AS (SELECT quality::DOUBLE AS label, (1 - toxic)::DOUBLE AS prediction, count(*) AS n "
     "FROM labels GROUP BY ALL)",
@@ -220,22 +237,23 @@ ORACLES: dict[str, str] = {
     "ngram_1": _ngram(1),
     "ngram_2": _ngram(2),
     "ngram_3": _ngram(3),
-    "term_counts": _with(*WORDED, _counts(1)) + "SELECT doc_id, term, tf FROM counts",
+    "term_counts": _with(*WORDED, _counts(3)) + "SELECT doc_id, n, term, tf FROM counts",
     "vocabulary_1": _vocabulary(1),
     "vocabulary_2": _vocabulary(2),
     "vocabulary_3": _vocabulary(3),
-    "doc_freq": _with(*WORDED, _counts(1)) + "SELECT term, count(*) AS df FROM counts GROUP BY term",
+    "doc_freq": _with(*WORDED, _counts(3)) + "SELECT n, term, count(*) AS df FROM counts GROUP BY n, term",
     "idf_weights": _with(*WORDED, _counts(3), *VOCABULARY)
     + "SELECT n, idx, term, df, round(idf, 6) AS idf FROM vocab",
-    "tfidf": _with(*WORDED, _counts(1), *VOCABULARY)
-    + "SELECT doc_id, term, tf, round(tf * idf, 6) AS tfidf FROM counts JOIN vocab USING (n, term)",
+    "tfidf": _with(*WORDED, _counts(3), *VOCABULARY)
+    + "SELECT doc_id, n, term, tf, round(tf * idf, 6) AS tfidf FROM counts JOIN vocab USING (n, term)",
     "feature_long": _with(*WORDED, _counts(3), *VOCABULARY)
     + "SELECT doc_id, feature, round(tf * idf, 6) AS value FROM counts JOIN vocab USING (n, term)",
     "linear_score": _with(*WORDED, _counts(3), *VOCABULARY)
     + "SELECT doc_id, round(margin, 6) AS margin, round(1 / (1 + exp(-margin)), 6) AS probability, "
     "CASE WHEN 1 / (1 + exp(-margin)) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM "
-    "(SELECT doc_id, sum(tf * idf * ((feature % 7 - 3) / 1000.0)) + 0.1 AS margin "
-    "FROM counts JOIN vocab USING (n, term) GROUP BY doc_id)",
+    "(SELECT w.doc_id, coalesce(m.dot, 0) + 0.1 AS margin FROM worded w LEFT JOIN "
+    "(SELECT doc_id, sum(tf * idf * ((feature % 7 - 3) / 1000.0)) AS dot "
+    "FROM counts JOIN vocab USING (n, term) GROUP BY doc_id) m USING (doc_id))",
     "load_labelled": (
         f"SELECT CAST(4 * quality AS INTEGER) AS target, CAST(doc_id AS VARCHAR) AS id, '{FIRST_DAY}' AS date, "
         "lang AS query, source AS author, translate(text, E'\\n\\r', '  ') AS tweet "
@@ -261,11 +279,26 @@ ORACLES: dict[str, str] = {
     "round(sum(actual * CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END) / sum(actual), 6) AS f1 "
     "FROM ratios",
     "chi2_stats": _with(*LABELLED, _counts(3), *VOCABULARY, *CHI2)
-    + "SELECT feature, round(CASE WHEN dof > 0 THEN statistic ELSE 0 END, 6) AS statistic, dof FROM tested",
-    "chi2_select": _with(*LABELLED, _counts(3), *VOCABULARY, *CHI2)
-    + "SELECT feature, n, term FROM (SELECT v.feature, v.n, v.term, "
-    "CASE WHEN v.idf = 0 OR dof = 0 OR statistic <= 0 THEN 1.0 ELSE greatest(" + P_VALUE + ", 0.0) END AS p "
-    f"FROM vocab v JOIN tested USING (feature)) ORDER BY p, feature LIMIT {TOP_FEATURES}",
+    + "SELECT feature, round(CASE WHEN dof > 0 THEN statistic ELSE 0 END, 6) AS statistic, dof, "
+    f"round(CASE WHEN dof > 0 AND statistic > 0 THEN greatest({P_VALUE}, 0.0) ELSE 1.0 END, 6) AS p_value FROM tested",
+    "chi2_select": _chosen(LABELLED) + "SELECT feature, n, term FROM chosen",
+    "train_score": (
+        f"SELECT doc_id, quality::DOUBLE AS label, true AS consistent FROM documents JOIN labels USING (doc_id) WHERE NOT {TRAINED}"
+    ),
+    "fit_gradient": _chosen(TRAINING) + "SELECT n, count(*) AS features, true AS at_minimum FROM chosen GROUP BY n",
+    "model_roundtrip": "SELECT doc_id, true AS same FROM documents",
+    "fitted_stages": _chosen(TRAINING)
+    + ", kept AS (SELECT n, count(*) AS size FROM chosen GROUP BY n), present AS (SELECT n, size, "
+    "row_number() OVER (ORDER BY n) - 1 AS k, count(*) OVER () AS m FROM kept) "
+    "SELECT 0::BIGINT AS position, 'SQLTransformer' AS stage, NULL::BIGINT AS size "
+    "UNION ALL SELECT 1, 'Tokenizer', NULL "
+    "UNION ALL SELECT 2 + 3 * k, 'NGram', NULL FROM present "
+    "UNION ALL SELECT 3 + 3 * k, 'CountVectorizerModel', size FROM present "
+    "UNION ALL SELECT 4 + 3 * k, 'ElementwiseProduct', size FROM present "
+    "UNION ALL SELECT 2 + 3 * max(m), 'VectorAssembler', NULL FROM present "
+    "UNION ALL SELECT 3 + 3 * max(m), 'StringIndexerModel', (SELECT count(DISTINCT label) FROM worded) FROM present",
+    "fitted_labels": _names("fit", f"SELECT CAST(4 * quality AS VARCHAR) AS label FROM documents JOIN labels USING (doc_id) WHERE {TRAINED}")
+    .replace("'fit' AS task, ", "", 1),
     "message_scan": (
         "SELECT lang AS topic, doc_id AS \"offset\", strlen(text) AS n_bytes FROM documents "
         "WHERE lang IN ('en', 'fr', 'de')"
@@ -297,11 +330,15 @@ ORACLES: dict[str, str] = {
     f"coalesce(n_valid, 0) > 0 AS written FROM {_values(SOURCES, 'topic, collection')} LEFT JOIN "
     f"(SELECT author_id, count(*) AS n_raw, count(*) FILTER (WHERE {_VALID}) AS n_valid "
     "FROM posts GROUP BY author_id) ON author_id = topic",
-    "funnel_counts": _with(*POSTS)
-    + "SELECT lang AS topic, count(*) AS n_raw, count(*) FILTER (WHERE broken) AS n_malformed, "
+    "funnel_counts": _with(
+        *POSTS,
+        "odd AS (SELECT lang, broken, text FROM posts UNION ALL "
+        f"SELECT lang, false, NULL FROM posts WHERE author_id IN ('{EMPTY_TEXT}', 'src4'))",
+    )
+    + "SELECT lang AS topic, grouping(lang) = 1 AS is_total, count(*) AS n_raw, count(*) FILTER (WHERE broken) AS n_malformed, "
     f"count(*) FILTER (WHERE {_VALID}) AS n_valid, "
     f"count(*) FILTER (WHERE {_VALID} AND collection IS NOT NULL) AS n_written "
-    f"FROM posts LEFT JOIN {_values(ROUTES, 'topic, collection')} ON lang = topic GROUP BY ROLLUP (lang)",
+    f"FROM odd LEFT JOIN {_values(ROUTES, 'topic, collection')} ON lang = topic GROUP BY ROLLUP (lang)",
     "search_plan": (
         "SELECT keyword, keyword || '-2' AS topic, 'en' AS lang, since, CAST(since + INTERVAL 1 DAY AS DATE) AS until, "
         "'\"' || keyword || '\" lang:en since:' || strftime(since, '%Y-%m-%d') || ' until:' || "
@@ -314,7 +351,8 @@ ORACLES: dict[str, str] = {
         f"SELECT doc_id, keyword, topic, lang, {_CREATED} AS since, "
         f"CAST({_CREATED} + INTERVAL 1 DAY AS DATE) AS until FROM documents "
         f"JOIN {_values([(p, f't{i}') for i, p in enumerate(PHRASES)], 'keyword, topic')} "
-        f"ON contains(lower(text), keyword) WHERE lang = 'en'"
+        f"ON contains(lower(text), keyword) WHERE lang = 'en' "
+        f"AND {_CREATED} >= DATE '{PLAN_START}' AND {_CREATED} <= DATE '{PLAN_END}'"
     ),
     "page_explode": (
         "SELECT doc_id, position, line AS text, more AS has_next_page, next_cursor FROM ("
@@ -336,7 +374,7 @@ ORACLES: dict[str, str] = {
     "publish_json": _with(*POSTS)
     + f"SELECT lang AS topic, {', '.join(_FIELDS)}, {_AUTHOR} FROM posts",
     "publish_counts": (
-        "SELECT event_type AS keyword, CAST(ts AS DATE) AS since, count(*) AS n FROM events GROUP BY ALL "
-        "UNION ALL SELECT NULL, NULL, count(*) FROM events"
+        "SELECT event_type AS keyword, CAST(ts AS DATE) AS since, count(*) AS n, false AS is_total FROM events GROUP BY ALL "
+        "UNION ALL SELECT NULL, NULL, count(*), true FROM events"
     ),
 }

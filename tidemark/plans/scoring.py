@@ -5,26 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.messages import parse_posts, route, score_input, score_output
+from tidemark.operators.messages import dedupe_posts, parse_posts, route, score_input, score_output, unseen
 from tidemark.sources.writers import append_collections
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 
-def score_messages(messages: DataFrame, scorer: PipelineModel | Scorer, table: DataFrame) -> DataFrame:
+def score_messages(
+    messages: DataFrame, scorer: PipelineModel | Scorer, table: DataFrame, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Scored rows of all topics with their collection, in one pass.
 
     Works on a batch and on a stream: every step is row-local except the join
     with the small route table, which comes first, so that messages of topics
     without a collection are not even parsed.
     """
+    kept = ("collection", *keep)
     transform = scorer.transform if isinstance(scorer, PipelineModel) else scorer
-    posts = parse_posts(route(messages, table), keep=("collection",))
-    return score_output(transform(score_input(posts, keep=("collection",))), keep=("collection",))
+    posts = parse_posts(route(messages, table), keep=kept)
+    return score_output(transform(score_input(posts, keep=kept)), keep=kept)
 
 
-def run(messages: DataFrame, scorer: PipelineModel | Scorer, table: DataFrame, path: str) -> None:
+def new_rows(scored: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Scored rows without copies of a post in a collection, and without posts stored before.
+
+    ``stored`` has ``collection`` and ``tweet_id`` of what is there. A post may
+    go to several collections.
+    """
+    key = F.when(F.col("tweet_id").isNotNull(), F.struct("collection", "tweet_id"))
+    rows = dedupe_posts(scored.withColumn("_key", key), "_key")
+    if stored is not None:
+        rows = unseen(rows, stored.select(F.struct("collection", "tweet_id").alias("_key")), "_key")
+    return rows.drop("_key")
+
+
+def run(
+    messages: DataFrame,
+    scorer: PipelineModel | Scorer,
+    table: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    dedupe: bool = False,
+    stored: DataFrame | None = None,
+) -> None:
     """Score and append; no rows means nothing is written."""
-    append_collections(score_messages(messages, scorer, table), path)
+    scored = score_messages(messages, scorer, table)
+    append_collections(new_rows(scored, stored) if dedupe else scored, path, fmt)

@@ -32,9 +32,19 @@ def start(
     checkpoint: str,
     fmt: str = "parquet",
     trigger: dict | None = None,
+    within: str | None = None,
 ) -> StreamingQuery:
-    """Score what arrives; by default drain what is there and stop."""
-    scored = score_messages(messages, scorer, table)
+    """Score what arrives; by default drain what is there and stop.
+
+    With ``within``, for example ``1 hour``, copies of a post that arrive in a
+    collection that much later, by message time, are dropped; the watermark
+    bounds the state. Posts without an id are not told apart and count as one.
+    """
+    if within:
+        scored = score_messages(messages, scorer, table, keep=("timestamp",)).withWatermark("timestamp", within)
+        scored = scored.dropDuplicatesWithinWatermark(["collection", "tweet_id"]).drop("timestamp")
+    else:
+        scored = score_messages(messages, scorer, table)
     writer = scored.writeStream.format(fmt).partitionBy("collection").outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
     return writer.start(path)
