@@ -43,11 +43,11 @@ def test_one_document_is_read_alone(spark, small_docs, tmp_path):
     _, dictionary = load_dictionary(spark, out)
     assert dictionary
     chunk = spark.read.parquet(f"{out}/segments").orderBy("segment", "chunk").first()
-    keys = opened(bytes(chunk.index))[0][0]
+    keys = opened(bytes(chunk["index"]))[0][0]
     texts = {r.doc_id: r.text for r in small_docs.collect()}
     last = len(keys) - 1
     for position in {0, last // 2, last}:
-        ids = read_frame(dictionary, bytes(chunk.frames), bytes(chunk.index), position)
+        ids = read_frame(dictionary, bytes(chunk["frames"]), bytes(chunk["index"]), position)
         assert ids.tolist() == plain(texts[keys[position]])
 
 
