@@ -69,7 +69,9 @@ def slices(batch: pa.RecordBatch, column: str, budget: int) -> Iterator[tuple[in
     A value longer than the budget is a run of its own, so what a task holds
     at once is bounded by the budget and by its longest text.
     """
-    values = batch.column(column)
+    values = batch.column(column).cast(pa.binary())
+    if not len(values):
+        return
     sizes = np.diff(np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1])
     begin, held = 0, 0
     for end, size in enumerate(sizes.tolist()):

@@ -2,12 +2,14 @@
 
 Every document's ids are compressed on their own with one dictionary, trained
 on the ids of a sample, so a short document can be read without its neighbours
-and still compresses well. A file set is two Parquet tables of binary blobs,
-which any store that Spark writes to can hold:
+and still compresses well. A file set is three Parquet tables, which any store
+that Spark writes to can hold:
 
 ``dictionary``  ``dictionary_hash`` (SHA-256, hex), ``dictionary``
-``segments``    ``segment``, ``chunk``, ``dictionary_hash``, ``n_docs``,
-                ``n_tokens``, ``index``, ``frames``
+``segments``    ``segment``, ``chunk``, ``dictionary_hash``, ``first_token`` (ids of
+                the segment before the chunk), ``n_docs``, ``n_tokens``,
+                ``index``, ``frames`` (binary)
+``starts``      ``segment``, ``base`` (ids of all segments before it)
 
 Segments are ascending ranges of doc_id, chunks ascending runs in a segment.
 ``index`` holds for each document, little-endian: doc_id (int64, the least
@@ -33,13 +35,24 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import documents, raw_text, slices
+from tidemark.llm.common import documents, raw_text, slices, sorted_place
 from tidemark.llm.tokens import WordEncoder
 from tidemark.session import fresh_path
 
 NO_ID = np.iinfo(np.int64).min
+SEGMENTS = (
+    "segment bigint, chunk bigint, dictionary_hash string, first_token bigint, n_docs bigint, n_tokens bigint, "
+    "index binary, frames binary"
+)
+# Rows of blobs are large: small row groups and pages keep a reader's buffers small.
+BLOB_OPTIONS = {
+    "parquet.block.size": str(8 * 1024 * 1024),
+    "parquet.page.size.row.check.min": "4",
+    "parquet.page.size.row.check.max": "16",
+    "parquet.enable.dictionary": "false",
+}
 # Bytes of text in a task's hands at once.
-TEXT_BUDGET = 4_000_000
+TEXT_BUDGET = 1_000_000
 
 
 def dictionary_of(samples: list[bytes], size: int) -> bytes:
@@ -94,33 +107,35 @@ def train_dictionary(docs: DataFrame, path: str, width: str, size: int, sample_d
 def assembler(dictionary_hash: str, width: str, chunk_bytes: int):
     """Tasks: sorted frames to chunks of about ``chunk_bytes``."""
     item = np.dtype(width).itemsize
-    names = ["segment", "chunk", "dictionary_hash", "n_docs", "n_tokens", "index", "frames"]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    names = ["segment", "chunk", "dictionary_hash", "first_token", "n_docs", "n_tokens", "index", "frames"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
-    def packed(segment, chunk, keys, counts, frames):
+    def packed(segment, chunk, first, keys, counts, frames):
         counts = np.array(counts, np.int64)
         sizes = np.array([len(f) for f in frames], np.int64)
         index = np.concatenate([np.array(keys, np.int64), counts.cumsum() - counts, counts, sizes.cumsum() - sizes])
         blob = index.astype("<i8").tobytes() + np.array([item], "<i8").tobytes()
-        row = [segment, chunk, dictionary_hash, len(keys), int(counts.sum()), blob, b"".join(frames)]
+        row = [segment, chunk, dictionary_hash, first, len(keys), int(counts.sum()), blob, b"".join(frames)]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, chunk, held, keys, counts, frames = None, 0, 0, [], [], []
+        segment, chunk, first, held, keys, counts, frames = None, 0, 0, 0, [], [], []
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("segment", "doc_id", "n_tokens", "frame")]
-            for at, key, count, frame in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("segment", "doc_id", "n_tokens")]
+            stored = (frame.as_py() for frame in batch.column("frame"))
+            for at, key, count, frame in zip(*columns, stored):
                 if keys and (at != segment or held >= chunk_bytes):
-                    yield packed(segment, chunk, keys, counts, frames)
+                    yield packed(segment, chunk, first, keys, counts, frames)
+                    first += sum(counts)
                     chunk, held, keys, counts, frames = chunk + 1, 0, [], [], []
                 if at != segment:
-                    segment, chunk = at, 0
+                    segment, chunk, first = at, 0, 0
                 keys.append(NO_ID if key is None else key)
                 counts.append(count)
                 frames.append(frame)
                 held += len(frame)
         if keys:
-            yield packed(segment, chunk, keys, counts, frames)
+            yield packed(segment, chunk, first, keys, counts, frames)
 
     return assemble
 
@@ -138,7 +153,7 @@ def write_token_files(
     sample_text_bytes: int = 16 * 1024,
     level: int = 3,
     docs_per_segment: int = 200_000,
-    chunk_bytes: int = 1024 * 1024,
+    chunk_bytes: int = 128 * 1024,
 ) -> str:
     """Write the documents' ids to ``out`` in ascending doc_id; returns ``out``.
 
@@ -170,22 +185,17 @@ def write_token_files(
     segments = max(16, -(-n // docs_per_segment))
     marks = [i / segments for i in range(1, segments)]
     cuts = rows.agg(F.percentile_approx("doc_id", marks, 10 * segments)).first()[0] or []
-    cuts = F.from_json(F.lit(str(sorted(set(cuts)))), "array<bigint>")
-    steps = F.from_json(F.lit(str([1 << i for i in reversed(range(segments.bit_length()))])), "array<int>")
-    found = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) < F.col("doc_id")), at + step
-        ).otherwise(at),
-    )
-    placed = frames.withColumn("segment", F.coalesce(found, F.lit(0)).cast("bigint"))
+    placed = frames.withColumn("segment", sorted_place(sorted(set(cuts)), F.col("doc_id")))
     # One task per segment, or several segments in a task; the sort keeps them apart.
     sorted_frames = placed.repartition(segments, "segment").sortWithinPartitions("segment", "doc_id", "frame")
     sorted_frames.select("segment", "doc_id", "n_tokens", "frame").mapInArrow(
         assembler(dictionary_hash, width, chunk_bytes),
-        "segment bigint, chunk bigint, dictionary_hash string, n_docs bigint, n_tokens bigint, index binary, frames binary",
-    ).write.parquet(f"{out}/segments")
+        SEGMENTS,
+    ).write.options(**BLOB_OPTIONS).parquet(f"{out}/segments")
+    totals = spark.read.parquet(f"{out}/segments").groupBy("segment").agg(F.sum("n_tokens").alias("total"))
+    before = F.sum("total").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
+    starts = totals.select("segment", F.coalesce(before, F.lit(0)).alias("base"))
+    starts.write.parquet(f"{out}/starts")
     return out
 
 
@@ -213,28 +223,13 @@ def load_dictionary(spark: SparkSession, path: str) -> tuple[str, bytes]:
     return row.dictionary_hash, dictionary
 
 
-def chunk_bases(segments: DataFrame) -> DataFrame:
-    """Ids before each chunk: a sum over segments, then within each."""
-    totals = segments.groupBy("segment").agg(F.sum("n_tokens").alias("total"))
-    before = F.sum("total").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
-    inside = F.sum("n_tokens").over(
-        Window.partitionBy("segment").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    starts = totals.select("segment", F.coalesce(before, F.lit(0)).alias("before"))
-    return (
-        segments.select("segment", "chunk", F.coalesce(inside, F.lit(0)).alias("inside"))
-        .join(starts, "segment")
-        .select("segment", "chunk", (F.col("before") + F.col("inside")).alias("base"))
-    )
-
-
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of a file set: ``doc_id, start, n_tokens, ids`` (array of bigint is
-    left to callers; ``ids`` holds little-endian unsigned 32-bit integers)."""
+    """Documents of a file set: ``doc_id, start, n_tokens, ids``, the last as
+    little-endian unsigned 32-bit integers."""
     dictionary_hash, dictionary = load_dictionary(spark, path)
-    segments = spark.read.parquet(f"{path}/segments")
-    bases = chunk_bases(segments.select("segment", "chunk", "n_tokens"))
-    rows = segments.join(bases, ["segment", "chunk"]).select("dictionary_hash", "base", "index", "frames")
+    segments, starts = spark.read.parquet(f"{path}/segments"), spark.read.parquet(f"{path}/starts")
+    base = F.col("base") + F.col("first_token")
+    rows = segments.join(starts, "segment").select("dictionary_hash", base.alias("base"), "index", "frames")
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = decompressor(dictionary).decompress
