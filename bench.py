@@ -24,6 +24,7 @@ HEADLINE = (
     "tokenize",
     "ngram_3",
     "term_counts",
+    "doc_freq",
     "vocabulary_1",
     "vocabulary_2",
     "vocabulary_3",
@@ -35,10 +36,14 @@ HEADLINE = (
     "chi2_select",
     "train_score",
     "eval_metrics",
+    "load_labelled",
+    "message_scan",
     "post_parse",
     "score_output",
     "route_write",
     "funnel_counts",
+    "stream_write",
+    "search_plan",
     "phrase_search",
     "page_explode",
     "page_quota",

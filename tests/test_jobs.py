@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.__main__ import main
 from tidemark.schemas import LABELLED
 from tidemark.session import fresh_path
+from tidemark.sources import readers, writers
 
 
 def test_plan_job(spark):
@@ -22,7 +23,7 @@ def test_plan_job(spark):
     ]
 
 
-def test_collect_train_score(spark):
+def test_collect_train_score(spark, capsys):
     pages, log, csv, model, out, state = (
         fresh_path(spark, n) for n in ("pages", "log", "csv", "model", "out", "state")
     )
@@ -36,7 +37,7 @@ def test_collect_train_score(spark):
     posts = [(4 if i % 2 else 0, str(i), "d", "q", "a", "love this" if i % 2 else "hate this") for i in range(80)]
     posts.append((None, "x", "d", "q", "a", "no label"))
     spark.createDataFrame(posts, LABELLED).write.csv(csv)
-    main(["train", "--csv", csv, "--model", model, "--vocabulary", "50", "--features", "60"])
+    main(["train", "--csv", csv, "--model", model, "--vocabulary", "50", "--features", "60", "--train-sample", "0.9"])
 
     main(["score", "--model", model, "--log", log, "--out", out, "--route", "gpt-2:gpt_out"])
     scored = {r.tweet_id: r for r in spark.read.parquet(out).collect()}
@@ -52,6 +53,18 @@ def test_collect_train_score(spark):
     for _ in range(2):
         main(["score", "--model", model, "--log", log, "--out", streamed, "--checkpoint", state])
     assert spark.read.parquet(streamed).filter(F.col("collection") == "gpt_predictions_2").count() == 2
+    each = fresh_path(spark, "each")
+    place = f"{each}/{{collection}}"
+    for _ in range(2):
+        main(["score", "--model", model, "--log", log, "--out", place, "--each", "json", "--option", "compression=none"])
+    assert spark.read.json(f"{each}/gpt_predictions_2").count() == 4
+    writers.publish_log(readers.read_message_log(spark, log, "gpt-2"), log + "-twice")
+    writers.publish_log(readers.read_message_log(spark, log, "gpt-2"), log + "-twice")
+    once = fresh_path(spark, "once")
+    main(["score", "--model", model, "--log", log + "-twice", "--out", once, "--dedupe", "--format", "orc"])
+    assert spark.read.orc(once).count() == 2
+    shown = capsys.readouterr().out
+    assert "n_written" in shown and "CountVectorizerModel" in shown and "Negative (0)" in shown
 
 
 def test_bad_arguments():
@@ -59,3 +72,5 @@ def test_bad_arguments():
         main(["plan", "--out", "x", "--keyword", "no-topic"])
     with pytest.raises(SystemExit):
         main(["score", "--model", "m", "--out", "o"])
+    with pytest.raises(SystemExit):
+        main(["score", "--model", "m", "--out", "o", "--log", "l", "--each", "f", "--option", "novalue"])
