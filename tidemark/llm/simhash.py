@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.llm.common import documents, free_name, land, one_of_each, raw_text, sorted_place
 from tidemark.llm.graph import Forest, components, link_rows
+from tidemark.llm.marked import maybe
 
 SEED = 42
 NO_ID = np.iinfo(np.int64).min
@@ -215,18 +216,32 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = 2) -> DataFrame:
     """The document of smallest doc_id of each group, with all its columns.
 
-    If rows share that doc_id, one of them stays.
+    Documents that are surely alone pass without a shuffle (see ``marked``).
+    If rows share the doc_id that stays, one of them stays.
     """
     name = {c: free_name(docs, f"_{c}") for c in ("print", "component", "rows")}
     rows = land(docs.withColumn(name["print"], fingerprints(raw_text(text_col))), "printed-documents")
     prints = rows.select(keys(id_col).alias("doc"), F.col(name["print"]).alias("print"))
-    groups = land(near_groups(prints, radius), "near-groups")
-    found = groups.select(F.col("print").alias(name["print"]), F.col("component").alias(name["component"]))
-    joined = rows.join(found, name["print"]).filter(keys(id_col) == F.col(name["component"]))
-    repeats = joined.groupBy(name["component"]).count().filter("count > 1").select(name["component"], F.col("count").alias(name["rows"]))
-    counted = joined.join(land(repeats, "near-repeats"), name["component"], "left")
-    counted = counted.withColumn(name["rows"], F.coalesce(name["rows"], F.lit(1)))
-    return one_of_each(counted, [name["component"]], name["rows"]).select(*docs.columns)
+    groups = near_groups(prints, radius)
+    sizes = prints.groupBy("print").agg(F.count("*").alias("n")).join(groups, "print")
+    sizes = land(sizes, "near-groups")
+    shared = sizes.groupBy("component").agg(F.sum("n").alias("members")).filter("members > 1")
+    shared = land(sizes.join(shared, "component").select("print", "component"), "near-shared")
+    known = maybe(shared.select(F.xxhash64("print").alias("key")))(F.xxhash64(name["print"]))
+    found = shared.select(F.col("print").alias(name["print"]), F.col("component").alias(name["component"]))
+    joined = rows.filter(known).join(found, name["print"], "left")
+    own = F.col(name["component"]).isNull() | (keys(id_col) == F.col(name["component"]))
+    stay = joined.filter(own)
+    heads = prints.join(shared, "print").filter("doc = component").groupBy("component").count()
+    repeats = heads.filter("count > 1").select(
+        F.col("component").alias(name["component"]), F.col("count").alias(name["rows"])
+    )
+    repeats = land(repeats, "near-repeats")
+    if not repeats.isEmpty():
+        stay = stay.join(repeats, name["component"], "left")
+        stay = stay.withColumn(name["rows"], F.coalesce(name["rows"], F.lit(1)))
+        stay = one_of_each(stay, [name["component"]], name["rows"])
+    return rows.filter(~known).select(*docs.columns).unionByName(stay.select(*docs.columns))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
