@@ -18,10 +18,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import documents, land, text_crc
+from tidemark.llm.common import documents, land, long_array, text_crc
 
-KEY = "struct<k:bigint,r:bigint,t:bigint>"
 LEAST = -(1 << 63)
+Cut = tuple[int, int, int]
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -39,8 +39,8 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def splitters(rows: DataFrame, ranges: int, per_range: int, seed: int) -> list[str]:
-    """Keys at the quantiles of a sample of about ``ranges * per_range`` rows, as JSON.
+def splitters(rows: DataFrame, ranges: int, per_range: int, seed: int) -> list[Cut]:
+    """Keys at the quantiles of a sample of about ``ranges * per_range`` rows.
 
     A cut lies before all rows of its text, unless the cut before it lies in
     the same text.
@@ -55,25 +55,26 @@ def splitters(rows: DataFrame, ranges: int, per_range: int, seed: int) -> list[s
     cell = F.floor(F.sum("share").over(order) * ranges)
     quantiles = sample.withColumn("cell", cell).groupBy("cell").agg(F.min("key").alias("key"))
     same_text = F.lag("key.k").over(Window.orderBy("key")) == F.col("key.k")
-    start = F.struct(F.col("key.k").alias("k"), F.lit(LEAST).alias("r"), F.lit(LEAST).alias("t"))
-    cut = F.when(same_text, F.col("key")).otherwise(start)
-    return [row.cut for row in quantiles.select(F.to_json(cut).alias("cut")).collect()]
-
-
-def range_of(cuts: list[str], key: Column) -> Column:
-    """How many of the sorted cuts are at or below the key: a binary search."""
-    found = F.array_sort(F.array_distinct(F.from_json(F.lit(f"[{','.join(cuts)}]"), f"array<{KEY}>")))
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(len(cuts), 1).bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.size(found)) & (F.get(found, at + step - 1) <= key), at + step
-        ).otherwise(at),
-    )
+    rest = [F.when(same_text, F.col(f"key.{c}")).otherwise(LEAST).alias(c) for c in ("r", "t")]
+    return [tuple(row) for row in quantiles.select("key.k", *rest).collect()]
+
+
+def range_of(cuts: list[Cut], key: Column) -> Column:
+    """How many of the cuts are at or below the key: a binary search."""
+    k, r, t = (long_array([c[i] for c in sorted(set(cuts))]) for i in range(3))
+    steps = long_array([1 << i for i in reversed(range(max(len(cuts), 1).bit_length()))])
+
+    def at_or_below(i: Column) -> Column:
+        same_r = (F.get(r, i) == key["r"]) & (F.get(t, i) <= key["t"])
+        return (F.get(k, i) < key["k"]) | ((F.get(k, i) == key["k"]) & ((F.get(r, i) < key["r"]) | same_r))
+
+    def advance(at: Column, step: Column) -> Column:
+        return F.when((at + step <= F.size(k)) & at_or_below((at + step - 1).cast("int")), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0).cast("bigint"), advance)
 
 
-def cut_ranges(rows: DataFrame, ranges: int, per_range: int, overfull: float, seed: int) -> tuple[list[str], DataFrame]:
+def cut_ranges(rows: DataFrame, ranges: int, per_range: int, overfull: float, seed: int) -> tuple[list[Cut], DataFrame]:
     """The cuts, and bytes and rows of each range.
 
     Overfull ranges are cut again from a sample of their own; the key tells all
