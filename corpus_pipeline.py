@@ -32,6 +32,19 @@ from tidemark.llm.simhash import one_per_group
 from tidemark.session import fresh_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Documents that Spark hands to Python at once. Its default of 10,000 rows is
+# meant for narrow rows; whole texts make that tens of MB, several times over.
+BATCH_DOCS = 1000
+
+
+def small_batches(stage: Stage) -> Stage:
+    """The stage, with BATCH_DOCS set in the session: it is read when the stage's result is written."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_DOCS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,15 +64,17 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    # Less memory than by default: the workers have served four stages already.
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(docs, path, run_tokens=500_000, most_words=100_000)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", quality),
-    ("exact_dedup", exact_dedup),
-    ("near_dedup", near_dedup),
-    ("mixing", mixing),
-    ("packing", packing),
+    ("quality", small_batches(quality)),
+    ("exact_dedup", small_batches(exact_dedup)),
+    ("near_dedup", small_batches(near_dedup)),
+    ("mixing", small_batches(mixing)),
+    ("packing", small_batches(packing)),
 ]
 
 # The classifier, the tokenizer and XXH64 are not SQL: tests hold the stages against brute force.

@@ -102,7 +102,7 @@ def powers(pieces: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]
     return out
 
 
-def packer(path: str, end_id: int, window: int, linear: float, quadratic: float, run_tokens: int):
+def packer(path: str, end_id: int, window: int, linear: float, quadratic: float, run_tokens: int, most_words: int):
     def packed(keys: list, ids: list[bytes], first: int) -> tuple[pa.RecordBatch, int]:
         lengths = [len(x) // 4 for x in ids]
         sequences = balanced(lengths, window, linear, quadratic)
@@ -118,7 +118,7 @@ def packer(path: str, end_id: int, window: int, linear: float, quadratic: float,
         return pa.RecordBatch.from_arrays(columns, names), first + len(sequences)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordEncoder(path), np.array([end_id], "<u4").tobytes()
+        words, end = WordEncoder(path, most_words), np.array([end_id], "<u4").tobytes()
         # A task numbers its own sequences; the scan's partitions are the same on a retry.
         number, keys, ids, held = TaskContext.get().partitionId() << 40, [], [], 0
         for batch in batches:
@@ -148,13 +148,15 @@ def pack_documents(
     linear: float = 1.0,
     quadratic: float = 1.0 / 4096,
     run_tokens: int = 2_000_000,
+    most_words: int = 400_000,
 ) -> DataFrame:
     """Pieces of all documents with their sequence and place in it. No shuffle.
 
-    ``run_tokens`` bounds the ids that a task holds, but for one long document.
+    ``run_tokens`` bounds the ids that a task holds, but for one long document,
+    and ``most_words`` the pieces of text that its encoder remembers.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), raw_text(text_col).alias("text"))
-    return rows.mapInArrow(packer(tokenizer_path, end_id, window, linear, quadratic, run_tokens), PIECES)
+    return rows.mapInArrow(packer(tokenizer_path, end_id, window, linear, quadratic, run_tokens, most_words), PIECES)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
