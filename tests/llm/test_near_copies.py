@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import corpus_pipeline
+import numpy as np
+import pytest
+
+from tidemark.llm.simhash import bit_counts, one_per_group, profile, shingle_set
+
+
+def shingles(text, width=5):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def heads(rows, similarity=0.8):
+    """The smallest key of each group, over all pairs."""
+    sets = [(k, shingles(t)) for k, t in rows]
+    group = {k: k for k, _ in sets}
+    for i, (k, a) in enumerate(sets):
+        for m, b in sets[:i]:
+            if group[k] != group[m] and jaccard(a, b) >= similarity:
+                low, high = sorted((group[k], group[m]))
+                group = {x: low if g == high else g for x, g in group.items()}
+    return sorted(set(group.values()))
+
+
+def copy_of(words, edits, rng):
+    out = list(words)
+    for at in rng.choice(len(out), edits, replace=False):
+        out[at] = f"x{rng.integers(0, 10**6)}"
+    return out
+
+
+@pytest.fixture(scope="module")
+def planted():
+    """Pairs of similarity 0.80 to 0.99 and below, chains, texts of few words and of one line many times."""
+    rng, texts, seen = np.random.default_rng(5), [], []
+    for n in (10, 30, 60, 100, 300, 1000):
+        for edits in {0, 1, 2, n // 100, n // 70, n // 50, n // 40, n // 20}:
+            for _ in range(6):
+                words = [f"w{i}" for i in rng.integers(0, 10**6, n)]
+                other = copy_of(words, min(edits, n), rng) + ["more"] * (edits == 0)
+                texts += [" ".join(words), " ".join(other)]
+                seen.append(jaccard(shingles(texts[-2]), shingles(texts[-1])))
+    line = " ".join(f"l{i}" for i in range(12))
+    for _ in range(6):
+        words = [f"w{i}" for i in rng.integers(0, 10**6, 200)]
+        texts += [" ".join([*words, *[line] * 3]), " ".join([*copy_of(words, 2, rng), *[line] * 80])]
+        seen.append(jaccard(shingles(texts[-2]), shingles(texts[-1])))
+        for _ in range(5):
+            words = copy_of(words, 3, rng)
+            texts.append(" ".join(words))
+    for low, high in ((0.8, 0.85), (0.85, 0.9), (0.9, 0.95), (0.95, 1.0)):
+        assert sum(low <= j < high for j in seen) >= 6
+    return [(int(k), t) for k, t in zip(rng.permutation(len(texts)), texts)]
+
+
+@pytest.mark.parametrize("how", [{}, {"tile_size": 40, "docs_at_once": 7, "shingles_at_once": 500}])
+def test_planted_copies_go(spark, planted, how):
+    docs = spark.createDataFrame(planted, "doc_id bigint, text string")
+    out = one_per_group(docs, width=5, radius=corpus_pipeline.COPY_RADIUS, similarity=0.8, **how)
+    assert sorted(r.doc_id for r in out.collect()) == heads(planted)
+
+
+def test_the_stage_follows_the_similarity(spark, small_dir, small_docs):
+    stages = dict(corpus_pipeline.STAGES)
+    docs = stages["near_dedup"](spark, stages["exact_dedup"](spark, small_docs, small_dir), small_dir)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = stages["near_copies"](spark, docs, small_dir)
+    assert got.columns == small_docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == heads(rows)
+    assert len(heads(rows)) < len(rows)
+
+
+def test_a_crowd_of_copies(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(copy_of(words, 1, rng))) for k in range(300)] + [(1000 + k, f"alone {k} of its kind here") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = one_per_group(docs, width=5, radius=22, similarity=0.8, docs_at_once=64)
+    assert sorted(r.doc_id for r in out.collect()) == [0, *range(1000, 1020)]
+
+
+def test_odd_rows(edge_docs, edge_rows, no_docs):
+    got = one_per_group(edge_docs, width=5, radius=22, similarity=0.8)
+    assert got.columns == edge_docs.columns
+    kept = [r.doc_id if r.doc_id is not None else -1 for r in got.collect()]
+    assert sorted(kept) == heads(list({(k if k is not None else -1, t) for k, t, _ in edge_rows}))
+    assert one_per_group(no_docs, width=5, radius=22, similarity=0.8).collect() == []
+
+
+def test_profile_of_a_set():
+    hashes = shingle_set(b"a b c d e f a b c d e f", 5)
+    unit, found, n, sketch = profile(hashes)
+    assert n == 6 == len(hashes)
+    bits = bit_counts(b"".join(int(h).to_bytes(8, "big") for h in hashes))
+    assert found % (1 << 64) == sum(1 << (63 - b) for b in range(64) if 2 * bits[b] > n)
+    assert (np.frombuffer(sketch, np.uint16) > 0).sum() == len(np.unique(hashes >> np.uint64(59)))
+    assert profile(shingle_set(b"", 5))[1:3] == (0, 0)
