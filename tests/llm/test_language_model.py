@@ -97,3 +97,26 @@ def test_levels():
         own = counts[levels == level]
         if own.max() < 4999:
             assert own.min() <= lm.LEVEL_COUNT[level] <= own.max()
+
+
+@pytest.mark.parametrize("most_words, most_pairs", [(40, 1 << 20), (1 << 18, 30), (0, 0)])
+def test_scores_do_not_depend_on_what_is_broadcast(small_docs, most_words, most_pairs):
+    """All entries of the filter are asked, wherever they are held."""
+
+    def scores(**how):
+        rows = lm.score_documents(small_docs, remainder("doc_id", 7) == 2, **how).collect()
+        return [s for _, s in sorted((r.doc_id, r.score) for r in rows)]
+
+    bounded = scores(most_words=most_words, most_pairs=most_pairs, docs_at_once=30, asked_at_once=5000)
+    assert bounded == pytest.approx(scores(docs_at_once=30, asked_at_once=5000), rel=1e-12)
+
+
+def test_slices_hold_all_entries(small_docs):
+    """The slices together are as large as the entries ask for, however many there are."""
+    texts = small_docs.select(raw_text("text").alias("text"))
+    model, sliced = lm.train(texts, 6, most_words=10, most_pairs=10)
+    held = lm.level_totals(lm.count_ngrams(texts, 6, (1, 2), 50_000))
+    lowest = [int(held[k].nonzero()[0].min()) for k in (0, 1)]
+    entries = sum(int((held[k] * np.maximum(np.arange(lm.LEVELS) - lowest[k] + 1, 0)).sum()) for k in (0, 1))
+    size = sum(len(r.slice) for r in sliced.select("slice").collect())
+    assert size >= entries * 10 / 8 and max(map(len, model.keys)) <= 10

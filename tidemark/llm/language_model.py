@@ -4,22 +4,24 @@ Counts are gathered over all training documents: tasks count the n-grams of
 runs of documents and send sorted keys by bucket, reducers add them up. The
 filter holds, for an n-gram of quantised count q, the entries (n-gram, lowest
 level) to (n-gram, q); its count is read back by probing level after level
-until one is missing. Every bucket owns a slice of the filter, so slices are
-built apart and put side by side. The filter is broadcast, so its size has a
-bound: the lowest level rises until the entries fit.
+until one is missing. Every bucket owns a slice of the filter. The slices hold
+all n-grams and are nowhere put together: the most frequent words and pairs, up
+to a bound, are broadcast with their levels, and for all others the slices are
+asked by bucket. Questions on words come first; their levels go on with the
+questions on pairs.
 
 The probability of a word after another is interpolated: a share, which depends
 on the level of the first word and is fitted by leaving one out, times the
 bigram estimate, and the rest times the add-one unigram estimate, both from
-probed counts. The base score uses exact counts: the most frequent words are
-broadcast, up to a bound, and all other words are looked up in the count table
-by bucket.
+probed counts. So a text's score follows from how many of its tokens have which
+levels (of the word before, of its own, of both), the text's cells. The base
+score uses exact counts in the same way.
 
 A-Z are lower-cased, tokens are words ``[^\\x20\\x09-\\x0D]+`` and one end per
 text; null and empty texts have the end only. The end of one text stands before
-the first word of the next. Keys are 64-bit hashes of the words. Without
-training documents all counts are zero. An empty table gives no rows; rows of
-one doc_id are scored each; extra columns are not read.
+the first word of the next of a run of texts. Keys are 64-bit hashes of the
+words. Without training documents all counts are zero. An empty table gives no
+rows; rows of one doc_id are scored each; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -165,6 +167,32 @@ def positions(keys: np.ndarray, level: int, probe: int) -> np.ndarray:
     return mixed_bits(keys + np.uint64(salt))
 
 
+def filter_slice(keys: np.ndarray, levels: np.ndarray, lowest: int, bits_per_entry: int) -> bytes:
+    """The bits of n-grams of these levels."""
+    entries = int(np.maximum(levels - lowest + 1, 0).sum())
+    size = max(64, -(-entries * bits_per_entry // 64) * 64)
+    bits = np.zeros(size, bool)
+    for level in range(lowest, int(levels.max(initial=0)) + 1):
+        there = keys[levels >= level]
+        for probe in range(HASHES):
+            bits[positions(there, level, probe) % np.uint64(size)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def probed_levels(data: np.ndarray, start, size, keys: np.ndarray, lowest: int) -> np.ndarray:
+    """Level of each n-gram by repeated probes of its slice of the bits, 0 where the first is missing."""
+    out = np.zeros(len(keys), np.int64)
+    start, size = np.broadcast_to(start, len(keys)), np.broadcast_to(size, len(keys))
+    live, level = np.flatnonzero(size), lowest
+    while len(live):
+        for probe in range(HASHES):
+            place = start[live] + (positions(keys[live], level, probe) % size[live]).astype(np.int64)
+            live = live[(data[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+        out[live] = level
+        level += 1
+    return out
+
+
 def slicer(lowest: tuple[int, int], bits_per_entry: int):
     """Tasks: counts to slices of the filter."""
 
@@ -174,14 +202,7 @@ def slicer(lowest: tuple[int, int], bits_per_entry: int):
                 kind, bucket = (batch.column(c)[i].as_py() for c in ("kind", "bucket"))
                 keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
                 levels = level_of(np.frombuffer(batch.column("counts")[i].as_buffer(), np.int64))
-                entries = int(np.maximum(levels - lowest[kind] + 1, 0).sum())
-                size = max(64, -(-entries * bits_per_entry // 64) * 64)
-                bits = np.zeros(size, bool)
-                for level in range(lowest[kind], int(levels.max(initial=0)) + 1):
-                    there = keys[levels >= level]
-                    for probe in range(HASHES):
-                        bits[positions(there, level, probe) % np.uint64(size)] = True
-                row = [kind, bucket, np.packbits(bits, bitorder="little").tobytes()]
+                row = [kind, bucket, filter_slice(keys, levels, lowest[kind], bits_per_entry)]
                 kinds = [pa.int32(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["kind", "bucket", "slice"])
 
@@ -200,104 +221,128 @@ class Filter:
 
     def levels(self, keys: np.ndarray, kind: int) -> np.ndarray:
         """Level of each n-gram by repeated probes, 0 where the first is missing."""
-        out = np.zeros(len(keys), np.int64)
         bucket = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
-        size, start = self.sizes[kind][bucket].astype(np.uint64), self.starts[kind][bucket]
-        live, level = np.flatnonzero(size), self.lowest[kind]
-        while len(live):
-            for probe in range(HASHES):
-                place = start[live] + (positions(keys[live], level, probe) % size[live]).astype(np.int64)
-                live = live[(self.data[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
-            out[live] = level
-            level += 1
-        return out
+        return probed_levels(self.data, self.starts[kind][bucket], self.sizes[kind][bucket].astype(np.uint64), keys, self.lowest[kind])
+
+
+def estimates(before: np.ndarray, own: np.ndarray, both: np.ndarray, size: int, less: float = 0.0):
+    """Bigram and unigram probabilities by levels; ``less`` is taken off all counts to leave a token out."""
+    context = np.maximum(LEVEL_COUNT[before] - less, 0)
+    pair = np.minimum(np.maximum(LEVEL_COUNT[both] - less, 0), context)
+    after = np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0)
+    return after, (np.maximum(LEVEL_COUNT[own] - less, 0) + 1) / size
+
+
+# A cell is the levels of the word before, of the word and of both in seven bits each, and whether the text is learnt from.
+LEARNT = 1 << 21
+
+
+def cell_levels(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    cells = cells.astype(np.int64)
+    return cells >> 14 & 127, cells >> 7 & 127, cells & 127
+
+
+def fit_shares(cells: np.ndarray, n: np.ndarray, size: int, rounds: int = 20) -> np.ndarray:
+    """Expectation-maximisation over the cells of texts, each token left out of the counts."""
+    before, own, both = cell_levels(cells)
+    after, alone = estimates(before, own, both, size, less=1.0)
+    shares, total = np.full(LEVELS, 0.5), np.bincount(before, weights=n, minlength=LEVELS)
+    for _ in range(rounds):
+        pair = shares[before] * after
+        due = np.bincount(before, weights=n * pair / (pair + (1 - shares[before]) * alone), minlength=LEVELS)
+        shares = due / (total + 1)  # one more, so that a level seen once does not trust itself
+    return np.minimum(shares, 0.999) * (np.arange(LEVELS) > 0)
+
+
+def cell_scores(cells: np.ndarray, shares: np.ndarray, size: int) -> np.ndarray:
+    before, own, both = cell_levels(cells)
+    after, alone = estimates(before, own, both, size)
+    return np.log10(shares[before] * after + (1 - shares[before]) * alone)
+
+
+def level_totals(counts: DataFrame) -> np.ndarray:
+    """How many n-grams of each kind have each level."""
+    by_level = counts.select("kind", F.posexplode("held").alias("level", "n")).groupBy("kind", "level").agg(F.sum("n").alias("n"))
+    held = np.zeros((2, LEVELS), np.int64)
+    for row in by_level.collect():
+        held[row.kind, row.level] = row.n
+    return held
+
+
+def frequent_from(held: np.ndarray, most: int) -> int:
+    """The lowest level whose n-grams, with those above, are ``most`` at most."""
+    level = LEVELS
+    while level > 1 and held[level - 1] <= most:
+        level -= 1
+        most -= held[level]
+    return level
+
+
+SLICES = "kind int, bucket bigint, keys binary, counts binary, slice binary, top_keys binary, top_counts binary, top_levels binary"
+
+
+def model_slicer(least: tuple[int, int], frequent: tuple[int, int], bits_per_entry: int):
+    """Tasks: counts to slices of the filter, and the frequent n-grams with the levels that their slice tells."""
+    names = [c.split()[0] for c in SLICES.split(", ")]
+    lowest = [int(level_of(np.array([n]))[0]) for n in least]
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                kind, bucket = (batch.column(c)[i].as_py() for c in ("kind", "bucket"))
+                keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
+                counts = np.frombuffer(batch.column("counts")[i].as_buffer(), np.int64)
+                levels = level_of(counts)
+                bits = filter_slice(keys, levels, lowest[kind], bits_per_entry)
+                top = levels >= frequent[kind]
+                told = probed_levels(np.frombuffer(bits, np.uint8), 0, np.uint64(8 * len(bits)), keys[top], lowest[kind])
+                exact = [keys.tobytes(), counts.tobytes()] if kind == UNIGRAM else [b"", b""]
+                row = [kind, bucket, *exact, bits, keys[top].tobytes(), counts[top].tobytes(), told.astype(np.uint8).tobytes()]
+                kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
+
+    return build
 
 
 @dataclass
 class Model:
-    filter: Filter
+    """What is broadcast: sorted keys of the most frequent words and pairs, their counts and levels."""
+
     tokens: int
     types: int
-    shares: np.ndarray  # of the bigram estimate, by level of the first word
-    top_keys: np.ndarray  # sorted keys of the most frequent words
-    top_counts: np.ndarray
+    keys: tuple[np.ndarray, np.ndarray]  # by kind
+    counts: np.ndarray  # of the words
+    levels: tuple[np.ndarray, np.ndarray]
 
     def parts(self) -> tuple:
         """Plain arrays and numbers, which a worker can read without this package."""
-        return tuple(vars(self.filter).values()), *list(vars(self).values())[1:]
-
-    @classmethod
-    def of(cls, parts: tuple) -> Model:
-        return cls(Filter(*parts[0]), *parts[1:])
-
-    def probed(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Levels of the word before each token, of the token, and of both together."""
-        distinct, back = np.unique(keys, return_inverse=True)
-        own = self.filter.levels(distinct, UNIGRAM)[back]
-        before = np.empty_like(own)
-        before[1:] = own[:-1]
-        before[:1] = self.filter.levels(np.array([xxhash.xxh64_intdigest(END)], np.uint64), UNIGRAM)
-        return before, own, self.filter.levels(bigram_keys(keys), BIGRAM)
-
-    def estimates(self, before: np.ndarray, own: np.ndarray, both: np.ndarray, less: float = 0.0):
-        """Bigram and unigram probabilities; ``less`` is taken off all counts to leave a token out."""
-        context = np.maximum(LEVEL_COUNT[before] - less, 0)
-        pair = np.minimum(np.maximum(LEVEL_COUNT[both] - less, 0), context)
-        after = np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0)
-        return after, (np.maximum(LEVEL_COUNT[own] - less, 0) + 1) / (self.tokens + self.types + 1)
-
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        before, own, both = self.probed(keys)
-        after, alone = self.estimates(before, own, both)
-        share = self.shares[before]
-        return np.log10(share * after + (1 - share) * alone)
-
-    def fit_shares(self, texts: list[bytes], rounds: int = 20) -> None:
-        """Expectation-maximisation on training texts, each token left out of the counts."""
-        self.shares = np.full(LEVELS, 0.0)
-        if not texts:
-            return
-        before, own, both = self.probed(token_keys(WordKeys(), texts)[0])
-        after, alone = self.estimates(before, own, both, less=1.0)
-        shares, n = np.full(LEVELS, 0.5), np.bincount(before, minlength=LEVELS)
-        for _ in range(rounds):
-            pair = shares[before] * after
-            due = np.bincount(before, weights=pair / (pair + (1 - shares[before]) * alone), minlength=LEVELS)
-            shares = due / (n + 1)  # one more, so that a level seen once does not trust itself
-        self.shares = np.minimum(shares, 0.999) * (np.arange(LEVELS) > 0)
-
-
-def most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the words of the highest levels, ``most`` words at most."""
-    rows = counts.filter(F.col("kind") == UNIGRAM)
-    by_level = rows.select(F.posexplode("held").alias("level", "n")).groupBy("level").agg(F.sum("n").alias("n"))
-    held, level = {r.level: r.n for r in by_level.collect()}, LEVELS
-    while level > 1 and held.get(level - 1, 0) <= most:
-        level -= 1
-        most -= held.get(level, 0)
+        return tuple(vars(self).values())
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
-                n = np.frombuffer(batch.column("counts")[i].as_buffer(), np.int64)
-                stay = level_of(n) >= level
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[stay].tobytes()], pa.binary()) for x in (keys, n)], ["keys", "counts"]
-                )
+    def find(self, keys: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the n-grams are here, and where."""
+        held = self.keys[kind]
+        if not len(held):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        place = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+        return held[place] == keys, place
 
-    found = rows.select("keys", "counts").mapInArrow(pick, "keys binary, counts binary").collect()
-    keys = np.frombuffer(b"".join(bytes(r["keys"]) for r in found), np.uint64)
-    order = np.argsort(keys)
-    return keys[order], np.frombuffer(b"".join(bytes(r["counts"]) for r in found), np.int64)[order]
+
+def frequent(slices_: DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    found = slices_.filter(F.col("kind") == kind).select("top_keys", "top_counts", "top_levels").collect()
+    columns = [
+        np.frombuffer(b"".join(bytes(r[k]) for r in found), t) for k, t in enumerate((np.uint64, np.int64, np.uint8))
+    ]
+    order = np.argsort(columns[0])
+    keys, counts, levels = (c[order] for c in columns)
+    return keys, counts, levels
 
 
 def build_filter(counts: DataFrame, bits: int, least: tuple[int, int], bits_per_entry: int, most_bytes: int) -> Filter:
-    """The filter of a count table, ``most_bytes`` at most (and 8 bytes for each bucket)."""
-    by_level = counts.select("kind", F.posexplode("held").alias("level", "n")).groupBy("kind", "level").agg(F.sum("n").alias("n"))
-    held = np.zeros((2, LEVELS), np.int64)
-    for row in by_level.collect():
-        held[row.kind, row.level] = row.n
+    """A filter in one piece, for use without the slices; no query is scored by it.
+
+    It has ``most_bytes`` at most (and 8 bytes for each bucket): the lowest level rises until the entries fit.
+    """
+    held = level_totals(counts)
     lowest = [int(level_of(np.array([n]))[0]) for n in least]
 
     def entries(kind: int) -> int:
@@ -325,70 +370,115 @@ def train(
     *,
     least: tuple[int, int] = (1, 2),
     bits_per_entry: int = 10,
-    most_bytes: int = 64 * 1024 * 1024,
     most_words: int = 1 << 18,
-    share_docs: int = 300,
-    share_bytes: int = 8 * 1024,
+    most_pairs: int = 1 << 20,
     tokens_at_once: int = 2_000_000,
-    seed: int = 3,
 ) -> tuple[Model, DataFrame]:
-    """A model of ``text`` rows, and their count table.
+    """A model of ``text`` rows, and the slices of its filter.
 
-    ``least`` are the smallest counts kept of words and pairs. The shares are
-    fitted on about ``share_docs`` documents of at most ``share_bytes``.
+    ``least`` are the smallest counts kept of words and pairs; ``most_words``
+    and ``most_pairs`` bound what is broadcast.
     """
     counts = count_ngrams(docs, bits, (1, least[BIGRAM]), tokens_at_once)
     words = counts.filter(F.col("kind") == UNIGRAM).agg(F.sum("tokens"), F.sum("types")).first()
-    held = build_filter(counts, bits, least, bits_per_entry, most_bytes)
-    model = Model(held, words[0] or 0, words[1] or 0, np.zeros(LEVELS), *most_frequent(counts, most_words))
-    short = docs.filter(F.octet_length("text") <= share_bytes)
-    sample = short.sample(min(1.0, share_docs / max(docs.count(), 1)), seed=seed).select("text").collect()
-    model.fit_shares(sorted(bytes(r.text) for r in sample))
-    return model, counts
+    held = level_totals(counts)
+    cuts = frequent_from(held[UNIGRAM], most_words), frequent_from(held[BIGRAM], most_pairs)
+    build = model_slicer(least, cuts, bits_per_entry)
+    sliced = land(counts.select("kind", "bucket", "keys", "counts").mapInArrow(build, SLICES), "ngram-slices")
+    (word_keys, word_counts, word_levels), (pair_keys, _, pair_levels) = (frequent(sliced, k) for k in (UNIGRAM, BIGRAM))
+    return Model(words[0] or 0, words[1] or 0, (word_keys, pair_keys), word_counts, (word_levels, pair_levels)), sliced
 
 
+# A row is a document (row is not null), a chunk's tokens with words to ask for (tokens), or questions to one
+# bucket; ``kind`` is of the questions. Cells of a row's documents are in ``rows, cells, n``.
 SCORED = (
-    "chunk bigint, row int, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, "
-    "bucket bigint, keys binary, rows binary"
+    "chunk bigint, row int, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, "
+    "kind int, bucket bigint, keys binary, rows binary, cells binary, n binary, tokens binary"
 )
+SCORED_NAMES = [c.split()[0] for c in SCORED.split(", ")]
+SCORED_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64()]
+SCORED_KINDS += [pa.binary()] * 5
+# A token of which a word is to be asked for: levels that are known, 255 for unknown.
+TOKEN = np.dtype([("own", np.uint64), ("before", np.uint64), ("both", np.uint64), ("row", np.int32), ("learnt", np.uint8)]
+                 + [(f"{c}_level", np.uint8) for c in ("own", "before", "both")])
+UNKNOWN = 255
+
+
+def scored_rows(columns: dict, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(SCORED_NAMES, SCORED_KINDS)], SCORED_NAMES
+    )
 
 
-def scorer(shared, bits: int, docs_at_once: int, asked_at_once: int):
-    """Tasks: texts to scores, and questions for the counts of rarer words by bucket."""
-    names = [c.split()[0] for c in SCORED.split(", ")]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    kinds += [pa.int64(), pa.binary(), pa.binary()]
-
-    def batch_of(columns: dict, n: int) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in zip(names, kinds)], names
-        )
+def cell_columns(rows: np.ndarray, cells: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Cells of tokens, counted for each document of a chunk."""
+    both, n = np.unique(rows.astype(np.uint64) << np.uint64(32) | cells.astype(np.uint64), return_counts=True)
+    return (both >> np.uint64(32)).astype(np.int32).tobytes(), both.astype(np.uint32).tobytes(), n.astype(np.uint32).tobytes()
 
-    def questions(chunk: int, keys: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(keys)
-        keys, rows = keys[order], rows[order]
-        cuts = bucket_bounds(keys, bits)
-        spans = [(b, x, y) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
-        columns = {
-            "chunk": [chunk] * len(spans),
-            "bucket": [b for b, _, _ in spans],
-            "keys": [keys[x:y].tobytes() for _, x, y in spans],
-            "rows": [rows[x:y].astype(np.int32).tobytes() for _, x, y in spans],
-        }
-        return batch_of(columns, len(spans))
+
+def questions(chunk: int, kind: int, bits: int, keys: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
+    """The n-grams to ask for, by bucket, with what must come back beside them."""
+    order = np.argsort(keys, kind="stable")
+    keys, more = keys[order], {c: v[order] for c, v in more.items()}
+    cuts = bucket_bounds(keys, bits)
+    spans = [(b, x, y) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
+    columns = {"chunk": [chunk] * len(spans), "kind": [kind] * len(spans), "bucket": [b for b, _, _ in spans]}
+    columns |= {c: [v[x:y].tobytes() for _, x, y in spans] for c, v in (("keys", keys), *more.items())}
+    return scored_rows(columns, len(spans))
+
+
+def sorted_out(chunk: int, bits: int, tokens: np.ndarray) -> list[pa.RecordBatch]:
+    """Tokens whose words are known: cells, and questions on pairs."""
+    cells = tokens["learnt"].astype(np.uint32) * np.uint32(LEARNT)
+    cells |= tokens["before_level"].astype(np.uint32) << np.uint32(14) | tokens["own_level"].astype(np.uint32) << np.uint32(7)
+    told, out = tokens["both_level"] != UNKNOWN, []
+    if told.any():
+        columns = cell_columns(tokens["row"][told], cells[told] | tokens["both_level"][told])
+        out.append(scored_rows({"chunk": [chunk]} | {c: [v] for c, v in zip(("rows", "cells", "n"), columns)}, 1))
+    if not told.all():
+        rest = tokens[~told]
+        out.append(questions(chunk, BIGRAM, bits, rest["both"], rows=rest["row"], cells=cells[~told]))
+    return out
+
+
+def scorer(shared, bits: int, docs_at_once: int, asked_at_once: int):
+    """Tasks: texts to documents, cells, and questions on rarer words and pairs by bucket."""
+    end = np.uint64(xxhash.xxh64_intdigest(END))
+
+    def flush(chunk: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        tokens = np.concatenate(parts)
+        waits = (tokens["own_level"] == UNKNOWN) | (tokens["before_level"] == UNKNOWN)
+        yield from sorted_out(chunk, bits, tokens[~waits])
+        if waits.any():
+            asked = tokens[waits]
+            words = [asked[c][asked[f"{c}_level"] == UNKNOWN] for c in ("own", "before")]
+            yield questions(chunk, UNIGRAM, bits, np.unique(np.concatenate(words)))
+            yield scored_rows({"chunk": [chunk], "tokens": [asked.tobytes()]}, 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = Model.of(shared.value), WordKeys()
-        chunk, row, asked = TaskContext.get().partitionId() << 32, 0, []
+        model, known = Model(*shared.value), WordKeys()
+        chunk, row, held, parts = TaskContext.get().partitionId() << 32, 0, 0, []
         for batch in batches:
             for begin, texts in slices(batch, "text", TEXT_BUDGET):
                 keys, counts = token_keys(known, texts)
                 starts, n = counts.cumsum() - counts, len(texts)
-                place = np.searchsorted(model.top_keys, keys)
-                place[place == len(model.top_keys)] = 0
-                common = model.top_keys[place] == keys if len(model.top_keys) else np.zeros(len(keys), bool)
-                exact = np.where(common, np.log10(model.top_counts[place] + 1), 0) if common.any() else np.zeros(len(keys))
                 part = batch.slice(begin, n)
+                tokens = np.empty(len(keys), TOKEN)
+                tokens["own"], tokens["both"] = keys, bigram_keys(keys)
+                tokens["before"][1:], tokens["before"][:1] = keys[:-1], end
+                tokens["row"] = np.repeat(np.arange(row, row + n), counts)
+                tokens["learnt"] = np.repeat(part.column("learnt").to_numpy(zero_copy_only=False), counts)
+                common, place = model.find(keys, UNIGRAM)
+                levels = np.full(len(keys), UNKNOWN, np.uint8)
+                levels[common] = model.levels[UNIGRAM][place[common]]
+                exact = np.zeros(len(keys))
+                exact[common] = np.log10(model.counts[place[common]] + 1)
+                tokens["own_level"], tokens["before_level"][1:] = levels, levels[:-1]
+                there, at = model.find(np.array([end]), UNIGRAM)
+                tokens["before_level"][:1] = model.levels[UNIGRAM][at[0]] if there[0] else UNKNOWN
+                there, at = model.find(tokens["both"], BIGRAM)
+                tokens["both_level"] = UNKNOWN
+                tokens["both_level"][there] = model.levels[BIGRAM][at[there]]
                 columns = {
                     "chunk": [chunk] * n,
                     "row": np.arange(row, row + n, dtype=np.int32),
@@ -397,64 +487,151 @@ def scorer(shared, bits: int, docs_at_once: int, asked_at_once: int):
                     "n_tokens": counts,
                     "known": np.add.reduceat(common, starts, dtype=np.int64),
                     "base": np.add.reduceat(exact, starts) - counts * math.log10(model.tokens + model.types + 1),
-                    "score": np.add.reduceat(model.log10(keys), starts),
                 }
-                yield batch_of(columns, n)
-                asked.append((keys[~common], np.repeat(np.arange(row, row + n), counts)[~common]))
+                yield scored_rows(columns, n)
+                parts.append(tokens)
+                held += len(tokens)
                 row += n
-                if row >= docs_at_once or sum(len(k) for k, _ in asked) >= asked_at_once:
-                    yield questions(chunk, *(np.concatenate(x) for x in zip(*asked)))
-                    chunk, row, asked = chunk + 1, 0, []
-        if asked:
-            yield questions(chunk, *(np.concatenate(x) for x in zip(*asked)))
+                if row >= docs_at_once or held >= asked_at_once:
+                    yield from flush(chunk, parts)
+                    chunk, row, held, parts = chunk + 1, 0, 0, []
+        if parts:
+            yield from flush(chunk, parts)
 
     return score
 
 
-ANSWERS = "chunk bigint, rows binary, add binary, known binary"
-
-
-def answer(questions: pa.Table, counts: pa.Table) -> pa.Table:
-    """Counts of one bucket's words, summed for each document of a chunk that asked."""
-    keys, held = np.empty(0, np.uint64), np.empty(0, np.int64)
-    if counts.num_rows:
-        keys = np.frombuffer(counts.column("keys")[0].as_buffer(), np.uint64)
-        held = np.frombuffer(counts.column("counts")[0].as_buffer(), np.int64)
-    out = []
-    for i in range(questions.num_rows):
-        asked = np.frombuffer(questions.column("keys")[i].as_buffer(), np.uint64)
-        rows = np.frombuffer(questions.column("rows")[i].as_buffer(), np.int32)
-        found = np.zeros(len(asked), np.int64)
-        if len(keys):
-            place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-            found = np.where(keys[place] == asked, held[place], 0)
-        distinct, back = np.unique(rows, return_inverse=True)
-        add = np.bincount(back, weights=np.log10(found + 1.0), minlength=len(distinct))
-        known = np.bincount(back, weights=found > 0, minlength=len(distinct)).astype(np.int64)
-        out.append((questions.column("chunk")[i].as_py(), distinct.tobytes(), add.tobytes(), known.tobytes()))
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    columns = list(zip(*out)) or [[], [], [], []]
-    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "rows", "add", "known"])
+LOOKED_UP = "chunk bigint, keys binary, counts binary, levels binary"
+
+
+def asked_slice(slices_: pa.Table, keys: np.ndarray, lowest: int) -> np.ndarray:
+    """Levels of n-grams by their bucket's slice, if it has one."""
+    if not slices_.num_rows:
+        return np.zeros(len(keys), np.int64)
+    data = np.frombuffer(slices_.column("slice")[0].as_buffer(), np.uint8)
+    return probed_levels(data, 0, np.uint64(8 * len(data)), keys, lowest)
+
+
+def word_answerer(lowest: int):
+    def answer(asked: pa.Table, slices_: pa.Table) -> pa.Table:
+        """Counts and levels of one bucket's words for the chunks that asked."""
+        held, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        if slices_.num_rows:
+            held = np.frombuffer(slices_.column("keys")[0].as_buffer(), np.uint64)
+            counts = np.frombuffer(slices_.column("counts")[0].as_buffer(), np.int64)
+        out = []
+        for i in range(asked.num_rows):
+            keys = np.frombuffer(asked.column("keys")[i].as_buffer(), np.uint64)
+            found = np.zeros(len(keys), np.int64)
+            if len(held):
+                place = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+                found = np.where(held[place] == keys, counts[place], 0)
+            levels = asked_slice(slices_, keys, lowest).astype(np.uint8)
+            out.append((asked.column("chunk")[i].as_py(), keys.tobytes(), found.tobytes(), levels.tobytes()))
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        columns = list(zip(*out)) or [[], [], [], []]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "keys", "counts", "levels"])
+
+    return answer
+
+
+RESOLVED = SCORED + ", add binary, more binary, add_rows binary"
+
+
+def resolver(bits: int):
+    def resolve(tokens: pa.Table, answers: pa.Table) -> pa.Table:
+        """A chunk's tokens that waited for words: base scores, cells, and questions on pairs."""
+        chunk = tokens.column("chunk")[0].as_py()
+        own = np.concatenate([np.frombuffer(t.as_buffer(), TOKEN) for t in tokens.column("tokens")])
+        keys, counts, levels = (
+            np.concatenate([np.frombuffer(x.as_buffer(), t) for x in answers.column(c)])
+            for c, t in (("keys", np.uint64), ("counts", np.int64), ("levels", np.uint8))
+        )
+        order = np.argsort(keys)
+        keys, counts, levels = keys[order], counts[order], levels[order]
+        rare = own["own_level"] == UNKNOWN
+        found = counts[np.searchsorted(keys, own["own"][rare])]
+        rows, back = np.unique(own["row"][rare], return_inverse=True)
+        add = np.bincount(back, weights=np.log10(found + 1.0), minlength=len(rows))
+        more = np.bincount(back, weights=found > 0, minlength=len(rows)).astype(np.int64)
+        for c in ("own", "before"):
+            asked = own[f"{c}_level"] == UNKNOWN
+            own[f"{c}_level"][asked] = levels[np.searchsorted(keys, own[c][asked])]
+        sums = {"chunk": [chunk], "add": [add.tobytes()], "more": [more.tobytes()], "add_rows": [rows.astype(np.int32).tobytes()]}
+        out = [*map(pa.Table.from_batches, ([b] for b in sorted_out(chunk, bits, own)))]
+        names = [c.split()[0] for c in RESOLVED.split(", ")]
+        kinds = dict(zip(names, [*SCORED_KINDS, *[pa.binary()] * 3]))
+
+        def whole(columns: dict, n: int) -> pa.Table:
+            return pa.table({c: columns[c] if c in columns else pa.nulls(n, kinds[c]) for c in names}, pa.schema(kinds.items()))
+
+        tables = [whole({c: t.column(c) for c in t.column_names}, t.num_rows) for t in out]
+        tables.append(whole({c: pa.array(v, kinds[c]) for c, v in sums.items()}, 1))
+        return pa.concat_tables(tables)
+
+    return resolve
+
+
+CELLS = "chunk bigint, rows binary, cells binary, n binary"
+
+
+def pair_answerer(lowest: int):
+    def answer(asked: pa.Table, slices_: pa.Table) -> pa.Table:
+        """Cells of the tokens that asked for one bucket's pairs."""
+        out = []
+        for i in range(asked.num_rows):
+            keys, rows, cells = (
+                np.frombuffer(asked.column(c)[i].as_buffer(), t) for c, t in (("keys", np.uint64), ("rows", np.int32), ("cells", np.uint32))
+            )
+            levels = asked_slice(slices_, keys, lowest).astype(np.uint32)
+            out.append((asked.column("chunk")[i].as_py(), *cell_columns(rows, cells | levels)))
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        columns = list(zip(*out)) or [[], [], [], []]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "rows", "cells", "n"])
+
+    return answer
+
+
+def learnt_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Tasks: how many tokens of the texts learnt from have each cell."""
+    total: dict[int, int] = {}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            cells, n = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint32) for c in ("cells", "n"))
+            stay = cells >= LEARNT
+            distinct, back = np.unique(cells[stay], return_inverse=True)
+            for cell, k in zip(distinct.tolist(), np.bincount(back, weights=n[stay], minlength=len(distinct)).tolist()):
+                total[cell] = total.get(cell, 0) + int(k)
+    yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.int64()) for x in (total.keys(), total.values())], ["cell", "n"])
 
 
 RESULT = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
-def complete(docs: pa.Table, answers: pa.Table) -> pa.Table:
-    """A chunk's documents with the answers added, in a fixed order."""
-    docs, answers = docs.sort_by("row"), answers.sort_by("rows")
-    known, base = docs.column("known").to_numpy().copy(), docs.column("base").to_numpy().copy()
-    for i in range(answers.num_rows):
-        rows, add, more = (
-            np.frombuffer(answers.column(c)[i].as_buffer(), t)
-            for c, t in (("rows", np.int32), ("add", np.float64), ("known", np.int64))
+def completer(shares: np.ndarray, size: int):
+    def complete(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        """A chunk's documents with all that was found of them, in a fixed order."""
+        docs = docs.sort_by("row")
+        known, base = docs.column("known").to_numpy().copy(), docs.column("base").to_numpy().copy()
+        parts: dict[str, list] = {"rows": [], "cells": [], "n": []}
+        for i in range(answers.num_rows):
+            row = {c: answers.column(c)[i].as_py() for c in ("rows", "cells", "n", "add", "more", "add_rows")}
+            if row["add"] is not None:
+                at = np.frombuffer(row["add_rows"], np.int32)
+                base[at] += np.frombuffer(row["add"], np.float64)
+                known[at] += np.frombuffer(row["more"], np.int64)
+            else:
+                for c, t in (("rows", np.int32), ("cells", np.uint32), ("n", np.uint32)):
+                    parts[c].append(np.frombuffer(row[c], t))
+        rows, cells, n = (np.concatenate(parts[c]) for c in ("rows", "cells", "n"))
+        order = np.lexsort((cells, rows))
+        score = np.bincount(rows[order], weights=n[order] * cell_scores(cells[order], shares, size), minlength=len(base))
+        columns = [docs.column(c) for c in ("doc_id", "held_out", "n_tokens")]
+        return pa.Table.from_arrays(
+            [*columns, pa.array(known), pa.array(base), pa.array(score)], [c.split()[0] for c in RESULT.split(", ")]
         )
-        base[rows] += add
-        known[rows] += more
-    columns = [docs.column(c) for c in ("doc_id", "held_out", "n_tokens")]
-    return pa.Table.from_arrays(
-        [*columns, pa.array(known), pa.array(base), docs.column("score")], [c.split()[0] for c in RESULT.split(", ")]
-    )
+
+    return complete
 
 
 def bucket_bits(docs: DataFrame, bytes_per_bucket: int) -> int:
@@ -471,13 +648,18 @@ def score_documents(
     bytes_per_bucket: int = 64 * 1024 * 1024,
     docs_at_once: int = 20_000,
     asked_at_once: int = 500_000,
+    least: tuple[int, int] = (1, 2),
+    share_docs: int = 300,
+    share_bytes: int = 8 * 1024,
+    seed: int = 3,
     **how,
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     The model learns from the documents that are not ``held_out``; scores are
     log10 probabilities of whole texts. The number of buckets follows the size
-    of the texts.
+    of the texts. The shares are fitted on about ``share_docs`` documents of at
+    most ``share_bytes``.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
@@ -485,15 +667,38 @@ def score_documents(
         raw_text(text_col).alias("text"),
     )
     bits = bucket_bits(rows, bytes_per_bucket)
-    model, counts = train(rows.filter(~F.col("held_out")).select("text"), bits, **how)
+    learnt = rows.filter(~F.col("held_out")).select("text")
+    model, sliced = train(learnt, bits, least=least, **how)
+    lowest = [int(level_of(np.array([n]))[0]) for n in least]
+    size = model.tokens + model.types + 1
     shared = docs.sparkSession.sparkContext.broadcast(model.parts())
+    sampled = (F.octet_length("text") <= share_bytes) & (F.rand(seed) < share_docs / max(learnt.count(), 1))
+    rows = rows.withColumn("learnt", ~F.col("held_out") & sampled)
     scored = land(rows.mapInArrow(scorer(shared, bits, docs_at_once, asked_at_once), SCORED), "lm-scores")
-    questions = scored.filter(F.col("bucket").isNotNull()).select("bucket", "chunk", "keys", "rows")
-    words = counts.filter(F.col("kind") == UNIGRAM).select("bucket", "keys", "counts")
-    words = words.join(questions.select("bucket").distinct(), "bucket", "left_semi")
-    answers = questions.groupBy("bucket").cogroup(words.groupBy("bucket")).applyInArrow(answer, ANSWERS)
-    own = scored.filter(F.col("row").isNotNull()).select("chunk", "row", "doc_id", "held_out", "n_tokens", "known", "base", "score")
-    result = own.groupBy("chunk").cogroup(land(answers, "lm-answers").groupBy("chunk")).applyInArrow(complete, RESULT)
+
+    def asked(found: DataFrame, kind: int) -> DataFrame:
+        return found.filter(F.col("kind") == kind).select("bucket", "chunk", "keys", "rows", "cells")
+
+    def answered(found: DataFrame, kind: int, columns: list[str]) -> tuple:
+        held = sliced.filter(F.col("kind") == kind).select("bucket", *columns)
+        held = held.join(found.select("bucket").distinct(), "bucket", "left_semi")
+        return found.groupBy("bucket").cogroup(held.groupBy("bucket"))
+
+    words = answered(asked(scored, UNIGRAM), UNIGRAM, ["keys", "counts", "slice"]).applyInArrow(word_answerer(lowest[UNIGRAM]), LOOKED_UP)
+    waiting = scored.filter(F.col("tokens").isNotNull()).select("chunk", "tokens")
+    resolved = waiting.groupBy("chunk").cogroup(land(words, "lm-words").groupBy("chunk")).applyInArrow(resolver(bits), RESOLVED)
+    resolved = land(resolved, "lm-resolved")
+    pairs = asked(scored, BIGRAM).unionByName(asked(resolved, BIGRAM))
+    pairs = land(answered(pairs, BIGRAM, ["slice"]).applyInArrow(pair_answerer(lowest[BIGRAM]), CELLS), "lm-pairs")
+    cells = [x.filter(F.col("n").isNotNull()).select("chunk", "rows", "cells", "n") for x in (scored, resolved, pairs)]
+    cells = cells[0].unionByName(cells[1]).unionByName(cells[2])
+    total = cells.select("cells", "n").mapInArrow(learnt_cells, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
+    total = np.array(sorted((r.cell, r.n) for r in total.collect()), np.int64).reshape(-1, 2)
+    shares = fit_shares(total[:, 0], total[:, 1], size) if len(total) else np.zeros(LEVELS)
+    sums = resolved.filter(F.col("add").isNotNull()).select("chunk", "add", "more", "add_rows")
+    found = cells.unionByName(sums, allowMissingColumns=True)
+    own = scored.filter(F.col("row").isNotNull()).select("chunk", "row", "doc_id", "held_out", "n_tokens", "known", "base")
+    result = own.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(completer(shares, size), RESULT)
     return result.withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))
 
 
