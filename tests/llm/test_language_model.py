@@ -120,3 +120,52 @@ def test_slices_hold_all_entries(small_docs):
     entries = sum(int((held[k] * np.maximum(np.arange(lm.LEVELS) - lowest[k] + 1, 0)).sum()) for k in (0, 1))
     size = sum(len(r.slice) for r in sliced.select("slice").collect())
     assert size >= entries * 10 / 8 and max(map(len, model.keys)) <= 10
+
+
+def exact_scores(docs, least=2, rounds=20):
+    """Scores by dictionaries, shares fitted token by token on all training texts."""
+    train = [tokens(t) for k, t in docs if not held(k)]
+    single = collections.Counter(w for own in train for w in own)
+    pairs = collections.Counter(p for own in train for p in zip([b"\n", *own], own))
+    size = sum(single.values()) + len(single) + 1
+
+    def level(n):
+        return int(lm.level_of(np.array([n]))[0]) if n else 0
+
+    def middle(n, less):
+        return max(float(lm.LEVEL_COUNT[level(n)]) - less, 0)
+
+    def parts(own, less):
+        for a, b in zip([b"\n", *own], own):
+            both = pairs[a, b] if pairs[a, b] >= least else 0
+            context = middle(single[a], less)
+            after = min(middle(both, less), context) / context if context else 0.0
+            yield level(single[a]), after, (middle(single[b], less) + 1) / size
+
+    seen = [x for own in train for x in parts(own, 1.0)]
+    n = collections.Counter(x[0] for x in seen)
+    shares = collections.defaultdict(lambda: 0.5)
+    for _ in range(rounds):
+        due = collections.Counter()
+        for before, after, alone in seen:
+            pair = shares[before] * after
+            due[before] += pair / (pair + (1 - shares[before]) * alone)
+        shares = collections.defaultdict(float, {q: due[q] / (n[q] + 1) for q in n})
+    shares = collections.defaultdict(float, {q: min(x, 0.999) if q else 0.0 for q, x in shares.items()})
+    return {k: sum(math.log10(shares[q] * x + (1 - shares[q]) * y) for q, x, y in parts(tokens(t), 0.0)) for k, t in docs}
+
+
+@pytest.mark.parametrize("split", [1, 7])
+def test_shares_are_fitted_on_all_texts(spark, split):
+    """Long texts and rare levels take part, and the scores do not depend on the layout."""
+    rng = np.random.default_rng(2)
+    docs = []
+    for k in range(60):
+        n = 4000 if k % 10 == 0 else 40
+        at = rng.zipf(1.4, n) % 300
+        docs.append((k, " ".join(f"w{a} v{a}" if a % 3 else f"w{a}" for a in at)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(split)
+    # Sparse bits: hardly a false level.
+    rows = lm.score_documents(df, remainder("doc_id", 7) == 2, bits_per_entry=200, least=(1, 2)).collect()
+    wanted = exact_scores(docs)
+    assert {r.doc_id: r.score for r in rows} == pytest.approx(wanted, rel=1e-6)

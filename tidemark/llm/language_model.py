@@ -649,17 +649,13 @@ def score_documents(
     docs_at_once: int = 20_000,
     asked_at_once: int = 500_000,
     least: tuple[int, int] = (1, 2),
-    share_docs: int = 300,
-    share_bytes: int = 8 * 1024,
-    seed: int = 3,
     **how,
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     The model learns from the documents that are not ``held_out``; scores are
     log10 probabilities of whole texts. The number of buckets follows the size
-    of the texts. The shares are fitted on about ``share_docs`` documents of at
-    most ``share_bytes``.
+    of the texts. The shares are fitted on all documents learnt from.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
@@ -667,13 +663,11 @@ def score_documents(
         raw_text(text_col).alias("text"),
     )
     bits = bucket_bits(rows, bytes_per_bucket)
-    learnt = rows.filter(~F.col("held_out")).select("text")
-    model, sliced = train(learnt, bits, least=least, **how)
+    model, sliced = train(rows.filter(~F.col("held_out")).select("text"), bits, least=least, **how)
     lowest = [int(level_of(np.array([n]))[0]) for n in least]
     size = model.tokens + model.types + 1
     shared = docs.sparkSession.sparkContext.broadcast(model.parts())
-    sampled = (F.octet_length("text") <= share_bytes) & (F.rand(seed) < share_docs / max(learnt.count(), 1))
-    rows = rows.withColumn("learnt", ~F.col("held_out") & sampled)
+    rows = rows.withColumn("learnt", ~F.col("held_out"))
     scored = land(rows.mapInArrow(scorer(shared, bits, docs_at_once, asked_at_once), SCORED), "lm-scores")
 
     def asked(found: DataFrame, kind: int) -> DataFrame:
