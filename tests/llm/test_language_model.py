@@ -155,17 +155,29 @@ def exact_scores(docs, least=2, rounds=20):
     return {k: sum(math.log10(shares[q] * x + (1 - shares[q]) * y) for q, x, y in parts(tokens(t), 0.0)) for k, t in docs}
 
 
-@pytest.mark.parametrize("split", [1, 7])
-def test_shares_are_fitted_on_all_texts(spark, split):
-    """Long texts and rare levels take part, and the scores do not depend on the layout."""
+@pytest.fixture
+def skewed_texts():
     rng = np.random.default_rng(2)
     docs = []
     for k in range(60):
-        n = 4000 if k % 10 == 0 else 40
-        at = rng.zipf(1.4, n) % 300
+        at = rng.zipf(1.4, 4000 if k % 10 == 0 else 40) % 300
         docs.append((k, " ".join(f"w{a} v{a}" if a % 3 else f"w{a}" for a in at)))
-    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(split)
+    return docs
+
+
+@pytest.mark.parametrize("split", [1, 7])
+def test_shares_are_fitted_on_all_texts(spark, skewed_texts, split):
+    """Long texts and rare levels take part, and the scores do not depend on the layout."""
+    df = spark.createDataFrame(skewed_texts, "doc_id bigint, text string").repartition(split)
     # Sparse bits: hardly a false level.
     rows = lm.score_documents(df, remainder("doc_id", 7) == 2, bits_per_entry=200, least=(1, 2)).collect()
-    wanted = exact_scores(docs)
+    wanted = exact_scores(skewed_texts)
+    assert {r.doc_id: r.score for r in rows} == pytest.approx(wanted, rel=1e-6)
+
+
+def test_pairs_seen_once_are_held(spark, skewed_texts):
+    df = spark.createDataFrame(skewed_texts, "doc_id bigint, text string")
+    rows = lm.score_documents(df, remainder("doc_id", 7) == 2, bits_per_entry=200).collect()
+    wanted = exact_scores(skewed_texts, least=1)
     assert {r.doc_id: r.score for r in rows} == pytest.approx(wanted, rel=1e-6)
+    assert wanted != pytest.approx(exact_scores(skewed_texts, least=2), rel=1e-6)

@@ -368,7 +368,7 @@ def train(
     docs: DataFrame,
     bits: int,
     *,
-    least: tuple[int, int] = (1, 2),
+    least: tuple[int, int] = (1, 1),
     bits_per_entry: int = 10,
     most_words: int = 1 << 18,
     most_pairs: int = 1 << 20,
@@ -648,7 +648,7 @@ def score_documents(
     bytes_per_bucket: int = 64 * 1024 * 1024,
     docs_at_once: int = 20_000,
     asked_at_once: int = 500_000,
-    least: tuple[int, int] = (1, 2),
+    least: tuple[int, int] = (1, 1),
     **how,
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
