@@ -238,3 +238,19 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark):
     assert drain() == expected
     writers.publish_log(_messages(spark, [("gemini-2", _post(9, "late"))]), log)
     assert drain() == sorted([*expected, ("9", "gemini_out")])
+
+
+def test_stream_keeps_posts_without_an_id(spark):
+    """Copies go, posts without an id all stay, as in a batch; with and without places of the messages."""
+    log, out, state = (fresh_path(spark, n) for n in ("log", "out", "state"))
+    values = [_post(1, "a"), _post(1, "a"), *[json.dumps({"text": f"none {i}"}) for i in range(3)], json.dumps({"text": "none 0"})]
+    rows = [(None, v.encode(), "gpt-2", 0 if i % 2 else None, i if i % 2 else None, None) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, MESSAGE).withColumn("timestamp", F.lit("2025-03-18 10:00:00").cast("timestamp"))
+    land(df, "messages").coalesce(1).write.parquet(log)
+    table = messages.routes(spark, ROUTES)
+    stream.start(stream.log_stream(spark, log), _rule, table, out, state, within="1 hour").awaitTermination()
+    got = spark.read.parquet(out)
+    wanted = scoring.new_rows(scoring.score_messages(spark.read.parquet(log), _rule, table), None)
+    texts = [sorted((r.tweet_id or "", r.processed_text) for r in x.collect()) for x in (got, wanted)]
+    assert texts[0] == texts[1] and len(texts[0]) == 5
+    assert sorted(got.columns) == sorted(wanted.columns)

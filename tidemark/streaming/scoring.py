@@ -7,7 +7,7 @@ re-reads nor re-writes what is done: no copies in the collections.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.scoring import Scorer, score_messages
@@ -24,6 +24,14 @@ def log_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(MESSAGE).parquet(path)
 
 
+def post_key() -> Column:
+    """The post's id; without one the message's place, or if that is unknown too a key of its own."""
+    place = F.concat_ws("/", "topic", "partition", "offset")
+    known = F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    # No id begins with a null character.
+    return F.coalesce("tweet_id", F.concat(F.lit("\0"), F.when(known, place).otherwise(F.uuid())))
+
+
 def start(
     messages: DataFrame,
     scorer: PipelineModel | Scorer,
@@ -38,11 +46,14 @@ def start(
 
     With ``within``, for example ``1 hour``, copies of a post that arrive in a
     collection that much later, by message time, are dropped; the watermark
-    bounds the state. Posts without an id are not told apart and count as one.
+    bounds the state. Posts without an id are no copies of each other and all
+    stay, as in a batch; only a message that is delivered again is dropped.
     """
     if within:
-        scored = score_messages(messages, scorer, table, keep=("timestamp",)).withWatermark("timestamp", within)
-        scored = scored.dropDuplicatesWithinWatermark(["collection", "tweet_id"]).drop("timestamp")
+        place = ("timestamp", "topic", "partition", "offset")
+        scored = score_messages(messages, scorer, table, keep=place).withWatermark("timestamp", within)
+        scored = scored.withColumn("_key", post_key()).dropDuplicatesWithinWatermark(["collection", "_key"])
+        scored = scored.drop("_key", *place)
     else:
         scored = score_messages(messages, scorer, table)
     writer = scored.writeStream.format(fmt).partitionBy("collection").outputMode("append")
