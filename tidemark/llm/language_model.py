@@ -33,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -278,28 +279,33 @@ def frequent_from(held: np.ndarray, most: int) -> int:
     return level
 
 
-SLICES = "kind int, bucket bigint, keys binary, counts binary, slice binary, top_keys binary, top_counts binary, top_levels binary"
+SLICES = (
+    "kind int, bucket bigint, keys binary, counts binary, held array<bigint>, tokens bigint, types bigint, "
+    "slice binary, top_keys binary, top_counts binary, top_levels binary, told_levels binary"
+)
+
 
+def slice_totaler(least: tuple[int, int], most: tuple[int, int], bits_per_entry: int):
+    """Add up one bucket and make its slice; counts are kept of words, and ``most`` frequent n-grams beside them.
 
-def model_slicer(least: tuple[int, int], frequent: tuple[int, int], bits_per_entry: int):
-    """Tasks: counts to slices of the filter, and the frequent n-grams with the levels that their slice tells."""
+    The frequent ones come with their level and the level that the slice tells.
+    """
+    total, lowest = totaler(least), [int(level_of(np.array([n]))[0]) for n in least]
     names = [c.split()[0] for c in SLICES.split(", ")]
-    lowest = [int(level_of(np.array([n]))[0]) for n in least]
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                kind, bucket = (batch.column(c)[i].as_py() for c in ("kind", "bucket"))
-                keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
-                counts = np.frombuffer(batch.column("counts")[i].as_buffer(), np.int64)
-                levels = level_of(counts)
-                bits = filter_slice(keys, levels, lowest[kind], bits_per_entry)
-                top = levels >= frequent[kind]
-                told = probed_levels(np.frombuffer(bits, np.uint8), 0, np.uint64(8 * len(bits)), keys[top], lowest[kind])
-                exact = [keys.tobytes(), counts.tobytes()] if kind == UNIGRAM else [b"", b""]
-                row = [kind, bucket, *exact, bits, keys[top].tobytes(), counts[top].tobytes(), told.astype(np.uint8).tobytes()]
-                kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
+    def build(group: pa.Table) -> pa.Table:
+        row = total(group).to_pylist()[0]
+        kind, keys, counts = row["kind"], np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], np.int64)
+        levels = level_of(counts)
+        bits = filter_slice(keys, levels, lowest[kind], bits_per_entry)
+        top = levels >= frequent_from(np.bincount(levels, minlength=LEVELS), most[kind])
+        told = probed_levels(np.frombuffer(bits, np.uint8), 0, np.uint64(8 * len(bits)), keys[top], lowest[kind])
+        if kind == BIGRAM:
+            row |= {"keys": b"", "counts": b""}
+        row |= {"slice": bits, "top_keys": keys[top].tobytes(), "top_counts": counts[top].tobytes()}
+        row |= {"top_levels": levels[top].astype(np.uint8).tobytes(), "told_levels": told.astype(np.uint8).tobytes()}
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+        return pa.Table.from_arrays([pa.array([row[c]], k) for c, k in zip(names, kinds)], names)
 
     return build
 
@@ -327,11 +333,22 @@ class Model:
         return held[place] == keys, place
 
 
-def frequent(slices_: DataFrame, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    found = slices_.filter(F.col("kind") == kind).select("top_keys", "top_counts", "top_levels").collect()
-    columns = [
-        np.frombuffer(b"".join(bytes(r[k]) for r in found), t) for k, t in enumerate((np.uint64, np.int64, np.uint8))
-    ]
+def frequent(sliced: DataFrame, kind: int, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys, counts and told levels of the n-grams of ``level`` and above."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                stay = np.frombuffer(batch.column("top_levels")[i].as_buffer(), np.uint8) >= level
+                columns = [
+                    np.frombuffer(batch.column(c)[i].as_buffer(), t)[stay].tobytes()
+                    for c, t in (("top_keys", np.uint64), ("top_counts", np.int64), ("told_levels", np.uint8))
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in columns], ["keys", "counts", "levels"])
+
+    rows = sliced.filter(F.col("kind") == kind).select("top_keys", "top_counts", "top_levels", "told_levels")
+    found = rows.mapInArrow(pick, "keys binary, counts binary, levels binary").collect()
+    columns = [np.frombuffer(b"".join(bytes(r[k]) for r in found), t) for k, t in enumerate((np.uint64, np.int64, np.uint8))]
     order = np.argsort(columns[0])
     keys, counts, levels = (c[order] for c in columns)
     return keys, counts, levels
@@ -379,16 +396,27 @@ def train(
     ``least`` are the smallest counts kept of words and pairs; ``most_words``
     and ``most_pairs`` bound what is broadcast.
     """
-    counts = count_ngrams(docs, bits, (1, least[BIGRAM]), tokens_at_once)
-    words = counts.filter(F.col("kind") == UNIGRAM).agg(F.sum("tokens"), F.sum("types")).first()
-    held = level_totals(counts)
-    cuts = frequent_from(held[UNIGRAM], most_words), frequent_from(held[BIGRAM], most_pairs)
-    build = model_slicer(least, cuts, bits_per_entry)
-    sliced = land(counts.select("kind", "bucket", "keys", "counts").mapInArrow(build, SLICES), "ngram-slices")
-    (word_keys, word_counts, word_levels), (pair_keys, _, pair_levels) = (frequent(sliced, k) for k in (UNIGRAM, BIGRAM))
+    partial = docs.select("text").mapInArrow(counter(bits, tokens_at_once), COUNTS)
+    # Buckets are even, being of hashes: twice its part holds a bucket's frequent n-grams. Others would be asked for.
+    most = tuple(2 * n // (1 << bits) + 1000 for n in (most_words, most_pairs))
+    build = slice_totaler((1, least[BIGRAM]), most, bits_per_entry)
+    sliced = land(partial.groupBy("kind", "bucket").applyInArrow(build, SLICES), "ngram-slices")
+    words = sliced.filter(F.col("kind") == UNIGRAM).agg(F.sum("tokens"), F.sum("types")).first()
+    held = level_totals(sliced)
+    (word_keys, word_counts, word_levels), (pair_keys, _, pair_levels) = (
+        frequent(sliced, k, frequent_from(held[k], n)) for k, n in ((UNIGRAM, most_words), (BIGRAM, most_pairs))
+    )
     return Model(words[0] or 0, words[1] or 0, (word_keys, pair_keys), word_counts, (word_levels, pair_levels)), sliced
 
 
+def packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def unpacked(data, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
 # A row is a document (row is not null), a chunk's tokens with words to ask for (tokens), or questions to one
 # bucket; ``kind`` is of the questions. Cells of a row's documents are in ``rows, cells, n``.
 SCORED = (
@@ -413,17 +441,19 @@ def scored_rows(columns: dict, n: int) -> pa.RecordBatch:
 def cell_columns(rows: np.ndarray, cells: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """Cells of tokens, counted for each document of a chunk."""
     both, n = np.unique(rows.astype(np.uint64) << np.uint64(32) | cells.astype(np.uint64), return_counts=True)
-    return (both >> np.uint64(32)).astype(np.int32).tobytes(), both.astype(np.uint32).tobytes(), n.astype(np.uint32).tobytes()
+    return packed((both >> np.uint64(32)).astype(np.int32)), packed(both.astype(np.uint32)), packed(n.astype(np.uint32))
 
 
 def questions(chunk: int, kind: int, bits: int, keys: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
     """The n-grams to ask for, by bucket, with what must come back beside them."""
-    order = np.argsort(keys, kind="stable")
+    # In the order of the texts within a bucket: what comes back then packs well.
+    order = np.argsort((keys >> np.uint64(64 - bits)).astype(np.uint32), kind="stable")
     keys, more = keys[order], {c: v[order] for c, v in more.items()}
     cuts = bucket_bounds(keys, bits)
     spans = [(b, x, y) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
     columns = {"chunk": [chunk] * len(spans), "kind": [kind] * len(spans), "bucket": [b for b, _, _ in spans]}
-    columns |= {c: [v[x:y].tobytes() for _, x, y in spans] for c, v in (("keys", keys), *more.items())}
+    columns["keys"] = [keys[x:y].tobytes() for _, x, y in spans]
+    columns |= {c: [packed(v[x:y]) for _, x, y in spans] for c, v in more.items()}
     return scored_rows(columns, len(spans))
 
 
@@ -453,7 +483,7 @@ def scorer(shared, bits: int, docs_at_once: int, asked_at_once: int):
             asked = tokens[waits]
             words = [asked[c][asked[f"{c}_level"] == UNKNOWN] for c in ("own", "before")]
             yield questions(chunk, UNIGRAM, bits, np.unique(np.concatenate(words)))
-            yield scored_rows({"chunk": [chunk], "tokens": [asked.tobytes()]}, 1)
+            yield scored_rows({"chunk": [chunk], "tokens": [packed(asked)]}, 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = Model(*shared.value), WordKeys()
@@ -542,7 +572,7 @@ def resolver(bits: int):
     def resolve(tokens: pa.Table, answers: pa.Table) -> pa.Table:
         """A chunk's tokens that waited for words: base scores, cells, and questions on pairs."""
         chunk = tokens.column("chunk")[0].as_py()
-        own = np.concatenate([np.frombuffer(t.as_buffer(), TOKEN) for t in tokens.column("tokens")])
+        own = np.concatenate([unpacked(t.as_buffer(), TOKEN) for t in tokens.column("tokens")]).copy()
         keys, counts, levels = (
             np.concatenate([np.frombuffer(x.as_buffer(), t) for x in answers.column(c)])
             for c, t in (("keys", np.uint64), ("counts", np.int64), ("levels", np.uint8))
@@ -580,9 +610,8 @@ def pair_answerer(lowest: int):
         """Cells of the tokens that asked for one bucket's pairs."""
         out = []
         for i in range(asked.num_rows):
-            keys, rows, cells = (
-                np.frombuffer(asked.column(c)[i].as_buffer(), t) for c, t in (("keys", np.uint64), ("rows", np.int32), ("cells", np.uint32))
-            )
+            keys = np.frombuffer(asked.column("keys")[i].as_buffer(), np.uint64)
+            rows, cells = (unpacked(asked.column(c)[i].as_buffer(), t) for c, t in (("rows", np.int32), ("cells", np.uint32)))
             levels = asked_slice(slices_, keys, lowest).astype(np.uint32)
             out.append((asked.column("chunk")[i].as_py(), *cell_columns(rows, cells | levels)))
         kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
@@ -597,7 +626,7 @@ def learnt_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, int] = {}
     for batch in batches:
         for i in range(batch.num_rows):
-            cells, n = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint32) for c in ("cells", "n"))
+            cells, n = (unpacked(batch.column(c)[i].as_buffer(), np.uint32) for c in ("cells", "n"))
             stay = cells >= LEARNT
             distinct, back = np.unique(cells[stay], return_inverse=True)
             for cell, k in zip(distinct.tolist(), np.bincount(back, weights=n[stay], minlength=len(distinct)).tolist()):
@@ -622,7 +651,7 @@ def completer(shares: np.ndarray, size: int):
                 known[at] += np.frombuffer(row["more"], np.int64)
             else:
                 for c, t in (("rows", np.int32), ("cells", np.uint32), ("n", np.uint32)):
-                    parts[c].append(np.frombuffer(row[c], t))
+                    parts[c].append(unpacked(row[c], t))
         rows, cells, n = (np.concatenate(parts[c]) for c in ("rows", "cells", "n"))
         order = np.lexsort((cells, rows))
         score = np.bincount(rows[order], weights=n[order] * cell_scores(cells[order], shares, size), minlength=len(base))
