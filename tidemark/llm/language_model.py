@@ -401,8 +401,6 @@ def train(
     most = tuple(2 * n // (1 << bits) + 1000 for n in (most_words, most_pairs))
     build = slice_totaler((1, least[BIGRAM]), most, bits_per_entry)
     sliced = land(partial.groupBy("kind", "bucket").applyInArrow(build, SLICES), "ngram-slices")
-    # The shuffle of the counts is over; its files, larger than the texts, go when the driver collects its garbage.
-    docs.sparkSession._jvm.System.gc()
     words = sliced.filter(F.col("kind") == UNIGRAM).agg(F.sum("tokens"), F.sum("types")).first()
     held = level_totals(sliced)
     (word_keys, word_counts, word_levels), (pair_keys, _, pair_levels) = (
