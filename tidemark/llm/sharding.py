@@ -74,8 +74,8 @@ def range_of(cuts: list[Cut], key: Column) -> Column:
     return F.aggregate(steps, F.lit(0).cast("bigint"), advance)
 
 
-def cut_ranges(rows: DataFrame, ranges: int, per_range: int, overfull: float, seed: int) -> tuple[list[Cut], DataFrame]:
-    """The cuts, and bytes and rows of each range.
+def cut_ranges(rows: DataFrame, ranges: int, per_range: int, overfull: float, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their range, and bytes and rows of each range.
 
     Overfull ranges are cut again from a sample of their own; the key tells all
     rows apart. It ends when none is left, or when three samples in a row gave
@@ -86,7 +86,9 @@ def cut_ranges(rows: DataFrame, ranges: int, per_range: int, overfull: float, se
     cuts = splitters(rows, ranges, per_range, seed)
     idle = 0
     while True:
-        placed = rows.withColumn("range", range_of(cuts, F.col("key")))
+        # Landed, as the range is joined on: a join on the search itself fails in Spark 4.1 (its inferred
+        # filter asks the other side for the key), and would repeat the search.
+        placed = land(rows.withColumn("range", range_of(cuts, F.col("key"))), "shard-ranged")
         held = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
         held = land(held, "shard-ranges")
         much = (F.col("bytes") * ranges > overfull * (total.bytes or 0)) | (
@@ -95,7 +97,7 @@ def cut_ranges(rows: DataFrame, ranges: int, per_range: int, overfull: float, se
         full = land(held.filter(much & (F.col("rows") > 1)).select("range"), "shard-overfull")
         n_full = full.count()
         if not n_full or idle == 3:
-            return cuts, held
+            return placed, held
         seed += 1
         more = splitters(placed.join(full, "range", "left_semi"), 16 * n_full, per_range, seed)
         idle = idle + 1 if set(more) <= set(cuts) else 0
@@ -122,7 +124,7 @@ def assign_shards(
     """
     rows = land(keyed(docs, id_col, text_col), "shard-keys")
     ranges = max(shards * ranges_per_shard, -(-rows.count() // rows_per_range))
-    cuts, held = cut_ranges(rows, ranges, per_range, overfull, seed)
+    placed, held = cut_ranges(rows, ranges, per_range, overfull, seed)
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     bases = land(
         held.select(
@@ -137,8 +139,7 @@ def assign_shards(
     text = Window.partitionBy("range", "key.k")
     start = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")
     ranked = (
-        rows.withColumn("range", range_of(cuts, F.col("key")))
-        .withColumn("start", start)
+        placed.withColumn("start", start)
         .withColumn("number", F.row_number().over(order) - 1)
         .withColumn("text_bytes", F.sum("size").over(text))
         .withColumn("text_start", F.min("start").over(text))
@@ -148,7 +149,7 @@ def assign_shards(
     # A document, or a text kept whole, goes where its middle lies.
     middle = F.when(whole, F.col("text_start") + F.col("text_bytes") / 2).otherwise(F.col("start") + F.col("size") / 2)
     place = F.col("bytes_before") + middle
-    placed = land(
+    numbered = land(
         ranked.select(
             "doc_id",
             "size",
@@ -158,8 +159,8 @@ def assign_shards(
         ),
         "shard-places",
     )
-    first = land(placed.groupBy("shard").agg(F.min("number").alias("first")), "shard-starts")
-    return placed.join(first, "shard").select(
+    first = land(numbered.groupBy("shard").agg(F.min("number").alias("first")), "shard-starts")
+    return numbered.join(first, "shard").select(
         "doc_id", "size", "text_crc32", "shard", (F.col("number") - F.col("first")).alias("slot")
     )
 
