@@ -106,3 +106,12 @@ def test_encoder_equals_the_library(texts):
     for _ in range(2):
         got = encoder.texts([t.encode() for t in texts])
         assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain(t) for t in texts]
+
+
+def test_ids_of_latin_letters_beside_punctuation():
+    """Every letter whose pieces are looked up apart, and the first beyond, before and after punctuation."""
+    letters = [chr(c) for c in range(0xA0, 0x290)]
+    texts = [f"{a}{c}{b}" for c in letters for a, b in (("", "_#"), ("see ", "! now"), ("x.", "y"), ("(", ")"), ("-", "1"))]
+    got = WordEncoder(PATH).texts([t.encode() for t in texts])
+    wrong = [t for t, x in zip(texts, got) if np.frombuffer(x, "<u4").tolist() != plain(t)]
+    assert wrong == []

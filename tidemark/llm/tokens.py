@@ -15,9 +15,10 @@ from tokenizers import Tokenizer
 
 # Runs of letters and digits, and runs of ASCII punctuation.
 PIECE = re.compile(rb"[A-Za-z0-9\x80-\xff]+|[^A-Za-z0-9\x80-\xff\s]+")
-# Apostrophes, the library's special strings, and everything beyond Latin letters:
-# such a text is cut at ASCII white space only.
-UNSAFE = re.compile(rb"'|<\||[\xc2\xca-\xff]|\xc3[\x97\xb7]")
+# Apostrophes, the library's special strings, the dotted capital I (its lower case has
+# a mark of its own) and everything beyond Latin letters: such a text is cut at ASCII
+# white space only.
+UNSAFE = re.compile(rb"'|<\||[\xc2\xca-\xff]|\xc3[\x97\xb7]|\xc4\xb0")
 
 
 class WordEncoder:
