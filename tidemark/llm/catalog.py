@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.dedup import OP2_SQL, op2_exact_dedup
 from tidemark.llm.infill import OP13_SQL, op13_infill
 from tidemark.llm.language_model import op5_lm_scoring
+from tidemark.llm.licenses import OP12_SQL, op12_licenses
 from tidemark.llm.mixing import OP9_SQL, op9_mixing
 from tidemark.llm.packing import op6_packing
 from tidemark.llm.pivots import op4_embedding_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
+    "op12_licenses": op12_licenses,
     "op13_infill": op13_infill,
 }
 
@@ -32,5 +34,6 @@ ORACLES = {
     "op2_exact_dedup": OP2_SQL,
     "op3_url_filter": OP3_SQL,
     "op9_mixing": OP9_SQL,
+    "op12_licenses": OP12_SQL,
     "op13_infill": OP13_SQL,
 }
