@@ -8,6 +8,7 @@ from tidemark.llm.language_model import op5_lm_scoring
 from tidemark.llm.licenses import OP12_SQL, op12_licenses
 from tidemark.llm.mixing import OP9_SQL, op9_mixing
 from tidemark.llm.packing import op6_packing
+from tidemark.llm.periods import op11_period_runs
 from tidemark.llm.pivots import op4_embedding_dedup
 from tidemark.llm.quality import op7_line_quality
 from tidemark.llm.sharding import op1_sharding
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_mixing": op9_mixing,
     "op10_token_files": op10_token_files,
+    "op11_period_runs": op11_period_runs,
     "op12_licenses": op12_licenses,
     "op13_infill": op13_infill,
 }
