@@ -1,12 +1,11 @@
-"""A corpus from raw documents to packed sequences, in six stages.
+"""A corpus from raw documents to packed sequences, in five stages.
 
 1. ``quality``      documents whose lines are mostly bad go
 2. ``exact_dedup``  of equal texts the largest doc_id stays
-3. ``near_dedup``   of each SimHash group the smallest doc_id stays
-4. ``near_copies``  of each group of texts with Jaccard similarity 0.8 and more of
-                    their sets of five-word shingles the smallest doc_id stays
-5. ``mixing``       sources come to their target weights, some documents twice
-6. ``packing``      all that is left, as pieces of sequences of 4096 tokens
+3. ``near_dedup``   of each SimHash group (three-word shingles, two bits) the smallest
+                    doc_id stays
+4. ``mixing``       sources come to their target weights, some documents twice
+5. ``packing``      all that is left, as pieces of sequences of 4096 tokens
 
 Each stage works on all that its predecessor kept. Between stages the documents
 are written as Parquet to the shared folder and read again, so a lost executor
@@ -37,8 +36,6 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 # Documents that Spark hands to Python at once. Its default of 10,000 rows is
 # meant for narrow rows; whole texts make that tens of MB, several times over.
 BATCH_DOCS = 1000
-# Bits in which fingerprints of sets of similarity 0.8 may differ; the README has the measured recall.
-COPY_RADIUS = 22
 
 
 def small_batches(stage: Stage) -> Stage:
@@ -63,16 +60,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return one_per_group(docs)
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return one_per_group(docs, width=5, radius=COPY_RADIUS, similarity=0.8)
-
-
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Less memory than by default: the workers have served four stages already.
+    # Less memory than by default: the workers have served other stages already.
     path = public_tokenizers.path("word_bpe_49k.json")
     return pack_documents(docs, path, run_tokens=500_000, most_words=100_000)
 
@@ -81,7 +74,6 @@ STAGES: list[tuple[str, Stage]] = [
     ("quality", small_batches(quality)),
     ("exact_dedup", small_batches(exact_dedup)),
     ("near_dedup", small_batches(near_dedup)),
-    ("near_copies", small_batches(near_copies)),
     ("mixing", small_batches(mixing)),
     ("packing", small_batches(packing)),
 ]
