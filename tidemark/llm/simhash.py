@@ -13,13 +13,6 @@ A-Z are lower-cased, words are ``[^\\x20\\x09-\\x0D]+``; a text of fewer words
 than a shingle is one shingle; null, empty and blank texts have fingerprint
 zero and link like any other. A null doc_id is below all others. An empty table
 gives no rows. Extra columns are not read.
-
-Groups can also be asked for by the exact similarity of the sets of shingles
-(``one_per_group(similarity=...)``). Fingerprints of the sets then only find
-candidates: tiles follow the sizes of the sets, so that two tiles whose sizes
-differ too much for the similarity are not compared; pairs within the radius
-are compared by minima of 32 ranges of their hashes, and what is left by the
-sets themselves. Only verified pairs link. Two texts without a word are alike.
 """
 
 from __future__ import annotations
@@ -30,7 +23,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.llm.common import documents, free_name, land, one_of_each, raw_text, sorted_place
@@ -228,44 +220,29 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 
 def one_per_group(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    radius: int = 2,
-    width: int = 3,
-    similarity: float | None = None,
-    **how,
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, width: int = 3
 ) -> DataFrame:
     """The document of smallest doc_id of each group, with all its columns.
 
-    With ``similarity``, groups are those of ``copy_groups``: ``radius`` then
-    only bounds the candidates, and ``how`` goes there.
-
-    Documents that are surely alone pass without a shuffle (see ``marked``).
-    If rows share the doc_id that stays, one of them stays.
+    Only ids and fingerprints are written. Documents whose id is surely in no
+    group of several pass as they are (see ``marked``); the fingerprints of the
+    others, few, are taken again and meet their group. If rows share the doc_id
+    that stays, one of them stays.
     """
-    name = {c: free_name(docs, f"_{c}") for c in ("print", "component", "rows", "profile")}
-    if similarity is None:
-        rows = land(docs.withColumn(name["print"], printer(width)(raw_text(text_col))), "printed-documents")
-        prints = rows.select(keys(id_col).alias("doc"), F.col(name["print"]).alias("print"))
-        groups = near_groups(prints, radius)
-    else:
-        rows = land(docs.withColumn(name["profile"], profiler(width)(raw_text(text_col))), "profiled-documents")
-        profiles = rows.select(keys(id_col).alias("doc"), f"{name['profile']}.*", raw_text(text_col).alias("text"))
-        groups = land(copy_groups(profiles, width, radius, similarity, **how), "copy-groups").withColumnRenamed("unit", "print")
-        rows = rows.withColumn(name["print"], F.col(f"{name['profile']}.unit"))
-        prints = rows.select(keys(id_col).alias("doc"), F.col(name["print"]).alias("print"))
-    sizes = prints.groupBy("print").agg(F.count("*").alias("n")).join(groups, "print")
+    name = {c: free_name(docs, f"_{c}") for c in ("print", "component", "rows")}
+    fingerprint_of = printer(width)(raw_text(text_col))
+    prints = land(docs.select(keys(id_col).alias("doc"), fingerprint_of.alias("print")), "document-prints")
+    sizes = prints.groupBy("print").agg(F.count("*").alias("n")).join(near_groups(prints, radius), "print")
     sizes = land(sizes, "near-groups")
     shared = sizes.groupBy("component").agg(F.sum("n").alias("members")).filter("members > 1")
     shared = land(sizes.join(shared, "component").select("print", "component"), "near-shared")
-    known = maybe(shared.select(F.xxhash64("print").alias("key")))(F.xxhash64(name["print"]))
+    members = land(prints.join(shared, "print"), "near-members")
+    known = maybe(members.select(F.xxhash64("doc").alias("key")).distinct())(F.xxhash64(keys(id_col)))
     found = shared.select(F.col("print").alias(name["print"]), F.col("component").alias(name["component"]))
-    joined = rows.filter(known).join(found, name["print"], "left")
+    joined = docs.filter(known).withColumn(name["print"], fingerprint_of).join(found, name["print"], "left")
     own = F.col(name["component"]).isNull() | (keys(id_col) == F.col(name["component"]))
     stay = joined.filter(own)
-    heads = prints.join(shared, "print").filter("doc = component").groupBy("component").count()
+    heads = members.filter("doc = component").groupBy("component").count()
     repeats = heads.filter("count > 1").select(
         F.col("component").alias(name["component"]), F.col("count").alias(name["rows"])
     )
@@ -274,230 +251,7 @@ def one_per_group(
         stay = stay.join(repeats, name["component"], "left")
         stay = stay.withColumn(name["rows"], F.coalesce(name["rows"], F.lit(1)))
         stay = one_of_each(stay, [name["component"]], name["rows"])
-    return rows.filter(~known).select(*docs.columns).unionByName(stay.select(*docs.columns))
-
-
-# Minima of so many ranges of hashes; of the ranges that either set has, this share agrees in all but a
-# vanishing part of the pairs of similarity 0.5 and more.
-RANGES, AGREEING = 32, 0.375
-PROFILE = "unit bigint, print bigint, shingles int, sketch binary"
-
-
-def shingle_set(text: bytes, width: int) -> np.ndarray:
-    """Sorted hashes of the distinct shingles."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < width:
-        words, width = [b" ".join(words)], 1
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(width))))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in shingles), np.uint64, len(words) - width + 1))
-
-
-def profile(hashes: np.ndarray) -> tuple[int, int, int, bytes]:
-    """A set's key, fingerprint, size, and 16 bits of the least hash of each range (0: none)."""
-    bits = np.packbits(bit_counts(hashes.astype(">u8").tobytes()) * 2 > len(hashes))
-    sketch = np.zeros(RANGES, np.uint16)
-    ranges, first = np.unique((hashes >> np.uint64(59)).astype(np.int64), return_index=True)
-    sketch[ranges] = np.maximum((hashes[first] >> np.uint64(43)).astype(np.uint16), 1)
-    key = xxhash.xxh64_intdigest(hashes.tobytes())
-    return int(np.uint64(key).view(np.int64)), int.from_bytes(bits.tobytes(), "big", signed=True), len(hashes), sketch.tobytes()
-
-
-def profiler(width: int):
-    @F.pandas_udf(PROFILE)
-    def profiles(texts: pd.Series) -> pd.DataFrame:
-        found = [profile(shingle_set(text, width)) for text in texts]
-        return pd.DataFrame(found, columns=[c.split()[0] for c in PROFILE.split(", ")])
-
-    return profiles
-
-
-COPY_TILES = "tile bigint, least int, most int, members binary, sketches binary"
-MEMBER = np.dtype([("unit", np.int64), ("print", np.uint64), ("doc", np.int64), ("shingles", np.int64)])
-
-
-def copy_tiler(size: int):
-    def tile(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("shingles", "ascending"), ("unit", "ascending")])
-        members = np.empty(group.num_rows, MEMBER)
-        for c in MEMBER.names:
-            members[c] = group.column(c).to_numpy().astype(MEMBER[c])  # the bits of a signed value count by its amount
-        sketches = group.column("sketch").to_pylist()
-        rows = []
-        for k, begin in enumerate(range(0, len(members), size)):
-            part = members[begin : begin + size]
-            counts, joined = part["shingles"], b"".join(sketches[begin : begin + size])
-            rows.append(((group.column("range")[0].as_py() << 32) + k, int(counts[0]), int(counts[-1]), part.tobytes(), joined))
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-        names = [c.split()[0] for c in COPY_TILES.split(", ")]
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-    return tile
-
-
-def copy_tiles(units: DataFrame, size: int) -> DataFrame:
-    """Tiles of about ``size`` sets each, in the order of their sizes."""
-    spread = F.shiftrightunsigned(F.xxhash64("unit"), 24)
-    order = F.shiftleft(F.least("shingles", F.lit(1 << 22)).cast("bigint"), 40).bitwiseOR(spread)
-    rows = land(units.withColumn("order", order), "ordered-units")
-    n = max(1, -(-rows.count() // size))
-    marks = [i / n for i in range(1, n)]
-    cuts = rows.agg(F.percentile_approx("order", marks, 20 * n)).first()[0] if marks else []
-    found = sorted_place(sorted(set(cuts or [])), F.col("order"))
-    # Sets of one size may lie on both sides of a cut: the order within a size is that of a hash.
-    return land(rows.withColumn("range", found).groupBy("range").applyInArrow(copy_tiler(size), COPY_TILES), "copy-tiles")
-
-
-def blocks_of(shingles: np.ndarray, docs_at_once: int, shingles_at_once: int) -> list[tuple[int, int]]:
-    """Runs of a tile's members; one member alone may have more shingles than the bound."""
-    total, out, begin = np.concatenate([[0], shingles.cumsum()]), [], 0
-    while begin < len(shingles):
-        end = int(np.searchsorted(total, total[begin] + shingles_at_once, "right")) - 1
-        end = min(max(end, begin + 1), begin + docs_at_once, len(shingles))
-        out.append((begin, end))
-        begin = end
-    return out
-
-
-def candidates(one: np.ndarray, other: np.ndarray, sketch1: np.ndarray, sketch2: np.ndarray, radius: int, similarity: float) -> np.ndarray:
-    """Which pairs of two runs of members may be as similar."""
-    hits = np.bitwise_count(one["print"][:, None] ^ other["print"][None, :]) <= radius
-    least, most = (f(one["shingles"][:, None], other["shingles"][None, :]) for f in (np.minimum, np.maximum))
-    hits &= least >= similarity * most - 1e-9
-    rows, columns = np.nonzero(hits)
-    for begin in range(0, len(rows), 1 << 16):
-        i, j = rows[begin : begin + (1 << 16)], columns[begin : begin + (1 << 16)]
-        a, b = sketch1[i], sketch2[j]
-        same, either = ((a == b) & (a != 0)).sum(axis=1), ((a | b) != 0).sum(axis=1)
-        far = same < AGREEING * either
-        hits[i[far], j[far]] = False
-    return hits
-
-
-BLOCKS = "block bigint, n int, units binary, docs binary, hits binary"
-
-
-def copy_comparer(radius: int, similarity: float, docs_at_once: int, shingles_at_once: int):
-    """Tasks: pairs of tiles to blocks of candidates, each of a bounded number of sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for i in range(batch.num_rows):
-                one, other, *sides = (batch.column(c)[i].as_py() for c in range(6))
-                members = [np.frombuffer(x, MEMBER) for x in sides[::2]]
-                sketches = [np.frombuffer(x, np.uint16).reshape(-1, RANGES) for x in sides[1::2]]
-                runs = [blocks_of(m["shingles"], docs_at_once, shingles_at_once) for m in members]
-                for begin, end in runs[0]:
-                    for start, stop in runs[1]:
-                        left, right = members[0][begin:end], members[1][start:stop]
-                        if one == other and start < begin:
-                            continue
-                        if min(left["shingles"][-1], right["shingles"][-1]) < similarity * max(left["shingles"][0], right["shingles"][0]) - 1e-9:
-                            continue
-                        hits = candidates(left, right, sketches[0][begin:end], sketches[1][start:stop], radius, similarity)
-                        if one == other and start == begin:
-                            hits = np.triu(hits, 1)
-                        rows, columns = (np.flatnonzero(hits.any(axis=k)) for k in (1, 0))
-                        if len(rows):
-                            own = np.concatenate([left[rows], right[columns]])
-                            packed = np.packbits(hits[np.ix_(rows, columns)]).tobytes()
-                            row = [block, len(rows), own["unit"].tobytes(), own["doc"].tobytes(), packed]
-                            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-                            names = [c.split()[0] for c in BLOCKS.split(", ")]
-                            yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names)
-                            block += 1
-
-    return run
-
-
-def members_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``block, unit`` of all sets that a block needs, and ``doc``, the document that has it."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            units, docs = (np.frombuffer(batch.column(c)[i].as_buffer(), np.int64) for c in ("units", "docs"))
-            units, first = np.unique(units, return_index=True)
-            block = np.full(len(units), batch.column("block")[i].as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (block, units, docs[first])], ["block", "unit", "doc"])
-
-
-def alike(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
-    """Whether two sorted sets have this Jaccard similarity."""
-    if not len(one) or not len(other):
-        return len(one) == len(other)
-    place = np.minimum(np.searchsorted(one, other), len(one) - 1)
-    both = int((one[place] == other).sum())
-    return both >= similarity * (len(one) + len(other) - both) - 1e-9
-
-
-def verifier(similarity: float):
-    def verify(blocks: pa.Table, sets: pa.Table) -> pa.Table:
-        """Links of a block; pairs that are linked already need no look."""
-        held = {u: np.frombuffer(s, np.uint64) for u, s in zip(sets.column("unit").to_pylist(), sets.column("hashes").to_pylist())}
-        links = []
-        for i in range(blocks.num_rows):
-            n, units, docs, hits = (blocks.column(c)[i].as_py() for c in ("n", "units", "docs", "hits"))
-            units, docs = np.frombuffer(units, np.int64), np.frombuffer(docs, np.int64)
-            wide = len(units) - n
-            hits = np.unpackbits(np.frombuffer(hits, np.uint8), count=n * wide).reshape(n, wide).astype(bool)
-            group = np.unique(units, return_inverse=True)[1]
-            for a in range(n):
-                for b in (np.flatnonzero(hits[a] & (group[n:] != group[a])) + n).tolist():
-                    if group[a] != group[b] and alike(held[int(units[a])], held[int(units[b])], similarity):
-                        group[group == group[b]] = group[a]
-                        links.append((int(docs[a]), int(docs[b])))
-        return pa.table({c: pa.array([x[k] for x in links], pa.int64()) for k, c in enumerate("ab")})
-
-    return verify
-
-
-def setter(width: int):
-    @F.pandas_udf(T.BinaryType())
-    def sets(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: shingle_set(text, width).tobytes())
-
-    return sets
-
-
-def copy_groups(
-    profiles: DataFrame,
-    width: int,
-    radius: int,
-    similarity: float,
-    *,
-    tile_size: int = 32768,
-    docs_at_once: int = 1024,
-    shingles_at_once: int = 1 << 20,
-) -> DataFrame:
-    """``unit, component`` of every distinct set of shingles of ``doc, text`` rows with their profiles.
-
-    Two sets link if their Jaccard similarity is at least ``similarity`` and
-    their fingerprints differ in at most ``radius`` bits.
-    """
-    units = profiles.groupBy("unit").agg(
-        F.min("doc").alias("doc"), F.min("print").alias("print"), F.min("shingles").alias("shingles"), F.min("sketch").alias("sketch")
-    )
-    units = land(units, "units")
-    tiles = copy_tiles(units, tile_size)
-    one, other = (tiles.select(F.col("tile").alias(k), F.col("least").alias(f"least{k}"), F.col("most").alias(f"most{k}")) for k in ("one", "other"))
-    near = (F.col("mostone") >= F.col("leastother") * similarity - 1e-9) & (F.col("mostother") >= F.col("leastone") * similarity - 1e-9)
-    pairs = land(one.crossJoin(other).filter((F.col("one") <= F.col("other")) & near).select("one", "other"), "copy-tile-pairs")
-    sides = [
-        tiles.select(F.col("tile").alias(key), F.col("members").alias(f"members{k}"), F.col("sketches").alias(f"sketches{k}"))
-        for k, key in ((1, "one"), (2, "other"))
-    ]
-    work = pairs.join(sides[0], "one").join(sides[1], "other")
-    work = work.select("one", "other", "members1", "sketches1", "members2", "sketches2")
-    blocks = land(work.mapInArrow(copy_comparer(radius, similarity, docs_at_once, shingles_at_once), BLOCKS), "copy-blocks")
-    wanted = land(blocks.select("block", "units", "docs").mapInArrow(members_of, "block bigint, unit bigint, doc bigint"), "copy-members")
-    known = maybe(wanted.select(F.xxhash64("unit", "doc").alias("key")).distinct())(F.xxhash64("unit", "doc"))
-    heads = profiles.filter(known).select("unit", setter(width)("text").alias("hashes")).dropDuplicates(["unit"])
-    sets = wanted.select("block", "unit").join(heads, "unit").select("block", "unit", "hashes")
-    edges = blocks.groupBy("block").cogroup(sets.groupBy("block")).applyInArrow(verifier(similarity), "a bigint, b bigint")
-    found = components(land(edges, "copy-links"))
-    joined = units.join(found, units["doc"] == found["node"], "left")
-    return joined.select("unit", F.coalesce("component", "doc").alias("component"))
+    return docs.filter(~known).select(*docs.columns).unionByName(stay.select(*docs.columns))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
