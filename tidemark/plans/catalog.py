@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import ngrams, normalize, strip_urls
-from tidemark.operators import chi2, collect, evaluate, funnel, labels, messages, split, terms
+from tidemark.operators import chi2, collect, evaluate, funnel, labels, messages, ordered_log, split, terms
 from tidemark.plans import scoring, training
 from tidemark.schemas import CLEANED, LABELLED, POST, WORDS
 from tidemark.session import fresh_path, land
@@ -479,6 +479,45 @@ def failure_cutoff(spark, sf_dir):
     return collect.failure_cutoff(log).select("keyword", "since", "page", "ok", "n")
 
 
+def _event_attempts(spark, sf_dir) -> DataFrame:
+    """Every event as an attempt of its type's search, without a number; a tenth of them fail."""
+    events = tables.table(spark, sf_dir, "events")
+    k = F.from_json("props", "k bigint").getField("k")
+    ok = k % 10 != 0
+    return events.select(
+        F.col("event_type").alias("keyword"),
+        F.date_trunc("hour", "ts").alias("hour"),
+        "event_id",
+        ok.alias("ok"),
+        F.when(ok, k).alias("n"),
+        (k != 97).alias("has_next"),
+    )
+
+
+ORDER = {"order": ("hour",), "keys": ("keyword",), "ties": ("event_id",)}
+
+
+def ordered_quota(spark, sf_dir):
+    """The quota on a log in order of time: many attempts share an hour, and then the event decides."""
+    kept = ordered_log.accept_ordered(_event_attempts(spark, sf_dir), **ORDER, quota=20 * QUOTA, rows_per_range=500)
+    return kept.select("keyword", "event_id", "page", "n")
+
+
+def ordered_cutoff(spark, sf_dir):
+    """Attempts up to each search's first two failures in a row, by time."""
+    kept = ordered_log.cut_ordered(_event_attempts(spark, sf_dir), **ORDER, max_failures=2, rows_per_range=500)
+    return kept.select("keyword", "event_id", "page", "ok")
+
+
+def ordered_places(spark, sf_dir):
+    """Place, posts before and streak of every attempt."""
+    rows = ordered_log.with_rows(_event_attempts(spark, sf_dir))
+    placed = ordered_log.place_attempts(rows, **ORDER, rows_per_range=500)
+    return placed.join(rows.select(ordered_log.ROW, "event_id"), ordered_log.ROW).select(
+        "keyword", "event_id", "page", "before", "streak"
+    )
+
+
 def publish_json(spark, sf_dir):
     """Posts as JSON messages; compared after parsing them again."""
     rows = tables.posts(spark, sf_dir).drop("source", "client")
@@ -543,6 +582,9 @@ QUERIES: dict[str, Query] = {
     "page_explode": page_explode,
     "page_quota": page_quota,
     "failure_cutoff": failure_cutoff,
+    "ordered_places": ordered_places,
+    "ordered_quota": ordered_quota,
+    "ordered_cutoff": ordered_cutoff,
     "publish_json": publish_json,
     "publish_counts": publish_counts,
 }

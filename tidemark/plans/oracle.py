@@ -226,6 +226,18 @@ SCORES = (
     "CASE WHEN actual > 0 THEN hit::DOUBLE / actual ELSE 0 END AS re FROM classes)",
 )
 
+PLACED = (
+    "attempts AS (SELECT event_type AS keyword, event_id, date_trunc('hour', ts) AS hour, "
+    "CAST(props->>'k' AS BIGINT) % 10 <> 0 AS ok, "
+    "CASE WHEN CAST(props->>'k' AS BIGINT) % 10 <> 0 THEN CAST(props->>'k' AS BIGINT) ELSE 0 END AS n, "
+    "CAST(props->>'k' AS BIGINT) <> 97 AS has_next FROM events)",
+    "placed AS (SELECT *, row_number() OVER by_time AS page, CAST(sum(n) OVER by_time - n AS BIGINT) AS before "
+    "FROM attempts WINDOW by_time AS (PARTITION BY keyword ORDER BY hour, event_id))",
+    "streaks AS (SELECT *, page - coalesce(max(CASE WHEN ok THEN page END) OVER "
+    "(PARTITION BY keyword ORDER BY page), 0) AS streak FROM placed)",
+)
+
+
 ORACLES: dict[str, str] = {
     "text_clean": _with(*WORDED) + "SELECT doc_id, c AS cleaned FROM cleaned",
     "url_strip": (
@@ -371,6 +383,15 @@ ORACLES: dict[str, str] = {
     + ", ends AS (SELECT keyword, since, min(page) AS stop FROM streaks WHERE streak = 3 GROUP BY ALL) "
     "SELECT keyword, since, page, ok, n FROM streaks LEFT JOIN ends USING (keyword, since) "
     "WHERE stop IS NULL OR page <= stop",
+    "ordered_places": _with(*PLACED) + "SELECT keyword, event_id, page, before, streak FROM streaks",
+    "ordered_quota": _with(*PLACED)
+    + ", ends AS (SELECT keyword, min(page) AS stop FROM streaks "
+    "WHERE streak >= 3 OR (ok AND (n = 0 OR NOT has_next)) GROUP BY keyword) "
+    "SELECT keyword, event_id, page, n FROM streaks LEFT JOIN ends USING (keyword) "
+    f"WHERE ok AND n > 0 AND before < {20 * QUOTA} AND (stop IS NULL OR page <= stop)",
+    "ordered_cutoff": _with(*PLACED)
+    + ", ends AS (SELECT keyword, min(page) AS stop FROM streaks WHERE streak >= 2 GROUP BY keyword) "
+    "SELECT keyword, event_id, page, ok FROM streaks LEFT JOIN ends USING (keyword) WHERE stop IS NULL OR page <= stop",
     "publish_json": _with(*POSTS)
     + f"SELECT lang AS topic, {', '.join(_FIELDS)}, {_AUTHOR} FROM posts",
     "publish_counts": (
