@@ -452,6 +452,21 @@ def phrase_search(spark, sf_dir):
     return found.select("doc_id", "keyword", "topic", "lang", "since", "until")
 
 
+def phrase_index(spark, sf_dir):
+    """As many searches as documents a day: the four words behind a document's first, on its day and the one after."""
+    docs = tables.documents(spark, sf_dir).select("doc_id", "text", "lang", tables.created_day().alias("created"))
+    words = F.slice(F.split("text", " "), 2, 4)
+    plan = docs.filter(F.size(words) > 0).select(
+        F.array_join(words, " ").alias("keyword"),
+        F.concat(F.lit("t"), "doc_id").alias("topic"),
+        "lang",
+        F.col("created").alias("since"),
+        F.date_add("created", 2).alias("until"),
+    )
+    found = collect.indexed_search(docs, collect.daily_searches(plan))
+    return found.select("doc_id", "topic", "since")
+
+
 def page_explode(spark, sf_dir):
     """Each document as an API response whose posts are its lines."""
     docs = tables.documents(spark, sf_dir).select("doc_id", "text", "source", "n_chars")
@@ -579,6 +594,7 @@ QUERIES: dict[str, Query] = {
     "stream_write": stream_write,
     "search_plan": search_plan,
     "phrase_search": phrase_search,
+    "phrase_index": phrase_index,
     "page_explode": page_explode,
     "page_quota": page_quota,
     "failure_cutoff": failure_cutoff,

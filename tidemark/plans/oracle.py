@@ -366,6 +366,12 @@ ORACLES: dict[str, str] = {
         f"ON contains(lower(text), keyword) WHERE lang = 'en' "
         f"AND {_CREATED} >= DATE '{PLAN_START}' AND {_CREATED} <= DATE '{PLAN_END}'"
     ),
+    "phrase_index": (
+        f"WITH d AS (SELECT doc_id, text, lang, {_CREATED} AS day, string_split(text, ' ')[2:5] AS w FROM documents), "
+        "p AS (SELECT doc_id AS search, lang, day, lower(array_to_string(w, ' ')) AS phrase FROM d WHERE len(w) > 0) "
+        "SELECT d.doc_id, 't' || p.search AS topic, p.day AS since FROM d JOIN p ON d.lang = p.lang "
+        "AND d.day >= p.day AND d.day < p.day + INTERVAL 2 DAY AND contains(lower(d.text), p.phrase)"
+    ),
     "page_explode": (
         "SELECT doc_id, position, line AS text, more AS has_next_page, next_cursor FROM ("
         "SELECT doc_id, unnest(range(len(string_split(text, E'\\n')))) AS position, "
