@@ -24,3 +24,15 @@ def days_between(start: Column, end: Column) -> Column:
 def next_day(day: str | Column) -> Column:
     """Exclusive end of a one-day window."""
     return F.date_add(day, 1)
+
+
+# Fixed value: how posts write their time where it is no ISO stamp, behind the day of the week.
+POST_TIME = "MMM dd HH:mm:ss Z yyyy"
+
+
+def event_time(created: str | Column, arrived: str | Column) -> Column:
+    """A post's own time, ISO or as ``Tue Mar 18 10:20:30 +0000 2025``; where neither, the broker's time."""
+    created = F.col(created) if isinstance(created, str) else created
+    arrived = F.col(arrived) if isinstance(arrived, str) else arrived
+    named = F.try_to_timestamp(F.regexp_replace(created, "^[A-Za-z]{3} ", ""), F.lit(POST_TIME))
+    return F.coalesce(F.try_to_timestamp(created), named, arrived)

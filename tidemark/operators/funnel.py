@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators.messages import decode, has_text, is_object, parse_json
 
@@ -28,6 +30,37 @@ def funnel_counts(messages: DataFrame, stored: DataFrame) -> DataFrame:
     return both.rollup("topic").agg((F.grouping("topic") == 1).alias("is_total"), *sums)
 
 
+class Tally:
+    """Counts per topic that a job takes of its own rows while it writes, without another pass.
+
+    ``watch`` adds a count to the plan at the place of the rows; after the
+    write, ``report`` has the figures. Topics are a given list, as a job's
+    subscriptions are; others count in the total only. A stage that runs again
+    after executors were lost counts its rows again: where that must not be,
+    count what was stored (:func:`funnel_counts`).
+    """
+
+    def __init__(self, topics: Sequence[str]):
+        self.topics = list(dict.fromkeys(topics))
+        self.watched: dict[str, Observation] = {}
+
+    def watch(self, rows: DataFrame, name: str, where: Column | None = None) -> DataFrame:
+        """The rows, which have a ``topic``; those ``where`` holds count as ``name``."""
+        counted = F.lit(True) if where is None else where
+        observation = self.watched[name] = Observation()
+        sums = [F.count_if(counted & (F.col("topic") == t)).alias(str(i)) for i, t in enumerate(self.topics)]
+        return rows.observe(observation, F.count_if(counted).alias("all"), *sums)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """``topic, is_total`` and a column per name: a row per topic that any count saw, and the total."""
+        found = {name: observation.get for name, observation in self.watched.items()}
+        seen = [i for i in range(len(self.topics)) if any(f.get(str(i)) for f in found.values())]
+        rows = [(self.topics[i], False, *[int(f.get(str(i)) or 0) for f in found.values()]) for i in seen]
+        rows.append((None, True, *[int(f.get("all") or 0) for f in found.values()]))
+        schema = "topic string, is_total boolean" + "".join(f", {name} bigint" for name in found)
+        return spark.createDataFrame(rows, schema)
+
+
 def topic_report(parsed: DataFrame, table: DataFrame) -> DataFrame:
     """One row per route: what arrived, what is usable, whether it is written.
 

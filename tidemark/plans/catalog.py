@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions.dates import POST_TIME, event_time
 from tidemark.functions.text import ngrams, normalize, strip_urls
 from tidemark.operators import chi2, collect, evaluate, funnel, labels, messages, ordered_log, split, terms
 from tidemark.plans import scoring, training
@@ -24,6 +25,7 @@ QUOTA = 50
 # The plan ends before the posts do, and begins after them.
 PLAN_START, PLAN_END = "2025-03-20", "2025-03-29"
 PHRASES = ("orantion", "thing", "th the")
+LANGS = ("en", "fr", "de", "es", "it")
 ROUTES = (("en", "en_posts"), ("fr", "fr_posts"), ("de", "de_posts"))
 SOURCES = (("src1", "c1"), (tables.EMPTY_TEXT, "c3"), (tables.NULL_TEXT, "c5"), ("nowhere", "c0"))
 
@@ -157,6 +159,19 @@ def load_labelled(spark, sf_dir):
     return readers.read_labelled_csv(spark, path)
 
 
+def csv_broken(spark, sf_dir):
+    """Broken records of a CSV file: of one source the target is a text, of another the records end early."""
+    rows = tables.labelled(spark, sf_dir).withColumn("tweet", F.translate("tweet", "\n\r", "  "))
+    whole = F.when(F.col("author") == tables.BROKEN_JSON, F.to_csv(F.struct(F.lit("four"), *LABELLED.names[1:])))
+    short = F.when(F.col("author") == tables.NULL_TEXT, F.to_csv(F.struct(*LABELLED.names[:3])))
+    line = F.coalesce(whole, short, F.to_csv(F.struct(*LABELLED.names)))
+    path = fresh_path(spark, "broken-csv")
+    rows.select(line.alias("value")).write.text(path)
+    read, broken = readers.read_checked_csv(spark, path)
+    counted = read.agg(F.lit("rows read").alias("reason"), F.count("*").cast("string").alias("id"))
+    return broken.select("reason", F.split("record", ",")[1].alias("id")).unionByName(counted)
+
+
 def _four_labels(spark, sf_dir):
     rows = tables.table(spark, sf_dir, "labels")
     return rows.select((F.col("quality") * 4 + F.col("toxic") * 10).alias("target"))
@@ -422,6 +437,38 @@ def stream_write(spark, sf_dir):
     return _flat(spark.read.parquet(out))
 
 
+def stream_each(spark, sf_dir):
+    """The stream into a store that takes one collection per write."""
+    log, out, state = (fresh_path(spark, name) for name in ("log", "streamed", "stream-state"))
+    writers.publish_log(tables.messages(spark, sf_dir), log)
+    table, names = messages.routes(spark, ROUTES), [name for _, name in ROUTES]
+    save = lambda writer, name, batch: writer.parquet(f"{out}/collection={name}/batch={batch}")
+    stream.start_each(stream.log_stream(spark, log), _rule, table, names, save, state).awaitTermination()
+    return _flat(spark.read.parquet(out).drop("batch"))
+
+
+def funnel_observed(spark, sf_dir):
+    """Counts per topic that the scoring job takes while it writes."""
+    rows, table = _with_odd_objects(spark, sf_dir), messages.routes(spark, ROUTES)
+    path = fresh_path(spark, "collections")
+    write = lambda scored: writers.append_collections(scored, path)
+    return scoring.run_counted(rows, _rule, table, LANGS, write)
+
+
+def event_times(spark, sf_dir):
+    """The time of every post: ISO, written out, no time at all, or missing."""
+    rows = tables.messages(spark, sf_dir)
+    posts = messages.parse_posts(rows, keep=("timestamp",), fields=("createdAt", "author"))
+    source, day = F.col("author.id"), F.to_timestamp("createdAt", "yyyy-MM-dd")
+    created = (
+        F.when(source == tables.EMPTY_TEXT, F.date_format(day, f"EEE {POST_TIME}"))
+        .when(source == "src4", "yesterday")
+        .when(source != tables.NULL_TEXT, F.col("createdAt"))
+    )
+    time = event_time(created, F.to_timestamp(F.lit(tables.FIRST_DAY)))
+    return posts.select("key", F.date_format(time, "yyyy-MM-dd HH:mm:ss").alias("event_time"))
+
+
 # --- collection ----------------------------------------------------------
 
 
@@ -442,6 +489,25 @@ def search_plan(spark, sf_dir):
     )
 
 
+def _odd_searches(spark, sf_dir) -> DataFrame:
+    """Every event as a search of its day; some days are none, some spans end before they start."""
+    events = tables.table(spark, sf_dir, "events")
+    day, k = F.date_format("ts", "yyyy-MM-dd"), F.col("event_id")
+    return events.select(
+        F.col("event_type").alias("keyword"),
+        F.concat(F.lit("t"), k).alias("topic"),
+        F.lit("en").alias("lang"),
+        F.when(k % 11 == 0, "2024-02-30").when(k % 13 != 0, day).alias("start"),
+        F.when(k % 7 == 0, "soon").when(k % 5 == 0, "2023-12-31").otherwise(day).alias("end"),
+    )
+
+
+def search_rejects(spark, sf_dir):
+    """Planned and rejected searches: together all of them."""
+    plan, rejected = collect.checked_plan(_odd_searches(spark, sf_dir))
+    return plan.select("topic", F.lit(None).cast("string").alias("reason")).unionByName(rejected.select("topic", "reason"))
+
+
 def phrase_search(spark, sf_dir):
     named = [(p, f"t{i}") for i, p in enumerate(PHRASES)]
     plan = collect.configured_plan(spark, named, PLAN_START, PLAN_END)
@@ -563,6 +629,7 @@ QUERIES: dict[str, Query] = {
     "feature_long": feature_long,
     "linear_score": linear_score,
     "load_labelled": load_labelled,
+    "csv_broken": csv_broken,
     "label_index": label_index,
     "label_names": label_names,
     "distinct_labels": distinct_labels,
@@ -591,8 +658,12 @@ QUERIES: dict[str, Query] = {
     "route_write": route_write,
     "empty_topic": empty_topic,
     "funnel_counts": funnel_counts,
+    "funnel_observed": funnel_observed,
     "stream_write": stream_write,
+    "stream_each": stream_each,
+    "event_times": event_times,
     "search_plan": search_plan,
+    "search_rejects": search_rejects,
     "phrase_search": phrase_search,
     "phrase_index": phrase_index,
     "page_explode": page_explode,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.plans.catalog import MIN_DF, PHRASES, PLAN_END, PLAN_START, QUOTA, ROUTES, SOURCES, TOP_FEATURES, VOCAB
-from tidemark.schemas import POST
+from tidemark.schemas import CLEANED, POST, WORDS
 from tidemark.sources.tables import BROKEN_JSON, DAYS, EMPTY_TEXT, FIRST_DAY, NULL_TEXT
 
 URLS = r"'http\S+|www\.\S+'"
@@ -271,6 +271,12 @@ ORACLES: dict[str, str] = {
         "lang AS query, source AS author, translate(text, E'\\n\\r', '  ') AS tweet "
         "FROM documents JOIN labels USING (doc_id)"
     ),
+    "csv_broken": (
+        f"SELECT CASE WHEN source = '{BROKEN_JSON}' THEN 'bad number' ELSE 'number of fields' END AS reason, "
+        "CAST(doc_id AS VARCHAR) AS id FROM documents JOIN labels USING (doc_id) "
+        f"WHERE source IN ('{BROKEN_JSON}', '{NULL_TEXT}') "
+        "UNION ALL SELECT 'rows read', CAST(count(*) AS VARCHAR) FROM documents JOIN labels USING (doc_id)"
+    ),
     "label_index": _index(_LABELS_FOUR),
     "label_names": _names("two", _LABELS_TWO) + " UNION ALL " + _names("four", _LABELS_FOUR),
     "distinct_labels": "SELECT DISTINCT 4 * quality + 10 * toxic AS target FROM labels",
@@ -301,14 +307,14 @@ ORACLES: dict[str, str] = {
     "model_roundtrip": "SELECT doc_id, true AS same FROM documents",
     "fitted_stages": _chosen(TRAINING)
     + ", kept AS (SELECT n, count(*) AS size FROM chosen GROUP BY n), present AS (SELECT n, size, "
-    "row_number() OVER (ORDER BY n) - 1 AS k, count(*) OVER () AS m FROM kept) "
-    "SELECT 0::BIGINT AS position, 'SQLTransformer' AS stage, NULL::BIGINT AS size "
-    "UNION ALL SELECT 1, 'Tokenizer', NULL "
-    "UNION ALL SELECT 2 + 3 * k, 'NGram', NULL FROM present "
-    "UNION ALL SELECT 3 + 3 * k, 'CountVectorizerModel', size FROM present "
-    "UNION ALL SELECT 4 + 3 * k, 'ElementwiseProduct', size FROM present "
-    "UNION ALL SELECT 2 + 3 * max(m), 'VectorAssembler', NULL FROM present "
-    "UNION ALL SELECT 3 + 3 * max(m), 'StringIndexerModel', (SELECT count(DISTINCT label) FROM worded) FROM present",
+    "row_number() OVER (ORDER BY n) - 1 AS k, count(*) OVER () AS m, n || '_grams' AS grams FROM kept) "
+    "SELECT 0::BIGINT AS position, 'SQLTransformer' AS stage, NULL::BIGINT AS size, NULL AS inputs, NULL AS output "
+    f"UNION ALL SELECT 1, 'Tokenizer', NULL, '{CLEANED}', '{WORDS}' "
+    f"UNION ALL SELECT 2 + 3 * k, 'NGram', NULL, '{WORDS}', grams FROM present "
+    f"UNION ALL SELECT 3 + 3 * k, 'CountVectorizerModel', size, CASE WHEN n = 1 THEN '{WORDS}' ELSE grams END, n || '_tf' FROM present "
+    "UNION ALL SELECT 4 + 3 * k, 'ElementwiseProduct', size, n || '_tf', n || '_tfidf' FROM present "
+    "UNION ALL SELECT 2 + 3 * max(m), 'VectorAssembler', NULL, string_agg(n || '_tfidf', ',' ORDER BY n), 'features' FROM present "
+    "UNION ALL SELECT 3 + 3 * max(m), 'StringIndexerModel', (SELECT count(DISTINCT label) FROM worded), 'target', 'label' FROM present",
     "fitted_labels": _names("fit", f"SELECT CAST(4 * quality AS VARCHAR) AS label FROM documents JOIN labels USING (doc_id) WHERE {TRAINED}")
     .replace("'fit' AS task, ", "", 1),
     "message_scan": (
@@ -337,6 +343,20 @@ ORACLES: dict[str, str] = {
     + f"SELECT id AS key, topic, collection FROM posts JOIN {_values(ROUTES, 'topic, collection')} ON lang = topic",
     "route_write": ROUTED,
     "stream_write": ROUTED,
+    "stream_each": ROUTED,
+    "event_times": _with(*POSTS)
+    + f"SELECT id AS key, strftime(CASE WHEN broken OR author_id IN ('src4', '{NULL_TEXT}') THEN DATE '{FIRST_DAY}' "
+    "ELSE CAST(createdAt AS DATE) END, '%Y-%m-%d %H:%M:%S') AS event_time FROM posts",
+    "funnel_observed": _with(
+        *POSTS,
+        "odd AS (SELECT lang, broken, text FROM posts UNION ALL "
+        f"SELECT lang, false, NULL FROM posts WHERE author_id IN ('{EMPTY_TEXT}', 'src4'))",
+    )
+    + "SELECT lang AS topic, grouping(lang) = 1 AS is_total, count(*) AS n_raw, count(*) FILTER (WHERE broken) AS n_malformed, "
+    f"count(*) FILTER (WHERE {_VALID}) AS n_valid, "
+    f"count(*) FILTER (WHERE {_VALID} AND collection IS NOT NULL) AS n_predicted, "
+    f"count(*) FILTER (WHERE {_VALID} AND collection IS NOT NULL) AS n_written "
+    f"FROM odd LEFT JOIN {_values(ROUTES, 'topic, collection')} ON lang = topic GROUP BY ROLLUP (lang)",
     "empty_topic": _with(*POSTS)
     + "SELECT topic, collection, coalesce(n_raw, 0) AS n_raw, coalesce(n_valid, 0) AS n_valid, "
     f"coalesce(n_valid, 0) > 0 AS written FROM {_values(SOURCES, 'topic, collection')} LEFT JOIN "
@@ -351,6 +371,14 @@ ORACLES: dict[str, str] = {
     f"count(*) FILTER (WHERE {_VALID}) AS n_valid, "
     f"count(*) FILTER (WHERE {_VALID} AND collection IS NOT NULL) AS n_written "
     f"FROM odd LEFT JOIN {_values(ROUTES, 'topic, collection')} ON lang = topic GROUP BY ROLLUP (lang)",
+    "search_rejects": (
+        "WITH s AS (SELECT 't' || event_id AS topic, CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN NULL "
+        "ELSE CAST(ts AS DATE) END AS first, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN DATE '2023-12-31' "
+        "ELSE CAST(ts AS DATE) END AS last FROM events), r AS (SELECT topic, concat_ws(', ', "
+        "CASE WHEN first IS NULL THEN 'start is no day' END, CASE WHEN last IS NULL THEN 'end is no day' END, "
+        "CASE WHEN last < first THEN 'end before start' END) AS reason FROM s) "
+        "SELECT topic, nullif(reason, '') AS reason FROM r"
+    ),
     "search_plan": (
         "SELECT keyword, keyword || '-2' AS topic, 'en' AS lang, since, CAST(since + INTERVAL 1 DAY AS DATE) AS until, "
         "'\"' || keyword || '\" lang:en since:' || strftime(since, '%Y-%m-%d') || ' until:' || "

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.operators.messages import dedupe_posts, parse_posts, route, score_input, score_output, unseen
+from tidemark.operators.funnel import Tally
+from tidemark.operators.messages import dedupe_posts, is_object, parse_posts, route, score_input, score_output, unseen
 from tidemark.sources.writers import append_collections
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -53,3 +54,29 @@ def run(
     """Score and append; no rows means nothing is written."""
     scored = score_messages(messages, scorer, table)
     append_collections(new_rows(scored, stored) if dedupe else scored, path, fmt)
+
+
+def run_counted(
+    messages: DataFrame,
+    scorer: PipelineModel | Scorer,
+    table: DataFrame,
+    topics: Sequence[str],
+    write: Callable[[DataFrame], None],
+) -> DataFrame:
+    """Score and ``write`` in one job that counts itself: the report of :func:`funnel.funnel_counts`,
+    and ``n_predicted``, without reading the messages or the written rows again.
+
+    A topic of ``topics`` without any message is not reported.
+    """
+    tally, kept = Tally(topics), ("collection", "topic")
+    transform = scorer.transform if isinstance(scorer, PipelineModel) else scorer
+    value = F.col("value").cast("string")
+    text = F.from_json(value, "text string").getField("text")
+    # Each observation counts what passes its place in the plan.
+    read = tally.watch(messages, "n_raw")
+    read = tally.watch(read, "n_malformed", ~is_object(value))
+    read = tally.watch(read, "n_valid", F.coalesce(text.isNotNull() & (text != ""), F.lit(False)))
+    posts = parse_posts(route(read, table), keep=("collection",))
+    scored = tally.watch(transform(score_input(posts, keep=kept)), "n_predicted", F.col("prediction").isNotNull())
+    write(tally.watch(score_output(scored, keep=kept), "n_written").drop("topic"))
+    return tally.report(messages.sparkSession)

@@ -138,8 +138,16 @@ def feature_stages(selection: Selection, spec: Spec = Spec()) -> list:
     return stages
 
 
+def stage_columns(stage, *params: str) -> str | None:
+    """The columns that a stage's parameters name, those that are set, joined by commas."""
+    named = [stage.getOrDefault(p) for p in params if stage.hasParam(p) and stage.isDefined(p)]
+    columns = [c for value in named for c in ([value] if isinstance(value, str) else value)]
+    return ",".join(columns) or None
+
+
 def describe_stages(spark, stages) -> DataFrame:
-    """Position, class and size of each stage: terms, slots, labels or coefficients it holds."""
+    """Position, class and size of each stage (terms, slots, labels or coefficients it holds), and the
+    columns it reads and makes; those of a SQL statement are not told by its parameters."""
 
     def size(stage) -> int | None:
         if isinstance(stage, CountVectorizerModel):
@@ -152,8 +160,17 @@ def describe_stages(spark, stages) -> DataFrame:
             return len(stage.getIndices())
         return stage.numFeatures if isinstance(stage, LogisticRegressionModel) else None
 
-    rows = [(i, type(stage).__name__, size(stage)) for i, stage in enumerate(stages)]
-    return local_table(spark, rows, ("position", "stage", "size"))
+    rows = [
+        (
+            i,
+            type(stage).__name__,
+            size(stage),
+            stage_columns(stage, "inputCol", "inputCols", "featuresCol"),
+            stage_columns(stage, "outputCol", "outputCols", "predictionCol"),
+        )
+        for i, stage in enumerate(stages)
+    ]
+    return local_table(spark, rows, ("position", "stage", "size", "inputs", "output"))
 
 
 def describe_fitted_labels(spark, labels: dict[str, int]) -> DataFrame:

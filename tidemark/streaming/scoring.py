@@ -6,15 +6,22 @@ re-reads nor re-writes what is done: no copies in the collections.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.dates import event_time
 from tidemark.plans.scoring import Scorer, score_messages
 from tidemark.schemas import MESSAGE
+from tidemark.session import land
 from tidemark.sources.readers import kafka_options
 
 
+BatchSave = Callable[[DataFrameWriter, str, int], None]
+
+
 def kafka_stream(spark: SparkSession, servers: str, topics) -> DataFrame:
     return spark.readStream.format("kafka").options(**kafka_options(servers, topics)).load()
 
@@ -41,21 +48,66 @@ def start(
     fmt: str = "parquet",
     trigger: dict | None = None,
     within: str | None = None,
+    post_time: bool = False,
 ) -> StreamingQuery:
     """Score what arrives; by default drain what is there and stop.
 
-    With ``within``, for example ``1 hour``, copies of a post that arrive in a
-    collection that much later, by message time, are dropped; the watermark
-    bounds the state. Posts without an id are no copies of each other and all
-    stay, as in a batch; only a message that is delivered again is dropped.
+    See :func:`scored_stream` for ``within`` and ``post_time``.
     """
-    if within:
-        place = ("timestamp", "topic", "partition", "offset")
-        scored = score_messages(messages, scorer, table, keep=place).withWatermark("timestamp", within)
-        scored = scored.withColumn("_key", post_key()).dropDuplicatesWithinWatermark(["collection", "_key"])
-        scored = scored.drop("_key", *place)
-    else:
-        scored = score_messages(messages, scorer, table)
+    scored = scored_stream(messages, scorer, table, within, post_time)
     writer = scored.writeStream.format(fmt).partitionBy("collection").outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
     return writer.start(path)
+
+
+def scored_stream(
+    messages: DataFrame, scorer: PipelineModel | Scorer, table: DataFrame, within: str | None = None, post_time: bool = False
+) -> DataFrame:
+    """The scored rows of a stream with their collection.
+
+    With ``within``, for example ``1 hour``, copies of a post that arrive in a
+    collection that much later are dropped; the watermark bounds the state, and
+    rows that come later than it are dropped as well. Time is the message's,
+    or with ``post_time`` the post's own (``event_time``), which falls back to
+    the message's. Posts without an id are no copies of each other and all
+    stay, as in a batch; only a message that is delivered again is dropped.
+    """
+    if not within:
+        return score_messages(messages, scorer, table)
+    place = ("timestamp", "topic", "partition", "offset")
+    scored = score_messages(messages, scorer, table, keep=place)
+    time = event_time("createdAt", "timestamp") if post_time else F.col("timestamp")
+    scored = scored.withColumn("_time", time).withWatermark("_time", within)
+    scored = scored.withColumn("_key", post_key()).dropDuplicatesWithinWatermark(["collection", "_key"])
+    return scored.drop("_key", "_time", *place)
+
+
+def start_each(
+    messages: DataFrame,
+    scorer: PipelineModel | Scorer,
+    table: DataFrame,
+    collections: Sequence[str],
+    save: BatchSave,
+    checkpoint: str,
+    trigger: dict | None = None,
+    within: str | None = None,
+    post_time: bool = False,
+) -> StreamingQuery:
+    """Score what arrives into a store that takes one collection per write.
+
+    ``save`` gets a writer in overwrite mode, the collection's name and the
+    batch's id, for example ``lambda w, c, b: w.parquet(f"{out}/{c}/batch={b}")``.
+    After a failure Spark runs the batch again under the same id and with the
+    same messages, so that what a half-done batch has written is replaced. A
+    batch is landed and read once per collection.
+    """
+
+    def write(rows: DataFrame, batch: int) -> None:
+        landed = land(rows, "scored-batch")
+        for name in collections:
+            mine = landed.filter(F.col("collection") == name).drop("collection")
+            save(mine.write.mode("overwrite"), name, batch)
+
+    writer = scored_stream(messages, scorer, table, within, post_time).writeStream.foreachBatch(write)
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+    return writer.start()
