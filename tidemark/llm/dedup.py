@@ -18,14 +18,14 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import documents, free_name, land, one_of_each, raw_text
 from tidemark.llm.marked import maybe
 
 SLOTS = 4
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_ID = np.iinfo(np.int64).min
 
 
@@ -246,30 +246,28 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-@F.pandas_udf(T.BinaryType())
-def digest_column(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: hashlib.sha256(t.lower()).digest())
-
-
 def distinct_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keys_per_shard: int = 50_000) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Texts that are surely alone pass without a shuffle (see ``marked``); the
-    others are joined with their group.
+    Documents whose id is surely not in a group of several pass without a
+    shuffle (see ``marked``); the others are joined with their group.
     """
     digests = land(digested(docs, id_col, text_col), "digests")
     groups = land(build_index(digests, keys_per_shard).filter("n > 1").select("digest", "n", "keeper", "ties"), "digest-groups")
     name = {c: free_name(docs, f"_{c}") for c in ("digest", "keeper", "ties")}
-    rows = docs.withColumn(name["digest"], digest_column(raw_text(text_col)))
-    known = maybe(groups.select(F.xxhash64("digest").alias("key")))(F.xxhash64(name["digest"]))
-    found = groups.select(*[F.col(c).alias(n) for c, n in name.items()])
-    joined = rows.filter(known).join(found, name["digest"], "left")
     key = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
+    members = digests.join(groups, "digest", "left_semi").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"))
+    members = land(members.select(F.xxhash64("key").alias("key")).distinct(), "digest-members")
+    known = maybe(members)(F.xxhash64(key))
+    lowered = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
+    rows = docs.filter(known).withColumn(name["digest"], F.unhex(F.sha2(lowered.cast("binary"), 256)))
+    found = groups.select(*[F.col(c).alias(n) for c, n in name.items()])
+    joined = rows.join(found, name["digest"], "left")
     stay = joined.filter(F.col(name["keeper"]).isNull() | (F.col(name["keeper"]) == key))
     if not groups.filter("ties > 1").isEmpty():
         stay = stay.withColumn(name["ties"], F.coalesce(name["ties"], F.lit(1)))
         stay = one_of_each(stay, [name["digest"]], name["ties"])
-    return rows.filter(~known).select(*docs.columns).unionByName(stay.select(*docs.columns))
+    return docs.filter(~known).select(*docs.columns).unionByName(stay.select(*docs.columns))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -224,22 +224,24 @@ def one_per_group(
 ) -> DataFrame:
     """The document of smallest doc_id of each group, with all its columns.
 
-    Only ids and fingerprints are written. Documents whose id is surely in no
-    group of several pass as they are (see ``marked``); the fingerprints of the
-    others, few, are taken again and meet their group. If rows share the doc_id
-    that stays, one of them stays.
+    Only ids, hashes of texts and fingerprints are written. Documents whose id
+    is surely in no group of several pass as they are (see ``marked``); the
+    others, few, meet their group by id and hash. If rows share the doc_id that
+    stays, one of them stays.
     """
-    name = {c: free_name(docs, f"_{c}") for c in ("print", "component", "rows")}
-    fingerprint_of = printer(width)(raw_text(text_col))
-    prints = land(docs.select(keys(id_col).alias("doc"), fingerprint_of.alias("print")), "document-prints")
+    name = {c: free_name(docs, f"_{c}") for c in ("doc", "hash", "component", "rows")}
+    text_hash = F.xxhash64(raw_text(text_col))
+    prints = docs.select(keys(id_col).alias("doc"), text_hash.alias("hash"), printer(width)(raw_text(text_col)).alias("print"))
+    prints = land(prints, "document-prints")
     sizes = prints.groupBy("print").agg(F.count("*").alias("n")).join(near_groups(prints, radius), "print")
     sizes = land(sizes, "near-groups")
     shared = sizes.groupBy("component").agg(F.sum("n").alias("members")).filter("members > 1")
     shared = land(sizes.join(shared, "component").select("print", "component"), "near-shared")
-    members = land(prints.join(shared, "print"), "near-members")
+    members = land(prints.join(shared, "print").select("doc", "hash", "component"), "near-members")
     known = maybe(members.select(F.xxhash64("doc").alias("key")).distinct())(F.xxhash64(keys(id_col)))
-    found = shared.select(F.col("print").alias(name["print"]), F.col("component").alias(name["component"]))
-    joined = docs.filter(known).withColumn(name["print"], fingerprint_of).join(found, name["print"], "left")
+    found = members.distinct().select(*[F.col(c).alias(name[c]) for c in ("doc", "hash", "component")])
+    same = (keys(id_col) == F.col(name["doc"])) & (text_hash == F.col(name["hash"]))
+    joined = docs.filter(known).join(found, same, "left")
     own = F.col(name["component"]).isNull() | (keys(id_col) == F.col(name["component"]))
     stay = joined.filter(own)
     heads = members.filter("doc = component").groupBy("component").count()
