@@ -1,17 +1,18 @@
 """URL filter: rules, and for all other urls a tree of path templates per host.
 
 Paths are read segment by segment. Numbers and hexadecimal names are written as
-``{n}`` and ``{x}``. Level by level, under the templates found so far:
-
-- a parent with more than ``most_children`` children turns those with less than
-  one ``most_children``-th of its rows into the wildcard ``{*}``;
-- of the others, branches merge whose profiles are alike: the shares of what
-  follows (end, number, hexadecimal, word) and of labels (block, allow, none),
-  drawn towards the parent's shares by ``pull`` rows and rounded to quarters.
+``{n}`` and ``{x}``. Under the templates found so far, branches whose profiles
+are alike merge into a wildcard named after the profile: the shares of what
+follows (end, number, hexadecimal, word) and of labels (block, allow, none),
+drawn towards the parent's shares by ``pull`` rows and rounded to quarters. A
+branch like no other keeps its name. What all paths under a template have in
+common is taken over in one step, and a path that is alone is done, so that the
+steps follow the branchings and not the length of the paths. No path is cut: one
+that has branched ``branchings`` times goes on as it is, as its own template.
 
 A template is rejected when the share of blocked urls among its labelled ones,
-smoothed towards that of all hosts, reaches ``reject``. Segments beyond
-``depth`` count as one. Labels are what the rules say.
+smoothed towards that of all hosts, reaches ``reject``. Nothing speaks against
+a template without labelled urls: it is allowed. Labels are what the rules say.
 
 The host lies after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased; the path then up to ``?``, ``#`` or the end; null urls and urls
@@ -38,7 +39,9 @@ RULES = (
 NUMBER = r"^[0-9]+(\.[A-Za-z]+)?$"
 HEXADECIMAL = r"^[0-9a-fA-F-]*[0-9][0-9a-fA-F-]*$"
 KINDS = ("ends", "numbers", "hexes", "words", "blocked", "allowed", "open")
-DEPTH, MOST_CHILDREN, PULL, REJECT = 6, 20, 4, 0.8
+PULL, REJECT = 4, 0.8
+# Levels of the tree at which a path may branch: the number of steps, whatever the length of the paths.
+BRANCHINGS = 24
 
 
 def host_and_path(url: str) -> tuple[Column, Column]:
@@ -67,11 +70,10 @@ def shape(segment: Column) -> Column:
     )
 
 
-def segments(path: str, depth: int) -> Column:
-    """Shapes of the segments behind the first slash; what lies beyond ``depth`` is ``{**}``."""
+def segments(path: str) -> Column:
+    """Shapes of the segments behind the first slash."""
     parts = F.split(path, "/")
-    shapes = F.transform(F.slice(parts, 2, depth), shape)
-    return F.when(F.size(parts) - 1 > depth, F.concat(shapes, F.array(F.lit("{**}")))).otherwise(shapes)
+    return F.transform(F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1))), shape)
 
 
 def next_kind(ahead: Column) -> list[Column]:
@@ -80,41 +82,72 @@ def next_kind(ahead: Column) -> list[Column]:
     return [ahead.isNull(), number, hexa, ~(number | hexa)]
 
 
-def templates(
-    paths: DataFrame, deepest: int, most_children: int, pull: int
-) -> DataFrame:
-    """``host, segs, template, blocked, allowed`` of ``host, segs, n, blocked, allowed`` rows."""
-    now = paths.withColumn("prefix", F.array().cast("array<string>"))
-    for level in range(deepest):
-        here = now.filter(F.size("segs") > level).withColumn("seg", F.col("segs")[level])
-        kinds = next_kind(F.get("segs", F.lit(level + 1)))
-        sums = [F.sum(F.when(k, F.col("n")).otherwise(0)).alias(c) for k, c in zip(kinds, KINDS)]
-        labels = [
-            F.sum("blocked").alias("blocked"),
-            F.sum("allowed").alias("allowed"),
-            F.sum(F.col("n") - F.col("blocked") - F.col("allowed")).alias("open"),
-        ]
-        children = here.groupBy("host", "prefix", "seg").agg(F.sum("n").alias("n"), *sums, *labels)
-        children = land(children, "url-children")
-        parents = children.groupBy("host", "prefix").agg(
-            F.count("*").alias("branches"), F.sum("n").alias("n_all"), *[F.sum(c).alias(f"{c}_all") for c in KINDS]
+def common_length(one: str, other: str) -> Column:
+    """How many elements two arrays have in common from their start, if they differ at all."""
+    differ = F.zip_with(one, other, lambda a, b: F.coalesce(a != b, F.lit(True)))
+    return (F.array_position(differ, True) - 1).cast("int")
+
+
+def templates(paths: DataFrame, pull: int, branchings: int) -> DataFrame:
+    """``host, segs, template, blocked, allowed`` of ``host, segs, n, blocked, allowed`` rows.
+
+    A path that has branched ``branchings`` times goes on as it is.
+    """
+    now = paths.select("*", F.col("segs").alias("rest"), F.array().cast("array<string>").alias("prefix"))
+    done: list[DataFrame] = []
+    while True:
+        # Least and greatest path under a template: what they share, all between them share as well.
+        ends = now.groupBy("host", "prefix").agg(F.min("rest").alias("least"), F.max("rest").alias("most"))
+        ends = ends.withColumn("shared", F.when(F.col("least") == F.col("most"), F.size("least")).otherwise(common_length("least", "most")))
+        ends = land(ends.select("host", "prefix", "shared"), "url-shared")
+        length = F.greatest(F.size("rest"), F.lit(1))
+        moved = now.join(ends, ["host", "prefix"]).select(
+            *paths.columns,
+            F.slice("rest", F.col("shared") + 1, length).alias("rest"),
+            F.concat("prefix", F.slice("rest", F.lit(1), F.col("shared"))).alias("prefix"),
+        )
+        moved = land(moved, "url-moved")
+        here = moved.filter(F.size("rest") > 0).withColumn("seg", F.col("rest")[0])
+        last = len(done) == branchings or here.isEmpty()
+        done.append(moved.withColumn("prefix", F.concat("prefix", "rest")) if last else moved.filter(F.size("rest") == 0))
+        if last:
+            found = done[0]
+            for part in done[1:]:
+                found = found.unionByName(part)
+            return found.withColumn("template", F.concat(F.lit("/"), F.array_join("prefix", "/")))
+        named = land(branch_names(here, pull), "url-names")
+        now = here.join(named, ["host", "prefix", "seg"]).select(
+            *paths.columns,
+            F.slice("rest", 2, length).alias("rest"),
+            F.concat("prefix", F.array("name")).alias("prefix"),
         )
-        both = children.join(parents, ["host", "prefix"])
-        rare = (F.col("branches") > most_children) & (F.col("n") * most_children < F.col("n_all"))
-        quarters = [
-            F.floor(4 * (F.col(c) + F.lit(float(pull)) * F.col(f"{c}_all") / F.col("n_all")) / (F.col("n") + pull) + 0.5)
-            for c in KINDS
-        ]
-        profile = F.concat(F.lit("{"), *[q.cast("string") for q in quarters], F.lit("}"))
-        judged = both.select("host", "prefix", "seg", F.when(rare, "{*}").otherwise(profile).alias("profile"))
-        judged = land(judged, "url-profiles")
-        alike = judged.groupBy("host", "prefix", "profile").agg(F.count("*").alias("alike"))
-        name = F.when((F.col("profile") == "{*}") | (F.col("alike") > 1), F.col("profile")).otherwise(F.col("seg"))
-        named = judged.join(alike, ["host", "prefix", "profile"]).select("host", "prefix", "seg", name.alias("name"))
-        moved = here.join(named, ["host", "prefix", "seg"])
-        moved = moved.withColumn("prefix", F.concat("prefix", F.array("name"))).select(*now.columns)
-        now = land(moved.unionByName(now.filter(F.size("segs") <= level)), "url-templates")
-    return now.withColumn("template", F.concat(F.lit("/"), F.array_join("prefix", "/")))
+        now = land(now, "url-templates")
+
+
+def branch_names(here: DataFrame, pull: int) -> DataFrame:
+    """``host, prefix, seg, name``: the branch's own name, or its profile where others have it too."""
+    kinds = next_kind(F.get("rest", F.lit(1)))
+    sums = [F.sum(F.when(k, F.col("n")).otherwise(0)).alias(c) for k, c in zip(kinds, KINDS)]
+    labels = [
+        F.sum("blocked").alias("blocked"),
+        F.sum("allowed").alias("allowed"),
+        F.sum(F.col("n") - F.col("blocked") - F.col("allowed")).alias("open"),
+    ]
+    children = here.groupBy("host", "prefix", "seg").agg(F.sum("n").alias("n"), *sums, *labels)
+    children = land(children, "url-children")
+    parents = children.groupBy("host", "prefix").agg(
+        F.sum("n").alias("n_all"), *[F.sum(c).alias(f"{c}_all") for c in KINDS]
+    )
+    both = children.join(parents, ["host", "prefix"])
+    quarters = [
+        F.floor(4 * (F.col(c) + F.lit(float(pull)) * F.col(f"{c}_all") / F.col("n_all")) / (F.col("n") + pull) + 0.5)
+        for c in KINDS
+    ]
+    profile = F.concat(F.lit("{"), *[q.cast("string") for q in quarters], F.lit("}"))
+    judged = land(both.select("host", "prefix", "seg", profile.alias("profile")), "url-profiles")
+    alike = judged.groupBy("host", "prefix", "profile").agg(F.count("*").alias("alike"))
+    name = F.when(F.col("alike") > 1, F.col("profile")).otherwise(F.col("seg"))
+    return judged.join(alike, ["host", "prefix", "profile"]).select("host", "prefix", "seg", name.alias("name"))
 
 
 def judge_urls(
@@ -123,29 +156,27 @@ def judge_urls(
     *,
     id_col: str = "page_id",
     url_col: str = "url",
-    depth: int = DEPTH,
-    most_children: int = MOST_CHILDREN,
     pull: int = PULL,
+    branchings: int = BRANCHINGS,
     reject: float = REJECT,
 ) -> DataFrame:
     """One row per page: ``page_id, host, path, rule, verdict, template``."""
     host, path = host_and_path(url_col)
     read = pages.select(F.col(id_col).alias("page_id"), host.alias("host"), path.alias("path"))
-    told = read.withColumn("told", longest_rule(rules)).withColumn("segs", segments("path", depth))
+    told = read.withColumn("told", longest_rule(rules)).withColumn("segs", segments("path"))
     paths = told.groupBy("host", "segs").agg(
         F.count("*").alias("n"),
         F.count_if(F.col("told.verdict") == "block").alias("blocked"),
         F.count_if(F.col("told.verdict") == "allow").alias("allowed"),
     )
-    paths = land(paths, "url-paths")
-    deepest = paths.agg(F.max(F.size("segs"))).first()[0] or 0
-    found = templates(paths, deepest, most_children, pull)
+    found = templates(land(paths, "url-paths"), pull, branchings)
     nodes = found.groupBy("host", "template").agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"))
     total = nodes.agg(F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed")).first()
     labelled = (total.blocked or 0) + (total.allowed or 0)
     prior = total.blocked / labelled if labelled else 0.0
     purity = (F.col("blocked") + F.lit(pull * prior)) / (F.col("blocked") + F.col("allowed") + pull)
-    judged = nodes.select("host", "template", F.when(purity >= reject, "block").otherwise("allow").alias("judged"))
+    told_of = F.col("blocked") + F.col("allowed") > 0
+    judged = nodes.select("host", "template", F.when(told_of & (purity >= reject), "block").otherwise("allow").alias("judged"))
     known = land(found.select("host", "segs", "template").join(judged, ["host", "template"]), "url-verdicts")
     return told.join(known, ["host", "segs"]).select(
         "page_id",
@@ -162,6 +193,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+# Levels that the SQL branches at; beyond them it takes paths over as they are.
+SQL_LEVELS = 8
+
+
 def _level_sql(level: int) -> str:
     """The tree's next level in SQL: from table p{level} to p{level + 1}."""
     p, ahead = f"p{level}", f"segs[{level + 2}]"
@@ -182,15 +217,14 @@ c{level} AS MATERIALIZED (
          sum(blocked) AS blocked, sum(allowed) AS allowed, sum(n - blocked - allowed) AS open
   FROM {p} WHERE len(segs) > {level} GROUP BY ALL
 ), a{level} AS MATERIALIZED (
-  SELECT *, count(*) OVER parent AS branches, sum(n) OVER parent AS n_all, {totals}
+  SELECT *, sum(n) OVER parent AS n_all, {totals}
   FROM c{level} WINDOW parent AS (PARTITION BY host, prefix)
 ), j{level} AS MATERIALIZED (
-  SELECT host, prefix, seg, CASE WHEN branches > {MOST_CHILDREN} AND n * {MOST_CHILDREN} < n_all THEN '{{*}}'
-         ELSE '{{' || {parts} || '}}' END AS profile
+  SELECT host, prefix, seg, '{{' || {parts} || '}}' AS profile
   FROM a{level}
 ), m{level} AS MATERIALIZED (
   SELECT host, prefix, seg,
-         CASE WHEN profile = '{{*}}' OR count(*) OVER (PARTITION BY host, prefix, profile) > 1 THEN profile ELSE seg END AS name
+         CASE WHEN count(*) OVER (PARTITION BY host, prefix, profile) > 1 THEN profile ELSE seg END AS name
   FROM j{level}
 ), p{level + 1} AS MATERIALIZED (
   SELECT x.host, x.segs, x.n, x.blocked, x.allowed,
@@ -205,11 +239,11 @@ def _oracle_sql() -> str:
     rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, ordered))
     said = " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, ordered))
     shaped = (
-        f"list_transform(parts[2:{DEPTH + 1}], lambda s: CASE WHEN regexp_matches(s, '{NUMBER}') "
+        f"list_transform(parts[2:], lambda s: CASE WHEN regexp_matches(s, '{NUMBER}') "
         f"THEN '{{n}}' || regexp_extract(s, '{NUMBER}', 1) "
         f"WHEN regexp_matches(s, '{HEXADECIMAL}') AND length(s) >= 8 THEN '{{x}}' ELSE s END)"
     )
-    levels = ",".join(_level_sql(i) for i in range(DEPTH + 1))
+    levels = ",".join(_level_sql(i) for i in range(SQL_LEVELS))
     return f"""
 WITH rests AS (
   SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
@@ -221,21 +255,22 @@ WITH rests AS (
 ), cut AS (
   SELECT *, CASE {rule} END AS rule, CASE {said} END AS said, string_split(path, '/') AS parts FROM read
 ), told AS MATERIALIZED (
-  SELECT *, CASE WHEN len(parts) - 1 > {DEPTH} THEN list_append({shaped}, '{{**}}') ELSE {shaped} END AS segs FROM cut
+  SELECT *, {shaped} AS segs FROM cut
 ), p0 AS MATERIALIZED (
   SELECT host, segs, count(*) AS n, sum(CASE WHEN said = 'block' THEN 1 ELSE 0 END) AS blocked,
          sum(CASE WHEN said = 'allow' THEN 1 ELSE 0 END) AS allowed,
          CAST([] AS VARCHAR[]) AS prefix
   FROM told GROUP BY host, segs
 ),{levels}, found AS MATERIALIZED (
-  SELECT host, segs, blocked, allowed, '/' || array_to_string(prefix, '/') AS template FROM p{DEPTH + 1}
+  SELECT host, segs, blocked, allowed, '/' || array_to_string(list_concat(prefix, segs[{SQL_LEVELS + 1}:]), '/') AS template
+  FROM p{SQL_LEVELS}
 ), nodes AS MATERIALIZED (
   SELECT host, template, sum(blocked) AS blocked, sum(allowed) AS allowed FROM found GROUP BY host, template
 ), prior AS (
   SELECT coalesce(sum(blocked)::DOUBLE / nullif(sum(blocked) + sum(allowed), 0), 0) AS prior FROM nodes
 ), judged AS (
   SELECT host, template,
-         CASE WHEN (blocked + {PULL} * prior) / (blocked + allowed + {PULL}) >= {REJECT}::DOUBLE THEN 'block' ELSE 'allow' END AS judged
+         CASE WHEN blocked + allowed > 0 AND (blocked + {PULL} * prior) / (blocked + allowed + {PULL}) >= {REJECT}::DOUBLE THEN 'block' ELSE 'allow' END AS judged
   FROM nodes, prior
 )
 SELECT t.page_id, t.host, t.path, t.rule, coalesce(t.said, j.judged) AS verdict, f.template
