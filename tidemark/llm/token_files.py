@@ -152,7 +152,7 @@ def write_token_files(
     sample_docs: int = 2000,
     sample_text_bytes: int = 16 * 1024,
     level: int = 3,
-    docs_per_segment: int = 200_000,
+    docs_per_segment: int = 50_000,
     chunk_bytes: int = 128 * 1024,
 ) -> str:
     """Write the documents' ids to ``out`` in ascending doc_id; returns ``out``.
@@ -186,8 +186,9 @@ def write_token_files(
     marks = [i / segments for i in range(1, segments)]
     cuts = rows.agg(F.percentile_approx("doc_id", marks, 10 * segments)).first()[0] or []
     placed = frames.withColumn("segment", sorted_place(sorted(set(cuts)), F.col("doc_id")))
-    # One task per segment, or several segments in a task; the sort keeps them apart.
-    sorted_frames = placed.repartition(segments, "segment").sortWithinPartitions("segment", "doc_id", "frame")
+    # One task per segment; the sort keeps segments apart where Spark puts several in a task.
+    dealt = placed.repartitionById(segments, F.col("segment").cast("int"))
+    sorted_frames = dealt.sortWithinPartitions("segment", "doc_id", "frame")
     sorted_frames.select("segment", "doc_id", "n_tokens", "frame").mapInArrow(
         assembler(dictionary_hash, width, chunk_bytes),
         SEGMENTS,
