@@ -60,33 +60,44 @@ def test_empty_and_untrained(no_docs, edge_docs, edge_rows):
     check(lm.score_documents(edge_docs, F.lit(True)).collect(), [(k, t) for k, t, _ in edge_rows], how=lambda k: True)
 
 
+def slice_levels(sliced, kind, keys, bits=6):
+    """Levels that each key's slice of the filter tells."""
+    slices = {r.bucket: np.frombuffer(bytes(r.slice), np.uint8) for r in sliced.filter(F.col("kind") == kind).collect()}
+    out = np.zeros(len(keys), np.int64)
+    buckets = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    for bucket, data in slices.items():
+        own = buckets == bucket
+        out[own] = lm.probed_levels(data, 0, np.uint64(8 * len(data)), keys[own], 1)
+    return out
+
+
 def test_filter_gives_the_quantised_counts(small_docs):
     """No count is lost or too low, and few are too high."""
-    texts = small_docs.select(raw_text("text").alias("text"))
-    counts = lm.count_ngrams(texts, 6, (1, 2), 50_000)
-    held_filter = lm.build_filter(counts, 6, (1, 2), 10, 1 << 26)
+    _, sliced = lm.train(small_docs.select(raw_text("text").alias("text")), 6, tokens_at_once=50_000)
     words = [tokens(r.text) for r in small_docs.collect()]
     single = collections.Counter(w for own in words for w in own)
     known = lm.WordKeys()
     keys = np.array([known[w] for w in single], np.uint64)
     true = lm.level_of(np.array(list(single.values())))
-    got = held_filter.levels(keys, lm.UNIGRAM)
+    got = slice_levels(sliced, lm.UNIGRAM, keys)
     assert (got >= true).all() and (got > true).mean() < 0.05
     pairs = collections.Counter(p for own in words for p in zip([b"\n", *own], own))
     left = np.array([known[a] for a, _ in pairs], np.uint64)
     right = np.array([known[b] for _, b in pairs], np.uint64)
     both = np.array([lm.bigram_keys(np.array([a, b], np.uint64))[1] for a, b in zip(left, right)], np.uint64)
-    n = np.array(list(pairs.values()))
-    got = held_filter.levels(both, lm.BIGRAM)
-    assert (got[n >= 2] >= lm.level_of(n[n >= 2])).all()
-    assert (got[n == 1] > 0).mean() < 0.05
+    true = lm.level_of(np.array(list(pairs.values())))
+    got = slice_levels(sliced, lm.BIGRAM, both)
+    assert (got >= true).all() and (got > true).mean() < 0.05
+    rng = np.random.default_rng(1)
+    absent = rng.integers(0, 1 << 63, 20_000, dtype=np.uint64)
+    assert (slice_levels(sliced, lm.BIGRAM, absent) > 0).mean() < 0.05
 
 
-def test_size_bound(small_docs):
-    counts = lm.count_ngrams(small_docs.select(raw_text("text").alias("text")), 6, (1, 2), 50_000)
-    small = lm.build_filter(counts, 6, (1, 2), 10, 4096)
-    assert len(small.data) <= 4096 + 2 * 64 * 8
-    assert max(small.lowest) > 2
+def test_sorted_keys_come_back():
+    rng = np.random.default_rng(2)
+    for keys in (np.zeros(0, np.uint64), np.array([0, 0, 2**64 - 1], np.uint64), np.sort(rng.integers(0, 1 << 63, 999, dtype=np.uint64) * np.uint64(2))):
+        data = lm.packed_sorted(keys)
+        assert (lm.unpacked_sorted(data) == keys).all() and len(lm.unpacked_sorted(data)) == len(keys)
 
 
 def test_levels():
@@ -115,7 +126,7 @@ def test_slices_hold_all_entries(small_docs):
     """The slices together are as large as the entries ask for, however many there are."""
     texts = small_docs.select(raw_text("text").alias("text"))
     model, sliced = lm.train(texts, 6, most_words=10, most_pairs=10)
-    held = lm.level_totals(lm.count_ngrams(texts, 6, (1, 2), 50_000))
+    held = lm.level_totals(sliced)
     lowest = [int(held[k].nonzero()[0].min()) for k in (0, 1)]
     entries = sum(int((held[k] * np.maximum(np.arange(lm.LEVELS) - lowest[k] + 1, 0)).sum()) for k in (0, 1))
     size = sum(len(r.slice) for r in sliced.select("slice").collect())

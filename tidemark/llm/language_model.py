@@ -26,6 +26,7 @@ rows; rows of one doc_id are scored each; extra columns are not read.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -100,14 +101,33 @@ def bucket_bounds(keys: np.ndarray, bits: int) -> list[int]:
     return [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
 
 
+def packed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def unpacked(data, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+
+
+def packed_sorted(keys: np.ndarray) -> bytes:
+    """Sorted keys as differences, their bytes plane by plane: the leading planes are nearly all zero."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return packed(np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8).T))
+
+
+def unpacked_sorted(data) -> np.ndarray:
+    planes = unpacked(data, np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def count_rows(kind: int, keys: np.ndarray, counts: np.ndarray, bits: int) -> pa.RecordBatch:
     cuts = bucket_bounds(keys, bits)
     spans = [(b, x, y) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
     columns = [
         pa.array([kind] * len(spans), pa.int32()),
         pa.array([b for b, _, _ in spans], pa.int64()),
-        pa.array([keys[x:y].tobytes() for _, x, y in spans], pa.binary()),
-        pa.array([counts[x:y].astype(np.uint32).tobytes() for _, x, y in spans], pa.binary()),
+        pa.array([packed_sorted(keys[x:y]) for _, x, y in spans], pa.binary()),
+        pa.array([packed(counts[x:y].astype(np.uint32)) for _, x, y in spans], pa.binary()),
     ]
     return pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "keys", "counts"])
 
@@ -138,8 +158,8 @@ def totaler(least: tuple[int, int]):
     def total(group: pa.Table) -> pa.Table:
         """Add up one bucket; n-grams below ``least`` of their kind count, but are not kept."""
         kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
-        keys = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("keys")])
-        counts = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in group.column("counts")])
+        keys = np.concatenate([unpacked_sorted(x.as_buffer()) for x in group.column("keys")])
+        counts = np.concatenate([unpacked(x.as_buffer(), np.uint32) for x in group.column("counts")])
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order].astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -156,12 +176,6 @@ def totaler(least: tuple[int, int]):
     return total
 
 
-def count_ngrams(docs: DataFrame, bits: int, least: tuple[int, int], tokens_at_once: int) -> DataFrame:
-    """The count table of ``text`` rows: a row for each kind and bucket."""
-    partial = docs.select("text").mapInArrow(counter(bits, tokens_at_once), COUNTS)
-    return land(partial.groupBy("kind", "bucket").applyInArrow(totaler(least), TOTALS), "ngram-counts")
-
-
 def positions(keys: np.ndarray, level: int, probe: int) -> np.ndarray:
     """A hash of (n-gram, level, probe)."""
     salt = (0x9E3779B97F4A7C15 * level + 0xD6E8FEB86659FD93 * probe) % (1 << 64)
@@ -194,38 +208,6 @@ def probed_levels(data: np.ndarray, start, size, keys: np.ndarray, lowest: int)
     return out
 
 
-def slicer(lowest: tuple[int, int], bits_per_entry: int):
-    """Tasks: counts to slices of the filter."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                kind, bucket = (batch.column(c)[i].as_py() for c in ("kind", "bucket"))
-                keys = np.frombuffer(batch.column("keys")[i].as_buffer(), np.uint64)
-                levels = level_of(np.frombuffer(batch.column("counts")[i].as_buffer(), np.int64))
-                row = [kind, bucket, filter_slice(keys, levels, lowest[kind], bits_per_entry)]
-                kinds = [pa.int32(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["kind", "bucket", "slice"])
-
-    return build
-
-
-@dataclass
-class Filter:
-    """Slices side by side: ``sizes`` in bits, and where each begins, by kind and bucket."""
-
-    bits: int
-    lowest: tuple[int, int]
-    sizes: np.ndarray
-    starts: np.ndarray
-    data: np.ndarray
-
-    def levels(self, keys: np.ndarray, kind: int) -> np.ndarray:
-        """Level of each n-gram by repeated probes, 0 where the first is missing."""
-        bucket = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
-        return probed_levels(self.data, self.starts[kind][bucket], self.sizes[kind][bucket].astype(np.uint64), keys, self.lowest[kind])
-
-
 def estimates(before: np.ndarray, own: np.ndarray, both: np.ndarray, size: int, less: float = 0.0):
     """Bigram and unigram probabilities by levels; ``less`` is taken off all counts to leave a token out."""
     context = np.maximum(LEVEL_COUNT[before] - less, 0)
@@ -354,33 +336,6 @@ def frequent(sliced: DataFrame, kind: int, level: int) -> tuple[np.ndarray, np.n
     return keys, counts, levels
 
 
-def build_filter(counts: DataFrame, bits: int, least: tuple[int, int], bits_per_entry: int, most_bytes: int) -> Filter:
-    """A filter in one piece, for use without the slices; no query is scored by it.
-
-    It has ``most_bytes`` at most (and 8 bytes for each bucket): the lowest level rises until the entries fit.
-    """
-    held = level_totals(counts)
-    lowest = [int(level_of(np.array([n]))[0]) for n in least]
-
-    def entries(kind: int) -> int:
-        return int((held[kind] * np.maximum(np.arange(LEVELS) - lowest[kind] + 1, 0)).sum())
-
-    while entries(UNIGRAM) + entries(BIGRAM) > most_bytes * 8 // bits_per_entry:
-        # The kind with more entries loses its rarest n-grams.
-        lowest[UNIGRAM if entries(UNIGRAM) > entries(BIGRAM) else BIGRAM] += 1
-    rows = counts.select("kind", "bucket", "keys", "counts").mapInArrow(
-        slicer(tuple(lowest), bits_per_entry), "kind int, bucket bigint, slice binary"
-    )
-    found = sorted(rows.collect(), key=lambda r: (r.kind, r.bucket))
-    sizes, starts = np.zeros((2, 1 << bits), np.int64), np.zeros((2, 1 << bits), np.int64)
-    at = 0
-    for row in found:
-        sizes[row.kind, row.bucket], starts[row.kind, row.bucket] = 8 * len(row.slice), at
-        at += 8 * len(row.slice)
-    data = np.frombuffer(b"".join(bytes(r.slice) for r in found) or b"\0", np.uint8)
-    return Filter(bits, tuple(lowest), sizes, starts, data)
-
-
 def train(
     docs: DataFrame,
     bits: int,
@@ -409,14 +364,6 @@ def train(
     return Model(words[0] or 0, words[1] or 0, (word_keys, pair_keys), word_counts, (word_levels, pair_levels)), sliced
 
 
-def packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
-
-
-def unpacked(data, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
-
-
 # A row is a document (row is not null), a chunk's tokens with words to ask for (tokens), or questions to one
 # bucket; ``kind`` is of the questions. Cells of a row's documents are in ``rows, cells, n``.
 SCORED = (
@@ -663,6 +610,16 @@ def completer(shares: np.ndarray, size: int):
     return complete
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles whose results are landed and which no DataFrame names any more.
+
+    Spark's cleaner does so when the driver's garbage is collected, of itself
+    every half hour only; until then their files take the disks' room.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def bucket_bits(docs: DataFrame, bytes_per_bucket: int) -> int:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(6, math.ceil(math.log2(max(1, size / bytes_per_bucket))))
@@ -691,11 +648,13 @@ def score_documents(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         raw_text(text_col).alias("text"),
     )
+    spark = docs.sparkSession
     bits = bucket_bits(rows, bytes_per_bucket)
     model, sliced = train(rows.filter(~F.col("held_out")).select("text"), bits, least=least, **how)
     lowest = [int(level_of(np.array([n]))[0]) for n in least]
     size = model.tokens + model.types + 1
-    shared = docs.sparkSession.sparkContext.broadcast(model.parts())
+    release_shuffles(spark)  # that of the counts is as large as the texts
+    shared = spark.sparkContext.broadcast(model.parts())
     rows = rows.withColumn("learnt", ~F.col("held_out"))
     scored = land(rows.mapInArrow(scorer(shared, bits, docs_at_once, asked_at_once), SCORED), "lm-scores")
 
@@ -708,11 +667,15 @@ def score_documents(
         return found.groupBy("bucket").cogroup(held.groupBy("bucket"))
 
     words = answered(asked(scored, UNIGRAM), UNIGRAM, ["keys", "counts", "slice"]).applyInArrow(word_answerer(lowest[UNIGRAM]), LOOKED_UP)
+    words = land(words, "lm-words")
     waiting = scored.filter(F.col("tokens").isNotNull()).select("chunk", "tokens")
-    resolved = waiting.groupBy("chunk").cogroup(land(words, "lm-words").groupBy("chunk")).applyInArrow(resolver(bits), RESOLVED)
+    resolved = waiting.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(resolver(bits), RESOLVED)
     resolved = land(resolved, "lm-resolved")
+    del words, waiting
+    release_shuffles(spark)
     pairs = asked(scored, BIGRAM).unionByName(asked(resolved, BIGRAM))
     pairs = land(answered(pairs, BIGRAM, ["slice"]).applyInArrow(pair_answerer(lowest[BIGRAM]), CELLS), "lm-pairs")
+    release_shuffles(spark)
     cells = [x.filter(F.col("n").isNotNull()).select("chunk", "rows", "cells", "n") for x in (scored, resolved, pairs)]
     cells = cells[0].unionByName(cells[1]).unionByName(cells[2])
     total = cells.select("cells", "n").mapInArrow(learnt_cells, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
