@@ -99,7 +99,9 @@ def train_dictionary(docs: DataFrame, path: str, width: str, size: int, sample_d
     """
     share = min(1.0, sample_docs / max(docs.count(), 1))
     short = docs.sample(share, seed=1).filter(F.octet_length("text") <= longest)
-    rows = short.mapInArrow(encoder(path, 0, width), "doc_id bigint, ids binary").select("ids")
+    # A few tasks for the sample, which is bounded: each has to load the tokenizer.
+    few = short.repartition(4)
+    rows = few.mapInArrow(encoder(path, 0, width), "doc_id bigint, ids binary").select("ids")
     samples = sorted(bytes(row.ids) for row in rows.collect())
     return dictionary_of([s for s in samples if s], size)
 
