@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -154,3 +155,38 @@ def test_counting_needs_no_shuffle(docs):
     assert "Exchange" not in plan
 
 
+
+
+def test_linear_score_without_and_with_a_join(spark):
+    """Equal margins by the constant table, which shuffles no post, and by the join."""
+    texts = [(i, [f"w{(i * k) % 37}" for k in range(i % 23)] or None) for i in range(200)] + [(7, ["É", "w1"]), (None, ["w2"])]
+    posts = land(spark.createDataFrame(texts, "doc_id int, words array<string>"), "posts")
+    vocab = land(terms.weighted_vocabulary(posts.filter("words is not null"), 3, 500, 200, 1), "vocab")
+    weights = land(vocab.select("feature", ((F.col("feature") % 11 - 5) / 7.0).alias("coefficient")), "weights")
+    inside = terms.linear_score(posts, vocab, weights, 3, intercept=0.3)
+    joined = terms.linear_score(posts, vocab, weights, 3, intercept=0.3, most_terms=0)
+    rows = [sorted((str(r.doc_id), round(r.margin, 9), r.prediction) for r in df.collect()) for df in (inside, joined)]
+    assert rows[0] == rows[1] and len(rows[0]) == len(texts)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (inside, joined)]
+    assert "Exchange" not in plans[0] and "Exchange" in plans[1]
+
+
+@pytest.mark.parametrize("size, tracked, buckets", [(5, 40, 1 << 16), (5, 10, 4), (20, 20, 64), (300, 600, 1 << 20), (10_000, 20_000, 16)])
+def test_frequent_totals_hold_all_that_can_be_in_the_top(spark, size, tracked, buckets):
+    """Exact totals, whatever the summaries miss and however many terms share a bucket."""
+    rng = random.Random(size)
+    texts = [(i, [f"w{int(rng.paretovariate(0.7)) % 4000}" for _ in range(rng.randint(0, 40))]) for i in range(400)]
+    words = land(spark.createDataFrame(texts, "doc_id int, words array<string>").repartition(7), "words")
+    whole = land(terms.corpus_totals(words, 1, 2), "totals")
+    wanted = sorted(map(tuple, terms.top_terms(whole, [1, 2], size).collect()))
+    found = land(terms.frequent_totals(words, [1, 2], size, tracked=tracked, buckets=buckets), "frequent")
+    exact = {(r.n, r.term): r.total for r in whole.collect()}
+    assert all(exact[r.n, r.term] == r.total for r in found.collect())
+    assert sorted(map(tuple, terms.top_terms(found, [1, 2], size).collect())) == wanted
+    if (size, tracked) == (5, 40):
+        assert found.count() < whole.count() / 2
+
+
+def test_frequent_totals_of_nothing(spark):
+    none = land(spark.createDataFrame([(1, [])], "doc_id int, words array<string>"), "words")
+    assert terms.frequent_totals(none, [1, 2], 5).collect() == []

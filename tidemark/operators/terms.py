@@ -7,9 +7,9 @@ are computed inside the row, without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import or_
+import json
+import zlib
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -88,43 +88,109 @@ def doc_freq(posts: DataFrame, *sizes: int, known: DataFrame | None = None) -> D
     return grams.groupBy("term").agg(F.count("*").alias("df"))
 
 
-def _first_over(counts: DataFrame, order: Column, wanted: int) -> tuple | None:
-    """The first ``key`` in order at which a running sum of ``rows`` reaches ``wanted``, and the sum before it.
+def gram_rows(posts: DataFrame, *sizes: int) -> DataFrame:
+    """``n, term`` of every n-gram occurrence."""
+    return terms(posts, *sizes).select(term_size("term").alias("n"), "term")
 
-    ``counts`` is a histogram, with one row per distinct key.
+
+# As many terms as Spark's summaries track at most.
+MOST_TRACKED = 1_000_000
+
+
+def likely_terms(posts: DataFrame, sizes: Sequence[int], size: int, tracked: int, parts: int = 64) -> DataFrame:
+    """``(n, term)``: about twice ``size`` terms of each n that are likely frequent.
+
+    Mergeable heavy-hitter summaries of ``tracked`` terms: one per task and n,
+    merged in ``parts`` groups of tasks first, so that no task merges all.
     """
-    running = F.sum("rows").over(Window.orderBy(order))
-    row = (
-        counts.withColumn("reached", running)
-        .filter(F.col("reached") >= wanted)
-        .orderBy("reached")
-        .select("key", (F.col("reached") - F.col("rows")).alias("before"))
-        .first()
+    part = F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part")
+    grams = gram_rows(posts, *sizes).select("n", "term", part)
+    noted = F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("noted")
+    merged = F.expr(f"approx_top_k_combine(noted, {tracked})").alias("noted")
+    sums = grams.groupBy("n", "part").agg(noted).groupBy("n").agg(merged)
+    found = sums.select("n", F.explode(F.expr(f"approx_top_k_estimate(noted, {min(2 * size, tracked)})")).alias("_t"))
+    return found.select("n", F.col("_t.item").alias("term"))
+
+
+def frequent_totals(
+    posts: DataFrame, sizes: Sequence[int], size: int, tracked: int | None = None, buckets: int = 1 << 20
+) -> DataFrame:
+    """``(n, term, total)`` of all terms that may be among the ``size`` most frequent of their n, ties included.
+
+    Three passes over the words, and no table of all n-grams: summaries name
+    likely terms; these are counted, and all others by bucket of their hash. The
+    ``size``-th total of the likely terms is one that the result must reach, so
+    only terms of buckets that reach it are counted one by one. The totals are
+    exact, and whatever the summaries missed is found in its bucket.
+    """
+    likely = land(likely_terms(posts, sizes, size, min(tracked or 4 * size, MOST_TRACKED)), "likely-terms")
+    marked = likely.select("n", "term", F.lit(True).alias("_likely"))
+    bucket = lambda term: F.pmod(F.xxhash64(term), F.lit(buckets))
+    grams = gram_rows(posts, *sizes).join(marked, ["n", "term"], "left")
+    named = grams.select(
+        "n",
+        F.when(F.col("_likely"), F.col("term")).alias("term"),
+        F.when(F.col("_likely").isNull(), bucket("term")).alias("bucket"),
     )
-    return (row.key, row.before) if row else None
+    held = land(named.groupBy("n", "term", "bucket").agg(F.count("*").alias("total")), "held-totals")
+    known = held.filter(F.col("bucket").isNull()).select("n", "term", "total")
+    rank = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("total")))
+    reached = known.withColumn("_rank", rank).filter(F.col("_rank") == size).select("n", F.col("total").alias("least"))
+    least = {r.n: r.least for r in reached.collect()}
+    floor = F.lit(1)
+    for n, total in least.items():
+        floor = F.when(F.col("n") == n, total).otherwise(floor)
+    heavy = held.filter(F.col("bucket").isNotNull() & (F.col("total") >= floor)).select("n", "bucket")
+    heavy = land(heavy, "heavy-buckets")
+    rest = gram_rows(posts, *sizes).withColumn("bucket", bucket("term")).join(heavy, ["n", "bucket"], "left_semi")
+    rest = rest.groupBy("n", "term").agg(F.count("*").alias("total")).join(marked.drop("_likely"), ["n", "term"], "left_anti")
+    return known.filter(F.col("total") >= floor).unionByName(rest.filter(F.col("total") >= floor))
+
+
+def rank_cuts(totals: DataFrame, size: int) -> list[tuple[int, int, str, int]]:
+    """``(n, total, prefix, width)``: where the rank ``size`` falls among the terms of each n.
+
+    One histogram of totals for all n gives the total on which it falls. The
+    terms with that total are counted by ever longer prefixes, until the prefix
+    on which it falls holds at most ``size`` of them. An n without a row has
+    no more terms than ``size``.
+    """
+
+    def crossing(counts: DataFrame, order: Column, wanted: Column) -> list:
+        """Per n the first ``key`` at which the running sum of ``rows`` reaches what is wanted."""
+        reached = F.sum("rows").over(Window.partitionBy("n").orderBy(order))
+        passed = counts.withColumn("reached", reached).filter(F.col("reached") >= wanted)
+        first = F.min_by(F.struct("key", "rows", (F.col("reached") - F.col("rows")).alias("before")), "reached")
+        return passed.groupBy("n").agg(first.alias("at")).select("n", "at.*").collect()
+
+    hist = totals.groupBy("n", F.col("total").alias("key")).agg(F.count("*").alias("rows"))
+    # total, prefix, width, terms before, terms left
+    state = {r.n: (r.key, "", 0, r.before, r.rows) for r in crossing(hist, F.desc("key"), F.lit(size))}
+    while wide := {n: s for n, s in state.items() if s[4] > size}:
+        ties, wanted, width = F.lit(False), F.lit(size), F.lit(0)
+        for n, (total, prefix, w, before, _) in wide.items():
+            mine = F.col("n") == n
+            ties |= mine & (F.col("total") == total) & (F.left("term", F.lit(w)) == prefix)
+            wanted = F.when(mine, size - before).otherwise(wanted)
+            width = F.when(mine, w + 2).otherwise(width)
+        heads = totals.filter(ties).groupBy("n", F.left("term", width).alias("key")).agg(F.count("*").alias("rows"))
+        for r in crossing(heads, F.asc("key"), wanted):
+            total, _, w, before, _ = wide[r.n]
+            state[r.n] = (total, r.key, w + 2, before + r.before, r.rows)
+    return [(n, total, prefix, w) for n, (total, prefix, w, _, _) in state.items()]
 
 
 def top_of(totals: DataFrame, size: int) -> Column:
-    """A filter that passes the ``size`` rows of largest total, lower terms on ties.
+    """A filter that passes the ``size`` rows of largest total of each n, lower terms on ties.
 
-    Nothing is sorted: a histogram of totals gives the total on which the rank
-    falls. The terms with that total are counted by ever longer prefixes, until
-    the prefix on which the rank falls holds at most ``size`` of them. Only
-    those go on to be ordered, so passing rows may be up to ``size`` too many.
+    Nothing is sorted; passing rows may be up to ``size`` too many of each n.
     """
-    found = _first_over(totals.groupBy(F.col("total").alias("key")).agg(F.count("*").alias("rows")), F.desc("key"), size)
-    if not found:
-        return F.lit(True)
-    total, before = found
-    ties, prefix, width = totals.filter(F.col("total") == total), "", 0
-    while ties.count() > size:
-        width += 2
-        heads = ties.groupBy(F.left("term", F.lit(width)).alias("key")).agg(F.count("*").alias("rows"))
-        prefix, skipped = _first_over(heads, F.asc("key"), size - before)
-        before += skipped
-        ties = ties.filter(F.left("term", F.lit(width)) == prefix)
-    head = F.left("term", F.lit(width)) <= prefix
-    return (F.col("total") > total) | ((F.col("total") == total) & head)
+    dropped = F.lit(False)
+    for n, total, prefix, width in rank_cuts(totals, size):
+        head = F.left("term", F.lit(width)) <= prefix
+        stays = (F.col("total") > total) | ((F.col("total") == total) & head)
+        dropped |= (F.col("n") == n) & ~stays
+    return ~dropped
 
 
 def top_terms(totals: DataFrame, sizes: Sequence[int], size: int) -> DataFrame:
@@ -134,15 +200,16 @@ def top_terms(totals: DataFrame, sizes: Sequence[int], size: int) -> DataFrame:
     0; ties break by term, so the result does not depend on partitioning. The
     window sees at most twice ``size`` rows of each n.
     """
-    passes = [(F.col("n") == n) & top_of(totals.filter(F.col("n") == n), size) for n in sizes]
+    wanted = totals.filter(F.col("n").isin(list(sizes)))
     by_rank = Window.partitionBy("n").orderBy(F.desc("total"), F.asc("term"))
-    ranked = totals.filter(reduce(or_, passes)).withColumn("idx", F.row_number().over(by_rank).cast("bigint") - 1)
+    ranked = wanted.filter(top_of(wanted, size)).withColumn("idx", F.row_number().over(by_rank).cast("bigint") - 1)
     return ranked.filter(F.col("idx") < size)
 
 
 def vocabulary(posts: DataFrame, n: int, size: int) -> DataFrame:
     """``(term, total, idx)``: top terms by total corpus count."""
-    totals = land(corpus_totals(posts, n), "totals")
+    words = land(posts.select(WORDS), "vocabulary-words")
+    totals = land(frequent_totals(words, [n], size), "totals")
     return top_terms(totals, [n], size).select("term", "total", "idx")
 
 
@@ -160,11 +227,13 @@ def weighted_vocabulary(
     """``(n, idx, term, total, df, idf, feature)`` for n = 1..max_n.
 
     ``feature`` numbers the slots of the assembled vector: n-major blocks of
-    ``size`` slots each, in vocabulary order. Two passes over the words: one
-    for the totals, and one for the document frequencies of the top terms.
+    ``size`` slots each, in vocabulary order. ``posts`` should be landed: its
+    words are read for the totals and for the document frequencies of the top
+    terms.
     """
     sizes = range(1, max_n + 1)
-    top = land(top_terms(land(corpus_totals(posts, *sizes), "totals"), sizes, size), "top-terms")
+    totals = land(frequent_totals(posts, sizes, size), "totals")
+    top = land(top_terms(totals, sizes, size), "top-terms")
     return top.join(doc_freq(posts, *sizes, known=top), "term").select(
         "n",
         "idx",
@@ -195,6 +264,21 @@ def tfidf(
     return found.select(*keep, "n", "term", "feature", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
+def weight_of(rows: Sequence[tuple[str, float]]) -> Callable[[Column], Column]:
+    """A lookup of terms in a constant table of buckets; 0 for other terms.
+
+    A map is searched from its start, so terms are dealt to as many small maps
+    as there are terms.
+    """
+    n = max(1, len(rows))
+    place = lambda term: F.pmod(F.crc32(term.cast("binary")), F.lit(n)).cast("int")
+    buckets: list[dict[str, float]] = [{} for _ in range(n)]
+    for term, weight in rows:
+        buckets[zlib.crc32(term.encode()) % n][term] = weight
+    table = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,double>>")
+    return lambda term: F.coalesce(F.try_element_at(F.get(table, place(term)), term), F.lit(0.0))
+
+
 def linear_score(
     posts: DataFrame,
     vocab: DataFrame,
@@ -203,20 +287,40 @@ def linear_score(
     intercept: float = 0.0,
     threshold: float = 0.5,
     keep: Sequence[str] = ("doc_id",),
+    most_terms: int = 1 << 17,
 ) -> DataFrame:
     """``keep`` and margin, probability and prediction of every post.
 
-    A post without a known feature has the intercept as its margin. Posts are
-    told apart by their place in ``posts``, which must be a landed table: two
-    posts with one id stay two rows. A post's features come from one row, so
-    the map-side combine leaves one row per post for the shuffle.
+    A post without a known feature has the intercept as its margin. While the
+    weighted terms are ``most_terms`` at most they go to all tasks as a
+    constant and the margin is a sum inside the row; more of them are joined.
     """
-    placed = posts.withColumn("_post", F.monotonically_increasing_id())
-    features = tfidf(placed, vocab, max_n, ("_post",)).join(coefficients, "feature")
-    dots = features.groupBy("_post").agg(F.sum(F.col("tfidf") * F.col("coefficient")).alias("_dot"))
-    margin = F.coalesce("_dot", F.lit(0.0)) + F.lit(intercept)
-    scored = placed.select("_post", *keep).join(dots, "_post", "left").select(*keep, margin.alias("margin"))
+    weights = vocab.join(coefficients, "feature").select("term", (F.col("idf") * F.col("coefficient")).alias("weight"))
+    weights = land(weights.filter("weight <> 0"), "term-weights")
+    if weights.count() <= most_terms:
+        weight = weight_of([(r.term, r.weight) for r in weights.orderBy("term").collect()])
+        grams = _grams(range(1, max_n + 1))
+        dot = F.aggregate(grams, F.lit(0.0), lambda total, term: total + weight(term))
+        scored = posts.select(*keep, (F.coalesce(dot, F.lit(0.0)) + F.lit(intercept)).alias("margin"))
+    else:
+        scored = joined_margins(posts, weights, max_n, intercept, keep)
     probability = 1 / (1 + F.exp(-F.col("margin")))
     return scored.withColumn("probability", probability).withColumn(
         "prediction", F.when(F.col("probability") > threshold, 1.0).otherwise(0.0)
     )
+
+
+def joined_margins(
+    posts: DataFrame, weights: DataFrame, max_n: int, intercept: float, keep: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """Margins by a join with the weighted terms, however many they are.
+
+    Posts are told apart by their place in ``posts``, which must be a landed
+    table: two posts with one id stay two rows. A post's terms come from one
+    row, so the map-side combine leaves one row per post for the shuffle.
+    """
+    placed = posts.withColumn("_post", F.monotonically_increasing_id())
+    found = term_counts(placed, *range(1, max_n + 1), keep=("_post",)).join(weights, "term")
+    dots = found.groupBy("_post").agg(F.sum(F.col("tf") * F.col("weight")).alias("_dot"))
+    margin = F.coalesce("_dot", F.lit(0.0)) + F.lit(intercept)
+    return placed.select("_post", *keep).join(dots, "_post", "left").select(*keep, margin.alias("margin"))
