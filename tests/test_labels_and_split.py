@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import evaluate, labels, split
 from tidemark.session import CHECKPOINT_CONF, INPUT_TASKS_CONF, local_table, shared_dir
 from tidemark.sources.tables import dealt
-from tidemark.sources.readers import read_labelled_csv
+from tidemark.sources.readers import read_checked_csv, read_labelled_csv
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -36,6 +36,25 @@ def test_csv_edges(spark):
     assert rows["4"].author is None and rows["4"].target == 4
 
 
+def test_broken_csv_records_are_kept_apart(spark):
+    path = Path(tempfile.mkdtemp(prefix="tidemark-csv-")) / "rows.csv"
+    path.write_bytes(
+        b'0,1,Mon,NO_QUERY,ann,"caf\xe9, ok"\n'
+        b"x,3,Wed,NO_QUERY,cy,bad target\n"
+        b"4,4,Thu,NO_QUERY\n"
+        b"4,5,Fri,NO_QUERY,eve,a,b\n"
+        b",6,Fri,NO_QUERY,eve,no target\n"
+    )
+    rows, broken = read_checked_csv(spark, str(path))
+    plain = read_labelled_csv(spark, str(path))
+    assert rows.columns == plain.columns and sorted(map(str, rows.collect())) == sorted(map(str, plain.collect()))
+    assert sorted((r.reason, r.record) for r in broken.collect()) == [
+        ("bad number", "x,3,Wed,NO_QUERY,cy,bad target"),
+        ("number of fields", "4,4,Thu,NO_QUERY"),
+        ("number of fields", "4,5,Fri,NO_QUERY,eve,a,b"),
+    ]
+
+
 def test_labels_sort_as_text_and_skip_null(spark):
     rows = spark.createDataFrame([(4,), (0,), (10,), (2,), (4,), (None,)], "target int")
     ours = {r.label: r.label_index for r in labels.label_index(rows).collect()}

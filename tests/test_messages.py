@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.dates import event_time
 from tidemark.operators import funnel, messages
 from tidemark.operators.terms import with_words
 from tidemark.plans import scoring
@@ -254,3 +255,83 @@ def test_stream_keeps_posts_without_an_id(spark):
     texts = [sorted((r.tweet_id or "", r.processed_text) for r in x.collect()) for x in (got, wanted)]
     assert texts[0] == texts[1] and len(texts[0]) == 5
     assert sorted(got.columns) == sorted(wanted.columns)
+
+
+def test_stream_into_collections_survives_a_failed_batch(spark):
+    """The first run fails between two collections; the batch runs again and leaves no copies."""
+    log, out, state = (fresh_path(spark, n) for n in ("log", "each", "state"))
+    table, names, failed = messages.routes(spark, ROUTES), [c for _, c in ROUTES], []
+    writers.publish_log(_messages(spark, [*VALUES, ("gemini-2", _post(8, "second collection"))]), log)
+
+    def save(writer, name, batch):
+        if name == "gemini_out" and not failed:
+            failed.append(batch)
+            raise RuntimeError("lost")
+        writer.mode("overwrite").parquet(f"{out}/collection={name}/batch={batch}")
+
+    def drain():
+        stream.start_each(stream.log_stream(spark, log), _rule, table, names, save, state).awaitTermination()
+
+    def stored():
+        return sorted((r.tweet_id, r.collection, r.batch) for r in spark.read.parquet(out).collect())
+
+    with pytest.raises(Exception, match="lost"):
+        drain()
+    assert failed == [0] and {r[1] for r in stored()} == {"gpt_out"}
+    drain()
+    batch = scoring.score_messages(spark.read.parquet(log), _rule, table)
+    expected = sorted((r.tweet_id, r.collection, 0) for r in batch.collect())
+    assert stored() == expected and len({r[1] for r in expected}) == 2
+    drain()
+    assert stored() == expected
+    writers.publish_log(_messages(spark, [("gpt-2", _post(9, "more"))]), log)
+    drain()
+    assert stored() == sorted([*expected, ("9", "gpt_out", 1)])
+
+
+def test_event_time(spark):
+    rows = [
+        ("2025-03-18T10:20:30Z", "2025-03-18 10:20:30"),
+        ("2025-03-18", "2025-03-18 00:00:00"),
+        ("Tue Mar 18 10:20:30 +0000 2025", "2025-03-18 10:20:30"),
+        ("Tue Mar 18 10:20:30 +0200 2025", "2025-03-18 08:20:30"),
+        ("yesterday", "2025-01-01 00:00:00"),
+        ("", "2025-01-01 00:00:00"),
+        (None, "2025-01-01 00:00:00"),
+    ]
+    df = spark.createDataFrame(rows, "created string, wanted string").withColumn("at", F.lit("2025-01-01").cast("timestamp"))
+    got = df.select("wanted", F.date_format(event_time("created", "at"), "yyyy-MM-dd HH:mm:ss").alias("got")).collect()
+    assert [r.got for r in got] == [r.wanted for r in got]
+
+
+def test_stream_by_the_time_of_posts(spark):
+    """Copies within the span go, late ones are dropped with the state; stamps that cannot be read fall back to the message's."""
+    log, out, state = (fresh_path(spark, n) for n in ("log", "out", "state"))
+    table = messages.routes(spark, ROUTES)
+
+    def send(first, *posts):
+        rows = [(None, json.dumps(p).encode(), "gpt-2", 0, first + i, None) for i, p in enumerate(posts)]
+        df = spark.createDataFrame(rows, MESSAGE).withColumn("timestamp", F.lit("2025-03-18 10:00:00").cast("timestamp"))
+        land(df, "messages").coalesce(1).write.mode("append").parquet(log)
+        stream.start(
+            stream.log_stream(spark, log), _rule, table, out, state, within="1 hour", post_time=True
+        ).awaitTermination()
+        return sorted(r.tweet_id for r in spark.read.parquet(out).collect())
+
+    post = lambda key, created: {"id": key, "text": f"text {key}", "createdAt": created}
+    assert send(0, post("a", "2025-03-18T10:00:00Z"), post("a", "2025-03-18T10:10:00Z"), post("b", "no time")) == ["a", "b"]
+    # The watermark passes a's span: what is that old is late, what is new is not.
+    assert send(10, post("c", "2025-03-18T15:00:00Z")) == ["a", "b", "c"]
+    assert send(20, post("d", "2025-03-18T09:00:00Z"), post("e", "2025-03-18T14:30:00Z")) == ["a", "b", "c", "e"]
+
+
+def test_counts_of_the_write_itself(spark):
+    table, out = messages.routes(spark, ROUTES), fresh_path(spark, "counted")
+    topics = ["gpt-2", "gemini-2", "copilot-2", "none-2"]
+    report = scoring.run_counted(_messages(spark), _rule, table, topics, lambda rows: writers.append_collections(rows, out))
+    stored = spark.read.parquet(out).select("collection").join(table, "collection").select("topic")
+    again = funnel.funnel_counts(_messages(spark), stored)
+    rows = [sorted((str(r.topic), r.is_total, r.n_raw, r.n_malformed, r.n_valid, r.n_written) for r in x.collect()) for x in (report, again)]
+    assert rows[0] == rows[1] and report.filter("n_predicted <> n_written").count() == 0
+    none = scoring.run_counted(_messages(spark).filter("false"), _rule, table, topics, lambda rows: rows.write.format("noop").mode("append").save())
+    assert [tuple(r) for r in none.collect()] == [(None, True, 0, 0, 0, 0, 0)]

@@ -83,6 +83,9 @@ def test_stages_tell_what_they_hold(spark, toy, toy_model):
     assert listed[-1].stage == "LogisticRegressionModel"
     kept = sum(r["size"] for r in listed if r.stage == "CountVectorizerModel")
     assert listed[-1]["size"] == kept and listed[-2]["size"] == 2
+    assert (listed[2].inputs, listed[2].output) == ("words", "1_grams")
+    assert (listed[-2].inputs, listed[-2].output) == ("target", "label")
+    assert (listed[-1].inputs, listed[-1].output) == ("features", "prediction")
 
 
 def test_fit_equals_plain_pipeline(toy, toy_model):

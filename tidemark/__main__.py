@@ -103,9 +103,20 @@ def score(spark: SparkSession, args) -> None:
     model = writers.load_model(args.model)
     if args.checkpoint:
         source = stream.kafka_stream(spark, args.kafka, topics) if args.kafka else stream.log_stream(spark, args.log)
-        stream.start(
-            source, model, table, args.out, args.checkpoint, args.format, within=args.within
-        ).awaitTermination()
+        how = {"within": args.within, "post_time": args.post_time}
+        if args.each:
+            if "{collection}" not in args.out:
+                raise SystemExit("a stream into a store per collection writes folders: --out must name {collection}")
+            options = dict(args.option or ())
+
+            def save_batch(writer, name: str, batch: int) -> None:
+                target = f"{args.out.format(collection=name)}/batch={batch}"
+                writer.format(args.each).options(**options).mode("overwrite").save(target)
+
+            names = [name for _, name in pairs]
+            stream.start_each(source, model, table, names, save_batch, args.checkpoint, **how).awaitTermination()
+        else:
+            stream.start(source, model, table, args.out, args.checkpoint, args.format, **how).awaitTermination()
         return
     if args.kafka:
         messages = readers.read_kafka(spark, args.kafka, topics)
@@ -169,10 +180,11 @@ def parser() -> argparse.ArgumentParser:
     mode = p.add_mutually_exclusive_group()
     mode.add_argument("--batch")
     mode.add_argument("--checkpoint")
-    mode.add_argument("--each")
+    p.add_argument("--each")
     p.add_argument("--option", type=_key_value, action="append")
     p.add_argument("--format", default="parquet")
     p.add_argument("--within")
+    p.add_argument("--post-time", action="store_true")
     p.add_argument("--dedupe", action="store_true")
     p.set_defaults(job=score)
     return top

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidemark.operators.messages import decode, has_text, is_object, parse_json
@@ -30,6 +31,14 @@ def funnel_counts(messages: DataFrame, stored: DataFrame) -> DataFrame:
     return both.rollup("topic").agg((F.grouping("topic") == 1).alias("is_total"), *sums)
 
 
+def figures(observation: Observation) -> dict:
+    """What an observation saw; nothing where Spark found that there are no rows and left its place out."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 class Tally:
     """Counts per topic that a job takes of its own rows while it writes, without another pass.
 
@@ -53,7 +62,7 @@ class Tally:
 
     def report(self, spark: SparkSession) -> DataFrame:
         """``topic, is_total`` and a column per name: a row per topic that any count saw, and the total."""
-        found = {name: observation.get for name, observation in self.watched.items()}
+        found = {name: figures(observation) for name, observation in self.watched.items()}
         seen = [i for i in range(len(self.topics)) if any(f.get(str(i)) for f in found.values())]
         rows = [(self.topics[i], False, *[int(f.get(str(i)) or 0) for f in found.values()]) for i in seen]
         rows.append((None, True, *[int(f.get("all") or 0) for f in found.values()]))

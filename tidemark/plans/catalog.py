@@ -442,7 +442,7 @@ def stream_each(spark, sf_dir):
     log, out, state = (fresh_path(spark, name) for name in ("log", "streamed", "stream-state"))
     writers.publish_log(tables.messages(spark, sf_dir), log)
     table, names = messages.routes(spark, ROUTES), [name for _, name in ROUTES]
-    save = lambda writer, name, batch: writer.parquet(f"{out}/collection={name}/batch={batch}")
+    save = lambda writer, name, batch: writer.mode("overwrite").parquet(f"{out}/collection={name}/batch={batch}")
     stream.start_each(stream.log_stream(spark, log), _rule, table, names, save, state).awaitTermination()
     return _flat(spark.read.parquet(out).drop("batch"))
 

@@ -95,18 +95,18 @@ def start_each(
 ) -> StreamingQuery:
     """Score what arrives into a store that takes one collection per write.
 
-    ``save`` gets a writer in overwrite mode, the collection's name and the
-    batch's id, for example ``lambda w, c, b: w.parquet(f"{out}/{c}/batch={b}")``.
+    ``save`` gets a writer, the collection's name and the batch's id, for
+    example ``lambda w, c, b: w.mode("overwrite").parquet(f"{out}/{c}/batch={b}")``.
     After a failure Spark runs the batch again under the same id and with the
-    same messages, so that what a half-done batch has written is replaced. A
-    batch is landed and read once per collection.
+    same messages, so that a ``save`` which replaces what the batch has written
+    leaves no copies. A batch is landed and read once per collection.
     """
 
     def write(rows: DataFrame, batch: int) -> None:
         landed = land(rows, "scored-batch")
         for name in collections:
             mine = landed.filter(F.col("collection") == name).drop("collection")
-            save(mine.write.mode("overwrite"), name, batch)
+            save(mine.write, name, batch)
 
     writer = scored_stream(messages, scorer, table, within, post_time).writeStream.foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
