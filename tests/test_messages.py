@@ -5,7 +5,10 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.dates import event_time
 from tidemark.operators import funnel, messages
@@ -326,12 +329,26 @@ def test_stream_by_the_time_of_posts(spark):
 
 
 def test_counts_of_the_write_itself(spark):
-    table, out = messages.routes(spark, ROUTES), fresh_path(spark, "counted")
+    table, out, log = messages.routes(spark, ROUTES), fresh_path(spark, "counted"), fresh_path(spark, "log")
+    land(_messages(spark), "messages").write.parquet(log)
     topics = ["gpt-2", "gemini-2", "copilot-2", "none-2"]
-    report = scoring.run_counted(_messages(spark), _rule, table, topics, lambda rows: writers.append_collections(rows, out))
+    read = lambda session: session.read.parquet(log)
+    report = scoring.run_counted(spark, read, _rule, ROUTES, topics, lambda rows: writers.append_collections(rows, out))
     stored = spark.read.parquet(out).select("collection").join(table, "collection").select("topic")
     again = funnel.funnel_counts(_messages(spark), stored)
     rows = [sorted((str(r.topic), r.is_total, r.n_raw, r.n_malformed, r.n_valid, r.n_written) for r in x.collect()) for x in (report, again)]
     assert rows[0] == rows[1] and report.filter("n_predicted <> n_written").count() == 0
-    none = scoring.run_counted(_messages(spark).filter("false"), _rule, table, topics, lambda rows: rows.write.format("noop").mode("append").save())
-    assert [tuple(r) for r in none.collect()] == [(None, True, 0, 0, 0, 0, 0)]
+    none = lambda session: read(session).filter("false")
+    empty = scoring.run_counted(spark, none, _rule, ROUTES, topics, lambda rows: rows.write.format("noop").mode("append").save())
+    assert [tuple(r) for r in empty.collect()] == [(None, True, 0, 0, 0, 0, 0)]
+
+
+def test_models_still_work_after_counting(spark):
+    """The job's observations stay in a session of their own."""
+    log = fresh_path(spark, "log")
+    land(_messages(spark), "messages").write.parquet(log)
+    read = lambda session: session.read.parquet(log)
+    scoring.run_counted(spark, read, _rule, ROUTES, ["gpt-2"], lambda rows: rows.write.format("noop").mode("append").save())
+    schema = T.StructType([T.StructField("label", T.DoubleType()), T.StructField("features", VectorUDT())])
+    data = spark.createDataFrame([(0.0, Vectors.dense([1.0])), (1.0, Vectors.dense([2.0]))], schema)
+    assert LogisticRegression().fit(data).transform(data).count() == 2

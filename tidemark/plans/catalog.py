@@ -449,10 +449,10 @@ def stream_each(spark, sf_dir):
 
 def funnel_observed(spark, sf_dir):
     """Counts per topic that the scoring job takes while it writes."""
-    rows, table = _with_odd_objects(spark, sf_dir), messages.routes(spark, ROUTES)
     path = fresh_path(spark, "collections")
+    read = lambda session: _with_odd_objects(session, sf_dir)
     write = lambda scored: writers.append_collections(scored, path)
-    return scoring.run_counted(rows, _rule, table, LANGS, write)
+    return scoring.run_counted(spark, read, _rule, ROUTES, LANGS, write)
 
 
 def event_times(spark, sf_dir):

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.funnel import Tally
-from tidemark.operators.messages import dedupe_posts, is_object, parse_posts, route, score_input, score_output, unseen
+from tidemark.operators.messages import dedupe_posts, is_object, parse_posts, route, routes, score_input, score_output, unseen
 from tidemark.sources.writers import append_collections
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -57,26 +57,31 @@ def run(
 
 
 def run_counted(
-    messages: DataFrame,
+    spark: SparkSession,
+    read: Callable[[SparkSession], DataFrame],
     scorer: PipelineModel | Scorer,
-    table: DataFrame,
+    pairs: Iterable[tuple[str, str]],
     topics: Sequence[str],
     write: Callable[[DataFrame], None],
 ) -> DataFrame:
     """Score and ``write`` in one job that counts itself: the report of :func:`funnel.funnel_counts`,
     and ``n_predicted``, without reading the messages or the written rows again.
 
-    A topic of ``topics`` without any message is not reported.
+    ``pairs`` are the routes. A topic of ``topics`` without any message is not
+    reported. The job reads in a session of its own: in Spark 4.1 a session that
+    has observed rows can no longer use models that still have the summary of
+    their training.
     """
     tally, kept = Tally(topics), ("collection", "topic")
+    session = spark.newSession()
     transform = scorer.transform if isinstance(scorer, PipelineModel) else scorer
     value = F.col("value").cast("string")
     text = F.from_json(value, "text string").getField("text")
     # Each observation counts what passes its place in the plan.
-    read = tally.watch(messages, "n_raw")
-    read = tally.watch(read, "n_malformed", ~is_object(value))
-    read = tally.watch(read, "n_valid", F.coalesce(text.isNotNull() & (text != ""), F.lit(False)))
-    posts = parse_posts(route(read, table), keep=("collection",))
+    rows = tally.watch(read(session), "n_raw")
+    rows = tally.watch(rows, "n_malformed", ~is_object(value))
+    rows = tally.watch(rows, "n_valid", F.coalesce(text.isNotNull() & (text != ""), F.lit(False)))
+    posts = parse_posts(route(rows, routes(session, pairs)), keep=("collection",))
     scored = tally.watch(transform(score_input(posts, keep=kept)), "n_predicted", F.col("prediction").isNotNull())
     write(tally.watch(score_output(scored, keep=kept), "n_written").drop("topic"))
-    return tally.report(messages.sparkSession)
+    return tally.report(spark)
