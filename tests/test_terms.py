@@ -187,6 +187,13 @@ def test_frequent_totals_hold_all_that_can_be_in_the_top(spark, size, tracked, b
         assert found.count() < whole.count() / 2
 
 
+def test_direct_counts_and_summaries_give_the_same_top(spark):
+    words = land(terms.with_words(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).select(WORDS), "words")
+    both = [land(terms.rank_totals(words, [1, 2], 20, direct=d), "totals") for d in (10**9, 0)]
+    tops = [sorted(map(tuple, terms.top_terms(t, [1, 2], 20).collect())) for t in both]
+    assert tops[0] == tops[1] and len(tops[0]) == 40 and both[1].count() < both[0].count()
+
+
 def test_frequent_totals_of_nothing(spark):
     none = land(spark.createDataFrame([(1, [])], "doc_id int, words array<string>"), "words")
     assert terms.frequent_totals(none, [1, 2], 5).collect() == []
