@@ -104,3 +104,15 @@ def test_empty_log(spark):
     log = spark.createDataFrame([], LOG)
     assert ordered_log.accept_ordered(log, ["at"], ["keyword"]).collect() == []
     assert ordered_log.cut_ordered(log, ["at"], ["keyword"]).collect() == []
+
+
+def test_ranges_are_few_until_they_are_wide(spark):
+    assert [ordered_log.range_count(n, 500) for n in (0, 1, 500, 501, 100_000)] == [1, 1, 1, 2, 200]
+    assert ordered_log.range_count(6_000_000, 500) == ordered_log.range_count(36_000_000, 500) == ordered_log.MANY_RANGES
+    assert ordered_log.range_count(10**10, 500) == 10_000
+    log = spark.range(3000).selectExpr("'a' as keyword", "id as at", "id as tie", "true as ok", "1 as n", "true as has_next")
+    placed = ordered_log.place_attempts(ordered_log.with_rows(log), ["at"], ["keyword"], ["tie"], rows_per_range=2)
+    plan = ordered_log.with_rows(placed.select("page", "before"))
+    assert plan.filter("page = before + 1").count() == plan.select("page").distinct().count() == 3000
+    largest = placed.select("page").inputFiles()
+    assert len({f for f in largest if "log-ranges" in f}) <= ordered_log.MANY_RANGES

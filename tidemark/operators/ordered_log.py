@@ -24,6 +24,8 @@ from tidemark.schemas import MAX_FAILURES, QUOTA
 from tidemark.session import land
 
 ROW = "_row"
+# More ranges than this are made only where each has WIDE_ROWS rows or more.
+MANY_RANGES, WIDE_ROWS = 512, 1_000_000
 
 
 def with_rows(log: DataFrame) -> DataFrame:
@@ -31,6 +33,17 @@ def with_rows(log: DataFrame) -> DataFrame:
     return land(log.withColumn(ROW, F.monotonically_increasing_id()), "log-rows")
 
 
+def range_count(rows: int, rows_per_range: int) -> int:
+    """How many ranges a log is dealt to.
+
+    Each range costs the driver a hundred sampled keys, the state of its task
+    and a place in every map task's sizes, so ranges of few rows are made while
+    they are few; a larger log has wider ranges, up to ``WIDE_ROWS`` rows.
+    """
+    wanted = -(-rows // rows_per_range)
+    return max(1, min(wanted, max(MANY_RANGES, -(-rows // WIDE_ROWS))))
+
+
 def place_attempts(
     rows: DataFrame,
     order: Sequence[str],
@@ -41,7 +54,9 @@ def place_attempts(
     """``(keys…, _row, ok, n, has_next, page, before, streak)`` of every row of ``with_rows``.
 
     ``page`` is the place in the search, from 1; ``before`` the posts of earlier
-    pages; ``streak`` the failures in a row up to this attempt.
+    pages; ``streak`` the failures in a row up to this attempt. A range has
+    about ``rows_per_range`` rows, more in a log that would need too many ranges
+    (:func:`range_count`).
     """
     ok = F.coalesce("ok", F.lit(False))
     slim = rows.select(
@@ -53,8 +68,7 @@ def place_attempts(
         F.coalesce("has_next", F.lit(False)).alias("has_next"),
     )
     sort = [f"_o{i}" for i in range(len(order) + len(ties))] + [ROW]
-    ranges = max(1, -(-rows.count() // rows_per_range))
-    dealt = slim.repartitionByRange(ranges, *keys, *sort).withColumn("_range", F.spark_partition_id())
+    dealt = slim.repartitionByRange(range_count(rows.count(), rows_per_range), *keys, *sort).withColumn("_range", F.spark_partition_id())
     inside = Window.partitionBy("_range", *keys).orderBy(*sort)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = (
