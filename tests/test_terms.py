@@ -197,3 +197,24 @@ def test_direct_counts_and_summaries_give_the_same_top(spark):
 def test_frequent_totals_of_nothing(spark):
     none = land(spark.createDataFrame([(1, [])], "doc_id int, words array<string>"), "words")
     assert terms.frequent_totals(none, [1, 2], 5).collect() == []
+
+
+def test_counts_inside_tasks_against_a_loop(spark):
+    """Slices of a few words, null and empty lists, posts longer than a slice; n-grams stay within their post."""
+    rng = random.Random(3)
+    texts = [(i, None if i % 13 == 0 else [rng.choice(["a", "b", "", "ü"]) for _ in range(rng.choice([0, 1, 2, 5, 30]))]) for i in range(80)]
+    posts = spark.createDataFrame(texts, "doc_id int, words array<string>").repartition(3)
+    grams = lambda w, n: [" ".join(w[j : j + n]) for j in range(len(w or ()) - n + 1)]
+    per_post = {(i, n, t): c for i, w in texts for n in (1, 3) for t, c in Counter(grams(w, n)).items()}
+    for most in (1, 7, 10**6):
+        rows = posts.mapInArrow(terms.post_counter([1, 3], "words", ["doc_id"], most), "doc_id int, term string, tf bigint")
+        rows = rows.select("doc_id", terms.term_size("term"), "term", "tf").collect()
+        assert {tuple(r)[:3]: r.tf for r in rows} == per_post and len(rows) == len(per_post)
+        found = posts.select("words").mapInArrow(terms.slice_counter([1, 3], "words", most=most), "n int, term string, total bigint, df bigint")
+        found = found.groupBy("n", "term").agg(F.sum("total").alias("total"), F.sum("df").alias("df")).collect()
+        wanted = Counter(), Counter()
+        for (_, n, t), c in per_post.items():
+            wanted[0][n, t] += c
+            wanted[1][n, t] += 1
+        assert ({(r.n, r.term): r.total for r in found}, {(r.n, r.term): r.df for r in found}) == wanted
+    assert "explode" not in terms.slice_totals(posts, 1, 3)._jdf.queryExecution().toString().lower()

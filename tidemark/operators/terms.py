@@ -1,8 +1,8 @@
 """Term statistics and TF-IDF in long form.
 
-Corpus-wide statistics explode the n-grams of all sizes in one pass and combine
-on the map side, so frequent terms cost no more than others. Counts per post
-are computed inside the row, without a shuffle.
+Corpus-wide statistics count the n-grams of all sizes in one pass, slice by
+slice inside the tasks (``grams``), and combine on the map side, so frequent
+terms cost no more than others. Counts per post need no shuffle.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.text import clean_text, ngrams, tokenize
+from tidemark.operators.grams import post_counter, slice_counter
 from tidemark.schemas import CLEANED, WORDS
 from tidemark.session import land
 
@@ -48,31 +49,21 @@ def terms(posts: DataFrame, *sizes: int, keep: Sequence[str] = ()) -> DataFrame:
 def term_counts(posts: DataFrame, *sizes: int, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One row per post and distinct n-gram with its count ``tf``.
 
-    Sorting the n-grams of a row puts equal ones side by side, so each count is
-    the distance between two run starts. No shuffle.
+    Counted inside the tasks, slice by slice. No shuffle.
     """
-    ordered = posts.select(*keep, F.sort_array(_grams(sizes)).alias("_s"))
-    s = F.col("_s")
-    is_start = lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1))
-    marked = ordered.select(
-        *keep,
-        s,
-        F.when(F.size(s) > 0, F.filter(F.sequence(F.lit(0), F.size(s) - 1), is_start)).alias("_at"),
-    )
-    at = F.col("_at")
-    ends = F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(s)))
-    runs = F.zip_with(
-        at,
-        ends,
-        lambda a, b: F.struct(F.get(s, a).alias("term"), (b - a).cast("long").alias("tf")),
-    )
-    return marked.select(*keep, F.inline(runs))
+    rows = posts.select(*keep, WORDS)
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]], "term string, tf bigint"])
+    return rows.mapInArrow(post_counter(sizes, WORDS, list(keep)), schema)
+
+
+def slice_totals(posts: DataFrame, *sizes: int, top: int | None = None) -> DataFrame:
+    """``(n, term, total, df)``: counts of every n-gram within slices of posts; with ``top`` of each slice's most frequent."""
+    return posts.select(WORDS).mapInArrow(slice_counter(sizes, WORDS, top), "n int, term string, total bigint, df bigint")
 
 
 def corpus_totals(posts: DataFrame, *sizes: int) -> DataFrame:
     """``(n, term, total)``: corpus count of every n-gram, all sizes in one pass."""
-    totals = terms(posts, *sizes).groupBy("term").agg(F.count("*").alias("total"))
-    return totals.select(term_size("term").alias("n"), "term", "total")
+    return slice_totals(posts, *sizes).groupBy("n", "term").agg(F.sum("total").alias("total"))
 
 
 def doc_freq(posts: DataFrame, *sizes: int, known: DataFrame | None = None) -> DataFrame:
@@ -81,35 +72,24 @@ def doc_freq(posts: DataFrame, *sizes: int, known: DataFrame | None = None) -> D
     ``known`` should be landed: Spark broadcasts it if its files are small, and
     then drops all other n-grams before anything is shuffled.
     """
-    grams = posts.select(F.explode_outer(F.array_distinct(_grams(sizes))).alias("term"))
-    grams = grams.filter(F.col("term").isNotNull())
+    grams = slice_totals(posts, *sizes)
     if known is not None:
         grams = grams.join(known.select("term"), "term", "left_semi")
-    return grams.groupBy("term").agg(F.count("*").alias("df"))
+    return grams.groupBy("term").agg(F.sum("df").alias("df"))
 
 
-def gram_rows(posts: DataFrame, *sizes: int) -> DataFrame:
-    """``n, term`` of every n-gram occurrence."""
-    return terms(posts, *sizes).select(term_size("term").alias("n"), "term")
-
-
-# As many terms as Spark's summaries track at most.
+# As many terms of a slice as are noted at most.
 MOST_TRACKED = 1_000_000
 
 
-def likely_terms(posts: DataFrame, sizes: Sequence[int], size: int, tracked: int, parts: int = 64) -> DataFrame:
+def likely_terms(posts: DataFrame, sizes: Sequence[int], size: int, tracked: int) -> DataFrame:
     """``(n, term)``: about twice ``size`` terms of each n that are likely frequent.
 
-    Mergeable heavy-hitter summaries of ``tracked`` terms: one per task and n,
-    merged in ``parts`` groups of tasks first, so that no task merges all.
+    The ``tracked`` most frequent terms of every slice, those that it has more
+    than once, are added up; what other slices have of them is left out.
     """
-    part = F.pmod(F.spark_partition_id(), F.lit(parts)).alias("part")
-    grams = gram_rows(posts, *sizes).select("n", "term", part)
-    noted = F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("noted")
-    merged = F.expr(f"approx_top_k_combine(noted, {tracked})").alias("noted")
-    sums = grams.groupBy("n", "part").agg(noted).groupBy("n").agg(merged)
-    found = sums.select("n", F.explode(F.expr(f"approx_top_k_estimate(noted, {min(2 * size, tracked)})")).alias("_t"))
-    return found.select("n", F.col("_t.item").alias("term"))
+    noted = slice_totals(posts, *sizes, top=tracked).groupBy("n", "term").agg(F.sum("total").alias("total"))
+    return top_terms(land(noted, "noted-terms"), sizes, min(2 * size, tracked)).select("n", "term")
 
 
 def frequent_totals(
@@ -117,24 +97,24 @@ def frequent_totals(
 ) -> DataFrame:
     """``(n, term, total)`` of all terms that may be among the ``size`` most frequent of their n, ties included.
 
-    Three passes over the words, and no table of all n-grams: summaries name
+    Three passes over the words, and no table of all n-grams: the top of slices names
     likely terms; these are counted, and all others by bucket of their hash. The
     ``size``-th total of the likely terms is one that the result must reach, so
     only terms of buckets that reach it are counted one by one. The totals are
-    exact, and whatever the summaries missed is found in its bucket. Summaries
-    give only terms that they are sure of: where these are fewer than ``size``,
-    as where the rank falls among terms that occur a few times, all are counted.
+    exact, and whatever the slices missed is found in its bucket. Where the
+    likely terms are fewer than ``size`` all are counted.
     """
     likely = land(likely_terms(posts, sizes, size, min(tracked or 16 * size, MOST_TRACKED)), "likely-terms")
     marked = likely.select("n", "term", F.lit(True).alias("_likely"))
     bucket = lambda term: F.pmod(F.xxhash64(term), F.lit(buckets))
-    grams = gram_rows(posts, *sizes).join(marked, ["n", "term"], "left")
+    grams = slice_totals(posts, *sizes).join(marked, ["n", "term"], "left")
     named = grams.select(
         "n",
+        "total",
         F.when(F.col("_likely"), F.col("term")).alias("term"),
         F.when(F.col("_likely").isNull(), bucket("term")).alias("bucket"),
     )
-    held = land(named.groupBy("n", "term", "bucket").agg(F.count("*").alias("total")), "held-totals")
+    held = land(named.groupBy("n", "term", "bucket").agg(F.sum("total").alias("total")), "held-totals")
     known = held.filter(F.col("bucket").isNull()).select("n", "term", "total")
     rank = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("total")))
     reached = known.withColumn("_rank", rank).filter(F.col("_rank") == size).select("n", F.col("total").alias("least"))
@@ -144,8 +124,8 @@ def frequent_totals(
         floor = F.when(F.col("n") == n, total).otherwise(floor)
     heavy = held.filter(F.col("bucket").isNotNull() & (F.col("total") >= floor)).select("n", "bucket")
     heavy = land(heavy, "heavy-buckets")
-    rest = gram_rows(posts, *sizes).withColumn("bucket", bucket("term")).join(heavy, ["n", "bucket"], "left_semi")
-    rest = rest.groupBy("n", "term").agg(F.count("*").alias("total")).join(marked.drop("_likely"), ["n", "term"], "left_anti")
+    rest = slice_totals(posts, *sizes).withColumn("bucket", bucket("term")).join(heavy, ["n", "bucket"], "left_semi")
+    rest = rest.groupBy("n", "term").agg(F.sum("total").alias("total")).join(marked.drop("_likely"), ["n", "term"], "left_anti")
     return known.filter(F.col("total") >= floor).unionByName(rest.filter(F.col("total") >= floor))
 
 
