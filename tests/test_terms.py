@@ -218,3 +218,27 @@ def test_counts_inside_tasks_against_a_loop(spark):
             wanted[1][n, t] += 1
         assert ({(r.n, r.term): r.total for r in found}, {(r.n, r.term): r.df for r in found}) == wanted
     assert "explode" not in terms.slice_totals(posts, 1, 3)._jdf.queryExecution().toString().lower()
+
+
+def test_totals_of_buckets_and_sieved_counts_against_a_loop(spark):
+    """Whatever the number of buckets; marked buckets lose no term; the vocabulary takes its document counts from the totals."""
+    rng = random.Random(5)
+    texts = [(i, None if i % 9 == 0 else [rng.choice(["a", "b", "", "ü", "cc"]) for _ in range(rng.choice([0, 1, 3, 20]))]) for i in range(60)]
+    posts = land(spark.createDataFrame(texts, "doc_id int, words array<string>").repartition(3), "posts")
+    grams = lambda w, n: [" ".join(w[j : j + n]) for j in range(len(w or ()) - n + 1)]
+    totals = Counter((n, t) for _, w in texts for n in (1, 2, 3) for t in grams(w, n))
+    df = Counter((n, t) for _, w in texts for n in (1, 2, 3) for t in set(grams(w, n)))
+    for buckets in (1, 7, 1024):
+        found = terms.all_totals(posts, 1, 2, 3, buckets=buckets).collect()
+        assert {(r.n, r.term): (r.total, r.df) for r in found} == {k: (c, df[k]) for k, c in totals.items()}
+        assert len(found) == len(totals)
+    vocab = terms.weighted_vocabulary(posts, 3, 6, 60, 2)
+    assert "MapInArrow" not in vocab._jdf.queryExecution().executedPlan().toString()
+    vocab = land(vocab, "vocab")
+    kept = {(r.n, r.term): (r.total, r.df) for r in vocab.collect()}
+    assert len(kept) == 17 and all((totals[k], df[k]) == v for k, v in kept.items())
+    expected = {(i, n, t): c for i, w in texts for n in (1, 2, 3) for t, c in Counter(grams(w, n)).items() if (n, t) in kept}
+    rows = terms.known_terms(posts, vocab, 3).collect()
+    assert {(r.doc_id, r.n, r.term): r.tf for r in rows} == expected and len(rows) == len(expected)
+    sieved = terms.term_counts(posts, 1, 2, 3, wanted=terms.marked_terms(vocab.limit(1))).collect()
+    assert {r.term for r in sieved} == {vocab.limit(1).first().term}

@@ -7,17 +7,31 @@ terms cost no more than others. Counts per post need no shuffle.
 
 from __future__ import annotations
 
-import json
-import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.text import clean_text, ngrams, tokenize
-from tidemark.operators.grams import post_counter, slice_counter
+from tidemark.operators.grams import (
+    BUCKETS,
+    PACKED,
+    bucket_adder,
+    bucket_counter,
+    bucket_levels,
+    bucket_marker,
+    margin_counter,
+    packer,
+    post_counter,
+    slice_counter,
+    term_marks,
+    unpacked_totals,
+)
 from tidemark.schemas import CLEANED, WORDS
 from tidemark.session import land
 
+TOTALS = "n int, term string, total bigint, df bigint"
+
 
 def with_words(posts: DataFrame, text: str = "text") -> DataFrame:
     """Add the cleaned text and its tokens."""
@@ -46,97 +60,122 @@ def terms(posts: DataFrame, *sizes: int, keep: Sequence[str] = ()) -> DataFrame:
     return grams.filter(F.col("term").isNotNull())
 
 
-def term_counts(posts: DataFrame, *sizes: int, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """One row per post and distinct n-gram with its count ``tf``.
+def term_counts(
+    posts: DataFrame, *sizes: int, keep: Sequence[str] = ("doc_id",), wanted: Broadcast | None = None
+) -> DataFrame:
+    """One row per post and distinct n-gram, or each of the ``wanted`` buckets, with its count ``tf``.
 
     Counted inside the tasks, slice by slice. No shuffle.
     """
     rows = posts.select(*keep, WORDS)
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]], "term string, tf bigint"])
-    return rows.mapInArrow(post_counter(sizes, WORDS, list(keep)), schema)
+    return rows.mapInArrow(post_counter(sizes, WORDS, list(keep), wanted=wanted), schema)
 
 
-def slice_totals(posts: DataFrame, *sizes: int, top: int | None = None) -> DataFrame:
-    """``(n, term, total, df)``: counts of every n-gram within slices of posts; with ``top`` of each slice's most frequent."""
-    return posts.select(WORDS).mapInArrow(slice_counter(sizes, WORDS, top), "n int, term string, total bigint, df bigint")
+# As many terms are looked for inside the tasks at most; more of them are joined.
+MOST_MARKED = 1 << 17
 
 
-def corpus_totals(posts: DataFrame, *sizes: int) -> DataFrame:
-    """``(n, term, total)``: corpus count of every n-gram, all sizes in one pass."""
-    return slice_totals(posts, *sizes).groupBy("n", "term").agg(F.sum("total").alias("total"))
+def marked_terms(vocab: DataFrame) -> Broadcast | None:
+    """The buckets of the terms of ``vocab`` for tasks to sieve n-grams with; None where they are too many."""
+    held = [r.term for r in vocab.select("term").limit(MOST_MARKED + 1).collect()]
+    if len(held) > MOST_MARKED:
+        return None
+    return vocab.sparkSession.sparkContext.broadcast(term_marks([t for t in held if t is not None]))
+
+
+def slice_totals(posts: DataFrame, *sizes: int, wanted: Broadcast | None = None) -> DataFrame:
+    """``(n, term, total, df)``: counts of every n-gram, or each of the ``wanted`` buckets, within slices of posts."""
+    return posts.select(WORDS).mapInArrow(slice_counter(sizes, WORDS, wanted=wanted), TOTALS)
 
 
-def doc_freq(posts: DataFrame, *sizes: int, known: DataFrame | None = None) -> DataFrame:
-    """``(term, df)``: number of posts that hold each n-gram, or each of the ``known`` ones.
+def all_totals(posts: DataFrame, *sizes: int, buckets: int = 512) -> DataFrame:
+    """``(n, term, total, df)`` of every n-gram, all sizes in one pass.
 
-    ``known`` should be landed: Spark broadcasts it if its files are small, and
-    then drops all other n-grams before anything is shuffled.
+    n-grams travel as the bytes of their bucket and are added up bucket by
+    bucket, so a task holds one part in ``buckets`` of the n-grams.
     """
-    grams = slice_totals(posts, *sizes)
-    if known is not None:
-        grams = grams.join(known.select("term"), "term", "left_semi")
-    return grams.groupBy("term").agg(F.sum("df").alias("df"))
+    packed = posts.select(WORDS).mapInArrow(packer(sizes, WORDS, buckets), PACKED)
+    return packed.groupBy("bucket").applyInArrow(unpacked_totals, TOTALS)
 
 
-# As many terms of a slice as are noted at most.
-MOST_TRACKED = 1_000_000
+def corpus_totals(posts: DataFrame, *sizes: int) -> DataFrame:
+    """``(n, term, total)``: corpus count of every n-gram, all sizes in one pass."""
+    return all_totals(posts, *sizes).select("n", "term", "total")
 
 
-def likely_terms(posts: DataFrame, sizes: Sequence[int], size: int, tracked: int) -> DataFrame:
-    """``(n, term)``: about twice ``size`` terms of each n that are likely frequent.
+def doc_freq(posts: DataFrame, *sizes: int) -> DataFrame:
+    """``(term, df)``: number of posts that hold each n-gram."""
+    return all_totals(posts, *sizes).select("term", "df")
 
-    The ``tracked`` most frequent terms of every slice, those that it has more
-    than once, are added up; what other slices have of them is left out.
-    """
-    noted = slice_totals(posts, *sizes, top=tracked).groupBy("n", "term").agg(F.sum("total").alias("total"))
-    return top_terms(land(noted, "noted-terms"), sizes, min(2 * size, tracked)).select("n", "term")
+
+def added_up(posts: DataFrame, sizes: Sequence[int], wanted: Broadcast) -> DataFrame:
+    """``(n, term, total, df)`` of the n-grams of the ``wanted`` buckets."""
+    sums = [F.sum(c).alias(c) for c in ("total", "df")]
+    return slice_totals(posts, *sizes, wanted=wanted).groupBy("n", "term").agg(*sums)
+
+
+def marked_buckets(counts: DataFrame, least: dict[int, int], below: dict[int, int]) -> Broadcast | None:
+    """The buckets that count ``least`` of their n and not as much as ``below``; None if there is none."""
+    rows = counts.mapInArrow(bucket_marker(least, below), "n int, part int, bits binary, marked bigint").collect()
+    found = {r.n for r in rows if r.marked}
+    marks = {n: b"".join(bytes(r.bits) for r in sorted(rows, key=lambda r: r.part) if r.n == n) for n in found}
+    return counts.sparkSession.sparkContext.broadcast(marks) if marks else None
 
 
 def frequent_totals(
-    posts: DataFrame, sizes: Sequence[int], size: int, tracked: int | None = None, buckets: int = 1 << 20
+    posts: DataFrame, sizes: Sequence[int], size: int, tracked: int | None = None, buckets: int = 1 << 22
 ) -> DataFrame:
-    """``(n, term, total)`` of all terms that may be among the ``size`` most frequent of their n, ties included.
-
-    Three passes over the words, and no table of all n-grams: the top of slices names
-    likely terms; these are counted, and all others by bucket of their hash. The
-    ``size``-th total of the likely terms is one that the result must reach, so
-    only terms of buckets that reach it are counted one by one. The totals are
-    exact, and whatever the slices missed is found in its bucket. Where the
-    likely terms are fewer than ``size`` all are counted.
+    """``(n, term, total, df)`` of all terms that may be among the ``size`` most frequent of their n, ties included.
+
+    No table of all n-grams: one pass counts them by bucket of their hash, the
+    next counts the terms of the ``tracked`` fullest buckets of each n. The
+    ``size``-th total of these is one that the result must reach, so of the
+    other buckets only those that reach it are counted term by term. The totals
+    are exact. Where the fullest buckets hold fewer terms than ``size`` all are
+    counted. The driver gets one bit for each bucket.
     """
-    likely = land(likely_terms(posts, sizes, size, min(tracked or 16 * size, MOST_TRACKED)), "likely-terms")
-    marked = likely.select("n", "term", F.lit(True).alias("_likely"))
-    bucket = lambda term: F.pmod(F.xxhash64(term), F.lit(buckets))
-    grams = slice_totals(posts, *sizes).join(marked, ["n", "term"], "left")
-    named = grams.select(
-        "n",
-        "total",
-        F.when(F.col("_likely"), F.col("term")).alias("term"),
-        F.when(F.col("_likely").isNull(), bucket("term")).alias("bucket"),
-    )
-    held = land(named.groupBy("n", "term", "bucket").agg(F.sum("total").alias("total")), "held-totals")
-    known = held.filter(F.col("bucket").isNull()).select("n", "term", "total")
+    buckets = -(-buckets // 8) * 8
+    counted = posts.select(WORDS).mapInArrow(bucket_counter(sizes, WORDS, buckets), BUCKETS)
+    counts = land(counted.groupBy("n", "part").applyInArrow(bucket_adder(buckets), BUCKETS), "bucket-counts")
+    levels = counts.mapInArrow(bucket_levels, "n int, key bigint, rows bigint")
+    levels = levels.groupBy("n", "key").agg(F.sum("rows").alias("rows"))
+    cuts = {r.n: r.key for r in crossing(levels, F.desc("key"), F.lit(tracked or 4 * size))}
+    fullest = marked_buckets(counts, cuts, {})
+    if fullest is None:
+        return posts.sparkSession.createDataFrame([], TOTALS)
+    known = land(added_up(posts, sizes, fullest), "fullest-totals")
     rank = F.row_number().over(Window.partitionBy("n").orderBy(F.desc("total")))
     reached = known.withColumn("_rank", rank).filter(F.col("_rank") == size).select("n", F.col("total").alias("least"))
     least = {r.n: r.least for r in reached.collect()}
+    # Without a cut all buckets were among the fullest.
+    rest = marked_buckets(counts, least, {n: cuts.get(n, 1) for n in sizes})
+    if rest is not None:
+        known = known.unionByName(added_up(posts, sizes, rest))
     floor = F.lit(1)
     for n, total in least.items():
         floor = F.when(F.col("n") == n, total).otherwise(floor)
-    heavy = held.filter(F.col("bucket").isNotNull() & (F.col("total") >= floor)).select("n", "bucket")
-    heavy = land(heavy, "heavy-buckets")
-    rest = slice_totals(posts, *sizes).withColumn("bucket", bucket("term")).join(heavy, ["n", "bucket"], "left_semi")
-    rest = rest.groupBy("n", "term").agg(F.sum("total").alias("total")).join(marked.drop("_likely"), ["n", "term"], "left_anti")
-    return known.filter(F.col("total") >= floor).unionByName(rest.filter(F.col("total") >= floor))
+    return known.filter(F.col("total") >= floor)
 
 
-def rank_totals(posts: DataFrame, sizes: Sequence[int], size: int, direct: int = 50_000_000) -> DataFrame:
-    """``(n, term, total)`` of all terms that may be among the ``size`` most frequent of their n.
+def rank_totals(posts: DataFrame, sizes: Sequence[int], size: int, direct: int = 5_000_000) -> DataFrame:
+    """``(n, term, total, df)`` of all terms that may be among the ``size`` most frequent of their n.
 
     Up to ``direct`` occurrences of n-grams one pass that counts them all is
-    cheaper than the three of :func:`frequent_totals`; the top terms are the same.
+    cheaper than those of :func:`frequent_totals`; the top terms are the same.
     """
     words = posts.agg(F.sum(F.size(WORDS)).alias("n")).first().n or 0
-    return corpus_totals(posts, *sizes) if words * len(sizes) <= direct else frequent_totals(posts, sizes, size)
+    if words * len(sizes) <= direct:
+        return all_totals(posts, *sizes, buckets=32)
+    return frequent_totals(posts, sizes, size)
+
+
+def crossing(counts: DataFrame, order: Column, wanted: Column) -> list:
+    """Per n the first ``key`` at which the running sum of ``rows`` reaches what is wanted."""
+    reached = F.sum("rows").over(Window.partitionBy("n").orderBy(order))
+    passed = counts.withColumn("reached", reached).filter(F.col("reached") >= wanted)
+    first = F.min_by(F.struct("key", "rows", (F.col("reached") - F.col("rows")).alias("before")), "reached")
+    return passed.groupBy("n").agg(first.alias("at")).select("n", "at.*").collect()
 
 
 def rank_cuts(totals: DataFrame, size: int) -> list[tuple[int, int, str, int]]:
@@ -148,13 +187,6 @@ def rank_cuts(totals: DataFrame, size: int) -> list[tuple[int, int, str, int]]:
     no more terms than ``size``.
     """
 
-    def crossing(counts: DataFrame, order: Column, wanted: Column) -> list:
-        """Per n the first ``key`` at which the running sum of ``rows`` reaches what is wanted."""
-        reached = F.sum("rows").over(Window.partitionBy("n").orderBy(order))
-        passed = counts.withColumn("reached", reached).filter(F.col("reached") >= wanted)
-        first = F.min_by(F.struct("key", "rows", (F.col("reached") - F.col("rows")).alias("before")), "reached")
-        return passed.groupBy("n").agg(first.alias("at")).select("n", "at.*").collect()
-
     hist = totals.groupBy("n", F.col("total").alias("key")).agg(F.count("*").alias("rows"))
     # total, prefix, width, terms before, terms left
     state = {r.n: (r.key, "", 0, r.before, r.rows) for r in crossing(hist, F.desc("key"), F.lit(size))}
@@ -185,8 +217,8 @@ def top_of(totals: DataFrame, size: int) -> Column:
     return ~dropped
 
 
-def top_terms(totals: DataFrame, sizes: Sequence[int], size: int) -> DataFrame:
-    """``(n, term, total, idx)`` of the ``size`` most frequent terms of each n.
+def top_terms(totals: DataFrame, sizes: Sequence[int], size: int, keep: Sequence[str] = ()) -> DataFrame:
+    """``(n, term, total, keep…, idx)`` of the ``size`` most frequent terms of each n.
 
     ``totals`` should be landed, it is read several times. ``idx`` counts from
     0; ties break by term, so the result does not depend on partitioning. The
@@ -195,7 +227,7 @@ def top_terms(totals: DataFrame, sizes: Sequence[int], size: int) -> DataFrame:
     wanted = totals.filter(F.col("n").isin(list(sizes)))
     by_rank = Window.partitionBy("n").orderBy(F.desc("total"), F.asc("term"))
     ranked = wanted.filter(top_of(wanted, size)).withColumn("idx", F.row_number().over(by_rank).cast("bigint") - 1)
-    return ranked.filter(F.col("idx") < size)
+    return ranked.filter(F.col("idx") < size).select("n", "term", "total", *keep, "idx")
 
 
 def vocabulary(posts: DataFrame, n: int, size: int) -> DataFrame:
@@ -220,13 +252,11 @@ def weighted_vocabulary(
 
     ``feature`` numbers the slots of the assembled vector: n-major blocks of
     ``size`` slots each, in vocabulary order. ``posts`` should be landed: its
-    words are read for the totals and for the document frequencies of the top
-    terms.
+    words are read several times.
     """
     sizes = range(1, max_n + 1)
     totals = land(rank_totals(posts, sizes, size), "totals")
-    top = land(top_terms(totals, sizes, size), "top-terms")
-    return top.join(doc_freq(posts, *sizes, known=top), "term").select(
+    return top_terms(totals, sizes, size, ["df"]).select(
         "n",
         "idx",
         "term",
@@ -243,9 +273,11 @@ def known_terms(
     """Term counts of the posts limited to vocabulary terms, in one pass.
 
     ``vocab`` should be a landed table: it has at most ``max_n * size`` rows,
-    and Spark broadcasts it only if its files are small enough.
+    and Spark broadcasts it only if its files are small enough. Tasks sieve
+    the n-grams by the buckets of its terms before they make text of them.
     """
-    return term_counts(posts, *range(1, max_n + 1), keep=keep).join(vocab, "term")
+    sizes = range(1, max_n + 1)
+    return term_counts(posts, *sizes, keep=keep, wanted=marked_terms(vocab)).join(vocab, "term")
 
 
 def tfidf(
@@ -256,21 +288,6 @@ def tfidf(
     return found.select(*keep, "n", "term", "feature", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
-def weight_of(rows: Sequence[tuple[str, float]]) -> Callable[[Column], Column]:
-    """A lookup of terms in a constant table of buckets; 0 for other terms.
-
-    A map is searched from its start, so terms are dealt to as many small maps
-    as there are terms.
-    """
-    n = max(1, len(rows))
-    place = lambda term: F.pmod(F.crc32(term.cast("binary")), F.lit(n)).cast("int")
-    buckets: list[dict[str, float]] = [{} for _ in range(n)]
-    for term, weight in rows:
-        buckets[zlib.crc32(term.encode()) % n][term] = weight
-    table = F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,double>>")
-    return lambda term: F.coalesce(F.try_element_at(F.get(table, place(term)), term), F.lit(0.0))
-
-
 def linear_score(
     posts: DataFrame,
     vocab: DataFrame,
@@ -279,21 +296,25 @@ def linear_score(
     intercept: float = 0.0,
     threshold: float = 0.5,
     keep: Sequence[str] = ("doc_id",),
-    most_terms: int = 1 << 17,
+    most_terms: int = MOST_MARKED,
 ) -> DataFrame:
     """``keep`` and margin, probability and prediction of every post.
 
     A post without a known feature has the intercept as its margin. While the
-    weighted terms are ``most_terms`` at most they go to all tasks as a
-    constant and the margin is a sum inside the row; more of them are joined.
+    weighted terms are ``most_terms`` at most they are broadcast and the margin
+    is a sum inside the row; more of them are joined.
     """
     weights = vocab.join(coefficients, "feature").select("term", (F.col("idf") * F.col("coefficient")).alias("weight"))
     weights = land(weights.filter("weight <> 0"), "term-weights")
     if weights.count() <= most_terms:
-        weight = weight_of([(r.term, r.weight) for r in weights.orderBy("term").collect()])
-        grams = _grams(range(1, max_n + 1))
-        dot = F.aggregate(grams, F.lit(0.0), lambda total, term: total + weight(term))
-        scored = posts.select(*keep, (F.coalesce(dot, F.lit(0.0)) + F.lit(intercept)).alias("margin"))
+        held = [(r.term, r.weight) for r in weights.orderBy("term").collect()]
+        shared = [[t for t, _ in held], [w for _, w in held]]
+        context, rows = posts.sparkSession.sparkContext, posts.select(*keep, WORDS)
+        count = margin_counter(
+            range(1, max_n + 1), WORDS, list(keep), context.broadcast(shared), context.broadcast(term_marks(shared[0])), intercept
+        )
+        schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]], "margin double"])
+        scored = rows.mapInArrow(count, schema)
     else:
         scored = joined_margins(posts, weights, max_n, intercept, keep)
     probability = 1 / (1 + F.exp(-F.col("margin")))
@@ -312,7 +333,7 @@ def joined_margins(
     row, so the map-side combine leaves one row per post for the shuffle.
     """
     placed = posts.withColumn("_post", F.monotonically_increasing_id())
-    found = term_counts(placed, *range(1, max_n + 1), keep=("_post",)).join(weights, "term")
+    found = known_terms(placed, weights, max_n, ("_post",))
     dots = found.groupBy("_post").agg(F.sum(F.col("tf") * F.col("weight")).alias("_dot"))
     margin = F.coalesce("_dot", F.lit(0.0)) + F.lit(intercept)
     return placed.select("_post", *keep).join(dots, "_post", "left").select(*keep, margin.alias("margin"))
