@@ -3,6 +3,7 @@ from __future__ import annotations
 import collections
 import math
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import language_model as lm
 from tidemark.llm.common import raw_text, remainder
+from tidemark.session import run_dir
 
 
 def tokens(text):
@@ -186,6 +188,19 @@ def test_shares_are_fitted_on_all_texts(spark, skewed_texts, split):
     assert {r.doc_id: r.score for r in rows} == pytest.approx(wanted, rel=1e-6)
 
 
+@pytest.mark.parametrize("passes", [1, 3])
+def test_answered_questions_leave_the_disks(spark, small_docs, passes):
+    """Questions and waiting tokens are deleted once read; scores do not depend on the passes."""
+    how = dict(docs_at_once=30, asked_at_once=5000, most_words=40, most_pairs=30)
+    before = set(Path(run_dir(spark).removeprefix("file:")).glob("lm-*"))
+    rows = lm.score_documents(small_docs, remainder("doc_id", 7) == 2, passes=passes, **how).collect()
+    new = set(Path(run_dir(spark).removeprefix("file:")).glob("lm-*")) - before
+    left = {part.name.removeprefix("part=") for table in new for part in table.glob("part=*")}
+    assert left == {"docs", "cells", "sums"} and len([t for t in new if t.name.startswith("lm-pairs")]) == passes
+    wanted = lm.score_documents(small_docs, remainder("doc_id", 7) == 2, **how).collect()
+    assert {r.doc_id: r.score for r in rows} == pytest.approx({r.doc_id: r.score for r in wanted}, rel=1e-12)
+
+
 def test_pairs_seen_once_are_held(spark, skewed_texts):
     df = spark.createDataFrame(skewed_texts, "doc_id bigint, text string")
     rows = lm.score_documents(df, remainder("doc_id", 7) == 2, bits_per_entry=200).collect()

@@ -30,6 +30,7 @@ import gc
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import documents, land, raw_text, remainder, slices
+from tidemark.session import fresh_path
 
 END = b"\n"  # no word holds white space
 UNIGRAM, BIGRAM = 0, 1
@@ -78,12 +80,16 @@ def mixed_bits(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def pair_keys(before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return mixed_bits(before * np.uint64(0x9E3779B97F4A7C15) + own)
+
+
 def bigram_keys(keys: np.ndarray) -> np.ndarray:
     """Key of each token with the one before it; before the first stands an end."""
     before = np.empty_like(keys)
     before[1:] = keys[:-1]
     before[:1] = xxhash.xxh64_intdigest(END)
-    return mixed_bits(before * np.uint64(0x9E3779B97F4A7C15) + keys)
+    return pair_keys(before, keys)
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -374,7 +380,7 @@ SCORED_NAMES = [c.split()[0] for c in SCORED.split(", ")]
 SCORED_KINDS = [pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int64()]
 SCORED_KINDS += [pa.binary()] * 5
 # A token of which a word is to be asked for: levels that are known, 255 for unknown.
-TOKEN = np.dtype([("own", np.uint64), ("before", np.uint64), ("both", np.uint64), ("row", np.int32), ("learnt", np.uint8)]
+TOKEN = np.dtype([("own", np.uint64), ("before", np.uint64), ("row", np.int32), ("learnt", np.uint8)]
                  + [(f"{c}_level", np.uint8) for c in ("own", "before", "both")])
 UNKNOWN = 255
 
@@ -414,7 +420,8 @@ def sorted_out(chunk: int, bits: int, tokens: np.ndarray) -> list[pa.RecordBatch
         out.append(scored_rows({"chunk": [chunk]} | {c: [v] for c, v in zip(("rows", "cells", "n"), columns)}, 1))
     if not told.all():
         rest = tokens[~told]
-        out.append(questions(chunk, BIGRAM, bits, rest["both"], rows=rest["row"], cells=cells[~told]))
+        both = pair_keys(rest["before"], rest["own"])
+        out.append(questions(chunk, BIGRAM, bits, both, rows=rest["row"], cells=cells[~told]))
     return out
 
 
@@ -441,7 +448,7 @@ def scorer(shared, bits: int, docs_at_once: int, asked_at_once: int):
                 starts, n = counts.cumsum() - counts, len(texts)
                 part = batch.slice(begin, n)
                 tokens = np.empty(len(keys), TOKEN)
-                tokens["own"], tokens["both"] = keys, bigram_keys(keys)
+                tokens["own"] = keys
                 tokens["before"][1:], tokens["before"][:1] = keys[:-1], end
                 tokens["row"] = np.repeat(np.arange(row, row + n), counts)
                 tokens["learnt"] = np.repeat(part.column("learnt").to_numpy(zero_copy_only=False), counts)
@@ -453,7 +460,7 @@ def scorer(shared, bits: int, docs_at_once: int, asked_at_once: int):
                 tokens["own_level"], tokens["before_level"][1:] = levels, levels[:-1]
                 there, at = model.find(np.array([end]), UNIGRAM)
                 tokens["before_level"][:1] = model.levels[UNIGRAM][at[0]] if there[0] else UNKNOWN
-                there, at = model.find(tokens["both"], BIGRAM)
+                there, at = model.find(bigram_keys(keys), BIGRAM)
                 tokens["both_level"] = UNKNOWN
                 tokens["both_level"][there] = model.levels[BIGRAM][at[there]]
                 columns = {
@@ -620,6 +627,33 @@ def release_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+class Parts:
+    """A landed table in parts, each deleted as soon as it is read for the last time."""
+
+    def __init__(self, df: DataFrame, name: str, part: Column):
+        self.spark, self.path = df.sparkSession, fresh_path(df.sparkSession, name)
+        rows = df.withColumn("part", part)
+        rows.write.partitionBy("part").parquet(self.path)
+        self.schema = rows.schema
+
+    def read(self, part: str) -> DataFrame:
+        rows = self.spark.read.schema(self.schema).parquet(self.path)
+        return rows.filter(F.col("part") == part).drop("part")
+
+    def drop(self, *parts: str) -> None:
+        for part in parts:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/part={part}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def part_of(passes: int) -> Column:
+    """The part of a row of ``SCORED``; questions on pairs and waiting tokens are in one part for each pass."""
+    by_chunk = F.pmod(F.xxhash64("chunk"), F.lit(passes))
+    part = F.when(F.col("row").isNotNull(), "docs").when(F.col("n").isNotNull(), "cells")
+    part = part.when(F.col("tokens").isNotNull(), F.concat(F.lit("waiting"), by_chunk)).when(F.col("kind") == UNIGRAM, "words")
+    return part.when(F.col("kind") == BIGRAM, F.concat(F.lit("pairs"), F.col("bucket") % passes)).otherwise("sums")
+
+
 def bucket_bits(docs: DataFrame, bytes_per_bucket: int) -> int:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(6, math.ceil(math.log2(max(1, size / bytes_per_bucket))))
@@ -635,13 +669,16 @@ def score_documents(
     docs_at_once: int = 20_000,
     asked_at_once: int = 500_000,
     least: tuple[int, int] = (1, 1),
+    passes: int = 4,
     **how,
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     The model learns from the documents that are not ``held_out``; scores are
     log10 probabilities of whole texts. The number of buckets follows the size
-    of the texts. The shares are fitted on all documents learnt from.
+    of the texts. The shares are fitted on all documents learnt from. Questions
+    are answered in ``passes``, so that the disks hold a part of them twice, as
+    table and as shuffle, and none that is answered.
     """
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
@@ -656,34 +693,48 @@ def score_documents(
     release_shuffles(spark)  # that of the counts is as large as the texts
     shared = spark.sparkContext.broadcast(model.parts())
     rows = rows.withColumn("learnt", ~F.col("held_out"))
-    scored = land(rows.mapInArrow(scorer(shared, bits, docs_at_once, asked_at_once), SCORED), "lm-scores")
+    scored = Parts(rows.mapInArrow(scorer(shared, bits, docs_at_once, asked_at_once), SCORED), "lm-scores", part_of(passes))
 
-    def asked(found: DataFrame, kind: int) -> DataFrame:
-        return found.filter(F.col("kind") == kind).select("bucket", "chunk", "keys", "rows", "cells")
-
-    def answered(found: DataFrame, kind: int, columns: list[str]) -> tuple:
+    def answered(asked: list[DataFrame], kind: int, columns: list[str]) -> tuple:
+        found = reduce(DataFrame.unionByName, [x.select("bucket", "chunk", "keys", "rows", "cells") for x in asked])
         held = sliced.filter(F.col("kind") == kind).select("bucket", *columns)
         held = held.join(found.select("bucket").distinct(), "bucket", "left_semi")
         return found.groupBy("bucket").cogroup(held.groupBy("bucket"))
 
-    words = answered(asked(scored, UNIGRAM), UNIGRAM, ["keys", "counts", "slice"]).applyInArrow(word_answerer(lowest[UNIGRAM]), LOOKED_UP)
-    words = land(words, "lm-words")
-    waiting = scored.filter(F.col("tokens").isNotNull()).select("chunk", "tokens")
-    resolved = waiting.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(resolver(bits), RESOLVED)
-    resolved = land(resolved, "lm-resolved")
-    del words, waiting
-    release_shuffles(spark)
-    pairs = asked(scored, BIGRAM).unionByName(asked(resolved, BIGRAM))
-    pairs = land(answered(pairs, BIGRAM, ["slice"]).applyInArrow(pair_answerer(lowest[BIGRAM]), CELLS), "lm-pairs")
+    def word_answers() -> Parts:
+        both = answered([scored.read("words")], UNIGRAM, ["keys", "counts", "slice"])
+        by_chunk = F.pmod(F.xxhash64("chunk"), F.lit(passes))
+        return Parts(both.applyInArrow(word_answerer(lowest[UNIGRAM]), LOOKED_UP), "lm-words", by_chunk.cast("string"))
+
+    def resolved_part(k: int) -> Parts:
+        both = scored.read(f"waiting{k}").select("chunk", "tokens").groupBy("chunk").cogroup(words.read(str(k)).groupBy("chunk"))
+        return Parts(both.applyInArrow(resolver(bits), RESOLVED), "lm-resolved", part_of(passes))
+
+    def pair_answers(k: int) -> DataFrame:
+        both = answered([x.read(f"pairs{k}") for x in (scored, *resolved)], BIGRAM, ["slice"])
+        return land(both.applyInArrow(pair_answerer(lowest[BIGRAM]), CELLS), "lm-pairs")
+
+    words, resolved, pairs = word_answers(), [], []
+    scored.drop("words")
     release_shuffles(spark)
-    cells = [x.filter(F.col("n").isNotNull()).select("chunk", "rows", "cells", "n") for x in (scored, resolved, pairs)]
-    cells = cells[0].unionByName(cells[1]).unionByName(cells[2])
+    for k in range(passes):
+        resolved.append(resolved_part(k))
+        scored.drop(f"waiting{k}")
+        words.drop(str(k))
+        release_shuffles(spark)
+    for k in range(passes):
+        pairs.append(pair_answers(k))
+        for table in (scored, *resolved):
+            table.drop(f"pairs{k}")
+        release_shuffles(spark)
+    cells = [x.read("cells") for x in (scored, *resolved)] + pairs
+    cells = reduce(DataFrame.unionByName, [x.select("chunk", "rows", "cells", "n") for x in cells])
     total = cells.select("cells", "n").mapInArrow(learnt_cells, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n"))
     total = np.array(sorted((r.cell, r.n) for r in total.collect()), np.int64).reshape(-1, 2)
     shares = fit_shares(total[:, 0], total[:, 1], size) if len(total) else np.zeros(LEVELS)
-    sums = resolved.filter(F.col("add").isNotNull()).select("chunk", "add", "more", "add_rows")
+    sums = reduce(DataFrame.unionByName, [x.read("sums").select("chunk", "add", "more", "add_rows") for x in resolved])
     found = cells.unionByName(sums, allowMissingColumns=True)
-    own = scored.filter(F.col("row").isNotNull()).select("chunk", "row", "doc_id", "held_out", "n_tokens", "known", "base")
+    own = scored.read("docs").select("chunk", "row", "doc_id", "held_out", "n_tokens", "known", "base")
     result = own.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(completer(shares, size), RESULT)
     return result.withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))
 
