@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.feature import IDF, CountVectorizerModel
 from pyspark.sql import functions as F
 
-from tidemark.operators import terms
+from tidemark.operators import grams, terms
 from tidemark.schemas import WORDS
 from tidemark.session import land
 
@@ -242,3 +245,27 @@ def test_totals_of_buckets_and_sieved_counts_against_a_loop(spark):
     assert {(r.doc_id, r.n, r.term): r.tf for r in rows} == expected and len(rows) == len(expected)
     sieved = terms.term_counts(posts, 1, 2, 3, wanted=terms.marked_terms(vocab.limit(1))).collect()
     assert {r.term for r in sieved} == {vocab.limit(1).first().term}
+
+
+def test_buckets_do_not_depend_on_blocks(monkeypatch):
+    lists = pa.array([[f"w{i % 7}" for i in range(40)], ["a", None, "b"], []], pa.list_(pa.string()))
+
+    def all_buckets():
+        part = grams.Slice(lists)
+        return {n: part.buckets(at, n, 1 << 10).tolist() for n, at in part.starts([1, 2, 3])}
+
+    whole = all_buckets()
+    monkeypatch.setattr(grams, "BLOCK", 7)
+    assert all_buckets() == whole and len(whole[3]) == 38
+
+
+def test_bucket_counts_make_no_table_for_each_slice():
+    buckets = 1 << 20
+    posts = pa.record_batch([pa.array([["a", "b", "a"]] * 50, pa.list_(pa.string()))], ["words"])
+    tracemalloc.start()
+    rows = list(grams.bucket_counter([1], "words", buckets, most=3)(iter([posts])))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    counts = [np.frombuffer(pa.decompress(x.as_buffer(), 4 * grams.PART, codec="zstd"), np.uint32) for x in rows[0].column("counts")]
+    assert sorted(np.concatenate(counts)[np.concatenate(counts) > 0].tolist()) == [50, 100]
+    assert peak < 1.6 * 8 * buckets

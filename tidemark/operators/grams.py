@@ -26,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SLICE_WORDS = 500_000
 # Buckets whose counts travel in one row.
 PART = 1 << 16
+# Places hashed at once: what is in between stays in the cache.
+BLOCK = 1 << 14
 
 
 def word_slices(batch: pa.RecordBatch, words: str, most: int) -> Iterator[pa.RecordBatch]:
@@ -67,12 +69,19 @@ class Slice:
         if self.keys is None:
             codes = map(zlib.crc32, self.words.cast(pa.binary()).to_pylist())
             self.keys = np.fromiter(codes, np.uint64, len(self.words))[self.ids]
-        out = np.full(len(at), n, np.uint64)
-        for k in range(n):
-            out = (out ^ self.keys[at + k]) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(32)
-        out *= np.uint64(0xD6E8FEB86659FD93)
-        return ((out >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
+        out = np.empty(len(at), np.int64)
+        for begin in range(0, len(at), BLOCK):
+            places = at[begin : begin + BLOCK]
+            part = np.full(len(places), n, np.uint64)
+            for k in range(n):
+                part ^= self.keys[places + k]
+                part *= np.uint64(0x9E3779B97F4A7C15)
+                part ^= part >> np.uint64(32)
+            part *= np.uint64(0xD6E8FEB86659FD93)
+            part >>= np.uint64(32)
+            part *= np.uint64(count)
+            out[begin : begin + BLOCK] = part >> np.uint64(32)
+        return out
 
     def numbered(self, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """The number of the n-gram at each place, and one place of each number."""
@@ -244,7 +253,8 @@ def bucket_counter(sizes: Sequence[int], words: str, buckets: int, most: int = S
                 for n, at in part.starts(sizes):
                     if n not in held:
                         held[n] = np.zeros(buckets, np.int64)
-                    held[n] += np.bincount(part.buckets(at, n, buckets), minlength=buckets)
+                    # A slice fills few of the buckets: a table of all would cost more than its n-grams.
+                    np.add.at(held[n], part.buckets(at, n, buckets), 1)
         for n, counts in held.items():
             parts = [counts[i : i + PART].astype(np.uint32) for i in range(0, buckets, PART)]
             data = [pa.compress(x.tobytes(), codec="zstd", asbytes=True) for x in parts]
