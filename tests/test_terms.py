@@ -247,6 +247,36 @@ def test_totals_of_buckets_and_sieved_counts_against_a_loop(spark):
     assert {r.term for r in sieved} == {vocab.limit(1).first().term}
 
 
+def test_known_terms_without_and_with_a_join(spark):
+    """Equal rows looked up inside the tasks, which shuffles nothing, and by the join, whatever the slices."""
+    rng = random.Random(11)
+    texts = [(i % 50, None if i % 9 == 0 else [rng.choice(["a", "b", "", "ü", "cc"]) for _ in range(rng.choice([0, 1, 3, 20]))]) for i in range(60)]
+    posts = land(spark.createDataFrame([*texts, (None, ["a", "b", "a"])], "doc_id int, words array<string>").repartition(3), "posts")
+    held = land(terms.weighted_vocabulary(posts.filter("words is not null"), 3, 6, 60, 2), "vocab").select("n", "term", "feature", "idf")
+    odd = spark.createDataFrame([(1, "nowhere", 90, 1.0), (4, "a b a b", 91, 1.0), (1, None, 92, 1.0)], held.schema)
+    vocab = land(held.unionByName(odd), "vocab")
+    ways = [terms.known_terms(posts, vocab, 3, columns=["feature", "term"], most=most) for most in (terms.MOST_MARKED, 0)]
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in ways]
+    assert "Join" not in plans[0] and "Exchange" not in plans[0] and "Join" in plans[1]
+    assert ways[0].columns == ways[1].columns == ["doc_id", "tf", "feature", "term"]
+    rows = [sorted(map(str, df.collect())) for df in ways]
+    assert rows[0] == rows[1] and len(rows[0]) > 100
+    weights = [terms.tfidf(posts, vocab, 3), terms.tfidf(posts, vocab, 3, columns=["feature"])]
+    assert all("Exchange" not in df._jdf.queryExecution().executedPlan().toString() for df in weights)
+    assert weights[1].columns == ["doc_id", "feature", "tf", "tfidf"]
+    same = [sorted(map(str, df.select("doc_id", "feature", "tf", "tfidf").collect())) for df in weights]
+    assert same[0] == same[1] and len(same[0]) == len(rows[0])
+    # A term of two rows counts for both, as in a join.
+    assert terms.known_terms(posts, vocab.unionByName(vocab), 3).count() == 2 * len(rows[0])
+    assert terms.known_terms(posts, vocab.limit(0), 3).count() == 0
+    lists, table = posts.select("doc_id", "words").toArrow(), vocab.filter("term is not null").toArrow()
+    shared, marks = (type("Shared", (), {"value": v}) for v in (table, grams.term_marks(table.column("term").to_pylist())))
+    for most in (1, 7):
+        count = grams.known_counter([1, 2, 3], "words", ["doc_id"], ["feature", "term"], shared, marks, most)
+        found = [tuple(r.values()) for b in count(iter(lists.to_batches())) for r in b.to_pylist()]
+        assert sorted(map(str, found)) == sorted(str(tuple(r)) for r in ways[0].collect())
+
+
 def test_buckets_do_not_depend_on_blocks(monkeypatch):
     lists = pa.array([[f"w{i % 7}" for i in range(40)], ["a", None, "b"], []], pa.list_(pa.string()))
 

@@ -164,6 +164,35 @@ def post_counter(sizes: Sequence[int], words: str, keep: Sequence[str], most: in
     return count
 
 
+def known_counter(
+    sizes: Sequence[int], words: str, keep: Sequence[str], columns: Sequence[str], shared, wanted, most: int = SLICE_WORDS
+) -> Callable:
+    """Batches of ``keep…, words`` to ``keep…, tf, columns…``: a row for each post and known n-gram.
+
+    ``shared`` is the broadcast table of the known, told apart by ``term``, ``wanted`` their marks.
+    """
+
+    def count(batches):
+        marks, known = unpacked_marks(wanted), shared.value
+        terms = known.column("term").combine_chunks()
+        size = pc.add(pc.count_substring(terms, " "), 1).to_numpy(zero_copy_only=False)
+        places = {n: np.flatnonzero(size == n) for n in sizes}
+        sets = {n: terms.take(pa.array(at)) for n, at in places.items()}
+        values = [known.column(c).combine_chunks() for c in columns]
+        for batch in batches:
+            for piece in word_slices(batch, words, most):
+                for n, post, number, part, first in numbered_grams(piece.column(words), sizes, marks):
+                    found = pc.fill_null(pc.index_in(part.texts(first, n), value_set=sets[n]), -1)
+                    found = found.to_numpy(zero_copy_only=False).astype(np.int64)[number]
+                    rows, held, tf = by_post(post[found >= 0], found[found >= 0], len(sets[n]))
+                    rows, held = pa.array(rows), pa.array(places[n][held])
+                    kept = [piece.column(c).take(rows) for c in keep]
+                    arrays = [*kept, pa.array(tf, pa.int64()), *[v.take(held) for v in values]]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "tf", *columns])
+
+    return count
+
+
 def sliced_counts(
     piece: pa.RecordBatch, words: str, sizes: Sequence[int], marks: dict[int, np.ndarray] | None = None
 ) -> Iterator[tuple[int, Slice, np.ndarray, np.ndarray, np.ndarray]]:

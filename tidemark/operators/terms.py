@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.functions.text import clean_text, ngrams, tokenize
 from tidemark.operators.grams import (
@@ -20,6 +22,7 @@ from tidemark.operators.grams import (
     bucket_counter,
     bucket_levels,
     bucket_marker,
+    known_counter,
     margin_counter,
     packer,
     post_counter,
@@ -268,24 +271,44 @@ def weighted_vocabulary(
 
 
 def known_terms(
-    posts: DataFrame, vocab: DataFrame, max_n: int, keep: Sequence[str] = ("doc_id",)
+    posts: DataFrame,
+    vocab: DataFrame,
+    max_n: int,
+    keep: Sequence[str] = ("doc_id",),
+    columns: Sequence[str] | None = None,
+    most: int = MOST_MARKED,
 ) -> DataFrame:
-    """Term counts of the posts limited to vocabulary terms, in one pass.
+    """Term counts of the posts limited to vocabulary terms, in one pass: ``keep``, ``tf`` and the vocabulary's columns.
 
-    ``vocab`` should be a landed table: it has at most ``max_n * size`` rows,
-    and Spark broadcasts it only if its files are small enough. Tasks sieve
-    the n-grams by the buckets of its terms before they make text of them.
+    ``vocab`` should be a landed table; ``columns`` are those wanted of it, all
+    if not named. Tasks sieve the n-grams by the buckets of its terms before
+    they make text of them. While its terms are ``most`` at most they are
+    broadcast and looked up inside the tasks, without a shuffle; more of them,
+    or a term of several rows, are joined.
     """
-    sizes = range(1, max_n + 1)
-    return term_counts(posts, *sizes, keep=keep, wanted=marked_terms(vocab)).join(vocab, "term")
+    sizes, columns = range(1, max_n + 1), list(columns or vocab.columns)
+    named = vocab.filter(F.col("term").isNotNull()).select("term", *[c for c in columns if c != "term"])
+    held = named.limit(most + 1).toArrow()
+    if held.num_rows > most or pc.count_distinct(held.column("term")).as_py() < held.num_rows:
+        counted = term_counts(posts, *sizes, keep=keep, wanted=marked_terms(vocab))
+        return counted.join(named, "term").select(*keep, "tf", *columns)
+    context, rows = posts.sparkSession.sparkContext, posts.select(*keep, WORDS)
+    marks = context.broadcast(term_marks(held.column("term").to_pylist()))
+    count = known_counter(sizes, WORDS, list(keep), columns, context.broadcast(held), marks)
+    schema = StructType([*rows.schema.fields[:-1], StructField("tf", LongType()), *named.select(*columns).schema.fields])
+    return rows.mapInArrow(count, schema)
 
 
 def tfidf(
-    posts: DataFrame, vocab: DataFrame, max_n: int, keep: Sequence[str] = ("doc_id",)
+    posts: DataFrame,
+    vocab: DataFrame,
+    max_n: int,
+    keep: Sequence[str] = ("doc_id",),
+    columns: Sequence[str] = ("n", "term", "feature"),
 ) -> DataFrame:
-    """``(keep…, n, term, feature, tf, tfidf)``: the sparse vectors in long form."""
-    found = known_terms(posts, vocab, max_n, keep)
-    return found.select(*keep, "n", "term", "feature", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    """``(keep…, n, term, feature, tf, tfidf)``, or others of the vocabulary's columns: the sparse vectors in long form."""
+    found = known_terms(posts, vocab, max_n, keep, [*columns, "idf"])
+    return found.select(*keep, *columns, "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
 def linear_score(
@@ -333,7 +356,7 @@ def joined_margins(
     row, so the map-side combine leaves one row per post for the shuffle.
     """
     placed = posts.withColumn("_post", F.monotonically_increasing_id())
-    found = known_terms(placed, weights, max_n, ("_post",))
+    found = known_terms(placed, weights, max_n, ("_post",), ["weight"], most=0)
     dots = found.groupBy("_post").agg(F.sum(F.col("tf") * F.col("weight")).alias("_dot"))
     margin = F.coalesce("_dot", F.lit(0.0)) + F.lit(intercept)
     return placed.select("_post", *keep).join(dots, "_post", "left").select(*keep, margin.alias("margin"))

@@ -97,7 +97,7 @@ def select_features(train: DataFrame, spec: Spec = Spec()) -> Selection:
     vocab = weighted_vocabulary(words, spec.max_n, spec.vocab_size, n_docs, spec.min_doc_freq)
     vocab = land(vocab, "vocabulary")
     varying = land(vocab.filter("idf <> 0").select("n", "term", "feature"), "varying-terms")
-    found = known_terms(words, varying, spec.max_n, ("label",))
+    found = known_terms(words, varying, spec.max_n, ("label",), ["feature"])
     chosen = chi2_select(chi2_stats(found, totals), vocab, spec.top_features)
     return Selection(words, vocab, land(chosen, "features"), labels)
 
